@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from loanlens.operators.cleaning import cast_numeric
 from loanlens.schemas import CATEGORICAL_FEATURES, MODEL_FEATURES
+from loanlens.session import checkpointed
 
 FREQUENCY_DESC = "frequencyDesc"
 ALPHABET_ASC = "alphabetAsc"
@@ -220,16 +221,24 @@ class ModelFrame:
     moments: Moments
 
 
-def prepare_model_frame(labelled: DataFrame, features: list[str] | None = None) -> ModelFrame:
+def prepare_model_frame(
+    labelled: DataFrame, features: list[str] | None = None, materialize: bool = True
+) -> ModelFrame:
     """Cast, index, impute, standardize and assemble the 22 model inputs.
 
     Output keeps the labelled columns and adds the 14 doubles, the 8
     ``<c>_index`` columns, ``out_<c>`` (imputed), ``z_<c>`` (standardized),
     and the vectors ``features`` (imputed) and ``scaledFeatures``.
     Two small aggregates are fitted: the category index and the moments.
+    With ``materialize`` the cast input is written once to the reliable
+    checkpoint folder, so the two fits and the final pass read it instead
+    of recomputing the joins that produced ``labelled``.
     """
     wanted = features or MODEL_FEATURES
-    indexed = string_index(cast_numeric(labelled), CATEGORICAL_FEATURES)
+    base = cast_numeric(labelled)
+    if materialize:
+        base = checkpointed(base)
+    indexed = string_index(base, CATEGORICAL_FEATURES)
     moments = fit_moments(indexed, wanted)
     usable = moments.usable(wanted)
     imputed = indexed.select("*", *impute_exprs(moments, usable))

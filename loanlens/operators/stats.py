@@ -12,27 +12,53 @@ from loanlens.schemas import GLM_MAX_ITER, GLM_REG_PARAM
 INTERCEPT_LABEL = "Intercept"
 
 
-def correlation_long(df: DataFrame, cols: list[str], readable: bool = True, lower_only: bool = True) -> DataFrame:
+def correlation_long(
+    df: DataFrame,
+    cols: list[str],
+    readable: bool = True,
+    lower_only: bool = True,
+    means: dict[str, float] | None = None,
+) -> DataFrame:
     """Pearson correlation of every column pair as rows ``(feature_a, feature_b, r)``.
 
-    One global aggregate computes ``covar_pop`` for each pair and
-    ``stddev_pop`` for each column (partial aggregation, one output row);
-    the row is then unpivoted in Spark. ``r`` is null when either column is
-    constant. ``lower_only`` keeps the strictly lower triangle (``a`` after
-    ``b`` in ``cols`` order), the part the heatmap shows.
+    One global aggregate (partial per task, one output row) sums the
+    products of mean-centred values for every pair, plus each column's
+    min and max; the row is then unpivoted in Spark. Centring by the mean
+    keeps the sums well conditioned. Means come from ``means`` when the
+    caller already has them (e.g. from the imputation fit), otherwise from
+    one extra aggregate. ``r`` is null when either column is constant.
+    Inputs are expected to be complete (imputed); a null cell is skipped.
+    ``lower_only`` keeps the strictly lower triangle (``a`` after ``b`` in
+    ``cols`` order), the part the heatmap shows.
     """
     x = [F.col(c).cast("double") for c in cols]
+    if means is None or any(c not in means for c in cols):
+        row = df.agg(*[F.avg(x[i]).alias(f"_m{i}") for i in range(len(cols))]).first()
+        mu = [row[f"_m{i}"] for i in range(len(cols))]
+    else:
+        mu = [means[c] for c in cols]
+    centred = [x[i] - F.lit(mu[i] if mu[i] is not None else 0.0) for i in range(len(cols))]
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if (j < i if lower_only else True)]
-    aggs = [F.stddev_pop(x[i]).alias(f"_s{i}") for i in range(len(cols))]
-    needed = {(i, j) if i > j else (j, i) for i, j in pairs if i != j}
-    aggs += [F.covar_pop(x[i], x[j]).alias(f"_c{i}_{j}") for i, j in sorted(needed)]
+    needed = sorted({(i, j) if i > j else (j, i) for i, j in pairs if i != j})
+    aggs = []
+    for i in range(len(cols)):
+        aggs += [
+            F.sum(centred[i] * centred[i]).alias(f"_v{i}"),
+            F.min(x[i]).alias(f"_lo{i}"),
+            F.max(x[i]).alias(f"_hi{i}"),
+        ]
+    aggs += [F.sum(centred[i] * centred[j]).alias(f"_c{i}_{j}") for i, j in needed]
     one_row = df.agg(*aggs)
 
+    def varying(i: int):
+        return F.col(f"_hi{i}") > F.col(f"_lo{i}")
+
     def r_expr(i: int, j: int):
         if i == j:
-            return F.when(F.col(f"_s{i}") > 0, F.lit(1.0))
+            return F.when(varying(i), F.lit(1.0))
         a, b = (i, j) if i > j else (j, i)
-        return F.try_divide(F.col(f"_c{a}_{b}"), F.col(f"_s{a}") * F.col(f"_s{b}"))
+        r = F.col(f"_c{a}_{b}") / F.sqrt(F.col(f"_v{a}") * F.col(f"_v{b}"))
+        return F.when(varying(a) & varying(b), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
     label = readable_label_py if readable else (lambda s: s)
     rows = F.explode(

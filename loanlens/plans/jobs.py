@@ -92,7 +92,8 @@ def model_report(
 ) -> Report:
     md = model_data(labelled_loans)
     feats = md.frame.features
-    corr = correlation_long(md.data, [f"out_{c}" for c in feats])
+    means = {f"out_{c}": md.frame.moments.columns[c].mean for c in feats}
+    corr = correlation_long(md.data, [f"out_{c}" for c in feats], means=means)
     hyp_input = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
     hyp = hypothesis_table(spark, hyp_input, feats)
     metrics, curves, confusion = [], {}, {}
