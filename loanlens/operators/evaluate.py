@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from loanlens.schemas import CONFUSION_THRESHOLD
 from loanlens.session import checkpointed
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions
 
 
 def probability_score(predictions: DataFrame, prob_col: str = "probability") -> Column:
@@ -50,6 +50,8 @@ def score_histogram(
 
 def _bucketed(hist: DataFrame, buckets: int) -> DataFrame:
     """Add ``bucket``: contiguous score ranges with roughly equal numbers of distinct scores."""
+    if buckets is None:
+        buckets = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets <= 1:
         return hist.withColumn("bucket", F.lit(0.0))
     probs = [i / buckets for i in range(1, buckets)]
@@ -65,7 +67,7 @@ def running_totals(
     hist: DataFrame,
     value_cols: list[str],
     descending: bool = True,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Inclusive running sums of ``value_cols`` over ``score`` order, plus grand totals.
 
@@ -95,7 +97,7 @@ def curve_table(
     label_col: str = "label",
     score: Column | str = "score",
     digits: int | None = 3,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """ROC and PR points, one per threshold (distinct rounded score), highest threshold first.
 
@@ -117,11 +119,11 @@ def curve_table(
     )
 
 
-def roc_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return curve_table(df, label_col, score, digits, buckets).select("threshold", "tp", "fp", "tpr", "fpr")
 
 
-def pr_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def pr_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return curve_table(df, label_col, score, digits, buckets).select("threshold", "tp", "fp", "precision", "recall")
 
 
@@ -130,7 +132,7 @@ def exact_auc(
     label_col: str = "label",
     score: Column | str = "score",
     digits: int | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Area under ROC by the rank-sum (Mann-Whitney) formula, ties counted half.
 

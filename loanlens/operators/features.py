@@ -222,7 +222,11 @@ class ModelFrame:
 
 
 def prepare_model_frame(
-    labelled: DataFrame, features: list[str] | None = None, materialize: bool = True
+    labelled: DataFrame,
+    features: list[str] | None = None,
+    materialize: bool = True,
+    fit_on: str = "all",
+    key: str = "loan_id",
 ) -> ModelFrame:
     """Cast, index, impute, standardize and assemble the 22 model inputs.
 
@@ -230,16 +234,29 @@ def prepare_model_frame(
     ``<c>_index`` columns, ``out_<c>`` (imputed), ``z_<c>`` (standardized),
     and the vectors ``features`` (imputed) and ``scaledFeatures``.
     Two small aggregates are fitted: the category index and the moments.
-    With ``materialize`` the cast input is written once to the reliable
-    checkpoint folder, so the two fits and the final pass read it instead
-    of recomputing the joins that produced ``labelled``.
+
+    ``fit_on="all"`` fits them on every row (as the reference does);
+    ``fit_on="train"`` fits them on the training side of the hash split
+    only and applies them to all rows, so test rows do not leak into the
+    statistics. With ``materialize`` the cast input is written once to the
+    reliable checkpoint folder, so the fits and the final pass read it
+    instead of recomputing the joins that produced ``labelled``.
     """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     wanted = features or MODEL_FEATURES
     base = cast_numeric(labelled)
     if materialize:
         base = checkpointed(base)
-    indexed = string_index(base, CATEGORICAL_FEATURES)
-    moments = fit_moments(indexed, wanted)
+    fit_rows = base
+    if fit_on == "train":
+        from loanlens.operators.models import hash_split_column
+
+        fit_rows = base.where(hash_split_column(key) == F.lit("train"))
+    table = category_index_table(fit_rows, CATEGORICAL_FEATURES)
+    indexed = apply_index_table(base, table, CATEGORICAL_FEATURES)
+    fit_indexed = indexed if fit_on == "all" else apply_index_table(fit_rows, table, CATEGORICAL_FEATURES)
+    moments = fit_moments(fit_indexed, wanted)
     usable = moments.usable(wanted)
     imputed = indexed.select("*", *impute_exprs(moments, usable))
     scaled = imputed.select("*", *standardize_exprs(moments, usable))

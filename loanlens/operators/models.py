@@ -17,7 +17,6 @@ from loanlens.schemas import GBT_MAX_ITER, LR_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHT
 
 HASH_SPACE = 2**32
 DEFAULT_SEED = 11
-FOREST_PARTITIONS = 16
 
 
 def split_fraction(key: Column | str, seed: int = SPLIT_SEED) -> Column:
@@ -69,12 +68,19 @@ def fit_forest(
     label_col: str = "label",
     seed: int = DEFAULT_SEED,
     key: str | None = "loan_id",
-    partitions: int = FOREST_PARTITIONS,
+    partitions: int | None = None,
 ):
-    """Random forest with default parameters and a fixed seed on a fixed layout."""
+    """Random forest with default parameters and a fixed seed on a fixed layout.
+
+    Rows are hash-partitioned by ``key`` into ``partitions`` (default: the
+    session's ``spark.sql.shuffle.partitions``) and sorted inside each
+    partition, so for a given configuration the bootstrap samples, and the
+    forest, do not depend on how the input happened to be split.
+    """
     data = train
     if key and key in train.columns:
-        data = train.repartition(partitions, key).sortWithinPartitions(key)
+        n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        data = train.repartition(n, key).sortWithinPartitions(key)
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=seed)
     return rf.fit(data)
 

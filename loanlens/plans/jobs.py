@@ -45,9 +45,9 @@ class ModelData:
     data: DataFrame  # loan_id, origination_year, out_*, features (scaled), label
 
 
-def model_data(labelled_loans: DataFrame) -> ModelData:
-    """Prepare features and checkpoint the narrow model frame once."""
-    mf = prepare_model_frame(labelled_loans)
+def model_data(labelled_loans: DataFrame, fit_on: str = "all") -> ModelData:
+    """Prepare features (fitted on all rows or on the training side) and checkpoint the narrow frame."""
+    mf = prepare_model_frame(labelled_loans, fit_on=fit_on)
     narrow = mf.df.select(
         *MODEL_KEYS,
         *[f"out_{c}" for c in mf.features],
@@ -89,8 +89,9 @@ def model_report(
     labelled_loans: DataFrame,
     year: int | None = None,
     models: list[str] | None = None,
+    fit_on: str = "all",
 ) -> Report:
-    md = model_data(labelled_loans)
+    md = model_data(labelled_loans, fit_on)
     feats = md.frame.features
     means = {f"out_{c}": md.frame.moments.columns[c].mean for c in feats}
     corr = correlation_long(md.data, [f"out_{c}" for c in feats], means=means)

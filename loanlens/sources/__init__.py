@@ -12,4 +12,4 @@ from loanlens.sources.text import (  # noqa: F401
     to_pipe_lines,
     write_pipe_text,
 )
-from loanlens.sources.sinks import register_view, write_metrics, write_parquet  # noqa: F401
+from loanlens.sources.sinks import register_view, to_pandas_bounded, write_metrics, write_parquet  # noqa: F401

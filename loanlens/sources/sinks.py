@@ -33,3 +33,15 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+    """``toPandas`` for results that are known to be small; refuses anything larger.
+
+    Fetches at most ``max_rows + 1`` rows, so an unexpectedly large result
+    fails fast instead of filling the driver.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it to storage instead")
+    return pdf
