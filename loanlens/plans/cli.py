@@ -75,7 +75,9 @@ def cmd_report(spark, a):
         if not a.perf:
             raise SystemExit("--by-year needs --perf")
         perf = _read(spark, a.perf, "perf", a.input_format)
-        write_metrics(yearly_report(spark, acq, perf, models=models), os.path.join(a.out, "metrics"), mode="overwrite")
+        yearly = yearly_report(spark, acq, perf, models=models)
+        write_metrics(yearly.metrics, os.path.join(a.out, "metrics"), mode="overwrite")
+        write_parquet(yearly.hypotheses, os.path.join(a.out, "hypotheses"), partition_by=["year"])
         return
     if a.foreclosures:
         if a.foreclosures_format == "legacy":

@@ -110,6 +110,12 @@ def model_report(
     return Report(corr, hyp, all_metrics, curves, confusion)
 
 
+@dataclass
+class YearlyReport:
+    metrics: DataFrame  # year, model, metric, value
+    hypotheses: DataFrame  # year + the hypothesis-table columns
+
+
 def yearly_report(
     spark: SparkSession,
     acq: DataFrame,
@@ -117,11 +123,13 @@ def yearly_report(
     years: list[int] | None = None,
     models: list[str] | None = None,
     year_col: str = "origination_year",
-) -> DataFrame:
-    """Metrics for each year with labelled loans, as one ``(year, model, metric, value)`` table.
+) -> YearlyReport:
+    """Per-year model metrics and GLM tests, as two tables keyed by ``year``.
 
-    The labelled frame is checkpointed once; each year is a filter on it.
-    Years with a single label class are skipped (no classifier can be scored).
+    The labelled frame is checkpointed once; each year is a filter on it
+    and its own feature fit, GLM and classifiers, as a separate per-year run
+    would do. Years with a single label class are skipped (no classifier
+    can be scored).
     """
     lab = checkpointed(labelled(acq, perf))
     present = (
@@ -132,10 +140,15 @@ def yearly_report(
         .collect()
     )
     wanted = [r[year_col] for r in present if years is None or r[year_col] in years]
-    out = None
+    metrics, hyps = [], []
     for y in wanted:
-        rep_metrics = model_report(spark, lab.where(F.col(year_col) == y), year=y, models=models).metrics
-        out = rep_metrics if out is None else out.unionByName(rep_metrics)
-    if out is None:
-        out = spark.createDataFrame([], METRICS_SCHEMA)
-    return out
+        rep = model_report(spark, lab.where(F.col(year_col) == y), year=y, models=models)
+        metrics.append(rep.metrics)
+        hyps.append(rep.hypotheses.select(F.lit(y).cast("int").alias("year"), "*"))
+    if not metrics:
+        empty_h = "year int, position int, feature string, coefficient double, std_error double, t double, p double, p_bonferroni double, p_bonferroni_capped double"
+        return YearlyReport(spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], empty_h))
+    out_m, out_h = metrics[0], hyps[0]
+    for m, h in zip(metrics[1:], hyps[1:]):
+        out_m, out_h = out_m.unionByName(m), out_h.unionByName(h)
+    return YearlyReport(out_m, out_h)
