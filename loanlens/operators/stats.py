@@ -37,18 +37,21 @@ def correlation_long(
         mu = [row[f"_m{i}"] for i in range(len(cols))]
     else:
         mu = [means[c] for c in cols]
-    centred = [x[i] - F.lit(mu[i] if mu[i] is not None else 0.0) for i in range(len(cols))]
+    centred = df.select(
+        *[(x[i] - F.lit(mu[i] if mu[i] is not None else 0.0)).alias(f"_x{i}") for i in range(len(cols))]
+    )
+    xc = [F.col(f"_x{i}") for i in range(len(cols))]
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if (j < i if lower_only else True)]
     needed = sorted({(i, j) if i > j else (j, i) for i, j in pairs if i != j})
     aggs = []
     for i in range(len(cols)):
         aggs += [
-            F.sum(centred[i] * centred[i]).alias(f"_v{i}"),
-            F.min(x[i]).alias(f"_lo{i}"),
-            F.max(x[i]).alias(f"_hi{i}"),
+            F.sum(xc[i] * xc[i]).alias(f"_v{i}"),
+            F.min(xc[i]).alias(f"_lo{i}"),
+            F.max(xc[i]).alias(f"_hi{i}"),
         ]
-    aggs += [F.sum(centred[i] * centred[j]).alias(f"_c{i}_{j}") for i, j in needed]
-    one_row = df.agg(*aggs)
+    aggs += [F.sum(xc[i] * xc[j]).alias(f"_c{i}_{j}") for i, j in needed]
+    one_row = centred.agg(*aggs)
 
     def varying(i: int):
         return F.col(f"_hi{i}") > F.col(f"_lo{i}")
