@@ -6,7 +6,8 @@ Each fit is one distributed aggregate whose result is small and bounded:
   pairs and counts them in a single grouped aggregate (partial + final),
   so eight columns cost one shuffle, not eight jobs. The mapping is
   inlined as a literal map only after checking it has at most
-  ``max_inline`` entries; larger mappings are applied with a join.
+  ``max_inline`` entries (1,000 by default); larger mappings are applied
+  with a join whose strategy Spark picks from the measured size.
 * imputation and standardization statistics (non-missing count, mean,
   population variance per column) come from one global aggregate: one row,
   however large the input. The standard deviation of the mean-imputed
@@ -34,7 +35,7 @@ from loanlens.session import checkpointed
 
 FREQUENCY_DESC = "frequencyDesc"
 ALPHABET_ASC = "alphabetAsc"
-DEFAULT_MAX_INLINE = 10_000
+DEFAULT_MAX_INLINE = 1_000  # map lookup scans the entries, so keep inlined maps small
 
 
 def _category_key(col: str):

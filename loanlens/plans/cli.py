@@ -27,7 +27,13 @@ from loanlens.plans.jobs import labelled, model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
 from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir
 from loanlens.sources.sinks import write_metrics, write_parquet
-from loanlens.sources.text import read_acquisition, read_legacy_foreclosures, read_performance, write_pipe_text
+from loanlens.sources.text import (
+    format_legacy_foreclosures,
+    read_acquisition,
+    read_legacy_foreclosures,
+    read_performance,
+    write_pipe_text,
+)
 
 
 def _session(app: str) -> SparkSession:
@@ -57,7 +63,11 @@ def _write(df: DataFrame, path: str, text: bool, fields: list[str] | None = None
 
 
 def cmd_foreclosures(spark, a):
-    _write(foreclosure_extract(_read(spark, a.perf, "perf", a.input_format)), a.out, a.text)
+    extract = foreclosure_extract(_read(spark, a.perf, "perf", a.input_format))
+    if getattr(a, "legacy_text", False):
+        format_legacy_foreclosures(extract).write.mode("overwrite").option("compression", "bzip2").text(a.out)
+    else:
+        _write(extract, a.out, a.text)
 
 
 def cmd_latest(spark, a):
@@ -106,6 +116,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--perf", required=True)
         s.add_argument("--out", required=True)
         s.add_argument("--text", action="store_true", help="write |-separated bzip2 text")
+        if name == "foreclosures":
+            s.add_argument("--legacy-text", action="store_true", help="write one tuple-text line per record (bzip2)")
     s = sub.add_parser("scatter")
     s.add_argument("--acq", required=True)
     s.add_argument("--out", required=True)

@@ -250,9 +250,27 @@ def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_logistic_confusion(spark, sf_dir):
+    return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
+
+
+def _model_predictions(spark, sf_dir, name: str) -> DataFrame:
     md = jobs.model_data(labelled(spark, sf_dir))
-    _, pred = jobs.fit_model("logistic_regression", md.data)
-    return evaluate.confusion_at_threshold(pred, "label", "score")
+    _, pred = jobs.fit_model(name, md.data)
+    return pred
+
+
+def q_logistic_curve(spark, sf_dir):
+    """ROC / PR points of the logistic-regression test scores (rounded to 3 digits)."""
+    return evaluate.curve_table(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
+
+
+def q_gbt_curve(spark, sf_dir):
+    """ROC / PR points of the gradient-boosted-trees test scores (rounded to 3 digits)."""
+    return evaluate.curve_table(_model_predictions(spark, sf_dir, "gradient_boosted_trees"), "label", "score")
+
+
+def q_gbt_confusion(spark, sf_dir):
+    return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "gradient_boosted_trees"), "label", "score")
 
 
 def q_yearly_report(spark, sf_dir):
@@ -297,5 +315,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_auc": _model_query("random_forest"),
     "gbt_auc": _model_query("gradient_boosted_trees"),
     "logistic_confusion": q_logistic_confusion,
+    "gbt_confusion": q_gbt_confusion,
+    "logistic_curve": q_logistic_curve,
+    "gbt_curve": q_gbt_curve,
     "yearly_report": q_yearly_report,
 }

@@ -100,7 +100,7 @@ def write_pipe_text(
 # ---------------------------------------------------------------------------
 
 # --- fixed values: pattern of a tuple line and its two quoted members ---
-LEGACY_TUPLE_PATTERN = r"^\s*\(\s*'([^']*)'\s*,\s*'([^']*)'\s*\)\s*$"
+LEGACY_TUPLE_PATTERN = r"^\s*\(\s*'?([^',]*?)'?\s*,\s*'([^']*)'\s*\)\s*$"
 
 
 def format_legacy_foreclosures(extract: DataFrame, id_col: str = "loan_id", date_col: str = "foreclosure_date") -> DataFrame:

@@ -8,7 +8,17 @@ import __spark_entry__ as E
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_oracle import TABLES, canon  # noqa: E402
 
-ROWS_ONLY = {"hypothesis_table", "logistic_auc", "forest_auc", "gbt_auc", "logistic_confusion", "yearly_report"}
+ROWS_ONLY = {
+    "hypothesis_table",
+    "logistic_auc",
+    "forest_auc",
+    "gbt_auc",
+    "logistic_confusion",
+    "gbt_confusion",
+    "logistic_curve",
+    "gbt_curve",
+    "yearly_report",
+}
 
 
 def test_entry_runs(spark):

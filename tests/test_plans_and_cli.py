@@ -56,6 +56,10 @@ def test_cli_end_to_end(spark, sf_small, tmp_path):
     out = tmp_path / "out"
     cli.main(["foreclosures", "--perf", perf_dir, "--out", str(out / "fc")])
     cli.main(["latest", "--perf", perf_dir, "--out", str(out / "latest")])
+    cli.main(["foreclosures", "--perf", perf_dir, "--out", str(out / "legacy"), "--legacy-text"])
+    from loanlens.sources import read_legacy_foreclosures
+
+    assert read_legacy_foreclosures(spark, str(out / "legacy")).where("f_loan_id IS NOT NULL").count() == 220
     cli.main(["scatter", "--acq", acq_dir, "--out", str(out / "scatter")])
     cli.main(["report", "--acq", acq_dir, "--foreclosures", str(out / "fc"), "--out", str(out / "report"),
               "--year", "2000", "--models", "logistic_regression"])

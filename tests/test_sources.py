@@ -77,11 +77,12 @@ def test_file_year_from_name(spark, tmp_path):
 
 def test_legacy_tuple_lines(spark):
     lines = spark.createDataFrame(
-        [("('123', '02/01/2001')",), ("( '45' ,'03/01/2002' )",), ("('abc', '01/01/2000')",), ("garbage",)],
+        [("('123', '02/01/2001')",), ("( '45' ,'03/01/2002' )",), ("('abc', '01/01/2000')",), ("garbage",),
+         ("(77, '04/01/2003')",)],
         "value string",
     )
     got = [tuple(r) for r in parse_legacy_foreclosures(lines).collect()]
-    assert got == [(123, "02/01/2001"), (45, "03/01/2002"), (None, "01/01/2000"), (None, None)]
+    assert got == [(123, "02/01/2001"), (45, "03/01/2002"), (None, "01/01/2000"), (None, None), (77, "04/01/2003")]
 
 
 def test_legacy_round_trip(spark, sf_small, tmp_path):
