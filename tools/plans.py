@@ -1,6 +1,6 @@
 """Summarize the physical plan of every registered query.
 
-Usage: python tools/plans.py [sf_dir] [out_dir]
+Usage: python tools/plans.py [sf_dir] [out_dir] [--no-broadcast]
 Writes ``<query>.txt`` with ``explain("formatted")`` to out_dir (default: a
 fresh folder under /tmp) and prints, per query, the count of shuffles,
 join strategies and any single-partition exchange or Python evaluation.
@@ -48,10 +48,14 @@ def summarize(text: str) -> dict[str, int]:
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    out = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="loanlens-plans-")
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    no_broadcast = "--no-broadcast" in sys.argv
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    out = args[1] if len(args) > 1 else tempfile.mkdtemp(prefix="loanlens-plans-")
     os.makedirs(out, exist_ok=True)
-    spark = build_session("plans", "local[8]", 8)
+    # --no-broadcast shows the plan shape of a large input, where no side fits the broadcast threshold
+    extra = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} if no_broadcast else {}
+    spark = build_session("plans", "local[8]", 8, extra=extra)
     for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         with open(os.path.join(out, f"{name}.txt"), "w") as fh:
