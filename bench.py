@@ -42,7 +42,7 @@ def main() -> None:
     spark = build_session(
         "loanlens-bench",
         f"local[{cpus}]",
-        shuffle_partitions=max(8, cpus * 2),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))),
         extra={"spark.checkpoint.dir": os.path.join(scratch, "checkpoints"), "spark.driver.memory": "16g"},
     )
     # warm-up: JVM classes and the parquet footers
