@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +16,69 @@ from loanlens.schemas import GLM_MAX_ITER, GLM_REG_PARAM
 INTERCEPT_LABEL = "Intercept"
 
 
+CORRELATION_SCHEMA = "feature_a string, feature_b string, r double"
+
+
+def correlation_matrix(df: DataFrame, cols: list[str], vector_col: str | None = None):
+    """Pearson matrix of ``cols`` (a p x p numpy array; NaN where a column is constant).
+
+    ``pyspark.ml.stat.Correlation`` tree-aggregates the column means and then
+    the packed upper triangle of the centred cross products with BLAS; only
+    the p x p result reaches the driver. Rows with a missing value are skipped.
+    """
+    if vector_col is None:
+        vector_col = "_corr_vec"
+        df = VectorAssembler(inputCols=cols, outputCol=vector_col, handleInvalid="skip").transform(df.select(*cols))
+    return Correlation.corr(df.select(vector_col), vector_col, "pearson").head()[0].toArray()
+
+
 def correlation_long(
     df: DataFrame,
     cols: list[str],
     readable: bool = True,
     lower_only: bool = True,
     means: dict[str, float] | None = None,
+    method: str = "ml",
+    vector_col: str | None = None,
 ) -> DataFrame:
     """Pearson correlation of every column pair as rows ``(feature_a, feature_b, r)``.
 
+    ``method="ml"`` (default) uses :func:`correlation_matrix` and returns the
+    bounded long table (p(p-1)/2 rows for the lower triangle). ``vector_col``
+    may name an already assembled vector of ``cols`` in that order.
+    ``method="sql"`` is the same statistic as one DataFrame aggregate, see
+    :func:`correlation_long_sql`. ``r`` is null when either column is constant.
+    ``lower_only`` keeps the strictly lower triangle (``a`` after ``b`` in
+    ``cols`` order), the part the heatmap shows.
+    """
+    if method == "sql":
+        return correlation_long_sql(df, cols, readable, lower_only, means)
+    m = correlation_matrix(df, cols, vector_col)
+    label = readable_label_py if readable else (lambda s: s)
+    p = len(cols)
+    # Spark puts 1.0 on the whole diagonal; a constant column shows as a row of NaN elsewhere.
+    constant = [p > 1 and all(math.isnan(m[i, j]) for j in range(p) if j != i) for i in range(p)]
+    rows = []
+    for i in range(p):
+        for j in range(p):
+            if (j < i) if lower_only else True:
+                r = float(m[i, j])
+                if i == j and constant[i]:
+                    r = float("nan")
+                r = None if math.isnan(r) else max(-1.0, min(1.0, r))
+                rows.append((label(cols[i]), label(cols[j]), r))
+    return df.sparkSession.createDataFrame(rows, CORRELATION_SCHEMA)
+
+
+def correlation_long_sql(
+    df: DataFrame,
+    cols: list[str],
+    readable: bool = True,
+    lower_only: bool = True,
+    means: dict[str, float] | None = None,
+) -> DataFrame:
+    """Pearson correlations as one DataFrame aggregate (same output as :func:`correlation_long`).
+
     One global aggregate (partial per task, one output row) sums the
     products of mean-centred values for every pair, plus each column's
     min and max; the row is then unpivoted in Spark. Centring by the mean

@@ -192,8 +192,7 @@ def q_standardize(spark, sf_dir):
 
 def q_correlation_long(spark, sf_dir):
     mf = model_frame(spark, sf_dir)
-    means = {f"out_{c}": mf.moments.columns[c].mean for c in mf.features}
-    corr = stats.correlation_long(mf.df, [f"out_{c}" for c in mf.features], means=means)
+    corr = stats.correlation_long(mf.df, [f"out_{c}" for c in mf.features], vector_col="features")
     return corr.select("feature_a", "feature_b", rounded("r").alias("r"))
 
 

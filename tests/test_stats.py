@@ -73,6 +73,10 @@ def test_correlation_matches_numpy(spark, sf_small):
                 assert math.isclose(got[(a, b)], np.corrcoef(va, vb)[0, 1], abs_tol=1e-9)
     lower = stats.correlation_long(md.data, cols)
     assert lower.count() == len(cols) * (len(cols) - 1) // 2
+    sql_form = {(r["feature_a"], r["feature_b"]): r["r"] for r in stats.correlation_long(md.data, cols, method="sql").collect()}
+    for r in lower.collect():
+        a, b = sql_form[(r["feature_a"], r["feature_b"])], r["r"]
+        assert (a is None and b is None) or abs(a - b) < 1e-9
 
 
 def test_bonferroni(spark):
