@@ -85,7 +85,8 @@ def cmd_report(spark, a):
         if not a.perf:
             raise SystemExit("--by-year needs --perf")
         perf = _read(spark, a.perf, "perf", a.input_format)
-        yearly = yearly_report(spark, acq, perf, models=models)
+        year_col = a.year_col or ("file_year" if "file_year" in acq.columns else "origination_year")
+        yearly = yearly_report(spark, acq, perf, models=models, year_col=year_col)
         write_metrics(yearly.metrics, os.path.join(a.out, "metrics"), mode="overwrite")
         write_parquet(yearly.hypotheses, os.path.join(a.out, "hypotheses"), partition_by=["year"])
         return
@@ -129,6 +130,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--year", type=int)
     s.add_argument("--by-year", action="store_true")
+    s.add_argument("--year-col", help="year column for --by-year (default: file_year from the file name when present)")
     s.add_argument("--fit-on", choices=["all", "train"], default="all", help="rows the feature statistics are fitted on")
     s.add_argument("--models", help="comma list of logistic_regression,random_forest,gradient_boosted_trees")
     a = p.parse_args(argv)

@@ -70,3 +70,18 @@ def test_cli_end_to_end(spark, sf_small, tmp_path):
     assert {r["metric"] for r in metrics.collect()} >= {"areaUnderROC", "areaUnderPR", "exactAUC"}
     assert spark.read.parquet(str(out / "report" / "hypotheses")).count() == 23
     assert spark.read.parquet(str(out / "report" / "correlation")).count() == 231
+
+
+def test_cli_by_file_year(spark, sf_small, tmp_path):
+    acq = acquisition_records(spark, sf_small, with_file_year=True)
+    for y in (2000, 2001):
+        write_pipe_text(acq.where(F.col("file_year") == y).select(*ACQ_FIELDS), str(tmp_path / f"Acquisition_{y}"))
+    perf_dir = str(tmp_path / "perf")
+    write_pipe_text(performance_records(spark, sf_small).select(*PERF_FIELDS), perf_dir)
+    out = tmp_path / "yearly"
+    cli.main(["report", "--acq", str(tmp_path / "Acquisition_*"), "--perf", perf_dir, "--out", str(out),
+              "--by-year", "--models", "logistic_regression"])
+    metrics = spark.read.parquet(str(out / "metrics"))
+    assert {r["year"] for r in metrics.collect()} == {2000, 2001}
+    hyp = spark.read.parquet(str(out / "hypotheses"))
+    assert hyp.count() == 2 * 23
