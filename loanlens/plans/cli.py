@@ -6,6 +6,7 @@
                   model metrics, curves, confusion tables; ``--by-year`` for the
                   per-origination-year loop
     scatter       acquisition files -> credit score x balance bins by loan purpose
+    land          raw text files -> Parquet partitioned by file year / reporting year
 
 Outputs are Parquet folders under ``--out``; ``--text`` writes ``|``-separated
 bzip2 text instead where a record table is produced.
@@ -26,6 +27,7 @@ from loanlens.operators.reports import scatter_bins
 from loanlens.plans.jobs import labelled, model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
 from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from loanlens.sources.landing import land_acquisition, land_performance
 from loanlens.sources.sinks import write_metrics, write_parquet
 from loanlens.sources.text import (
     format_legacy_foreclosures,
@@ -78,6 +80,13 @@ def cmd_scatter(spark, a):
     write_parquet(scatter_bins(_read(spark, a.acq, "acq", a.input_format).select(*ACQ_FIELDS)), a.out)
 
 
+def cmd_land(spark, a):
+    if a.acq:
+        land_acquisition(spark, a.acq, os.path.join(a.out, "acquisition"))
+    if a.perf:
+        land_performance(spark, a.perf, os.path.join(a.out, "performance"))
+
+
 def cmd_report(spark, a):
     acq = _read(spark, a.acq, "acq", a.input_format)
     models = a.models.split(",") if a.models else None
@@ -119,6 +128,10 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--text", action="store_true", help="write |-separated bzip2 text")
         if name == "foreclosures":
             s.add_argument("--legacy-text", action="store_true", help="write one tuple-text line per record (bzip2)")
+    s = sub.add_parser("land", help="convert raw text files to partitioned Parquet once")
+    s.add_argument("--acq")
+    s.add_argument("--perf")
+    s.add_argument("--out", required=True)
     s = sub.add_parser("scatter")
     s.add_argument("--acq", required=True)
     s.add_argument("--out", required=True)
@@ -137,7 +150,14 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "report" and not (a.perf or a.foreclosures):
         p.error("report needs --perf or --foreclosures")
     spark = _session(f"loanlens-{a.cmd}")
-    {"foreclosures": cmd_foreclosures, "latest": cmd_latest, "scatter": cmd_scatter, "report": cmd_report}[a.cmd](
+    commands = {
+        "foreclosures": cmd_foreclosures,
+        "latest": cmd_latest,
+        "scatter": cmd_scatter,
+        "report": cmd_report,
+        "land": cmd_land,
+    }
+    commands[a.cmd](
         spark, a
     )
 

@@ -1,5 +1,6 @@
 """Readers and writers: pipe text (plain / bzip2), legacy tuple text, Parquet, driver tables."""
 
+from loanlens.sources.landing import land_acquisition, land_performance  # noqa: F401
 from loanlens.sources.tables import acquisition_records, performance_records, table  # noqa: F401
 from loanlens.sources.text import (  # noqa: F401
     format_legacy_foreclosures,
