@@ -79,3 +79,13 @@ def test_latest_entry_plan_reduces_before_shuffle(spark, sf_small):
     assert "partial_max" in plan
     wplan = labels.latest_entry_window(perf)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in wplan and "Partial" in wplan
+
+
+def test_sql_over_registered_views(spark, sf_small):
+    from loanlens.sources import register_view
+
+    lab = labels.labelled_loans(prepare_loans(acquisition_records(spark, sf_small)), performance_records(spark, sf_small))
+    register_view(lab, "loan_labels")
+    n = spark.sql("SELECT count(*) AS n FROM loan_labels WHERE f_loan_id IS NOT NULL").first()["n"]
+    by_class = {r[0]: r[1] for r in spark.sql("SELECT is_foreclosed, count(*) FROM loan_labels GROUP BY is_foreclosed").collect()}
+    assert n == 44 and by_class == {r["is_foreclosed"]: r["n"] for r in labels.default_by_class(lab).collect()}

@@ -33,3 +33,28 @@ def test_stream_matches_batch(spark, sf_small, tmp_path):
     assert got_latest == sorted(tuple(r) for r in labels.latest_entry(batch).collect())
     assert got_fc == sorted(tuple(r) for r in foreclosure_extract(batch).collect())
     assert len(got_latest) == 1473
+
+
+def test_stream_restarts_from_checkpoint(spark, sf_small, tmp_path):
+    perf = performance_records(spark, sf_small)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    staging = tmp_path / "staging"
+
+    def drop(name, cond):
+        to_pipe_lines(perf.where(cond), PERF_FIELDS).coalesce(1).write.text(str(staging / name))
+        part = [f for f in os.listdir(staging / name) if f.startswith("part-")][0]
+        os.link(staging / name / part, landing / f"{name}.txt")
+
+    out, ck = str(tmp_path / "fc_out"), str(tmp_path / "fc_ck")
+    drop("m1", "cast(loan_id as bigint) % 2 = 0")
+    q = start(foreclosure_stream(read_performance_stream(spark, str(landing))), ck, "append", path=out, trigger_available_now=True)
+    q.awaitTermination()
+    first = spark.read.parquet(out).count()
+    drop("m2", "cast(loan_id as bigint) % 2 = 1")
+    # a new query on the same checkpoint picks up only the new file
+    q = start(foreclosure_stream(read_performance_stream(spark, str(landing))), ck, "append", path=out, trigger_available_now=True)
+    q.awaitTermination()
+    total = spark.read.parquet(out)
+    assert 0 < first < total.count() == 220
+    assert sorted(tuple(r) for r in total.collect()) == sorted(tuple(r) for r in foreclosure_extract(perf).collect())
