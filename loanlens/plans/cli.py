@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.cleaning import foreclosure_extract, prepare_loans
-from loanlens.operators.labels import foreclosure_ids, label_join, latest_entry
+from loanlens.operators.labels import label_join, latest_entry
 from loanlens.operators.reports import scatter_bins
 from loanlens.plans.jobs import labelled, model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS

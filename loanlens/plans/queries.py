@@ -21,7 +21,6 @@ from loanlens.plans import jobs
 from loanlens.schemas import (
     ACQ_FIELDS,
     CATEGORICAL_FEATURES,
-    MODEL_FEATURES,
     PLOT_CATEGORICAL,
     SPLIT_SEED,
     SPLIT_WEIGHTS,

@@ -1,4 +1,3 @@
-import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 

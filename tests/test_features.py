@@ -1,8 +1,6 @@
 import math
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from loanlens.operators import features
 from loanlens.operators.cleaning import cast_numeric

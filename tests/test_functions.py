@@ -1,7 +1,5 @@
 import datetime
 
-from pyspark.sql import functions as F
-
 from loanlens.functions import (
     blank_to_null,
     mi_flag,

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from loanlens.operators import labels
 from loanlens.schemas import PERF_SCHEMA
 from loanlens.sources import acquisition_records, performance_records

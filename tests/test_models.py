@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from loanlens.operators.models import hash_split, hash_split_column
 from loanlens.plans import jobs
 from loanlens.sources import acquisition_records, performance_records
