@@ -48,6 +48,18 @@ def latest_entry(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_
     )
 
 
+def update_latest_entry(
+    prior_latest: DataFrame, new_perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_DATE
+) -> DataFrame:
+    """Latest record per loan after new performance records arrive, without re-reading history.
+
+    ``max`` over the total order is associative, so the latest of
+    (previous latest records + new records) equals the latest over all
+    records. The state carried between runs is one row per loan.
+    """
+    return latest_entry(prior_latest.unionByName(new_perf.select(*prior_latest.columns)), key, date_col)
+
+
 def latest_entry_window(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_DATE) -> DataFrame:
     """Same answer as :func:`latest_entry` written as a ranked window (sort-and-take-last)."""
     others = _others(perf, key)
@@ -104,12 +116,12 @@ def default_by_class(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("is_foreclosed").agg(F.count(F.lit(1)).alias("n"))
 
 
-def default_by_group(labelled: DataFrame, group_col: str = "origination_year", digits: int = 6) -> DataFrame:
-    """Loans, foreclosures and foreclosure rate per group (year by default)."""
+def default_by_group(labelled: DataFrame, group_col: str = "origination_year") -> DataFrame:
+    """Loans, foreclosures and foreclosure rate (exact ratio) per group (year by default)."""
     return labelled.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("n_loans"),
         F.sum("is_foreclosed").cast("bigint").alias("n_foreclosed"),
-        F.round(F.avg("is_foreclosed"), digits).alias("foreclosure_rate"),
+        (F.sum("is_foreclosed") / F.count(F.lit(1))).cast("double").alias("foreclosure_rate"),
     )
 
 

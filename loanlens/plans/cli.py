@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.cleaning import foreclosure_extract, prepare_loans
-from loanlens.operators.labels import label_join, latest_entry
+from loanlens.operators.labels import label_join, latest_entry, update_latest_entry
 from loanlens.operators.reports import scatter_bins
 from loanlens.plans.jobs import labelled, model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
@@ -73,7 +73,13 @@ def cmd_foreclosures(spark, a):
 
 
 def cmd_latest(spark, a):
-    _write(latest_entry(_read(spark, a.perf, "perf", a.input_format)), a.out, a.text, PERF_FIELDS)
+    perf = _read(spark, a.perf, "perf", a.input_format)
+    if getattr(a, "prior", None):
+        prior = spark.read.parquet(a.prior)
+        result = update_latest_entry(prior, perf.select(*prior.columns))
+    else:
+        result = latest_entry(perf)
+    _write(result, a.out, a.text, PERF_FIELDS)
 
 
 def cmd_scatter(spark, a):
@@ -126,6 +132,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--perf", required=True)
         s.add_argument("--out", required=True)
         s.add_argument("--text", action="store_true", help="write |-separated bzip2 text")
+        if name == "latest":
+            s.add_argument("--prior", help="previous latest-record table (Parquet) to update with --perf")
         if name == "foreclosures":
             s.add_argument("--legacy-text", action="store_true", help="write one tuple-text line per record (bzip2)")
     s = sub.add_parser("land", help="convert raw text files to partitioned Parquet once")

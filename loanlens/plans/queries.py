@@ -146,12 +146,7 @@ def q_default_by_class(spark, sf_dir):
 
 def q_default_by_year(spark, sf_dir):
     """Flagship: loans, foreclosures and foreclosure rate per origination year."""
-    lab = labelled(spark, sf_dir)
-    return lab.groupBy("origination_year").agg(
-        F.count(F.lit(1)).alias("n_loans"),
-        F.sum("is_foreclosed").cast("bigint").alias("n_foreclosed"),
-        (F.sum("is_foreclosed") / F.count(F.lit(1))).cast("double").alias("foreclosure_rate"),
-    )
+    return labels.default_by_group(labelled(spark, sf_dir), "origination_year")
 
 
 def q_default_by_year_class(spark, sf_dir):

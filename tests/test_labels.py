@@ -87,3 +87,13 @@ def test_sql_over_registered_views(spark, sf_small):
     n = spark.sql("SELECT count(*) AS n FROM loan_labels WHERE f_loan_id IS NOT NULL").first()["n"]
     by_class = {r[0]: r[1] for r in spark.sql("SELECT is_foreclosed, count(*) FROM loan_labels GROUP BY is_foreclosed").collect()}
     assert n == 44 and by_class == {r["is_foreclosed"]: r["n"] for r in labels.default_by_class(lab).collect()}
+
+
+def test_incremental_latest_equals_full(spark, sf_small):
+    perf = performance_records(spark, sf_small)
+    early = perf.where("substr(reporting_date, 7, 4) < '1998'")
+    late = perf.where("substr(reporting_date, 7, 4) >= '1998'")
+    assert early.count() > 0 and late.count() > 0
+    prior = labels.latest_entry(early)
+    updated = labels.update_latest_entry(prior, late)
+    assert _rows(updated) == _rows(labels.latest_entry(perf))
