@@ -266,6 +266,7 @@ ORACLE_SQL: dict[str, str] = {
     f"WHERE {_nb('foreclosure_date')} IS NOT NULL",
     "latest_entry": _LATEST,
     "latest_entry_window": _LATEST,
+    "latest_entry_incremental": _LATEST,
     "month_year_parts": _with(ACQ_CTE, PARTS_CTE) + "SELECT * FROM parts",
     "year_credit_filter": _with(ACQ_CTE, PARTS_CTE, FILTERED_CTE) + "SELECT * FROM filtered",
     "engineered_features": _with(*LOANS) + "SELECT * FROM loans",

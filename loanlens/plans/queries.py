@@ -92,6 +92,15 @@ def q_latest_entry_window(spark, sf_dir):
     return labels.latest_entry_window(perf(spark, sf_dir))
 
 
+def q_latest_entry_incremental(spark, sf_dir):
+    """Latest record per loan kept incrementally: records reported before 1998 are reduced first,
+    then that state is updated with every later record (same answer as a full pass)."""
+    p = perf(spark, sf_dir)
+    year = F.get(F.split("reporting_date", "/"), 2).try_cast("int")
+    prior = labels.latest_entry(p.where(year < 1998))
+    return labels.update_latest_entry(prior, p.where((year >= 1998) | year.isNull()))
+
+
 def q_month_year_parts(spark, sf_dir):
     return cleaning.month_year_parts(acq(spark, sf_dir))
 
@@ -277,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_foreclosure_ids": q_legacy_foreclosure_ids,
     "latest_entry": q_latest_entry,
     "latest_entry_window": q_latest_entry_window,
+    "latest_entry_incremental": q_latest_entry_incremental,
     "month_year_parts": q_month_year_parts,
     "year_credit_filter": q_year_credit_filter,
     "engineered_features": q_engineered_features,

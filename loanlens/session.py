@@ -20,6 +20,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
 
