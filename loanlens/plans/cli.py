@@ -38,10 +38,10 @@ from loanlens.sources.text import (
 )
 
 
-def _session(app: str) -> SparkSession:
-    b = SparkSession.builder.appName(app)
+def _session(app: str, ui: bool = False) -> SparkSession:
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "true" if ui else "false")
     if not SparkConf().contains("spark.master"):
-        b = b.master("local[*]").config("spark.ui.enabled", "false")
+        b = b.master("local[*]")
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -126,6 +126,7 @@ def cmd_report(spark, a):
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="loanlens")
     p.add_argument("--input-format", choices=["text", "parquet"], default="text")
+    p.add_argument("--ui", action="store_true", help="start the Spark web UI (off by default)")
     sub = p.add_subparsers(dest="cmd", required=True)
     for name in ("foreclosures", "latest"):
         s = sub.add_parser(name)
@@ -157,7 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     if a.cmd == "report" and not (a.perf or a.foreclosures):
         p.error("report needs --perf or --foreclosures")
-    spark = _session(f"loanlens-{a.cmd}")
+    spark = _session(f"loanlens-{a.cmd}", a.ui)
     commands = {
         "foreclosures": cmd_foreclosures,
         "latest": cmd_latest,
