@@ -34,3 +34,15 @@ def test_logistic_is_deterministic(spark, sf_small):
     m1, _ = jobs.fit_model("logistic_regression", md.data)
     m2, _ = jobs.fit_model("logistic_regression", md.data.repartition(5))
     assert all(abs(a - b) < 1e-9 for a, b in zip(m1.coefficients, m2.coefficients))
+
+
+def test_forest_does_not_depend_on_input_partitioning(spark, sf_small):
+    lab = jobs.labelled(acquisition_records(spark, sf_small), performance_records(spark, sf_small))
+    md = jobs.model_data(lab)
+    train, _ = hash_split(md.data)
+    from loanlens.operators.models import fit_forest
+
+    a = fit_forest(train.repartition(3), partitions=8)
+    b = fit_forest(train.repartition(7).orderBy("label"), partitions=8)
+    body = lambda m: m.toDebugString.split("\n", 1)[1]  # first line carries the model uid
+    assert body(a) == body(b)
