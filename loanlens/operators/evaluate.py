@@ -81,13 +81,13 @@ def running_totals(
     running = {c: 0 for c in value_cols}
     for r in order:
         for c in value_cols:
-            offsets[c] += [F.lit(r["bucket"]), F.lit(running[c])]
+            offsets[c] += [F.lit(float(r["bucket"])), F.lit(running[c]).cast("bigint")]
             running[c] += int(r[c] or 0)
     s = F.col("score").desc() if descending else F.col("score").asc()
     w = Window.partitionBy("bucket").orderBy(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = []
     for c in value_cols:
-        base = F.element_at(F.create_map(*offsets[c]), F.col("bucket")) if offsets[c] else F.lit(0)
+        base = F.try_element_at(F.create_map(*offsets[c]), F.col("bucket")) if offsets[c] else F.lit(0)
         cols.append((F.sum(c).over(w) + base).cast("bigint").alias(f"cum_{c}"))
     return b.select("score", *value_cols, *cols), running
 
