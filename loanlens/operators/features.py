@@ -70,6 +70,12 @@ def category_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_
     return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
 
+def fit_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC) -> DataFrame:
+    """Fit the index: :func:`category_index_table` computed once and written to the checkpoint
+    folder, so applying it (inline or by joins, to one frame or several) never recounts the input."""
+    return checkpointed(category_index_table(df, cols, order).select("column", "value", "n", "idx"))
+
+
 def apply_index_table(
     df: DataFrame,
     table: DataFrame,
@@ -99,12 +105,14 @@ def apply_index_table(
             added.append(F.coalesce(found, F.lit(len(entries))).cast(dtype).alias(c + suffix))
         return df.select("*", *added)
     # Too many categories to inline: one equi-join per column (Spark sizes the join itself).
+    # ``table`` should be materialized (see fit_index_table) so the joins do not recount the input.
+    known_by_col = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
     out = df
     for c in cols:
         mapping = table.where(F.col("column") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")
         )
-        known = mapping.agg(F.count(F.lit(1))).first()[0]
+        known = known_by_col.get(c, 0)
         out = out.join(mapping, _category_key(c) == F.col(f"_v_{c}"), "left")
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"_i_{c}"), F.lit(known)).cast(dtype)).drop(
             f"_v_{c}", f"_i_{c}"
@@ -122,7 +130,7 @@ def string_index(
 ) -> DataFrame:
     """Index categorical columns by frequency (``<c>_index`` double); source columns kept."""
     cols = cols or CATEGORICAL_FEATURES
-    return apply_index_table(df, category_index_table(df, cols, order), cols, suffix, dtype, max_inline)
+    return apply_index_table(df, fit_index_table(df, cols, order), cols, suffix, dtype, max_inline)
 
 
 def label_encode(df: DataFrame, cols: list[str] | None = None, suffix: str = "_code") -> DataFrame:
@@ -253,7 +261,7 @@ def prepare_model_frame(
     fit_rows = base
     if fit_on == "train":
         fit_rows = base.where(hash_split_column(key) == F.lit("train"))
-    table = category_index_table(fit_rows, CATEGORICAL_FEATURES)
+    table = fit_index_table(fit_rows, CATEGORICAL_FEATURES)
     indexed = apply_index_table(base, table, CATEGORICAL_FEATURES)
     fit_indexed = indexed if fit_on == "all" else apply_index_table(fit_rows, table, CATEGORICAL_FEATURES)
     moments = fit_moments(fit_indexed, wanted)
