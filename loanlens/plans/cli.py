@@ -26,7 +26,7 @@ from loanlens.operators.labels import label_join, latest_entry, update_latest_en
 from loanlens.operators.reports import scatter_bins
 from loanlens.plans.jobs import labelled, model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
-from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir, release_checkpoints
 from loanlens.sources.landing import land_acquisition, land_performance
 from loanlens.sources.sinks import write_metrics, write_parquet
 from loanlens.sources.text import (
@@ -166,9 +166,10 @@ def main(argv: list[str] | None = None) -> None:
         "report": cmd_report,
         "land": cmd_land,
     }
-    commands[a.cmd](
-        spark, a
-    )
+    try:
+        commands[a.cmd](spark, a)
+    finally:
+        release_checkpoints(spark)
 
 
 if __name__ == "__main__":

@@ -73,6 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS or object store)")
 
 
+_CREATED: list[str] = []
+
+
 def checkpointed(df):
     """Write ``df`` once as Parquet under the reliable checkpoint folder and read it back.
 
@@ -84,4 +87,17 @@ def checkpointed(df):
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
+    _CREATED.append(folder)
     return spark.read.parquet(folder)
+
+
+def release_checkpoints(spark: SparkSession) -> int:
+    """Delete the checkpoint tables this process wrote (call once their frames are no longer used)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _CREATED:
+        path = jvm.org.apache.hadoop.fs.Path(_CREATED.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            n += 1
+    return n

@@ -85,3 +85,12 @@ def test_cli_by_file_year(spark, sf_small, tmp_path):
     assert {r["year"] for r in metrics.collect()} == {2000, 2001}
     hyp = spark.read.parquet(str(out / "hypotheses"))
     assert hyp.count() == 2 * 23
+
+
+def test_release_checkpoints(spark):
+    from loanlens.session import checkpointed, release_checkpoints
+
+    release_checkpoints(spark)
+    df = checkpointed(spark.range(5))
+    assert df.count() == 5
+    assert release_checkpoints(spark) == 1
