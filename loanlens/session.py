@@ -79,10 +79,9 @@ _CREATED: list[str] = []
 def checkpointed(df):
     """Write ``df`` once as Parquet under the reliable checkpoint folder and read it back.
 
-    This cuts the lineage like ``checkpoint()`` but in a single pass (an
-    eager RDD checkpoint computes its input twice unless it is cached), and
-    the read-back keeps column pruning and filter pushdown. The folder lives
-    under ``spark.checkpoint.dir``, so it survives the loss of any executor.
+    This cuts the lineage like ``checkpoint()``, and the read-back keeps
+    column pruning and filter pushdown. The folder lives under
+    ``spark.checkpoint.dir``, so it survives the loss of any executor.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
