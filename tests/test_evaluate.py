@@ -58,3 +58,13 @@ def test_confusion_sums_to_n(spark, sf_small):
     pdf = df.toPandas()
     tp = int(((pdf["coarse"] > 0.415856) & (pdf["label"] == 1)).sum())
     assert {(r["label"], r["predicted"]): r["n"] for r in conf}.get((1, 1), 0) == tp
+
+
+def test_exact_curve_against_brute_force(spark, sf_small):
+    df = _scored(spark, sf_small)
+    pdf = df.toPandas()
+    got = {r["threshold"]: (r["tp"], r["fp"]) for r in evaluate.curve_table(df, "label", "fine", digits=None, buckets=7).collect()}
+    assert len(got) == pdf["fine"].nunique()
+    for t, (tp, fp) in got.items():
+        sel = pdf["fine"] >= t
+        assert tp == int((sel & (pdf["label"] == 1)).sum()) and fp == int((sel & (pdf["label"] == 0)).sum())
