@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from loanlens.schemas import CONFUSION_THRESHOLD
 from loanlens.session import checkpointed
 
-DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions
+DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions, for large histograms
+SINGLE_BUCKET_ROWS = 100_000  # a histogram up to this many scores is windowed in one partition
 
 
 def probability_score(predictions: DataFrame, prob_col: str = "probability") -> Column:
@@ -49,8 +50,15 @@ def score_histogram(
 
 
 def _bucketed(hist: DataFrame, buckets: int) -> DataFrame:
-    """Add ``bucket``: contiguous score ranges with roughly equal numbers of distinct scores."""
+    """Add ``bucket``: contiguous score ranges with roughly equal numbers of distinct scores.
+
+    With ``buckets=None`` a histogram of at most ``SINGLE_BUCKET_ROWS`` scores
+    (counted first; cheap on the checkpointed table) is one bucket, and a
+    larger one gets ``spark.sql.shuffle.partitions`` buckets.
+    """
     if buckets is None:
+        if hist.count() <= SINGLE_BUCKET_ROWS:
+            return hist.withColumn("bucket", F.lit(0.0))
         buckets = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets <= 1:
         return hist.withColumn("bucket", F.lit(0.0))
