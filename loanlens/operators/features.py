@@ -70,10 +70,20 @@ def category_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_
     return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
 
-def fit_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC) -> DataFrame:
-    """Fit the index: :func:`category_index_table` computed once and written to the checkpoint
-    folder, so applying it (inline or by joins, to one frame or several) never recounts the input."""
-    return checkpointed(category_index_table(df, cols, order).select("column", "value", "n", "idx"))
+def fit_index_table(
+    df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC, max_rows: int = DEFAULT_MAX_INLINE
+) -> DataFrame:
+    """Fit the index once: ``(column, value, n, idx)`` from a single counting pass.
+
+    Up to ``max_rows`` entries come back as a small in-memory table; a larger
+    table is written to the checkpoint folder instead. Either way, applying
+    it (inline or by joins, to one frame or several) never recounts the input.
+    """
+    table = category_index_table(df, cols, order).select("column", "value", "n", "idx")
+    rows = table.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, table.schema)
+    return checkpointed(table)
 
 
 def apply_index_table(
