@@ -94,3 +94,19 @@ def test_release_checkpoints(spark):
     df = checkpointed(spark.range(5))
     assert df.count() == 5
     assert release_checkpoints(spark) == 1
+
+
+def test_cli_latest_with_prior(spark, sf_small, tmp_path):
+    from loanlens.operators.labels import latest_entry
+
+    perf = performance_records(spark, sf_small)
+    early, late = str(tmp_path / "early"), str(tmp_path / "late")
+    write_pipe_text(perf.where("substr(reporting_date, 7, 4) < '1998'"), early)
+    write_pipe_text(perf.where("substr(reporting_date, 7, 4) >= '1998'"), late)
+    cli.main(["latest", "--perf", early, "--out", str(tmp_path / "l1")])
+    cli.main(["latest", "--perf", late, "--prior", str(tmp_path / "l1"), "--out", str(tmp_path / "l2")])
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "l2")).collect())
+    from loanlens.sources import read_performance
+
+    full = read_performance(spark, [early, late])
+    assert got == sorted(tuple(r) for r in latest_entry(full).collect())
