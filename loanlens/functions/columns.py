@@ -89,6 +89,10 @@ def min_credit_score(borrower: Column | str, co_borrower: Column | str) -> Colum
     return F.least(credit_or_default(borrower), credit_or_default(co_borrower)).cast("int")
 
 
+# --- fixed values: display-label format of a feature name ---
+# drop the "out_" prefix and the "_index" suffix, "_" becomes a space, words capitalised
+
+
 def readable_label(col: Column | str) -> Column:
     """Feature name to display label: drop ``out_`` / ``_index``, ``_`` -> space, capitalise words."""
     c = _c(col)
