@@ -19,8 +19,23 @@ from pyspark.sql import functions as F
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
 
 
+# --- fixed values: schemas of the driver tables read here (no inference pass) ---
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; known tables are read with their declared schema (no inference job)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def _blank_unless(cond: str, value: str) -> str:
