@@ -57,7 +57,8 @@ def category_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_
 
     ``frequencyDesc``: most frequent first, ties alphabetical (as ``StringIndexer``).
     ``alphabetAsc``: plain alphabetical order (label encoding).
-    The window is partitioned by column and runs over the distinct values only.
+    The window is partitioned by column and runs over the distinct values only
+    (one task per column), which suits categorical columns, not ids.
     """
     counts = category_counts(df, cols)
     if order == FREQUENCY_DESC:

@@ -33,6 +33,8 @@ def hash_split_column(
     seed: int = SPLIT_SEED,
 ) -> Column:
     """Name of the split each row falls into, by cumulative normalized weight."""
+    if len(names) < len(weights) or any(w < 0 for w in weights) or sum(weights) <= 0:
+        raise ValueError("need one name per weight and non-negative weights with a positive sum")
     total = float(sum(weights))
     u = split_fraction(key, seed)
     edge = 0.0
