@@ -1,8 +1,10 @@
 """Row-level cleaning of acquisition records: narrow, shuffle-free projections and filters.
 
 All steps are plain column expressions, so Spark pipelines them into one
-whole-stage-codegen span directly above the scan, and the filter predicates
-sit next to the scan (pushed into Parquet where the column is stored).
+whole-stage-codegen span with the scan. Catalyst moves the filter
+predicates down to the scan (below any joins that produced the input);
+they are expressions over the text fields, so they run on the decoded
+rows rather than as Parquet pushed filters.
 """
 
 from __future__ import annotations
