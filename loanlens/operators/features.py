@@ -4,7 +4,8 @@ Each fit is one distributed aggregate whose result is small and bounded:
 
 * category indexing stacks all categorical columns into ``(column, value)``
   pairs and counts them in a single grouped aggregate (partial + final),
-  so eight columns cost one shuffle, not eight jobs. The mapping is
+  so eight columns cost one shuffle, not eight jobs. Ranking happens on the
+  bounded counts (driver side up to ``max_rows``, range-partitioned beyond). The mapping is
   inlined as a literal map only after checking it has at most
   ``max_inline`` entries (1,000 by default); larger mappings are applied
   with a join whose strategy Spark picks from the measured size.
@@ -71,20 +72,65 @@ def category_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_
     return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
 
+def _driver_ranks(rows: list, order: str) -> list[tuple]:
+    """Index a bounded list of ``(column, value, n)`` rows (same order as the window form)."""
+    if order == FREQUENCY_DESC:
+        key = lambda r: (r["column"], -r["n"], r["value"])
+    elif order == ALPHABET_ASC:
+        key = lambda r: (r["column"], r["value"])
+    else:
+        raise ValueError(f"unknown order {order!r}")
+    out, last, i = [], None, 0
+    for r in sorted(rows, key=key):
+        i = 0 if r["column"] != last else i + 1
+        last = r["column"]
+        out.append((r["column"], r["value"], int(r["n"]), i))
+    return out
+
+
+def _distributed_ranks(counts: DataFrame, order: str, partitions: int | None = None) -> DataFrame:
+    """``idx`` per column without a window over a whole column.
+
+    Rows are range-partitioned by ``(column, order...)``; each range
+    partition numbers its own rows, and two small tables (rows per range
+    partition, first position per column) turn that into per-column ranks.
+    """
+    spark = counts.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col("column").asc()] + (
+        [F.col("n").desc(), F.col("value").asc()] if order == FREQUENCY_DESC else [F.col("value").asc()]
+    )
+    ranged = checkpointed(counts.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id()))
+    sizes = sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
+    offsets, acc = [], 0
+    for pid, size in sizes:
+        offsets += [F.lit(pid), F.lit(acc).cast("bigint")]
+        acc += size
+    w = Window.partitionBy("_pid").orderBy(*sort)
+    pos = (F.row_number().over(w) - 1) + F.try_element_at(F.create_map(*offsets), F.col("_pid"))
+    positioned = checkpointed(ranged.withColumn("_pos", pos))
+    starts = positioned.groupBy("column").agg(F.min("_pos").alias("s")).collect()  # one row per column
+    start = F.try_element_at(F.create_map(*[F.lit(x) for r in starts for x in (r["column"], r["s"])]), F.col("column"))
+    return positioned.select("column", "value", "n", (F.col("_pos") - start).cast("int").alias("idx"))
+
+
 def fit_index_table(
     df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC, max_rows: int = DEFAULT_MAX_INLINE
 ) -> DataFrame:
-    """Fit the index once: ``(column, value, n, idx)`` from a single counting pass.
+    """Fit the index once: ``(column, value, n, idx)``, the same table as :func:`category_index_table`.
 
-    Up to ``max_rows`` entries come back as a small in-memory table; a larger
-    table is written to the checkpoint folder instead. Either way, applying
-    it (inline or by joins, to one frame or several) never recounts the input.
+    One counting pass (partial + final aggregate). Up to ``max_rows``
+    distinct values the counts come back to the driver, bounded, and are
+    ranked there; the table is small and stays in memory. Beyond that the
+    counts are ranked by :func:`_distributed_ranks` and written to the
+    checkpoint folder, so no task ever holds a whole column.
     """
-    table = category_index_table(df, cols, order).select("column", "value", "n", "idx")
-    rows = table.limit(max_rows + 1).collect()
+    counts = category_counts(df, cols)
+    rows = counts.limit(max_rows + 1).collect()
+    schema = "column string, value string, n bigint, idx int"
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, table.schema)
-    return checkpointed(table)
+        return df.sparkSession.createDataFrame(_driver_ranks(rows, order), schema)
+    return checkpointed(_distributed_ranks(checkpointed(counts), order))
 
 
 def apply_index_table(

@@ -68,3 +68,13 @@ def test_all_missing_column_is_dropped(spark):
     out = features.impute_mean(df, ["a", "b"]).collect()
     assert [r["out_a"] for r in out] == [1.0, 2.0, 3.0]
     assert "out_b" not in out[0].asDict()
+
+
+def test_fit_index_table_paths_agree_with_window_form(spark, sf_small):
+    lab = _lab(spark, sf_small)
+    cols = CATEGORICAL_FEATURES + ["property_state", "loan_id"]  # loan_id: one value per row
+    for order in (features.FREQUENCY_DESC, features.ALPHABET_ASC):
+        ref = sorted(tuple(r) for r in features.category_index_table(lab, cols, order).select("column", "value", "n", "idx").collect())
+        small = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=100_000).collect())
+        large = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=0).collect())
+        assert ref == small == large
