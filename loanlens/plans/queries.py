@@ -241,6 +241,11 @@ def q_hypothesis_table(spark, sf_dir):
     return stats.hypothesis_table(spark, data, md.frame.features)
 
 
+def q_bonferroni(spark, sf_dir):
+    """GLM p-value per feature with the Bonferroni correction (raw p x 22 and capped at 1)."""
+    return q_hypothesis_table(spark, sf_dir).select("feature", "p", "p_bonferroni", "p_bonferroni_capped")
+
+
 def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         md = jobs.model_data(labelled(spark, sf_dir))
@@ -314,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_at_threshold": q_confusion_at_threshold,
     "scatter_bins": q_scatter_bins,
     "hypothesis_table": q_hypothesis_table,
+    "bonferroni": q_bonferroni,
     "logistic_auc": _model_query("logistic_regression"),
     "forest_auc": _model_query("random_forest"),
     "gbt_auc": _model_query("gradient_boosted_trees"),

@@ -10,6 +10,7 @@ from check_oracle import TABLES, canon  # noqa: E402
 
 ROWS_ONLY = {
     "hypothesis_table",
+    "bonferroni",
     "logistic_auc",
     "forest_auc",
     "gbt_auc",
