@@ -78,3 +78,14 @@ def test_fit_index_table_paths_agree_with_window_form(spark, sf_small):
         small = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=100_000).collect())
         large = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=0).collect())
         assert ref == small == large
+
+
+def test_standardize_operator(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (None, 5.0), (5.0, 5.0)], "a double, b double")
+    out = features.standardize(df, ["a", "b"]).collect()
+    za = [r["z_a"] for r in out]
+    assert all(r["z_b"] == 0.0 for r in out)  # constant column
+    mean = sum(za) / len(za)
+    std = (sum((z - mean) ** 2 for z in za) / (len(za) - 1)) ** 0.5
+    assert abs(mean) < 1e-12 and abs(std - 1.0) < 1e-12
+    assert abs(out[2]["z_a"]) < 1e-12  # the missing cell is imputed with the mean
