@@ -91,19 +91,28 @@ def model_report(
     year: int | None = None,
     models: list[str] | None = None,
     fit_on: str = "all",
+    concurrent_models: int = 3,
 ) -> Report:
     md = model_data(labelled_loans, fit_on)
     feats = md.frame.features
     corr = correlation_long(md.data, [f"out_{c}" for c in feats])
     hyp_input = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
     hyp = hypothesis_table(spark, hyp_input, feats)
-    metrics, curves, confusion = [], {}, {}
-    for name in models or list(MODEL_FITTERS):
+    names = models or list(MODEL_FITTERS)
+
+    def one_model(name):
         _, pred = fit_model(name, md.data)
         pred = checkpointed(pred.select("loan_id", "label", "score", "rawPrediction", "probability"))
-        metrics.append(model_metrics(spark, name, pred, year))
-        curves[name] = curve_table(pred, "label", "score")
-        confusion[name] = confusion_at_threshold(pred, "label", "score")
+        return model_metrics(spark, name, pred, year), curve_table(pred, "label", "score"), confusion_at_threshold(
+            pred, "label", "score"
+        )
+
+    # the three fits are independent: run them as concurrent jobs, keep the results in model order
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_models, len(names)))) as pool:
+        results = list(pool.map(one_model, names))
+    metrics = [m for m, _, _ in results]
+    curves = {n: c for n, (_, c, _) in zip(names, results)}
+    confusion = {n: k for n, (_, _, k) in zip(names, results)}
     all_metrics = metrics[0]
     for m in metrics[1:]:
         all_metrics = all_metrics.unionByName(m)
