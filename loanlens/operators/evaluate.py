@@ -33,7 +33,10 @@ def probability_score(predictions: DataFrame, prob_col: str = "probability") ->
 def score_histogram(
     df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = None
 ) -> DataFrame:
-    """``(score, pos, neg)``: label counts per distinct score (rounded to ``digits`` if given)."""
+    """``(score, pos, neg)``: label counts per distinct score (rounded to ``digits`` if given).
+
+    Rows whose score is null or NaN have no position on the curve and are left out.
+    """
     s = F.col(score) if isinstance(score, str) else score
     if digits is not None:
         s = F.round(s, digits)
