@@ -244,6 +244,30 @@ def fit_moments(df: DataFrame, cols: list[str]) -> Moments:
     )
 
 
+def index_moments(table: DataFrame, cols: list[str], suffix: str = "_index") -> dict[str, ColumnMoments]:
+    """Moments of the ``<c><suffix>`` columns computed from the fitted index table alone.
+
+    Every row has a category (a blank is ``''``), so for a column with
+    values ``idx`` occurring ``n`` times: N = sum n, mean = sum(idx n) / N,
+    population variance = (N sum(idx^2 n) - sum(idx n)^2) / N^2, summed as
+    decimals and finished in exact integer arithmetic. This reads the small
+    table, not the data.
+    """
+    dec = "decimal(38,0)"
+    idx, n = F.col("idx").cast(dec), F.col("n").cast(dec)
+    rows = (
+        table.where(F.col("column").isin(cols))
+        .groupBy("column")
+        .agg(F.sum(n).alias("N"), F.sum(idx * n).alias("S1"), F.sum(idx * idx * n).alias("S2"))
+        .collect()
+    )
+    out = {}
+    for r in rows:
+        total, s1, s2 = int(r["N"]), int(r["S1"]), int(r["S2"])
+        out[r["column"] + suffix] = ColumnMoments(total, total, s1 / total, (total * s2 - s1 * s1) / (total * total))
+    return out
+
+
 def impute_exprs(moments: Moments, cols: list[str], prefix: str = "out_", suffix: str = ""):
     """Mean-imputed copies of ``cols`` (null and NaN are both missing)."""
     return [
@@ -300,7 +324,8 @@ def prepare_model_frame(
     Output keeps the labelled columns and adds the 14 doubles, the 8
     ``<c>_index`` columns, ``out_<c>`` (imputed), ``z_<c>`` (standardized),
     and the vectors ``features`` (imputed) and ``scaledFeatures``.
-    Two small aggregates are fitted: the category index and the moments.
+    Two aggregates are fitted: the category counts (which also give the
+    moments of the index columns) and the moments of the numeric columns.
 
     ``fit_on="all"`` fits them on every row (as the reference does);
     ``fit_on="train"`` fits them on the training side of the hash split
@@ -320,8 +345,10 @@ def prepare_model_frame(
         fit_rows = base.where(hash_split_column(key) == F.lit("train"))
     table = fit_index_table(fit_rows, CATEGORICAL_FEATURES)
     indexed = apply_index_table(base, table, CATEGORICAL_FEATURES)
-    fit_indexed = indexed if fit_on == "all" else apply_index_table(fit_rows, table, CATEGORICAL_FEATURES)
-    moments = fit_moments(fit_indexed, wanted)
+    # numeric moments: one aggregate over the numeric columns; index moments: from the small table
+    index_cols = [c for c in CATEGORICAL_FEATURES if c + "_index" in wanted]
+    moments = fit_moments(fit_rows, [c for c in wanted if c not in {i + "_index" for i in index_cols}])
+    moments.columns.update(index_moments(table, index_cols))
     usable = moments.usable(wanted)
     imputed = indexed.select("*", *impute_exprs(moments, usable))
     scaled = imputed.select("*", *standardize_exprs(moments, usable))
