@@ -97,3 +97,24 @@ def test_incremental_latest_equals_full(spark, sf_small):
     prior = labels.latest_entry(early)
     updated = labels.update_latest_entry(prior, late)
     assert _rows(updated) == _rows(labels.latest_entry(perf))
+
+
+def test_label_join_shuffles_each_side_once(spark):
+    from conftest import acq_frame, acq_row
+
+    loans = prepare_loans(acq_frame(spark, [acq_row(loan_id=str(i)) for i in range(20)]))
+    ids = spark.createDataFrame([(i,) for i in range(0, 20, 3)] * 2, "f_loan_id bigint")
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = labels.label_join(loans, ids)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 2  # loans by key, ids once (distinct + join)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
