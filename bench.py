@@ -2,7 +2,8 @@
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and forces full evaluation with the ``noop`` sink
-(no collect, no driver transfer). Prints one JSON line.
+(no collect, no driver transfer). Prints one JSON line. Arguments: query
+names to run instead of the headline set, or ``--all`` for every query.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = sys.argv[1:] or HEADLINE
+    args = sys.argv[1:]
+    names = list(QUERIES) if "--all" in args else ([a for a in args if not a.startswith("--")] or HEADLINE)
     scratch = tempfile.mkdtemp(prefix="loanlens-bench-")
     spark = build_session(
         "loanlens-bench",
