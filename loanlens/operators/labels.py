@@ -78,12 +78,20 @@ def distinct_ids(ids: DataFrame, col: str = "f_loan_id") -> DataFrame:
     return ids.select(col).where(F.col(col).isNotNull()).distinct()
 
 
-def label_join(loans: DataFrame, ids: DataFrame) -> DataFrame:
+def label_join(loans: DataFrame, ids: DataFrame, salt_unparsable: int = 0) -> DataFrame:
     """Left join loans to distinct foreclosure ids; add ``f_loan_id`` and ``is_foreclosed`` (0/1).
 
     The join never changes the number of loan rows: ids are de-duplicated
     first. A loan id that is not an integer cannot match and is labelled 0.
+
+    ``salt_unparsable=N`` (N > 0) guards against many unparsable ids without
+    relying on AQE: the join runs on text keys, an unparsable id gets the
+    key ``~<row hash mod N>``, which no id can equal, so those rows spread
+    over N hash partitions. The id side is still de-duplicated and shuffled
+    once, on the same text key.
     """
+    if salt_unparsable > 0:
+        return _label_join_salted(loans, ids, salt_unparsable)
     keyed = loans.withColumn("_loan_key", try_bigint("loan_id"))
     joined = keyed.join(distinct_ids(ids), keyed["_loan_key"] == F.col("f_loan_id"), "left")
     return joined.drop("_loan_key").withColumn(
@@ -91,6 +99,19 @@ def label_join(loans: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def _label_join_salted(loans: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
+    key = try_bigint("loan_id")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in loans.columns]), F.lit(buckets)).cast("string")
+    keyed = loans.withColumn("_jk", F.when(key.isNotNull(), key.cast("string")).otherwise(F.concat(F.lit("~"), salt)))
+    id_keys = distinct_ids(ids).select(F.col("f_loan_id").cast("string").alias("_jk_id")).distinct()
+    joined = keyed.join(id_keys, keyed["_jk"] == F.col("_jk_id"), "left")
+    return joined.select(
+        *loans.columns,
+        F.col("_jk_id").cast("bigint").alias("f_loan_id"),
+        F.when(F.col("_jk_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("int").alias("is_foreclosed"),
+    )
+
+
 def default_members(loans: DataFrame, ids: DataFrame) -> DataFrame:
     """Loans whose id is in the foreclosure list (semi join)."""
     keyed = loans.withColumn("_loan_key", try_bigint("loan_id"))

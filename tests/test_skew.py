@@ -38,3 +38,26 @@ def test_label_join_with_many_unmatched_ids(spark, sf_small):
     lab = label_join(loans, foreclosure_ids(performance_records(spark, sf_small)))
     assert lab.count() == loans.count()
     assert lab.where("loan_id = 'x' AND is_foreclosed = 1").count() == 0
+
+
+def test_salted_label_join_equals_plain(spark, sf_small):
+    from loanlens.operators.labels import label_join, foreclosure_ids
+
+    acq = acquisition_records(spark, sf_small)
+    bad = F.when(F.col("loan_id").cast("bigint") % 3 == 0, F.lit("x")).otherwise(F.col("loan_id"))
+    loans = prepare_loans(acq.withColumn("loan_id", bad))
+    ids = foreclosure_ids(performance_records(spark, sf_small))
+    plain = sorted(tuple(r) for r in label_join(loans, ids).collect())
+    salted = label_join(loans, ids, salt_unparsable=16)
+    assert sorted(tuple(r) for r in salted.collect()) == plain
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = label_join(loans, ids, salt_unparsable=16)._jdf.queryExecution().executedPlan().toString()
+        # fixture joins aside, the salted join adds one exchange per side
+        assert plan.count("Exchange hashpartitioning") == label_join(loans, ids)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
