@@ -110,9 +110,9 @@ def cmd_report(spark, a):
             ids = read_legacy_foreclosures(spark, a.foreclosures)
         else:
             ids = spark.read.parquet(a.foreclosures).select(F.col("loan_id").try_cast("bigint").alias("f_loan_id"))
-        lab = label_join(prepare_loans(acq), ids)
+        lab = label_join(prepare_loans(acq), ids, a.salt_unparsable)
     else:
-        lab = labelled(acq, _read(spark, a.perf, "perf", a.input_format))
+        lab = labelled(acq, _read(spark, a.perf, "perf", a.input_format), salt_unparsable=a.salt_unparsable)
     rep = model_report(spark, lab, year=a.year, models=models, fit_on=a.fit_on)
     write_parquet(rep.correlation, os.path.join(a.out, "correlation"))
     write_parquet(rep.hypotheses, os.path.join(a.out, "hypotheses"))
@@ -154,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--by-year", action="store_true")
     s.add_argument("--year-col", help="year column for --by-year (default: file_year from the file name when present)")
     s.add_argument("--fit-on", choices=["all", "train"], default="all", help="rows the feature statistics are fitted on")
+    s.add_argument("--salt-unparsable", type=int, default=0, help="spread unparsable loan ids over N join partitions")
     s.add_argument("--models", help="comma list of logistic_regression,random_forest,gradient_boosted_trees")
     a = p.parse_args(argv)
     if a.cmd == "report" and not (a.perf or a.foreclosures):

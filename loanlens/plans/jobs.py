@@ -36,8 +36,8 @@ from loanlens.sources.sinks import METRICS_SCHEMA
 MODEL_KEYS = ["loan_id", "origination_year"]
 
 
-def labelled(acq: DataFrame, perf: DataFrame, min_year: int = 2000) -> DataFrame:
-    return label_join(prepare_loans(acq, min_year), foreclosure_ids(perf))
+def labelled(acq: DataFrame, perf: DataFrame, min_year: int = 2000, salt_unparsable: int = 0) -> DataFrame:
+    return label_join(prepare_loans(acq, min_year), foreclosure_ids(perf), salt_unparsable)
 
 
 @dataclass
