@@ -9,6 +9,8 @@ partition.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +66,10 @@ def fit_logistic(train: DataFrame, features_col: str = "features", label_col: st
     return LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=LR_MAX_ITER).fit(train)
 
 
+# --- fixed values: training rows per partition of the forest's fixed layout ---
+FOREST_ROWS_PER_PARTITION = 200_000
+
+
 def fit_forest(
     train: DataFrame,
     features_col: str = "features",
@@ -74,14 +80,15 @@ def fit_forest(
 ):
     """Random forest with default parameters and a fixed seed on a fixed layout.
 
-    Rows are hash-partitioned by ``key`` into ``partitions`` (default: the
-    session's ``spark.sql.shuffle.partitions``) and sorted inside each
-    partition, so for a given configuration the bootstrap samples, and the
-    forest, do not depend on how the input happened to be split.
+    Rows are hash-partitioned by ``key`` into ``partitions`` (default: one
+    per ``FOREST_ROWS_PER_PARTITION`` training rows, so the count grows with
+    the data but does not depend on the session) and sorted inside each
+    partition. The bootstrap samples, and the forest, are then a function of
+    the training rows alone, not of how the input was split or configured.
     """
     data = train
     if key and key in train.columns:
-        n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or max(1, math.ceil(train.count() / FOREST_ROWS_PER_PARTITION))
         data = train.repartition(n, key).sortWithinPartitions(key)
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=seed)
     return rf.fit(data)

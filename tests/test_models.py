@@ -42,7 +42,17 @@ def test_forest_does_not_depend_on_input_partitioning(spark, sf_small):
     train, _ = hash_split(md.data)
     from loanlens.operators.models import fit_forest
 
+    body = lambda m: m.toDebugString.split("\n", 1)[1]  # first line carries the model uid
     a = fit_forest(train.repartition(3), partitions=8)
     b = fit_forest(train.repartition(7).orderBy("label"), partitions=8)
-    body = lambda m: m.toDebugString.split("\n", 1)[1]  # first line carries the model uid
     assert body(a) == body(b)
+    # default layout depends on the data only, not on spark.sql.shuffle.partitions
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        c = fit_forest(train.repartition(5))
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        d = fit_forest(train.repartition(2))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+    assert body(c) == body(d)
