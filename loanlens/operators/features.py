@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
@@ -343,11 +344,15 @@ def prepare_model_frame(
     fit_rows = base
     if fit_on == "train":
         fit_rows = base.where(hash_split_column(key) == F.lit("train"))
-    table = fit_index_table(fit_rows, CATEGORICAL_FEATURES)
-    indexed = apply_index_table(base, table, CATEGORICAL_FEATURES)
-    # numeric moments: one aggregate over the numeric columns; index moments: from the small table
+    # the two fits read the same (checkpointed) rows independently: run them as concurrent jobs.
+    # Numeric moments: one aggregate over the numeric columns; index moments: from the count table.
     index_cols = [c for c in CATEGORICAL_FEATURES if c + "_index" in wanted]
-    moments = fit_moments(fit_rows, [c for c in wanted if c not in {i + "_index" for i in index_cols}])
+    numeric_cols = [c for c in wanted if c not in {i + "_index" for i in index_cols}]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        table_job = pool.submit(fit_index_table, fit_rows, CATEGORICAL_FEATURES)
+        moments_job = pool.submit(fit_moments, fit_rows, numeric_cols)
+        table, moments = table_job.result(), moments_job.result()
+    indexed = apply_index_table(base, table, CATEGORICAL_FEATURES)
     moments.columns.update(index_moments(table, index_cols))
     usable = moments.usable(wanted)
     imputed = indexed.select("*", *impute_exprs(moments, usable))

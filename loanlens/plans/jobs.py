@@ -68,8 +68,10 @@ def fit_model(name: str, data: DataFrame):
 
 def model_metrics(spark: SparkSession, name: str, predictions: DataFrame, year: int | None = None) -> DataFrame:
     """``(year, model, metric, value)`` rows: evaluator ROC / PR and the exact rank-sum AUC."""
-    ev = evaluator_metrics(predictions)
-    auc = exact_auc(predictions, "label", "score").first()
+    with ThreadPoolExecutor(max_workers=2) as pool:  # independent passes over the predictions
+        ev_job = pool.submit(evaluator_metrics, predictions)
+        auc_job = pool.submit(lambda: exact_auc(predictions, "label", "score").first())
+        ev, auc = ev_job.result(), auc_job.result()
     rows = [(year, name, k, float(v)) for k, v in ev.items()]
     rows.append((year, name, "exactAUC", float(auc["auc"]) if auc["auc"] is not None else None))
     rows.append((year, name, "testRows", float(auc["n_pos"] + auc["n_neg"])))
