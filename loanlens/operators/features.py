@@ -229,7 +229,7 @@ class Moments:
 
     def usable(self, cols: list[str]) -> list[str]:
         """Columns with at least one value (an all-missing column cannot be imputed)."""
-        return [c for c in cols if self.columns[c].k > 0]
+        return [c for c in cols if c in self.columns and self.columns[c].k > 0]
 
 
 def fit_moments(df: DataFrame, cols: list[str]) -> Moments:
