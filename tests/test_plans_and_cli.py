@@ -110,3 +110,10 @@ def test_cli_latest_with_prior(spark, sf_small, tmp_path):
 
     full = read_performance(spark, [early, late])
     assert got == sorted(tuple(r) for r in latest_entry(full).collect())
+
+
+def test_cli_argument_errors():
+    with pytest.raises(SystemExit):
+        cli.main(["report", "--acq", "x", "--out", "y"])  # neither --perf nor --foreclosures
+    with pytest.raises(SystemExit):
+        cli.main(["nonsense"])

@@ -115,3 +115,11 @@ def test_landing_to_parquet(spark, sf_small, tmp_path):
     assert a == b
     plan = foreclosure_extract(lp)._jdf.queryExecution().executedPlan().toString()
     assert "field_06" not in plan  # only the referenced columns are read
+
+
+def test_read_acquisition_without_file_year(spark, tmp_path):
+    d = tmp_path / "a"
+    d.mkdir()
+    (d / "Acquisition_2004.txt").write_text("|".join(["9"] + [""] * 25) + "\n")
+    df = read_acquisition(spark, str(d), with_file_year=False)
+    assert df.columns == ACQ_FIELDS and df.first()["loan_id"] == "9"
