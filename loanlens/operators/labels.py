@@ -146,6 +146,24 @@ def default_by_group(labelled: DataFrame, group_col: str = "origination_year") -
     )
 
 
+# --- fixed values: temp-view names and the joined-id column name used by existing SQL over the labels ---
+LABEL_VIEW = "loan_data_default"
+LABEL_VIEW_JOINED = "loan_data_default_joined"
+JOINED_ID_COLUMN = "default"
+
+
+def register_label_views(labelled: DataFrame) -> None:
+    """Temp views for SQL over the labelled loans.
+
+    ``loan_data_default`` holds the loan columns plus ``default`` (the joined
+    foreclosure id, null when none); ``loan_data_default_joined`` adds
+    ``is_foreclosed``. SQL written against those names runs unchanged.
+    """
+    base = labelled.withColumnRenamed("f_loan_id", JOINED_ID_COLUMN)
+    base.drop("is_foreclosed").createOrReplaceTempView(LABEL_VIEW)
+    base.createOrReplaceTempView(LABEL_VIEW_JOINED)
+
+
 def labelled_loans(loans: DataFrame, perf: DataFrame) -> DataFrame:
     """Engineered loans joined to the foreclosures found in ``perf``."""
     return label_join(loans, foreclosure_ids(perf))

@@ -118,3 +118,12 @@ def test_label_join_shuffles_each_side_once(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_label_views_for_existing_sql(spark, sf_small):
+    lab = labels.labelled_loans(prepare_loans(acquisition_records(spark, sf_small)), performance_records(spark, sf_small))
+    labels.register_label_views(lab)
+    n = spark.sql("SELECT count(*) AS n FROM loan_data_default WHERE default IS NOT NULL").first()["n"]
+    per_class = dict(spark.sql("SELECT is_foreclosed, count(*) FROM loan_data_default_joined GROUP BY is_foreclosed").collect())
+    assert n == labels.default_count(lab).first()["n_foreclosed"] == 44
+    assert per_class == {0: 283, 1: 44}
