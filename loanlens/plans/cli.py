@@ -93,6 +93,29 @@ def cmd_land(spark, a):
         land_performance(spark, a.perf, os.path.join(a.out, "performance"))
 
 
+# --- fixed values: text output folders of the per-year model job, per result ---
+LEGACY_FOLDERS = {
+    "pval": "pval",
+    "logistic_regression": "logisticRegression",
+    "random_forest": "randomForest",
+    "gradient_boosted_trees": "gradientBoost",
+}
+
+
+def _write_legacy_outputs(spark, rep, out: str) -> None:
+    """Also write the text layout older consumers read: p-values one per line (features in order,
+    intercept last) and each model's evaluator area under ROC."""
+    pvals = rep.hypotheses.orderBy("position").select(F.col("p").cast("string").alias("value"))
+    pvals.coalesce(1).write.mode("overwrite").text(os.path.join(out, LEGACY_FOLDERS["pval"]))
+    auc = rep.metrics.where(F.col("metric") == "areaUnderROC")
+    run = {r["model"] for r in auc.select("model").distinct().collect()}  # at most three
+    for model, folder in LEGACY_FOLDERS.items():
+        if model == "pval" or model not in run:
+            continue
+        one = auc.where(F.col("model") == model).select(F.col("value").cast("string").alias("value"))
+        one.coalesce(1).write.mode("overwrite").text(os.path.join(out, folder))
+
+
 def cmd_report(spark, a):
     acq = _read(spark, a.acq, "acq", a.input_format)
     models = a.models.split(",") if a.models else None
@@ -117,6 +140,8 @@ def cmd_report(spark, a):
     write_parquet(rep.correlation, os.path.join(a.out, "correlation"))
     write_parquet(rep.hypotheses, os.path.join(a.out, "hypotheses"))
     write_metrics(rep.metrics.fillna({"year": a.year or 0}), os.path.join(a.out, "metrics"), mode="overwrite")
+    if a.legacy_output:
+        _write_legacy_outputs(spark, rep, a.out)
     for name, df in rep.curves.items():
         write_parquet(df, os.path.join(a.out, "curves", name))
     for name, df in rep.confusion.items():
@@ -155,6 +180,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--year-col", help="year column for --by-year (default: file_year from the file name when present)")
     s.add_argument("--fit-on", choices=["all", "train"], default="all", help="rows the feature statistics are fitted on")
     s.add_argument("--salt-unparsable", type=int, default=0, help="spread unparsable loan ids over N join partitions")
+    s.add_argument("--legacy-output", action="store_true", help="also write pval/ and per-model AUC text folders")
     s.add_argument("--models", help="comma list of logistic_regression,random_forest,gradient_boosted_trees")
     a = p.parse_args(argv)
     if a.cmd == "report" and not (a.perf or a.foreclosures):

@@ -62,7 +62,11 @@ def test_cli_end_to_end(spark, sf_small, tmp_path):
     assert read_legacy_foreclosures(spark, str(out / "legacy")).where("f_loan_id IS NOT NULL").count() == 220
     cli.main(["scatter", "--acq", acq_dir, "--out", str(out / "scatter")])
     cli.main(["report", "--acq", acq_dir, "--foreclosures", str(out / "fc"), "--out", str(out / "report"),
-              "--year", "2000", "--models", "logistic_regression"])
+              "--year", "2000", "--models", "logistic_regression", "--legacy-output"])
+    pv = [r["value"] for r in spark.read.text(str(out / "report" / "pval")).collect()]
+    assert len(pv) == 23 and all(0.0 <= float(v) <= 1.0 for v in pv)
+    assert len(spark.read.text(str(out / "report" / "logisticRegression")).collect()) == 1
+    assert not (out / "report" / "randomForest").exists()
     assert spark.read.parquet(str(out / "fc")).count() == 220
     assert spark.read.parquet(str(out / "latest")).count() == 1473
     assert spark.read.parquet(str(out / "scatter")).agg(F.sum("n")).first()[0] == 1500
