@@ -75,6 +75,7 @@ def q_parse_pipe_records(spark, sf_dir):
 
 
 def q_foreclosure_extract(spark, sf_dir):
+    """Performance records that carry a foreclosure date, as (loan_id, foreclosure_date)."""
     return cleaning.foreclosure_extract(perf(spark, sf_dir))
 
 
@@ -85,10 +86,12 @@ def q_legacy_foreclosure_ids(spark, sf_dir):
 
 
 def q_latest_entry(spark, sf_dir):
+    """Latest performance record per loan (aggregate form, total order on ties)."""
     return labels.latest_entry(perf(spark, sf_dir))
 
 
 def q_latest_entry_window(spark, sf_dir):
+    """Latest performance record per loan (ranked-window form); same rows as latest_entry."""
     return labels.latest_entry_window(perf(spark, sf_dir))
 
 
@@ -102,30 +105,37 @@ def q_latest_entry_incremental(spark, sf_dir):
 
 
 def q_month_year_parts(spark, sf_dir):
+    """Acquisition records with origination / first-payment month and year as ints."""
     return cleaning.month_year_parts(acq(spark, sf_dir))
 
 
 def q_year_credit_filter(spark, sf_dir):
+    """Date-part records originated in 2000 or later with at least one credit score."""
     return cleaning.year_credit_filter(cleaning.month_year_parts(acq(spark, sf_dir)))
 
 
 def q_engineered_features(spark, sf_dir):
+    """Filtered records with min_credit_score and the mortgage-insurance flag (24 columns)."""
     return loans(spark, sf_dir)
 
 
 def q_cast_numeric(spark, sf_dir):
+    """Engineered loans with the 14 numeric inputs cast to double."""
     return cleaning.cast_numeric(loans(spark, sf_dir))
 
 
 def q_blank_to_zero(spark, sf_dir):
+    """Date-part records with every blank field replaced by 0."""
     return cleaning.blank_to_zero(cleaning.month_year_parts(acq(spark, sf_dir)))
 
 
 def q_drop_na_subset(spark, sf_dir):
+    """Cast loans without nulls in cltv, borrower_count, dti and min_credit_score."""
     return cleaning.drop_na_subset(cleaning.cast_numeric(loans(spark, sf_dir)))
 
 
 def q_first_rows(spark, sf_dir):
+    """The plot job's 12 fields for the five lowest loan ids."""
     proj = cleaning.plot_projection(acq(spark, sf_dir), keep_id=True)
     return proj.orderBy(try_bigint("loan_id")).limit(FIRST_ROWS)
 
@@ -134,22 +144,27 @@ def q_first_rows(spark, sf_dir):
 
 
 def q_label_join(spark, sf_dir):
+    """Engineered loans left-joined to distinct foreclosure ids, with is_foreclosed."""
     return labelled(spark, sf_dir)
 
 
 def q_default_members(spark, sf_dir):
+    """Engineered loans whose id is in the foreclosure list (semi join)."""
     return labels.default_members(loans(spark, sf_dir), labels.foreclosure_ids(perf(spark, sf_dir)))
 
 
 def q_non_default_members(spark, sf_dir):
+    """Engineered loans whose id is not in the foreclosure list (anti join)."""
     return labels.non_default_members(loans(spark, sf_dir), labels.foreclosure_ids(perf(spark, sf_dir)))
 
 
 def q_default_count(spark, sf_dir):
+    """Labelled loans and how many found a foreclosure id."""
     return labels.default_count(labelled(spark, sf_dir))
 
 
 def q_default_by_class(spark, sf_dir):
+    """Labelled loans per label class."""
     return labels.default_by_class(labelled(spark, sf_dir))
 
 
@@ -167,11 +182,13 @@ def q_default_by_year_class(spark, sf_dir):
 
 
 def q_impute_mean(spark, sf_dir):
+    """The 22 model inputs mean-imputed (out_<c>), per labelled loan."""
     mf = model_frame(spark, sf_dir)
     return mf.df.select("loan_id", *[rounded(f"out_{c}").alias(f"out_{c}") for c in mf.features])
 
 
 def q_impute_mean_plot(spark, sf_dir):
+    """The plot job's 11 numeric fields mean-imputed (<c>_imputed) over all acquisition records."""
     imp = reports.impute_plot_columns(acq(spark, sf_dir), keep_id=True)
     return imp.select(
         "loan_id", *[rounded(c).alias(c) for c in imp.columns if c.endswith("_imputed")], PLOT_CATEGORICAL
@@ -179,27 +196,32 @@ def q_impute_mean_plot(spark, sf_dir):
 
 
 def q_string_index_freq(spark, sf_dir):
+    """The 8 categorical columns indexed by descending frequency (ties alphabetical)."""
     idx = features.string_index(labelled(spark, sf_dir), CATEGORICAL_FEATURES)
     return idx.select("loan_id", *[f"{c}_index" for c in CATEGORICAL_FEATURES])
 
 
 def q_label_encode_alpha(spark, sf_dir):
+    """The 8 categorical columns encoded in alphabetical order."""
     enc = features.label_encode(labelled(spark, sf_dir), CATEGORICAL_FEATURES)
     return enc.select("loan_id", *[f"{c}_code" for c in CATEGORICAL_FEATURES])
 
 
 def q_standardize(spark, sf_dir):
+    """The 22 imputed model inputs standardized with the sample standard deviation."""
     mf = model_frame(spark, sf_dir)
     return mf.df.select("loan_id", *[rounded(f"z_{c}").alias(f"z_{c}") for c in mf.features])
 
 
 def q_correlation_long(spark, sf_dir):
+    """Pearson correlation of the 22 imputed inputs, lower triangle, readable labels."""
     mf = model_frame(spark, sf_dir)
     corr = stats.correlation_long(mf.df, [f"out_{c}" for c in mf.features], vector_col="features")
     return corr.select("feature_a", "feature_b", rounded("r").alias("r"))
 
 
 def q_hash_split(spark, sf_dir):
+    """Train / test side of every labelled loan from the md5 hash split (70/30, seed 11)."""
     lab = labelled(spark, sf_dir)
     return lab.select("loan_id", hash_split_column("loan_id", SPLIT_WEIGHTS, seed=SPLIT_SEED).alias("split"))
 
@@ -213,22 +235,27 @@ def _scored(spark, sf_dir) -> DataFrame:
 
 
 def q_roc_curve(spark, sf_dir):
+    """ROC points of the scorecard score (rounded to 3 digits) against the label."""
     return evaluate.roc_curve(_scored(spark, sf_dir), "label", "score", digits=3)
 
 
 def q_pr_curve(spark, sf_dir):
+    """Precision / recall points of the scorecard score (rounded to 3 digits)."""
     return evaluate.pr_curve(_scored(spark, sf_dir), "label", "score", digits=3)
 
 
 def q_exact_auc(spark, sf_dir):
+    """Exact rank-sum AUC of the scorecard score."""
     return evaluate.exact_auc(_scored(spark, sf_dir), "label", "score")
 
 
 def q_confusion_at_threshold(spark, sf_dir):
+    """Confusion counts of the scorecard score at the fixed threshold."""
     return evaluate.confusion_at_threshold(_scored(spark, sf_dir), "label", "score")
 
 
 def q_scatter_bins(spark, sf_dir):
+    """Credit score x original balance counts per loan purpose, in 2-D bins."""
     return reports.scatter_bins(acq(spark, sf_dir))
 
 
@@ -236,6 +263,7 @@ def q_scatter_bins(spark, sf_dir):
 
 
 def q_hypothesis_table(spark, sf_dir):
+    """GLM (Gaussian, identity, L2 0.3) coefficients, std errors, t, p and Bonferroni per input."""
     md = jobs.model_data(labelled(spark, sf_dir))
     data = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
     return stats.hypothesis_table(spark, data, md.frame.features)
@@ -257,6 +285,7 @@ def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_logistic_confusion(spark, sf_dir):
+    """Confusion counts of the logistic-regression test scores at the fixed threshold."""
     return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
 
 
@@ -277,6 +306,7 @@ def q_gbt_curve(spark, sf_dir):
 
 
 def q_gbt_confusion(spark, sf_dir):
+    """Confusion counts of the gradient-boosted-trees test scores at the fixed threshold."""
     return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "gradient_boosted_trees"), "label", "score")
 
 
