@@ -97,9 +97,7 @@ def model_report(
 ) -> Report:
     md = model_data(labelled_loans, fit_on)
     feats = md.frame.features
-    corr = correlation_long(md.data, [f"out_{c}" for c in feats])
     hyp_input = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
-    hyp = hypothesis_table(spark, hyp_input, feats)
     names = models or list(MODEL_FITTERS)
 
     def one_model(name):
@@ -109,9 +107,13 @@ def model_report(
             pred, "label", "score"
         )
 
-    # the three fits are independent: run them as concurrent jobs, keep the results in model order
-    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_models, len(names)))) as pool:
+    # correlation, GLM and the classifier fits only read the checkpointed frame: run them as
+    # concurrent jobs, keep the results in model order
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_models, len(names))) + 2) as pool:
+        corr_job = pool.submit(correlation_long, md.data, [f"out_{c}" for c in feats])
+        hyp_job = pool.submit(hypothesis_table, spark, hyp_input, feats)
         results = list(pool.map(one_model, names))
+        corr, hyp = corr_job.result(), hyp_job.result()
     metrics = [m for m, _, _ in results]
     curves = {n: c for n, (_, c, _) in zip(names, results)}
     confusion = {n: k for n, (_, _, k) in zip(names, results)}
