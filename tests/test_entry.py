@@ -2,6 +2,7 @@ import os
 import sys
 
 import duckdb
+from pyspark.sql.pandas.types import to_arrow_schema
 
 import __spark_entry__ as E
 
@@ -48,6 +49,11 @@ def test_sql_queries_match_duckdb(spark, sf_small):
         res = con.execute(stmt)
         d_cols = [d[0] for d in res.description]
         d_rows = res.fetchall()
+        # column types agree too (as Arrow types, which is how both engines export results)
+        s_types = {f.name: str(f.type) for f in to_arrow_schema(df.schema)}
+        d_types = {f.name: str(f.type) for f in con.execute(stmt).to_arrow_table().schema}
+        if s_types != d_types:
+            bad.append(name + " (types)")
         if sorted(s_cols) != sorted(d_cols) or canon(s_rows, s_cols) != canon(d_rows, d_cols):
             bad.append(name)
     assert bad == []
