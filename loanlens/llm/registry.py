@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from loanlens.llm import bpe, langid, mil_quality
+from loanlens.llm import bpe, chat_windows, langid, mil_quality, pii, secrets
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op3_bpe_codec": bpe.query,
+    "op6_pii": pii.query,
     "op8_mil_quality": mil_quality.query,
+    "op9_chat_windows": chat_windows.query,
+    "op10_secret_scan": secrets.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
