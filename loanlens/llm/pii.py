@@ -105,10 +105,8 @@ def _votes(kind: str, span: Column, text: Column, strict: bool) -> list[Column]:
     value, digits = span["value"], _digits(span["value"])
     if strict:
         pattern = F.lit(1)
-    elif kind == "card":
-        pattern = _vote(luhn_ok(digits), F.lit(True))
     else:
-        pattern = F.lit(0)
+        pattern = F.lit(int(kind == "card"))  # a wide card candidate has passed the Luhn check
     if kind == "email":
         known = F.lower(F.regexp_extract(value, r"([A-Za-z]+)$", 1)).isin(TOP_DOMAINS)
         gazetteer = _vote(known, ~known)
@@ -167,7 +165,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     voted = lambda k, strict: lambda s: _struct(k, s, text, strict)
     strict = [F.transform(f"b_{k}", voted(k, True)) for k in KINDS]
-    loose = [F.transform(F.filter(f"w_{k}", lambda s: ~overlaps_any(s, every)), voted(k, False)) for k in KINDS]
+    may_be = lambda k: lambda s: ~overlaps_any(s, every) & (luhn_ok(_digits(s["value"])) if k == "card" else F.lit(True))
+    loose = [F.transform(F.filter(f"w_{k}", may_be(k)), voted(k, False)) for k in KINDS]
     return rows.select("doc_id", F.concat(*strict).alias("base"), F.concat(*loose).alias("wide"))
 
 
