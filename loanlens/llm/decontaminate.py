@@ -71,11 +71,13 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lambda acc, j: acc + F.when((j + shift >= 0) & (F.get("tokens", j + shift) == F.get("item_tokens", j)), 1).otherwise(0),
     )
     least = F.least(F.lit(MIN_EQUAL), F.ceil(n * MIN_SHARE))
+    # the threshold follows the aggregate: as a condition of the join it would take explode and probe out of generated code
     return (
         hits.select("doc_id", "item_id", equal.alias("n_equal"), n.alias("n_tokens"), least.alias("least"))
-        .where("n_equal >= least")
         .groupBy("doc_id", "item_id")
-        .agg(F.max("n_equal").alias("n_equal"), F.max("n_tokens").alias("n_tokens"))
+        .agg(F.max("n_equal").alias("n_equal"), F.max("n_tokens").alias("n_tokens"), F.max("least").alias("least"))
+        .where("n_equal >= least")
+        .drop("least")
     )
 
 
