@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from loanlens.llm import bpe, chat_windows, decontaminate, langid, mil_quality, pii, secrets
+from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, langid, mil_quality, pii, secrets
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op3_bpe_codec": bpe.query,
     "op5_decontaminate": decontaminate.query,
     "op6_pii": pii.query,
+    "op7_bloom_lm": bloom_lm.query,
     "op8_mil_quality": mil_quality.query,
     "op9_chat_windows": chat_windows.query,
     "op10_secret_scan": secrets.query,
