@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, langid, mil_quality, pii, secrets
+from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, langid, mil_quality, pii, secrets, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op3_bpe_codec": bpe.query,
+    "op4_simhash": simhash.query,
     "op5_decontaminate": decontaminate.query,
     "op6_pii": pii.query,
     "op7_bloom_lm": bloom_lm.query,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_simhash": simhash.query,
     "op5_decontaminate": decontaminate.oracle_sql(),
 }
