@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, langid, mil_quality, pii, secrets, simhash
+from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, jaccard_join, langid, mil_quality, pii, secrets, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op2_jaccard_join": jaccard_join.query,
     "op3_bpe_codec": bpe.query,
     "op4_simhash": simhash.query,
     "op5_decontaminate": decontaminate.query,
