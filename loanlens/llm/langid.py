@@ -243,7 +243,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches):
         cache = WordScores(LanguageModel(*shared.value))
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=6 << 20):  # more texts advance together
             lang, score, spans = zip(*label_batch(batch, cache), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
