@@ -131,8 +131,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted, and read back from the windows."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     back = read_back(windows(turns.unionByName(extra)))
     part = F.struct(
         "window",

@@ -96,8 +96,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) whose document matches no item; null ids are compared as equal."""
-    found = materialize(matches(docs, benchmark).select(F.col("doc_id").alias("_found_id")).distinct())
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found_id"]), "left_anti")
+    found = materialize(matches(docs, benchmark).select("doc_id").distinct())
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -93,17 +93,17 @@ def ratio_of(value: Column, ratios: np.ndarray) -> Column:
     table = F.array(*(F.lit(float(x)) for x in ratios.ravel()))
     place = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
     return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(value) - 1),
+        F.when(F.char_length(value) > 1, F.sequence(F.lit(1), F.char_length(value) - 1)).otherwise(F.array().cast("array<int>")),
         F.lit(0.0),
         lambda acc, i: acc + F.get(table, (place(i) - 1) * len(ALPHABET) + place(i + 1) - 1),
     )
 
 
 def find(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """All columns of ``docs`` with ``base`` and ``spans`` (``array<struct<start, k, end, kind>>``) in ``_found``; no shuffle."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumn("_base", base_spans(text)).withColumn("_run", match_spans(text, CANDIDATE))
-    added = F.filter("_run", lambda s: ~overlaps_any(s, F.col("_base")) & (ratio_of(s["value"], ratios) >= float(np.log(PRIOR))))
+    """``row, base, spans`` of every row of ``docs``: all its columns in ``row``, and ``array<struct<start, k, end, kind>>``; no shuffle."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("found", base_spans(F.col("text"))).withColumn("runs", match_spans(F.col("text"), CANDIDATE))
+    added = F.filter("runs", lambda s: ~overlaps_any(s, F.col("found")) & (ratio_of(s["value"], ratios) >= float(np.log(PRIOR))))
     plain = lambda a, k=None: F.transform(
         a,
         lambda s: F.struct(
@@ -111,8 +111,9 @@ def find(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             (s["kind"] if k is None else F.lit(KINDS[k])).alias("kind"),
         ),
     )
-    spans = F.when(F.size("_run") > 0, F.array_sort(F.concat(plain(F.col("_base")), plain(added, 3)))).otherwise(plain(F.col("_base")))
-    return rows.select(*docs.columns, F.struct(plain(F.col("_base")).alias("base"), spans.alias("spans")).alias("_found"))
+    base = plain(F.col("found"))
+    every = F.when(F.size("runs") > 0, F.array_sort(F.concat(base, plain(added, 3)))).otherwise(base)
+    return rows.select("row", base.alias("base"), every.alias("spans"))
 
 
 def redact(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -120,33 +121,33 @@ def redact(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
 
     Spans that overlap or touch are one run. Null texts and texts without secrets stay as they are.
     """
-    runs = F.aggregate(
-        F.col("_found.spans"),
+    text = F.col("row.text")
+    rest = lambda at: F.substring(text, at + 1, F.greatest(F.lit(0), F.char_length(text) - at))
+    masked = F.aggregate(
+        "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.when((s["start"] <= acc["at"]) & (acc["at"] > 0), F.lit("")).otherwise(
-                        F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK))
-                    ),
-                ).alias("out"),
-            )
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when((s["start"] <= acc["at"]) & (acc["out"] != ""), acc["out"])
+            .otherwise(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK)))
+            .alias("out"),
         ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(F.lit(0), F.char_length("text") - acc["at"]))),
+        lambda acc: F.concat(acc["out"], rest(acc["at"])),
     )
-    out = find(docs, ratios).withColumn("text", F.when(F.size("_found.spans") > 0, runs).otherwise(F.col("text")))
+    hit = F.size("spans") > 0
+    new = find(docs, ratios).select("row", hit.alias("hit"), F.when(hit, masked).otherwise(text).alias("new"))
+    kept = {c: F.col(f"row.`{c}`").alias(c) for c in docs.columns} | {"text": F.col("new").alias("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_found.spans") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        length = F.when(F.col("hit"), F.char_length("new")).otherwise(F.col("row.n_chars"))
+        kept["n_chars"] = length.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return new.select(*kept.values())
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Secrets in every document: base spans, and all spans with those the Markov models add."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = find(docs.select("doc_id", "text"), fit(docs))
-    count = lambda k: F.size(F.filter("_found.base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select(
-        "doc_id", *(count(k) for k in KINDS[:3]), F.sha2(joined(F.col("_found.base")), 256).alias("base_sha256"), joined(F.col("_found.spans")).alias("spans")
+        "row.doc_id", *(count(k) for k in KINDS[:3]), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
