@@ -12,7 +12,7 @@ made by the task that counted its n-grams; the driver only lays finished segment
     P(w | v) = MIX * c(v w) / max(c(v), c(v w)) + (1 - MIX) * (c(w) + 1) / (N + V + 1)
 
 ``base_score`` is exact: the ``HEAD_WORDS`` most frequent words' counts are broadcast (a fixed bound), all other words join the
-count table, and both parts are added.
+count table, and both parts are added. Words are told apart by a 64-bit hash.
 
 Defined results: a null text counts as '' and has the end token alone; with no training text all counts are 0 and base_score is 0;
 words of any length are counted whole; rows that repeat a doc_id each get their own result.
@@ -24,41 +24,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import blocks, id_remainder, materialize, texts, words
+from loanlens.llm.common import blocks, id_remainder, materialize, mix64, utf8, word_hashes
 
-END = b""  # no word is empty
+END = np.uint64(0x5851F42D4C957F2D)  # the end token, in the place of a word's hash
 FILTER_BITS = 1 << 28
 BITS_PER_ITEM = 9  # with 3 probes: about 2.5 % false positives
 PROBES = 3
-HEAD_WORDS = 1 << 17
+HEAD_WORDS = 1 << 16
 MIX = 0.6
-FLUSH_NGRAMS = 3_000_000
-FLUSH_WORDS = 200_000
+BLOCK = 1 << 20  # bytes of text at a time
+FLUSH_NGRAMS = 1_000_000
+FLUSH_WORDS = 500_000
 TOKENS_PER_SEGMENT = 500_000
 MAX_LEVEL = 62
-_MASK = (1 << 64) - 1
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (multiply and shift)."""
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x7FB5D329728EA185)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
 
 
 def bigram_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
+    return mix64(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
 def unigram_hash(word: np.ndarray) -> np.ndarray:
-    return _mix(word + np.uint64(0x632BE59BD9B4E019))
+    return mix64(word + np.uint64(0x632BE59BD9B4E019))
 
 
 def levels(count: np.ndarray) -> np.ndarray:
@@ -71,46 +61,51 @@ def level_count(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5, 0.0)
 
 
-class WordTable(dict):
-    """word -> place in ``hashes``; bounded by ``trim``."""
-
-    def __init__(self):
-        super().__init__()
-        self.hashes: list[int] = []
+def _reduce(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sum of their times."""
+    k = np.concatenate(keys)
+    order = np.argsort(k, kind="stable")
+    k = k[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, dtype=np.int64)
+    return k[first], np.add.reduceat(np.concatenate(times)[order], first) if len(k) else np.zeros(0, dtype=np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        self[word] = n = len(self.hashes) - 1
-        return n
 
-    def place(self, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of all tokens, each text followed by the end token, and the number of tokens of each text."""
-        size = np.array([len(d) + 1 for d in documents], dtype=np.int64)
-        flat = [w for d in documents for w in (*d, END)]
-        return np.fromiter(map(self.__getitem__, flat), dtype=np.int64, count=len(flat)), size
+def tokens(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, each text followed by the end token, and the number of tokens of each text."""
+    h, count = word_hashes(documents, BLOCK)
+    size = count + 1
+    out = np.empty(int(size.sum()), dtype=np.uint64)
+    ends = np.cumsum(size) - 1
+    word = np.ones(len(out), dtype=bool)
+    word[ends] = False
+    out[word], out[ends] = h, END
+    return out, size
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n`` over all tokens of ``docs(text)``; counted in each task before the shuffle."""
+    """``word, n`` (the word as its hash) over all tokens of ``docs(text)``; counted in each task before the shuffle."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        table, total = WordTable(), np.zeros(0, dtype=np.int64)
+        keys: list[np.ndarray] = []
+        times: list[np.ndarray] = []
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(table), pa.binary()), pa.array(total, pa.int64())], names=["word", "n"])
+        def out(k, n):
+            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-        for batch in blocks(batches):
-            at, _ = table.place([words(t) for t in texts(batch)])
-            now = np.bincount(at, minlength=len(table))
-            now[: len(total)] += total
-            total = now
-            if len(table) >= FLUSH_WORDS:
-                yield out()
-                table, total = WordTable(), np.zeros(0, dtype=np.int64)
-        if len(table):
-            yield out()
+        for batch in blocks(batches, limit=BLOCK):
+            k, n = np.unique(tokens(utf8(batch))[0], return_counts=True)
+            keys.append(k)
+            times.append(n)
+            if sum(map(len, keys)) >= FLUSH_WORDS:
+                k, n = _reduce(keys, times)
+                keys, times = [k], [n]
+                if len(k) >= FLUSH_WORDS // 2:
+                    yield out(k, n)
+                    keys, times = [], []
+        if keys:
+            yield out(*_reduce(keys, times))
 
-    return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment_count(tokens: int) -> int:
@@ -118,51 +113,54 @@ def segment_count(tokens: int) -> int:
     return 1 << min(16, max(6, (max(tokens, 1) // TOKENS_PER_SEGMENT).bit_length()))
 
 
-def ngram_levels(docs: DataFrame, segments: int) -> DataFrame:
-    """``segment, hashes, levels, histogram``: exact counts of all unigrams and bigrams of ``docs(text)``, one row a segment.
+def _packed(keys: np.ndarray, n: np.ndarray, segments: int) -> pa.RecordBatch:
+    """One row for each segment met in ``keys``, which are sorted and distinct."""
+    segment = (keys >> np.uint64(64 - segments.bit_length() + 1)).astype(np.int64)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(keys)]]).tolist()
+    n = n.astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(segment[cut[:-1]].astype(np.int32)),
+         pa.array([keys[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
+         pa.array([n[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())],
+        names=["segment", "hashes", "counts"],
+    )
+
+
+def ngram_levels(docs: DataFrame, counts: DataFrame, segments: int) -> DataFrame:
+    """``segment, hashes, levels, histogram``: the unigrams of ``counts(word, n)`` and exactly counted bigrams of
+    ``docs(text)``, one row a segment.
 
     Tasks count as they read and send one packed row for each segment; a frequent n-gram is one entry of it.
     """
-    shift = np.uint64(64 - segments.bit_length() + 1)
 
-    def count(batches) -> Iterator[pa.RecordBatch]:
+    def bigrams(batches) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
-        table = WordTable()
-
-        def flush():
-            every, n = np.unique(np.concatenate(held), return_counts=True)
-            segment = (every >> shift).astype(np.int64)
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(every)]]).tolist()
-            n = n.astype(np.uint32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(segment[cut[:-1]].astype(np.int32)),
-                 pa.array([every[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
-                 pa.array([n[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())],
-                names=["segment", "hashes", "counts"],
-            )
-
-        for batch in blocks(batches):
-            if len(table) > FLUSH_WORDS:
-                table = WordTable()
-            at, length = table.place([words(t) for t in texts(batch)])
-            h = np.array(table.hashes, dtype=np.uint64)[at]
+        for batch in blocks(batches, limit=BLOCK):
+            h, length = tokens(utf8(batch))
             inner = np.ones(len(h), dtype=bool)
             inner[np.cumsum(length) - length] = False  # a text's first token has none before it
             second = np.flatnonzero(inner)
-            held += [unigram_hash(h), bigram_hash(h[second - 1], h[second])]
-            size += len(h) + len(second)
+            held.append(bigram_hash(h[second - 1], h[second]))
+            size += len(second)
             if size >= FLUSH_NGRAMS:
-                yield flush()
+                yield _packed(*np.unique(np.concatenate(held), return_counts=True), segments)
                 held, size = [], 0
-        if held:
-            yield flush()
+        if size:
+            yield _packed(*np.unique(np.concatenate(held), return_counts=True), segments)
+
+    def unigrams(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                h = unigram_hash(batch.column("word").to_numpy().view(np.uint64))
+                order = np.argsort(h)
+                yield _packed(h[order], batch.column("n").to_numpy()[order], segments)
 
     def merge(group: pa.Table) -> pa.Table:
         h = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in group.column("hashes").to_pylist()])
-        n = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in group.column("counts").to_pylist()])
-        every, at = np.unique(h, return_inverse=True)
-        q = levels(np.bincount(at, weights=n))
+        n = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in group.column("counts").to_pylist()])
+        every, n = _reduce([h], [n])
+        q = levels(n)
         return pa.table(
             {
                 "segment": pa.array([group.column("segment")[0].as_py()], pa.int32()),
@@ -172,7 +170,8 @@ def ngram_levels(docs: DataFrame, segments: int) -> DataFrame:
             }
         )
 
-    packed = docs.select("text").mapInArrow(count, "segment int, hashes binary, counts binary")
+    schema = "segment int, hashes binary, counts binary"
+    packed = docs.select("text").mapInArrow(bigrams, schema).unionAll(counts.select("word", "n").mapInArrow(unigrams, schema))
     return packed.groupBy("segment").applyInArrow(merge, "segment int, hashes binary, levels binary, histogram array<bigint>")
 
 
@@ -185,10 +184,12 @@ def lowest_level(histogram: np.ndarray, capacity: int) -> int:
     return len(histogram)
 
 
-def _bit_places(hashes: np.ndarray, level: int, segment_bits: int) -> list[np.ndarray]:
-    key = _mix(hashes + np.uint64(level * 0xD1B54A32D192ED03 & _MASK))
-    mask = np.uint64(segment_bits - 1)
-    return [((key >> np.uint64(20 * j)) + (key >> np.uint64(61)) * np.uint64(j)) & mask for j in range(PROBES)]
+def _level_key(hashes: np.ndarray, level: int) -> np.ndarray:
+    return mix64(hashes + np.uint64(level * 0xD1B54A32D192ED03 & (1 << 64) - 1))
+
+
+def _bit_place(key: np.ndarray, probe: int, segment_bits: int) -> np.ndarray:
+    return ((key >> np.uint64(20 * probe)) + (key >> np.uint64(61)) * np.uint64(probe)) & np.uint64(segment_bits - 1)
 
 
 class LogFrequencyFilter:
@@ -204,11 +205,13 @@ class LogFrequencyFilter:
         base = (hashes >> np.uint64(64 - self.segments.bit_length() + 1)) * np.uint64(self.segment_bits)
         left = np.arange(len(hashes))
         for level in range(self.lowest, MAX_LEVEL + 1):
-            for place in range(PROBES):
-                if not len(left):
-                    return out
-                p = base[left] + _bit_places(hashes[left], level, self.segment_bits)[place]
-                left = left[(self.bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            key = _level_key(hashes[left], level)
+            for probe in range(PROBES):
+                p = base[left] + _bit_place(key, probe, self.segment_bits)
+                there = (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                left, key = left[there], key[there]
+            if not len(left):
+                break
             out[left] = level
         return out
 
@@ -228,8 +231,9 @@ def build_filter(ngrams: DataFrame, segments: int, bits: int = FILTER_BITS) -> L
                 h, q = np.frombuffer(h, dtype=np.uint64), np.frombuffer(q, dtype=np.uint8)
                 out = np.zeros(segment_bits, dtype=np.uint8)
                 for level in range(lowest, int(q.max(initial=0)) + 1):
-                    for p in _bit_places(h[q >= level], level, segment_bits):
-                        out[p] = 1
+                    key = _level_key(h[q >= level], level)
+                    for probe in range(PROBES):
+                        out[_bit_place(key, probe, segment_bits)] = 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([segment], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())],
                     names=["segment", "bits"],
@@ -249,56 +253,42 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
     spark = docs.sparkSession
     counts = materialize(word_counts(train))
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    head = {bytes(r["word"]): r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(head_words).collect()}
+    head = counts.orderBy(F.desc("n"), "word").limit(head_words).toPandas().sort_values("word")
     segments = segment_count(n)
-    ngrams = materialize(ngram_levels(train, segments))
-    model = build_filter(ngrams, segments, bits)
-    shared = spark.sparkContext.broadcast((head, model.bits, model.segments, model.lowest))
+    model = build_filter(materialize(ngram_levels(train, counts, segments)), segments, bits)
+    shared = spark.sparkContext.broadcast((head["word"].to_numpy(), head["n"].to_numpy(), model.bits, model.segments, model.lowest))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        head, *parts = shared.value
-        filter_ = LogFrequencyFilter(*parts)
-        table, row = WordTable(), TaskContext.get().partitionId() << 33
-        log_count = np.zeros(0)  # log10(count + 1) of head words, NaN of the rest
-        c1 = np.zeros(0)
-        for batch in blocks(batches):
-            if len(table) > FLUSH_WORDS:
-                table, log_count, c1 = WordTable(), np.zeros(0), np.zeros(0)
-            documents = [words(t) for t in texts(batch)]
-            at, size = table.place(documents)
-            hashes = np.array(table.hashes, dtype=np.uint64)
-            known = len(c1)
-            new = list(table)[known:]
-            log_count = np.concatenate([log_count, np.log10(np.array([head.get(w, np.nan) for w in new], dtype=np.float64) + 1)])
-            c1 = np.concatenate([c1, level_count(filter_.level(unigram_hash(hashes[known:])))])
-            starts = np.cumsum(size) - size
-            h = hashes[at]
+        head_word, head_n, *parts = shared.value
+        filter_, row = LogFrequencyFilter(*parts), TaskContext.get().partitionId() << 33
+        for batch in blocks(batches, limit=BLOCK):
+            h, size = tokens(utf8(batch))
+            word, at = np.unique(h, return_inverse=True)
+            key = word.view(np.int64)
+            place = np.minimum(np.searchsorted(head_word, key), max(len(head_word) - 1, 0))
+            in_head = head_word[place] == key if len(head_word) else np.zeros(len(key), dtype=bool)
+            log_count = np.where(in_head, np.log10((head_n[place] if len(head_n) else 0) + 1.0), 0.0)
+            c1 = level_count(filter_.level(unigram_hash(word)))
             doc = np.repeat(np.arange(len(size)), size)
-            inner = np.ones(len(at), dtype=bool)
-            inner[starts] = False
+            inner = np.ones(len(h), dtype=bool)
+            inner[np.cumsum(size) - size] = False
             second = np.flatnonzero(inner)
-            c2 = np.zeros(len(at))
-            c2[second] = level_count(filter_.level(bigram_hash(h[second - 1], h[second])))
-            before = np.zeros(len(at))
-            before[second] = c1[at[second - 1]]
             p = (c1[at] + 1) / (n + v + 1)
-            p = np.where(inner, MIX * c2 / np.maximum(np.maximum(before, c2), 1) + (1 - MIX) * p, p)
-            base = log_count[at]
-            rare = np.isnan(base)
-            key, times = np.unique(doc[rare] * len(hashes) + at[rare], return_counts=True)
-            names = list(table)
-            tail = pa.StructArray.from_arrays(
-                [pa.array([names[k] for k in (key % len(hashes)).tolist()], pa.binary()), pa.array(times, pa.int64())], names=["word", "times"]
-            )
-            per_doc = np.bincount(key // len(hashes), minlength=len(size))
+            c2 = level_count(filter_.level(bigram_hash(h[second - 1], h[second])))
+            p[second] = MIX * c2 / np.maximum(np.maximum(c1[at[second - 1]], c2), 1) + (1 - MIX) * p[second]
+            rare = ~in_head[at]
+            pair, times = np.unique(doc[rare] * len(word) + at[rare], return_counts=True)
+            tail = pa.StructArray.from_arrays([pa.array(key[pair % len(word)]), pa.array(times)], names=["word", "times"])
+            per_doc = np.bincount(pair // len(word), minlength=len(size))
+            sums = lambda x: np.bincount(doc, weights=x, minlength=len(size))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row + np.arange(len(size)), pa.int64()),
                     batch.column("doc_id"),
                     pa.array(size),
-                    pa.array(np.bincount(doc, weights=~rare, minlength=len(size)).astype(np.int64)),
-                    pa.array(np.bincount(doc, weights=np.where(rare, 0, base), minlength=len(size))),
-                    pa.array(np.bincount(doc, weights=np.log10(np.minimum(p, 1)), minlength=len(size))),
+                    pa.array(sums(~rare).astype(np.int64)),
+                    pa.array(sums(log_count[at])),
+                    pa.array(sums(np.log10(np.minimum(p, 1)))),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32)), tail),
                 ],
                 names=["row", "doc_id", "n_tokens", "n_head", "head_sum", "score", "tail"],
@@ -306,7 +296,7 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
             row += len(size)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {id_type}, n_tokens bigint, n_head bigint, head_sum double, score double, tail array<struct<word:binary,times:bigint>>"
+    schema = f"row bigint, doc_id {id_type}, n_tokens bigint, n_head bigint, head_sum double, score double, tail array<struct<word:bigint,times:bigint>>"
     scored = materialize(docs.select("doc_id", "text").mapInArrow(run, schema))
     rare = (
         scored.select("row", F.explode("tail").alias("t"))
