@@ -99,7 +99,7 @@ CATEGORICAL_FEATURES = [
 # The 22 model inputs in the order they are imputed, assembled and tested.
 MODEL_FEATURES = NUMERIC_FEATURES + [c + "_index" for c in CATEGORICAL_FEATURES]
 
-# Columns dropped by the rows-with-nulls filter.
+# --- fixed values: columns of the rows-with-nulls filter ---
 DROP_NA_SUBSET = ["cltv", "borrower_count", "dti", "min_credit_score"]
 
 # --- fixed values: plot-job projection, raw acquisition field -> display name ---

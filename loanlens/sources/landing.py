@@ -5,8 +5,16 @@ job over the raw files. Written once as Parquet, a job reads only the
 columns it references (e.g. two of the performance fields for the
 foreclosure extract) and prunes whole partitions by year.
 
-* acquisition files -> partitioned by ``file_year`` (from the file name)
-* performance files -> partitioned by ``reporting_year`` (from the record date)
+* acquisition files -> partitioned by ``source_file``, ``file_year`` (from the file name)
+* performance files -> partitioned by ``source_file``, ``reporting_year`` (from the record date)
+
+The unit of replacement is the source file, never the year: landing more
+files adds to the table, a file that is already there is left out, and with
+``replace=True`` its earlier rows go first. Before the write, rows are dealt
+by (file, year) with Spark's rebalance hint: AQE splits a large year into
+files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and joins
+small ones, so neither one task gets a year nor every task writes a file for
+every year. Performance rows are sorted by loan id inside their file.
 
 Fields stay text, exactly as in the files (blank -> null), so every operator
 runs unchanged on the landed tables.
@@ -17,46 +25,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.schemas import PERF_DATE
+from loanlens.schemas import PERF_DATE, PERF_LOAN_ID
 from loanlens.sources.text import read_acquisition, read_performance
 
+SOURCE_FILE = "source_file"
+
 
 def reporting_year(col: str = PERF_DATE):
     """Year of a ``MM/dd/yyyy`` text date (null when malformed)."""
     return F.get(F.split(F.trim(F.col(col)), "/"), 2).try_cast("int")
 
 
-def land_acquisition(spark: SparkSession, src: str | list[str], dst: str, mode: str = "overwrite") -> DataFrame:
-    df = read_acquisition(spark, src, with_file_year=True)
-    (
-        df.repartition("file_year")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_year")
-        .parquet(dst)
-    )
+def source_key():
+    """Name of the file a row came from, with a short hash of its path: equal names in other folders stay apart."""
+    return F.concat_ws("-", F.col("_metadata.file_name"), F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 12))
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def landed_files(spark: SparkSession, dst: str) -> set[str]:
+    """Names of the source files in a landed table, from its partition folders."""
+    fs, path = _folder(spark, dst)
+    if not fs.exists(path):
+        return set()
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return {unescape(n.split("=", 1)[1]) for n in names if n.startswith(f"{SOURCE_FILE}=")}
+
+
+def _land(df: DataFrame, dst: str, year: str, sort: list[str], replace: bool) -> DataFrame:
+    spark = df.sparkSession
+    df = df.withColumn(SOURCE_FILE, source_key())
+    there = landed_files(spark, dst)
+    if there and replace:
+        fs, _ = _folder(spark, dst)
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for (name,) in df.select(SOURCE_FILE).distinct().collect():  # one row a file
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}/{SOURCE_FILE}={escape(name)}"), True)
+    elif there:
+        df = df.where(~F.col(SOURCE_FILE).isin(sorted(there)))
+    dealt = df.hint("rebalance", SOURCE_FILE, year).sortWithinPartitions(SOURCE_FILE, year, *sort)
+    dealt.write.mode("append").partitionBy(SOURCE_FILE, year).parquet(dst)
     return spark.read.parquet(dst)
 
 
+def land_acquisition(spark: SparkSession, src: str | list[str], dst: str, replace: bool = False) -> DataFrame:
+    """Acquisition records of ``src`` added to the table ``dst``; returns the whole table."""
+    return _land(read_acquisition(spark, src, with_file_year=True), dst, "file_year", ["loan_id"], replace)
+
+
 def land_performance(
-    spark: SparkSession,
-    src: str | list[str],
-    dst: str,
-    fields: list[str] | None = None,
-    mode: str = "overwrite",
+    spark: SparkSession, src: str | list[str], dst: str, fields: list[str] | None = None, replace: bool = False
 ) -> DataFrame:
-    """Performance records partitioned by reporting year.
-
-    Records are not shuffled: each task writes its split's rows into the
-    year folders they belong to (a year's folder may hold one file per
-    task). ``maxRecordsPerFile`` bounds file size.
-    """
+    """Performance records of ``src`` with all their ``fields`` added to the table ``dst``; returns the whole table."""
     df = read_performance(spark, src, fields).withColumn("reporting_year", reporting_year())
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 20_000_000)
-        .partitionBy("reporting_year")
-        .parquet(dst)
-    )
-    return spark.read.parquet(dst)
+    return _land(df, dst, "reporting_year", [PERF_LOAN_ID], replace)

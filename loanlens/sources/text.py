@@ -17,7 +17,7 @@ from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS, text_schema
 CORRUPT_COLUMN = "_corrupt_record"
 
 # --- fixed values: the year embedded in an acquisition file name ---
-FILE_YEAR_PATTERN = r"Acquisition_?(\d{4})"
+FILE_YEAR_PATTERN = r"Acquisition[_=]?(\d{4})"
 
 
 def read_pipe_text(
@@ -41,7 +41,8 @@ def read_pipe_text(
         .option("mode", "PERMISSIVE")
     )
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        # with pruned columns Spark doesn't compare the number of fields of a line
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("columnPruning", "false")
     return reader.csv(path)
 
 
@@ -55,8 +56,17 @@ def read_acquisition(spark: SparkSession, path: str | list[str], with_file_year:
 
 
 def read_performance(spark: SparkSession, path: str | list[str], fields: list[str] | None = None) -> DataFrame:
-    """Performance files (loan id, reporting date, ..., foreclosure date, ...)."""
-    return read_pipe_text(spark, path, fields or PERF_FIELDS)
+    """Performance files (loan id, reporting date, ..., foreclosure date, ...).
+
+    ``fields`` names all fields of a line (``perf_fields(n)`` for n of them; 16 by default). A line with more
+    fields stops the job: none is cut off silently. Missing trailing fields are null.
+    """
+    names = fields or PERF_FIELDS
+    df = read_pipe_text(spark, path, names, keep_corrupt=True)
+    wide = F.regexp_count(F.col(CORRUPT_COLUMN), F.lit(r"\|")) >= len(names)
+    # Spark doesn't read the corrupt column alone, so the message names the loan, too
+    message = F.concat_ws(" ", F.lit("loan"), F.col(names[0]), F.lit(f"has a performance line of more than {len(names)} fields:"), F.col(CORRUPT_COLUMN))
+    return df.where(F.when(wide, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(CORRUPT_COLUMN)
 
 
 def parse_pipe_lines(lines: DataFrame, fields: list[str], value_col: str = "value") -> DataFrame:

@@ -1,8 +1,9 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
+from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS, perf_fields
 from loanlens.sources import (
     acquisition_records,
     format_legacy_foreclosures,
@@ -117,6 +118,95 @@ def test_landing_to_parquet(spark, sf_small, tmp_path):
     assert "field_06" not in plan  # only the referenced columns are read
 
 
+def _perf_text(path, n_fields, loans, month="01", year=2000):
+    path.mkdir(parents=True, exist_ok=True)
+    lines = []
+    for i in loans:
+        f = [str(i), f"{month}/01/{year}"] + [f"v{k}" for k in range(2, n_fields)]
+        lines.append("|".join(f))
+    (path / f"perf_{month}_{year}.txt").write_text("\n".join(lines) + "\n")
+    return str(path / f"perf_{month}_{year}.txt")
+
+
+def test_landing_adds_files_of_a_year_and_skips_those_it_has(spark, sf_small, tmp_path):
+    from loanlens.sources import land_acquisition, land_performance
+
+    acq = acquisition_records(spark, sf_small).select(*ACQ_FIELDS)
+    for q in (1, 2):
+        write_pipe_text(acq.where(f"cast(loan_id as bigint) % 2 = {q - 1}"), str(tmp_path / f"Acquisition_2000Q{q}"))
+    dst = str(tmp_path / "acq")
+    first = land_acquisition(spark, str(tmp_path / "Acquisition_2000Q1"), dst).count()
+    assert land_acquisition(spark, str(tmp_path / "Acquisition_2000Q2"), dst).count() == acq.count() > first
+    assert land_acquisition(spark, str(tmp_path / "Acquisition_2000*"), dst).count() == acq.count()
+    dst = str(tmp_path / "perf_landed")
+    jan, feb = _perf_text(tmp_path / "p", 31, range(100), "01"), _perf_text(tmp_path / "p", 31, range(60), "02")
+    land_performance(spark, jan, dst, perf_fields(31))
+    assert land_performance(spark, feb, dst, perf_fields(31)).count() == 160
+    assert land_performance(spark, [jan, feb], dst, perf_fields(31)).count() == 160
+    _perf_text(tmp_path / "p", 31, range(70), "02", 2000)  # the file was delivered again, longer
+    assert land_performance(spark, feb, dst, perf_fields(31), replace=True).count() == 170
+    other = _perf_text(tmp_path / "elsewhere", 31, range(5), "02")  # the same name in another folder
+    assert land_performance(spark, other, dst, perf_fields(31)).count() == 175
+
+
+def test_landing_keeps_all_fields_and_refuses_wider_lines(spark, tmp_path):
+    from loanlens.sources import land_performance, read_performance
+
+    path = _perf_text(tmp_path / "p", 31, range(10))
+    landed = land_performance(spark, path, str(tmp_path / "out"), perf_fields(31))
+    assert [c for c in perf_fields(31) if c not in landed.columns] == []
+    assert landed.where("loan_id = 3").first()["field_30"] == "v30"
+    with pytest.raises(Exception, match="of more than 16 fields"):
+        read_performance(spark, path).count()
+    short = tmp_path / "short.txt"
+    short.write_text("7|01/01/2001\n")
+    assert read_performance(spark, str(short)).first()["loan_id"] == "7"
+
+
+def test_landed_files_do_not_grow_with_tasks_times_years(spark, tmp_path):
+    import glob
+
+    from loanlens.sources import land_performance
+
+    (tmp_path / "p").mkdir()
+    for k in range(6):  # every file has records of four years
+        lines = ["|".join([str(i), f"01/01/{2000 + i % 4}"] + [""] * 14) for i in range(400)]
+        (tmp_path / "p" / f"f{k}.txt").write_text("\n".join(lines) + "\n")
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # many tasks a file
+    try:
+        landed = land_performance(spark, str(tmp_path / "p"), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    files = glob.glob(str(tmp_path / "out/*/*/*.parquet"))
+    assert landed.count() == 2400 and len(files) <= 6 * 4 * 2
+    import pyarrow.parquet as pq
+
+    for f in files:
+        ids = pq.read_table(f, columns=["loan_id"]).column("loan_id").to_pylist()
+        assert ids == sorted(ids)
+
+
+def test_rebalance_splits_a_large_year(spark, tmp_path):
+    import glob
+
+    from loanlens.sources import land_performance
+
+    (tmp_path / "p").mkdir()
+    lines = ["|".join([str(i), "01/01/2000"] + [f"{i * 7919 % 100003}"] * 14) for i in range(20_000)]
+    (tmp_path / "p" / "f.txt").write_text("\n".join(lines) + "\n")
+    settings = {"spark.sql.files.maxPartitionBytes": "100k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        land_performance(spark, str(tmp_path / "p"), str(tmp_path / "out"))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert 3 <= len(glob.glob(str(tmp_path / "out/*/*/*.parquet"))) <= 40  # no year in one task
+
+
 def test_read_acquisition_without_file_year(spark, tmp_path):
     d = tmp_path / "a"
     d.mkdir()
