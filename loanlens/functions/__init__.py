@@ -1,7 +1,6 @@
 """Column expressions shared by the operators (all JVM-side, codegen friendly)."""
 
 from loanlens.functions.columns import (  # noqa: F401
-    blank,
     blank_to_null,
     credit_or_default,
     is_blank,

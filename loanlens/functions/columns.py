@@ -7,8 +7,6 @@ and never throws on malformed text (ANSI mode is on, so plain ``cast`` would).
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,11 +33,6 @@ def not_blank(col: Column | str) -> Column:
     return blank_to_null(col).isNotNull()
 
 
-def blank(col: Column | str) -> Column:
-    """Alias of :func:`is_blank` for readability in predicates."""
-    return is_blank(col)
-
-
 def try_int(col: Column | str) -> Column:
     return blank_to_null(col).try_cast("int")
 
@@ -89,18 +82,18 @@ def min_credit_score(borrower: Column | str, co_borrower: Column | str) -> Colum
     return F.least(credit_or_default(borrower), credit_or_default(co_borrower)).cast("int")
 
 
-# --- fixed values: display-label format of a feature name ---
-# drop the "out_" prefix and the "_index" suffix, "_" becomes a space, words capitalised
+# --- fixed values: what a display label leaves out of a feature name ---
+LABEL_PREFIX, LABEL_SUFFIX = "out_", "_index"
 
 
 def readable_label(col: Column | str) -> Column:
-    """Feature name to display label: drop ``out_`` / ``_index``, ``_`` -> space, capitalise words."""
-    c = _c(col)
-    cleaned = F.replace(F.replace(c, F.lit("out_"), F.lit("")), F.lit("_index"), F.lit(""))
-    return F.initcap(F.regexp_replace(F.replace(cleaned, F.lit("_"), F.lit(" ")), " +", " "))
+    """Feature name to display label: without the leading ``out_`` and the trailing ``_index``, each part capitalised."""
+    core = F.regexp_replace(F.regexp_replace(_c(col), f"^{LABEL_PREFIX}", ""), f"{LABEL_SUFFIX}$", "")
+    parts = F.filter(F.split(core, "_"), lambda p: p != "")
+    return F.array_join(F.transform(parts, F.initcap), " ")
 
 
 def readable_label_py(name: str) -> str:
-    """Driver-side twin of :func:`readable_label` for the small list of feature names."""
-    cleaned = name.replace("out_", "").replace("_index", "").replace("_", " ")
-    return string.capwords(cleaned)
+    """:func:`readable_label` of one name on the driver."""
+    core = name.removeprefix(LABEL_PREFIX).removesuffix(LABEL_SUFFIX)
+    return " ".join(part.capitalize() for part in core.split("_") if part)

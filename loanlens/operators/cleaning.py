@@ -74,14 +74,13 @@ def prepare_loans(acq: DataFrame, min_year: int = 2000) -> DataFrame:
 
 
 def cast_numeric(loans: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Cast the numeric model inputs to double; malformed or blank text becomes null."""
+    """Cast the numeric model inputs to double; malformed or blank text becomes null, numbers are cast as they are."""
     targets = set(cols or NUMERIC_FEATURES)
-    return loans.select(
-        *[
-            (try_double(F.col(c).cast("string")) if c in targets else F.col(c)).alias(c)
-            for c in loans.columns
-        ]
-    )
+
+    def as_double(name: str, kind: str):
+        return try_double(name) if kind == "string" else F.col(name).cast("double")
+
+    return loans.select(*[as_double(c, kind).alias(c) if c in targets else F.col(c) for c, kind in loans.dtypes])
 
 
 def blank_to_zero(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -2,18 +2,19 @@
 
 Plans (checked with ``explain``):
 
-* ``latest_entry`` is a ``max`` over one struct that orders records by
-  parsed date and then by every other field. Spark runs it as partial +
-  final aggregate, so each map task forwards at most one record per loan
-  and a loan with a huge history cannot overload a reducer.
-* ``latest_entry_window`` is the ``row_number() = 1`` form; Spark inserts a
-  partial ``WindowGroupLimit`` before the shuffle, giving the same map-side
-  reduction and the same (total-order) answer.
+* ``latest_entry`` is the ``row_number() = 1`` form. Spark inserts a partial
+  ``WindowGroupLimit`` before the shuffle, so each map task forwards at most
+  one record per loan and a loan with a huge history cannot overload a
+  reducer. It is the faster form over a whole table.
+* ``latest_entry_struct`` is a ``max`` over one struct that orders records by
+  parsed date and then by every other field (partial + final aggregate).
+  ``max`` is associative, so the incremental and the streaming form use it.
 * ``label_join`` de-duplicates the foreclosure ids (one shuffle on the id)
-  and joins on that same key, so the id side is not shuffled twice. No
-  broadcast hint: AQE broadcasts the id side only when its measured size is
-  under ``spark.sql.autoBroadcastJoinThreshold``, and splits skewed
-  partitions (e.g. many unparsable ids) of the loan side.
+  and joins on that same key, so the id side is not shuffled twice. Loans
+  whose id is not an integer carry a second key that no id has, taken from
+  a hash of the row: they spread over all partitions. No broadcast hint: AQE
+  broadcasts the id side only when its measured size is under
+  ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -33,13 +34,24 @@ def _others(perf: DataFrame, key: str) -> list[str]:
 
 
 def latest_entry(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_DATE) -> DataFrame:
-    """Latest record per loan by parsed ``MM/dd/yyyy`` date.
+    """Latest record per loan by parsed ``MM/dd/yyyy`` date (sort-and-take-last as a ranked window).
 
     Ties on the date are broken by the remaining fields in column order
     (larger wins; null is smallest), so the result does not depend on the
     order in which records arrive.
     """
     others = _others(perf, key)
+    order = [parse_mdy(date_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in others]
+    w = Window.partitionBy(key).orderBy(*order)
+    return perf.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(key, *others)
+
+
+latest_entry_window = latest_entry
+
+
+def latest_entry_struct(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_DATE) -> DataFrame:
+    """Same answer as :func:`latest_entry` as an aggregate, which also runs incrementally and over streams."""
+    others = _others(perf, key)
     ordered = F.struct(parse_mdy(date_col).alias(_ORDER_DATE), *[F.col(c) for c in others])
     return (
         perf.groupBy(key)
@@ -57,15 +69,7 @@ def update_latest_entry(
     (previous latest records + new records) equals the latest over all
     records. The state carried between runs is one row per loan.
     """
-    return latest_entry(prior_latest.unionByName(new_perf.select(*prior_latest.columns)), key, date_col)
-
-
-def latest_entry_window(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_DATE) -> DataFrame:
-    """Same answer as :func:`latest_entry` written as a ranked window (sort-and-take-last)."""
-    others = _others(perf, key)
-    order = [parse_mdy(date_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in others]
-    w = Window.partitionBy(key).orderBy(*order)
-    return perf.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(key, *others)
+    return latest_entry_struct(prior_latest.unionByName(new_perf.select(*prior_latest.columns)), key, date_col)
 
 
 def foreclosure_ids(perf_or_extract: DataFrame, from_extract: bool = False) -> DataFrame:
@@ -78,50 +82,48 @@ def distinct_ids(ids: DataFrame, col: str = "f_loan_id") -> DataFrame:
     return ids.select(col).where(F.col(col).isNotNull()).distinct()
 
 
-def label_join(loans: DataFrame, ids: DataFrame, salt_unparsable: int = 0) -> DataFrame:
+def _keyed_loans(loans: DataFrame) -> DataFrame:
+    """Loans with the join keys ``_k`` and ``_s``: the id and 0, or 0 and a row hash above 0 where the id is no integer."""
+    key = try_bigint("loan_id")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in loans.columns]), F.lit(1 << 20)) + 1
+    # pmod(id, 1) is 0 for every id; unlike a literal it stays a join key, so both sides are dealt by the same two columns
+    return loans.withColumns({"_k": F.coalesce(key, F.lit(0)), "_s": F.when(key.isNull(), spread).otherwise(F.pmod(key, F.lit(1)))})
+
+
+def _keyed_ids(ids: DataFrame) -> DataFrame:
+    """Distinct ids with the same two keys, de-duplicated on them (one shuffle)."""
+    known = ids.select("f_loan_id").where(F.col("f_loan_id").isNotNull())
+    return known.select("f_loan_id", F.pmod("f_loan_id", F.lit(1)).cast("bigint").alias("_id_s")).distinct()
+
+
+def _on_keys(loans: DataFrame):
+    return (loans["_k"] == F.col("f_loan_id")) & (loans["_s"] == F.col("_id_s"))
+
+
+def label_join(loans: DataFrame, ids: DataFrame) -> DataFrame:
     """Left join loans to distinct foreclosure ids; add ``f_loan_id`` and ``is_foreclosed`` (0/1).
 
     The join never changes the number of loan rows: ids are de-duplicated
-    first. A loan id that is not an integer cannot match and is labelled 0.
-
-    ``salt_unparsable=N`` (N > 0) guards against many unparsable ids without
-    relying on AQE: the join runs on text keys, an unparsable id gets the
-    key ``~<row hash mod N>``, which no id can equal, so those rows spread
-    over N hash partitions. The id side is still de-duplicated and shuffled
-    once, on the same text key.
+    first. A loan id that is not an integer cannot match and is labelled 0;
+    such rows spread over all partitions, however many there are.
     """
-    if salt_unparsable > 0:
-        return _label_join_salted(loans, ids, salt_unparsable)
-    keyed = loans.withColumn("_loan_key", try_bigint("loan_id"))
-    joined = keyed.join(distinct_ids(ids), keyed["_loan_key"] == F.col("f_loan_id"), "left")
-    return joined.drop("_loan_key").withColumn(
+    keyed = _keyed_loans(loans)
+    joined = keyed.join(_keyed_ids(ids), _on_keys(keyed), "left")
+    return joined.drop("_k", "_s", "_id_s").withColumn(
         "is_foreclosed", F.when(F.col("f_loan_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("int")
     )
 
 
-def _label_join_salted(loans: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
-    key = try_bigint("loan_id")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in loans.columns]), F.lit(buckets)).cast("string")
-    keyed = loans.withColumn("_jk", F.when(key.isNotNull(), key.cast("string")).otherwise(F.concat(F.lit("~"), salt)))
-    id_keys = distinct_ids(ids).select(F.col("f_loan_id").cast("string").alias("_jk_id")).distinct()
-    joined = keyed.join(id_keys, keyed["_jk"] == F.col("_jk_id"), "left")
-    return joined.select(
-        *loans.columns,
-        F.col("_jk_id").cast("bigint").alias("f_loan_id"),
-        F.when(F.col("_jk_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("int").alias("is_foreclosed"),
-    )
-
-
 def default_members(loans: DataFrame, ids: DataFrame) -> DataFrame:
     """Loans whose id is in the foreclosure list (semi join)."""
-    keyed = loans.withColumn("_loan_key", try_bigint("loan_id"))
-    return keyed.join(distinct_ids(ids), keyed["_loan_key"] == F.col("f_loan_id"), "left_semi").drop("_loan_key")
+    keyed = _keyed_loans(loans)
+    return keyed.join(_keyed_ids(ids), _on_keys(keyed), "left_semi").drop("_k", "_s")
 
 
 def non_default_members(loans: DataFrame, ids: DataFrame) -> DataFrame:
     """Loans whose id is not in the foreclosure list (anti join)."""
-    keyed = loans.withColumn("_loan_key", try_bigint("loan_id"))
-    return keyed.join(distinct_ids(ids), keyed["_loan_key"] == F.col("f_loan_id"), "left_anti").drop("_loan_key")
+    keyed = _keyed_loans(loans)
+    return keyed.join(_keyed_ids(ids), _on_keys(keyed), "left_anti").drop("_k", "_s")
 
 
 def default_count(labelled: DataFrame) -> DataFrame:

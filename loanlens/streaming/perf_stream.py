@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens.operators.cleaning import foreclosure_extract
-from loanlens.operators.labels import latest_entry
+from loanlens.operators.labels import latest_entry_struct
 from loanlens.schemas import PERF_FIELDS, text_schema
 
 
@@ -45,7 +45,7 @@ def foreclosure_stream(perf_stream: DataFrame) -> DataFrame:
 
 
 def latest_entry_stream(perf_stream: DataFrame) -> DataFrame:
-    return latest_entry(perf_stream)
+    return latest_entry_struct(perf_stream)
 
 
 def start(

@@ -19,7 +19,7 @@ def test_latest_entry_one_row_per_loan_and_partition_invariant(spark, sf_small):
     assert a.count() == 1473
     assert a.select("loan_id").distinct().count() == 1473
     b = labels.latest_entry(perf.repartition(7, "field_03"))
-    c = labels.latest_entry_window(perf.repartition(3))
+    c = labels.latest_entry_struct(perf.repartition(3))
     assert _rows(a) == _rows(b) == _rows(c)
 
 
@@ -34,7 +34,7 @@ def test_latest_entry_ties_and_bad_dates(spark):
         ],
         PERF_SCHEMA,
     )
-    for op in (labels.latest_entry, labels.latest_entry_window):
+    for op in (labels.latest_entry, labels.latest_entry_struct):
         got = {r["loan_id"]: (r["reporting_date"], r["field_02"]) for r in op(perf).collect()}
         assert got == {"1": ("03/01/2001", "b"), "2": ("02/01/2000", "a")}
 
@@ -73,9 +73,9 @@ def test_counts(spark, sf_small):
 
 def test_latest_entry_plan_reduces_before_shuffle(spark, sf_small):
     perf = performance_records(spark, sf_small)
-    plan = labels.latest_entry(perf)._jdf.queryExecution().executedPlan().toString()
+    plan = labels.latest_entry_struct(perf)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
-    wplan = labels.latest_entry_window(perf)._jdf.queryExecution().executedPlan().toString()
+    wplan = labels.latest_entry(perf)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in wplan and "Partial" in wplan
 
 

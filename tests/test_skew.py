@@ -19,7 +19,7 @@ def test_latest_entry_with_hot_loan(spark, sf_small):
     share = perf.where("loan_id = '1'").count() / perf.count()
     assert share > 0.3
     a = sorted(tuple(r) for r in labels.latest_entry(perf).collect())
-    b = sorted(tuple(r) for r in labels.latest_entry_window(perf.repartition(5)).collect())
+    b = sorted(tuple(r) for r in labels.latest_entry_struct(perf.repartition(5)).collect())
     assert a == b
     pdf = perf.toPandas()
     hot = pdf[pdf.loan_id == "1"].copy()
@@ -40,24 +40,27 @@ def test_label_join_with_many_unmatched_ids(spark, sf_small):
     assert lab.where("loan_id = 'x' AND is_foreclosed = 1").count() == 0
 
 
-def test_salted_label_join_equals_plain(spark, sf_small):
-    from loanlens.operators.labels import label_join, foreclosure_ids
+def test_label_join_spreads_unparsable_ids(spark, sf_small):
+    from loanlens.operators.labels import foreclosure_ids, label_join
 
     acq = acquisition_records(spark, sf_small)
     bad = F.when(F.col("loan_id").cast("bigint") % 3 == 0, F.lit("x")).otherwise(F.col("loan_id"))
     loans = prepare_loans(acq.withColumn("loan_id", bad))
     ids = foreclosure_ids(performance_records(spark, sf_small))
-    plain = sorted(tuple(r) for r in label_join(loans, ids).collect())
-    salted = label_join(loans, ids, salt_unparsable=16)
-    assert sorted(tuple(r) for r in salted.collect()) == plain
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
-        for k in keys:
+        for k in keys[:2]:
             spark.conf.set(k, "-1")
-        plan = label_join(loans, ids, salt_unparsable=16)._jdf.queryExecution().executedPlan().toString()
-        # fixture joins aside, the salted join adds one exchange per side
-        assert plan.count("Exchange hashpartitioning") == label_join(loans, ids)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        spark.conf.set(keys[2], "false")
+        joined = label_join(loans, ids)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        alone = loans._jdf.queryExecution().executedPlan().toString()
+        # one exchange for the loans and one for the ids, which are de-duplicated on the join keys
+        assert plan.count("Exchange hashpartitioning") == alone.count("Exchange hashpartitioning") + 2
+        part = joined.where("loan_id = 'x'").groupBy(F.spark_partition_id()).count().collect()
+        n = joined.where("loan_id = 'x'").count()
+        assert n > 50 and len(part) > 4 and max(r["count"] for r in part) < n / 2
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
