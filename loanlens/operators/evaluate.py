@@ -19,13 +19,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.schemas import CONFUSION_THRESHOLD
-from loanlens.session import checkpointed
+from loanlens.session import checkpointed, local_rows
 
-DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions, for large histograms
-SINGLE_BUCKET_ROWS = 100_000  # a histogram up to this many scores is windowed in one partition
+DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions
 
 
-def probability_score(predictions: DataFrame, prob_col: str = "probability") -> Column:
+def usable(df: DataFrame, label_col: str = "label", score: Column | str = "score") -> DataFrame:
+    """``(label, score)`` of the rows that can be evaluated: a label, and a score that is neither null nor NaN.
+
+    The one rule of all evaluations here. ``label`` is 1 above 0.5, else 0.
+    """
+    s = (F.col(score) if isinstance(score, str) else score).cast("double")
+    y = F.col(label_col).cast("double")
+    return (
+        df.select(F.when(y > 0.5, 1).when(y.isNotNull(), 0).alias("label"), s.alias("score"))
+        .where("label is not null and score is not null and not isnan(score)")
+    )
+
+
+def evaluated_rows(df: DataFrame, label_col: str = "label", score: Column | str = "score") -> DataFrame:
+    """One row ``(n_used, n_left_out)``: rows that :func:`usable` keeps and drops."""
+    s = (F.col(score) if isinstance(score, str) else score).cast("double")
+    ok = F.col(label_col).isNotNull() & s.isNotNull() & ~F.isnan(s)
+    return df.agg(F.count_if(ok).alias("n_used"), F.count_if(~ok).alias("n_left_out"))
+
+
+def probability_score(prob_col: str = "probability") -> Column:
     """Probability of the positive class from a classifier's probability vector."""
     return vector_to_array(F.col(prob_col)).getItem(1)
 
@@ -35,38 +54,18 @@ def score_histogram(
 ) -> DataFrame:
     """``(score, pos, neg)``: label counts per distinct score (rounded to ``digits`` if given).
 
-    Rows whose score is null or NaN have no position on the curve and are left out.
+    Rows without a label or a score have no position on the curve (:func:`usable`).
     """
-    s = F.col(score) if isinstance(score, str) else score
+    rows = usable(df, label_col, score)
     if digits is not None:
-        s = F.round(s, digits)
-    lab = F.col(label_col).cast("double")
-    return (
-        df.select(s.cast("double").alias("score"), lab.alias("_y"))
-        .where(F.col("score").isNotNull() & ~F.isnan("score"))
-        .groupBy("score")
-        .agg(
-            F.sum(F.when(F.col("_y") > 0.5, 1).otherwise(0)).cast("bigint").alias("pos"),
-            F.sum(F.when(F.col("_y") > 0.5, 0).otherwise(1)).cast("bigint").alias("neg"),
-        )
-    )
-
+        rows = rows.withColumn("score", F.round("score", digits))
+    return rows.groupBy("score").agg(F.sum("label").cast("bigint").alias("pos"), F.sum(1 - F.col("label")).cast("bigint").alias("neg"))
 
-def _bucketed(hist: DataFrame, buckets: int) -> DataFrame:
-    """Add ``bucket``: contiguous score ranges with roughly equal numbers of distinct scores.
 
-    With ``buckets=None`` a histogram of at most ``SINGLE_BUCKET_ROWS`` scores
-    (counted first; cheap on the checkpointed table) is one bucket, and a
-    larger one gets ``spark.sql.shuffle.partitions`` buckets.
-    """
-    if buckets is None:
-        if hist.count() <= SINGLE_BUCKET_ROWS:
-            return hist.withColumn("bucket", F.lit(0.0))
-        buckets = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets <= 1:
-        return hist.withColumn("bucket", F.lit(0.0))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = hist.approxQuantile("score", probs, 1.0 / (4 * buckets))
+def _bucketed(hist: DataFrame, buckets: int | None) -> DataFrame:
+    """Add ``bucket``: contiguous score ranges with roughly equal numbers of distinct scores."""
+    buckets = buckets or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = hist.approxQuantile("score", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets)) if buckets > 1 else []
     inner = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
     if not inner:
         return hist.withColumn("bucket", F.lit(0.0))
@@ -88,29 +87,28 @@ def running_totals(
     b = _bucketed(hist, buckets)
     totals = b.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in value_cols]).collect()
     order = sorted(totals, key=lambda r: r["bucket"], reverse=descending)
-    offsets: dict[str, list] = {c: [] for c in value_cols}
     running = {c: 0 for c in value_cols}
+    offsets = []
     for r in order:
+        offsets.append((float(r["bucket"]), *(running[c] for c in value_cols)))
         for c in value_cols:
-            offsets[c] += [F.lit(float(r["bucket"])), F.lit(running[c]).cast("bigint")]
             running[c] += int(r[c] or 0)
     s = F.col("score").desc() if descending else F.col("score").asc()
     w = Window.partitionBy("bucket").orderBy(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = []
-    for c in value_cols:
-        base = F.try_element_at(F.create_map(*offsets[c]), F.col("bucket")) if offsets[c] else F.lit(0)
-        cols.append((F.sum(c).over(w) + base).cast("bigint").alias(f"cum_{c}"))
-    return b.select("score", *value_cols, *cols), running
+    before = local_rows(hist.sparkSession, offsets, ", ".join(["bucket double", *(f"_before_{c} bigint" for c in value_cols)]))
+    joined = b.join(F.broadcast(before), "bucket")  # one row per bucket
+    cols = [(F.sum(c).over(w) + F.col(f"_before_{c}")).cast("bigint").alias(f"cum_{c}") for c in value_cols]
+    return joined.select("score", *value_cols, *cols), running
 
 
 def curve_table(
     df: DataFrame,
     label_col: str = "label",
     score: Column | str = "score",
-    digits: int | None = 3,
+    digits: int | None = None,
     buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """ROC and PR points, one per threshold (distinct rounded score), highest threshold first.
+    """ROC and PR points, one per threshold (distinct score; rounded to ``digits`` if asked), highest threshold first.
 
     ``(threshold, tp, fp, tpr, fpr, precision, recall)`` where a row is
     predicted positive when its score is at least the threshold.
@@ -130,11 +128,11 @@ def curve_table(
     )
 
 
-def roc_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+def roc_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = None, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return curve_table(df, label_col, score, digits, buckets).select("threshold", "tp", "fp", "tpr", "fpr")
 
 
-def pr_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = 3, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+def pr_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = None, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return curve_table(df, label_col, score, digits, buckets).select("threshold", "tp", "fp", "precision", "recall")
 
 
@@ -164,16 +162,15 @@ def exact_auc(
 def confusion_at_threshold(
     df: DataFrame, label_col: str = "label", score: Column | str = "score", threshold: float = CONFUSION_THRESHOLD
 ) -> DataFrame:
-    """``(label, predicted, n)`` with predicted = 1 when the score exceeds the threshold."""
-    s = F.col(score) if isinstance(score, str) else score
-    return (
-        df.select(
-            F.col(label_col).cast("int").alias("label"),
-            F.when(s > F.lit(threshold), 1).otherwise(0).cast("int").alias("predicted"),
-        )
-        .groupBy("label", "predicted")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """``(label, predicted, n)``, always four rows, with predicted = 1 when the score exceeds the threshold.
+
+    One global aggregate of four conditional counts over the :func:`usable` rows.
+    """
+    predicted = (F.col("score") > F.lit(threshold)).cast("int")
+    cells = [(y, p) for y in (0, 1) for p in (0, 1)]
+    one = usable(df, label_col, score).agg(*(F.count_if((F.col("label") == y) & (predicted == p)).alias(f"_{y}{p}") for y, p in cells))
+    rows = [F.struct(F.lit(y).alias("label"), F.lit(p).alias("predicted"), F.col(f"_{y}{p}").alias("n")) for y, p in cells]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def evaluator_metrics(predictions: DataFrame, label_col: str = "label", raw_col: str = "rawPrediction") -> dict[str, float]:

@@ -4,11 +4,10 @@ Each fit is one distributed aggregate whose result is small and bounded:
 
 * category indexing stacks all categorical columns into ``(column, value)``
   pairs and counts them in a single grouped aggregate (partial + final),
-  so eight columns cost one shuffle, not eight jobs. Ranking happens on the
-  bounded counts (driver side up to ``max_rows``, range-partitioned beyond). The mapping is
-  inlined as a literal map only after checking it has at most
-  ``max_inline`` entries (1,000 by default); larger mappings are applied
-  with a join whose strategy Spark picks from the measured size.
+  so eight columns cost one shuffle, not eight jobs. The counts are written
+  once; each column is then decided on its own: up to ``max_inline`` values
+  (1,000 by default) its ranking is a literal map, beyond that a ranked table
+  which is joined with the hot values spread over salts.
 * imputation and standardization statistics (non-missing count, mean,
   population variance per column) come from one global aggregate: one row,
   however large the input. The standard deviation of the mean-imputed
@@ -22,7 +21,6 @@ gives the equivalent ``pyspark.ml`` stages, and the tests hold the two equal.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -34,16 +32,17 @@ from pyspark.sql import functions as F
 from loanlens.operators.cleaning import cast_numeric
 from loanlens.operators.models import hash_split_column
 from loanlens.schemas import CATEGORICAL_FEATURES, MODEL_FEATURES
-from loanlens.session import checkpointed
+from loanlens.session import checkpointed, local_rows
 
 FREQUENCY_DESC = "frequencyDesc"
 ALPHABET_ASC = "alphabetAsc"
 DEFAULT_MAX_INLINE = 1_000  # map lookup scans the entries, so keep inlined maps small
+INDEX_SALTS = 16
 
 
 def _category_key(col: str):
-    """Categorical value as text; a blank or null field is the category ``''``."""
-    return F.coalesce(F.trim(F.col(col).cast("string")), F.lit(""))
+    """Categorical value as text, as it is; null is the category ``''``."""
+    return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -73,109 +72,118 @@ def category_index_table(df: DataFrame, cols: list[str], order: str = FREQUENCY_
     return counts.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
 
-def _driver_ranks(rows: list, order: str) -> list[tuple]:
-    """Index a bounded list of ``(column, value, n)`` rows (same order as the window form)."""
+@dataclass
+class IndexTable:
+    """Fitted indices: a ranked list of ``(value, n)`` for a column with few values, a table
+    ``(value, n, idx)`` on the checkpoint folder for one with many."""
+
+    inline: dict[str, list[tuple[str, int]]]
+    large: dict[str, DataFrame]
+
+    def frame(self, spark) -> DataFrame:
+        """All columns as ``(column, value, n, idx)``."""
+        rows = [(c, v, n, i) for c, ranked in self.inline.items() for i, (v, n) in enumerate(ranked)]
+        out = local_rows(spark, rows, "column string, value string, n bigint, idx int")
+        for c, table in self.large.items():
+            out = out.unionByName(table.select(F.lit(c).alias("column"), "value", "n", "idx"))
+        return out
+
+
+def _sort_keys(order: str) -> list:
     if order == FREQUENCY_DESC:
-        key = lambda r: (r["column"], -r["n"], r["value"])
-    elif order == ALPHABET_ASC:
-        key = lambda r: (r["column"], r["value"])
-    else:
-        raise ValueError(f"unknown order {order!r}")
-    out, last, i = [], None, 0
-    for r in sorted(rows, key=key):
-        i = 0 if r["column"] != last else i + 1
-        last = r["column"]
-        out.append((r["column"], r["value"], int(r["n"]), i))
-    return out
+        return [F.col("n").desc(), F.col("value").asc()]
+    if order == ALPHABET_ASC:
+        return [F.col("value").asc()]
+    raise ValueError(f"unknown order {order!r}")
+
+
+def _driver_ranks(rows: list, order: str) -> list[tuple[str, int]]:
+    """A bounded list of ``(value, n)`` rows in index order (same order as the window form)."""
+    _sort_keys(order)
+    key = (lambda r: (-r["n"], r["value"])) if order == FREQUENCY_DESC else (lambda r: r["value"])
+    return [(r["value"], int(r["n"])) for r in sorted(rows, key=key)]
 
 
 def _distributed_ranks(counts: DataFrame, order: str, partitions: int | None = None) -> DataFrame:
-    """``idx`` per column without a window over a whole column.
+    """``idx`` of the ``(value, n)`` rows of one column without a window over all of them.
 
-    Rows are range-partitioned by ``(column, order...)``; each range
-    partition numbers its own rows, and two small tables (rows per range
-    partition, first position per column) turn that into per-column ranks.
+    Rows are range-partitioned in index order; each range partition numbers
+    its own rows, and the number of rows before it comes from a table with
+    one row per partition.
     """
     spark = counts.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col("column").asc()] + (
-        [F.col("n").desc(), F.col("value").asc()] if order == FREQUENCY_DESC else [F.col("value").asc()]
-    )
+    sort = _sort_keys(order)
     ranged = checkpointed(counts.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id()))
-    sizes = sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
     offsets, acc = [], 0
-    for pid, size in sizes:
-        offsets += [F.lit(pid), F.lit(acc).cast("bigint")]
+    for pid, size in sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect()):
+        offsets.append((pid, acc))
         acc += size
     w = Window.partitionBy("_pid").orderBy(*sort)
-    pos = (F.row_number().over(w) - 1) + F.try_element_at(F.create_map(*offsets), F.col("_pid"))
-    positioned = checkpointed(ranged.withColumn("_pos", pos))
-    starts = positioned.groupBy("column").agg(F.min("_pos").alias("s")).collect()  # one row per column
-    start = F.try_element_at(F.create_map(*[F.lit(x) for r in starts for x in (r["column"], r["s"])]), F.col("column"))
-    return positioned.select("column", "value", "n", (F.col("_pos") - start).cast("int").alias("idx"))
+    before = F.broadcast(local_rows(spark, offsets, "_pid int, _before bigint"))
+    return ranged.join(before, "_pid").select("value", "n", (F.row_number().over(w) - 1 + F.col("_before")).cast("int").alias("idx"))
 
 
 def fit_index_table(
-    df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC, max_rows: int = DEFAULT_MAX_INLINE
-) -> DataFrame:
-    """Fit the index once: ``(column, value, n, idx)``, the same table as :func:`category_index_table`.
+    df: DataFrame, cols: list[str], order: str = FREQUENCY_DESC, max_inline: int = DEFAULT_MAX_INLINE
+) -> IndexTable:
+    """Fit the index of each column: the same ranks as :func:`category_index_table`.
 
-    One counting pass (partial + final aggregate). Up to ``max_rows``
-    distinct values the counts come back to the driver, bounded, and are
-    ranked there; the table is small and stays in memory. Beyond that the
-    counts are ranked by :func:`_distributed_ranks` and written to the
-    checkpoint folder, so no task ever holds a whole column.
+    One counting pass (partial + final aggregate), written once. Columns
+    with at most ``max_inline`` values come back to the driver; the others
+    are ranked by :func:`_distributed_ranks`, so no task holds a whole column.
     """
-    counts = category_counts(df, cols)
-    rows = counts.limit(max_rows + 1).collect()
-    schema = "column string, value string, n bigint, idx int"
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(_driver_ranks(rows, order), schema)
-    return checkpointed(_distributed_ranks(checkpointed(counts), order))
+    _sort_keys(order)
+    counts = checkpointed(category_counts(df, cols))
+    sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}  # one row per column
+    few = [c for c in cols if sizes.get(c, 0) <= max_inline]
+    rows = counts.where(F.col("column").isin(few)).collect() if few else []
+    inline = {c: _driver_ranks([r for r in rows if r["column"] == c], order) for c in few}
+    large = {
+        c: checkpointed(_distributed_ranks(counts.where(F.col("column") == c).select("value", "n"), order))
+        for c in cols
+        if c not in inline
+    }
+    return IndexTable(inline, large)
 
 
 def apply_index_table(
-    df: DataFrame,
-    table: DataFrame,
-    cols: list[str],
-    suffix: str = "_index",
-    dtype: str = "double",
-    max_inline: int = DEFAULT_MAX_INLINE,
+    df: DataFrame, table: IndexTable, cols: list[str], suffix: str = "_index", dtype: str = "double"
 ) -> DataFrame:
-    """Add ``<c><suffix>`` for each column from an index table.
+    """Add ``<c><suffix>`` for each column from a fitted index.
 
     Values missing from the table (unseen categories) get the index equal to
     the number of known values, like ``handleInvalid='keep'``.
     """
-    rows = table.select("column", "value", "idx").limit(max_inline + 1).collect()
-    if len(rows) <= max_inline:
-        per_col: dict[str, list] = defaultdict(list)
-        for r in rows:
-            per_col[r["column"]].append((r["value"], r["idx"]))
-        added = []
-        for c in cols:
-            entries = sorted(per_col.get(c, []), key=lambda kv: kv[1])
-            if entries:
-                lookup = F.create_map(*[F.lit(x) for kv in entries for x in kv])
-                found = F.try_element_at(lookup, _category_key(c))
-            else:
-                found = F.lit(None).cast("int")
-            added.append(F.coalesce(found, F.lit(len(entries))).cast(dtype).alias(c + suffix))
-        return df.select("*", *added)
-    # Too many categories to inline: one equi-join per column (Spark sizes the join itself).
-    # ``table`` should be materialized (see fit_index_table) so the joins do not recount the input.
-    known_by_col = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
-    out = df
+    added = []
     for c in cols:
-        mapping = table.where(F.col("column") == c).select(
-            F.col("value").alias(f"_v_{c}"), F.col("idx").alias(f"_i_{c}")
-        )
-        known = known_by_col.get(c, 0)
-        out = out.join(mapping, _category_key(c) == F.col(f"_v_{c}"), "left")
-        out = out.withColumn(c + suffix, F.coalesce(F.col(f"_i_{c}"), F.lit(known)).cast(dtype)).drop(
-            f"_v_{c}", f"_i_{c}"
-        )
-    return out
+        if c in table.large:
+            continue
+        entries = table.inline.get(c, [])
+        if entries:
+            lookup = F.create_map(*[F.lit(x) for i, (value, _) in enumerate(entries) for x in (value, i)])
+            found = F.try_element_at(lookup, _category_key(c))
+        else:
+            found = F.lit(None).cast("int")
+        added.append(F.coalesce(found, F.lit(len(entries))).cast(dtype).alias(c + suffix))
+    out = df.select("*", *added)
+    for c in cols:
+        if c in table.large:
+            out = _join_index(out, table.large[c], c, suffix, dtype)
+    return out.select(*df.columns, *(c + suffix for c in cols))
+
+
+def _join_index(df: DataFrame, mapping: DataFrame, col: str, suffix: str, dtype: str) -> DataFrame:
+    """Index of one column by an equi-join. A value may hold most rows: each row takes one of
+    ``INDEX_SALTS`` salts, and the mapping is repeated for all of them."""
+    known = mapping.count()
+    salt = F.pmod(F.xxhash64(*[F.col(x) for x in df.columns]), F.lit(INDEX_SALTS)).cast("int")
+    keyed = df.withColumns({"_v": _category_key(col), "_salt": salt})
+    spread = mapping.select(
+        F.col("value").alias("_value"), F.col("idx").alias("_idx"), F.explode(F.sequence(F.lit(0), F.lit(INDEX_SALTS - 1))).alias("_at")
+    )
+    joined = keyed.join(spread, (keyed["_v"] == spread["_value"]) & (keyed["_salt"] == spread["_at"]), "left")
+    return joined.select(*df.columns, F.coalesce("_idx", F.lit(known)).cast(dtype).alias(col + suffix))
 
 
 def string_index(
@@ -188,7 +196,7 @@ def string_index(
 ) -> DataFrame:
     """Index categorical columns by frequency (``<c>_index`` double); source columns kept."""
     cols = cols or CATEGORICAL_FEATURES
-    return apply_index_table(df, fit_index_table(df, cols, order), cols, suffix, dtype, max_inline)
+    return apply_index_table(df, fit_index_table(df, cols, order, max_inline), cols, suffix, dtype)
 
 
 def label_encode(df: DataFrame, cols: list[str] | None = None, suffix: str = "_code") -> DataFrame:
@@ -245,27 +253,25 @@ def fit_moments(df: DataFrame, cols: list[str]) -> Moments:
     )
 
 
-def index_moments(table: DataFrame, cols: list[str], suffix: str = "_index") -> dict[str, ColumnMoments]:
-    """Moments of the ``<c><suffix>`` columns computed from the fitted index table alone.
+def index_moments(table: IndexTable, cols: list[str], suffix: str = "_index") -> dict[str, ColumnMoments]:
+    """Moments of the ``<c><suffix>`` columns computed from the fitted index alone.
 
-    Every row has a category (a blank is ``''``), so for a column with
+    Every row has a category (null is ``''``), so for a column with
     values ``idx`` occurring ``n`` times: N = sum n, mean = sum(idx n) / N,
-    population variance = (N sum(idx^2 n) - sum(idx n)^2) / N^2, summed as
-    decimals and finished in exact integer arithmetic. This reads the small
-    table, not the data.
+    population variance = (N sum(idx^2 n) - sum(idx n)^2) / N^2, in exact
+    integer arithmetic (decimals for a large column). This reads the index, not the data.
     """
-    dec = "decimal(38,0)"
-    idx, n = F.col("idx").cast(dec), F.col("n").cast(dec)
-    rows = (
-        table.where(F.col("column").isin(cols))
-        .groupBy("column")
-        .agg(F.sum(n).alias("N"), F.sum(idx * n).alias("S1"), F.sum(idx * idx * n).alias("S2"))
-        .collect()
-    )
     out = {}
-    for r in rows:
-        total, s1, s2 = int(r["N"]), int(r["S1"]), int(r["S2"])
-        out[r["column"] + suffix] = ColumnMoments(total, total, s1 / total, (total * s2 - s1 * s1) / (total * total))
+    for c in cols:
+        if c in table.large:
+            dec = "decimal(38,0)"
+            idx, n = F.col("idx").cast(dec), F.col("n").cast(dec)
+            total, s1, s2 = (int(x) for x in table.large[c].agg(F.sum(n), F.sum(idx * n), F.sum(idx * idx * n)).first())
+        else:
+            ranked = [n for _, n in table.inline.get(c, [])]
+            total, s1, s2 = sum(ranked), sum(i * n for i, n in enumerate(ranked)), sum(i * i * n for i, n in enumerate(ranked))
+        if total:
+            out[c + suffix] = ColumnMoments(total, total, s1 / total, (total * s2 - s1 * s1) / (total * total))
     return out
 
 
@@ -340,7 +346,7 @@ def prepare_model_frame(
     wanted = features or MODEL_FEATURES
     base = cast_numeric(labelled)
     if materialize:
-        base = checkpointed(base)
+        base = checkpointed(base.hint("rebalance"))  # several files, so that the fits have several tasks
     fit_rows = base
     if fit_on == "train":
         fit_rows = base.where(hash_split_column(key) == F.lit("train"))

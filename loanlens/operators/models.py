@@ -9,8 +9,6 @@ partition.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,8 +64,7 @@ def fit_logistic(train: DataFrame, features_col: str = "features", label_col: st
     return LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=LR_MAX_ITER).fit(train)
 
 
-# --- fixed values: training rows per partition of the forest's fixed layout ---
-FOREST_ROWS_PER_PARTITION = 200_000
+FOREST_PARTITIONS = 32  # of the forest's layout; raise it (for all runs alike) where a partition gets too large
 
 
 def fit_forest(
@@ -76,20 +73,18 @@ def fit_forest(
     label_col: str = "label",
     seed: int = DEFAULT_SEED,
     key: str | None = "loan_id",
-    partitions: int | None = None,
+    partitions: int = FOREST_PARTITIONS,
 ):
     """Random forest with default parameters and a fixed seed on a fixed layout.
 
-    Rows are hash-partitioned by ``key`` into ``partitions`` (default: one
-    per ``FOREST_ROWS_PER_PARTITION`` training rows, so the count grows with
-    the data but does not depend on the session) and sorted inside each
-    partition. The bootstrap samples, and the forest, are then a function of
-    the training rows alone, not of how the input was split or configured.
+    Rows are hash-partitioned by ``key`` into a fixed number of
+    ``partitions`` and sorted inside each. The bootstrap samples, and the
+    forest, are then a function of the training rows and that number alone,
+    not of how many rows there are or how the input was split or configured.
     """
     data = train
     if key and key in train.columns:
-        n = partitions or max(1, math.ceil(train.count() / FOREST_ROWS_PER_PARTITION))
-        data = train.repartition(n, key).sortWithinPartitions(key)
+        data = train.repartition(partitions, key).sortWithinPartitions(key)
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=seed)
     return rf.fit(data)
 

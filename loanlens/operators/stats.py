@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions import readable_label_py
 from loanlens.schemas import GLM_MAX_ITER, GLM_REG_PARAM
+from loanlens.session import local_rows
 
 INTERCEPT_LABEL = "Intercept"
 
@@ -24,11 +25,11 @@ def correlation_matrix(df: DataFrame, cols: list[str], vector_col: str | None =
 
     ``pyspark.ml.stat.Correlation`` tree-aggregates the column means and then
     the packed upper triangle of the centred cross products with BLAS; only
-    the p x p result reaches the driver. Rows with a missing value are skipped.
+    the p x p result reaches the driver. Inputs must be complete (imputed): a missing value is an error.
     """
     if vector_col is None:
         vector_col = "_corr_vec"
-        df = VectorAssembler(inputCols=cols, outputCol=vector_col, handleInvalid="skip").transform(df.select(*cols))
+        df = VectorAssembler(inputCols=cols, outputCol=vector_col, handleInvalid="error").transform(df.select(*cols))
     return Correlation.corr(df.select(vector_col), vector_col, "pearson").head()[0].toArray()
 
 
@@ -67,7 +68,7 @@ def correlation_long(
                     r = float("nan")
                 r = None if math.isnan(r) else max(-1.0, min(1.0, r))
                 rows.append((label(cols[i]), label(cols[j]), r))
-    return df.sparkSession.createDataFrame(rows, CORRELATION_SCHEMA)
+    return local_rows(df.sparkSession, rows, CORRELATION_SCHEMA)
 
 
 def correlation_long_sql(
@@ -85,7 +86,7 @@ def correlation_long_sql(
     keeps the sums well conditioned. Means come from ``means`` when the
     caller already has them (e.g. from the imputation fit), otherwise from
     one extra aggregate. ``r`` is null when either column is constant.
-    Inputs are expected to be complete (imputed); a null cell is skipped.
+    Inputs must be complete (imputed): a missing value is an error, as in the other form.
     ``lower_only`` keeps the strictly lower triangle (``a`` after ``b`` in
     ``cols`` order), the part the heatmap shows.
     """
@@ -109,7 +110,10 @@ def correlation_long_sql(
             F.max(xc[i]).alias(f"_hi{i}"),
         ]
     aggs += [F.sum(xc[i] * xc[j]).alias(f"_c{i}_{j}") for i, j in needed]
-    one_row = centred.agg(*aggs)
+    missing = F.sum(sum((F.when(c.isNull() | F.isnan(c), 1).otherwise(0) for c in xc), F.lit(0)))
+    one_row = centred.agg(*aggs, missing.alias("_missing"))
+    incomplete = F.raise_error(F.lit("correlation inputs have missing values")).cast("boolean")
+    one_row = one_row.where(F.when(F.col("_missing") > 0, incomplete).otherwise(F.lit(True)))
 
     def varying(i: int):
         return F.col(f"_hi{i}") > F.col(f"_lo{i}")
@@ -137,6 +141,25 @@ def correlation_long_sql(
     return one_row.select(rows.alias("p")).select("p.*")
 
 
+def glm_moments(df: DataFrame, cols: list[str], label_col: str = "is_foreclosed", prefix: str = "z_") -> DataFrame:
+    """The data-sized part of the Gaussian fit as rows ``(moment, a, b, value)``.
+
+    ``n``, the mean of each input and of the label, and the products ``x'x`` (each pair once) and ``x'y``, in one
+    aggregate; a Gaussian / identity fit is a function of these alone.
+    """
+    x = {c: F.col(f"{prefix}{c}").cast("double") for c in cols}
+    y = F.col(label_col).cast("double")
+    cells = [("n", "", "", F.count(F.lit(1)).cast("double"))]
+    cells += [("mean", c, "", F.avg(x[c])) for c in cols] + [("mean", label_col, "", F.avg(y))]
+    cells += [("xx", a, b, F.sum(x[a] * x[b])) for i, a in enumerate(cols) for b in cols[: i + 1]]
+    cells += [("xy", c, label_col, F.sum(x[c] * y)) for c in cols]
+    one = df.agg(*(e.alias(f"_{i}") for i, (_, _, _, e) in enumerate(cells)))
+    rows = [
+        F.struct(F.lit(m).alias("moment"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_{i}").alias("value")) for i, (m, a, b, _) in enumerate(cells)
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def fit_glm(df: DataFrame, features_col: str = "scaledFeatures", label_col: str = "is_foreclosed"):
     """Gaussian / identity GLM with L2 regularization (the hypothesis-test model)."""
     glm = GeneralizedLinearRegression(
@@ -179,7 +202,5 @@ def hypothesis_table(
     rows = [
         (i, names[i], float(coefs[i]), float(ses[i]), float(ts[i]), float(ps[i])) for i in range(len(names))
     ]
-    table = spark.createDataFrame(
-        rows, "position int, feature string, coefficient double, std_error double, t double, p double"
-    )
+    table = local_rows(spark, rows, "position int, feature string, coefficient double, std_error double, t double, p double")
     return bonferroni(table, len(feature_names))

@@ -8,10 +8,12 @@ setting gets a scratch folder of its own.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter at scale; the same values are safe locally.
 RECOMMENDED_CONF = {
@@ -76,18 +78,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _CREATED: list[str] = []
 
 
-def checkpointed(df):
+def scratch_folder(spark: SparkSession, kind: str = "table") -> str:
+    """A new folder's name under the reliable checkpoint folder; ``release_checkpoints`` deletes it, at the latest when Python ends."""
+    if not _CREATED:
+        atexit.register(_release_at_exit)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _CREATED.append(folder)
+    return folder
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if _CREATED and spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+        release_checkpoints(spark)
+
+
+def checkpointed(df, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet under the reliable checkpoint folder and read it back.
 
+    The known schema is passed to the read, so no job infers it. With
+    ``partition_by`` a filter on those columns reads only its folders.
     This cuts the lineage like ``checkpoint()``, and the read-back keeps
     column pruning and filter pushdown. The folder lives under
     ``spark.checkpoint.dir``, so it survives the loss of any executor.
     """
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    _CREATED.append(folder)
-    return spark.read.parquet(folder)
+    folder = scratch_folder(spark)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    columns = [c for c in df.columns if c not in partition_by] + list(partition_by)
+    return spark.read.schema(df.select(*(f"`{c}`" for c in columns)).schema).parquet(folder)
 
 
 def release_checkpoints(spark: SparkSession) -> int:
@@ -100,3 +120,15 @@ def release_checkpoints(spark: SparkSession) -> int:
         if path.getFileSystem(conf).delete(path, True):
             n += 1
     return n
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str):
+    """A few driver-side rows as a DataFrame of literals: no Python relation, no job.
+
+    ``schema`` is ``name type, name type, ...``; for bounded results only.
+    """
+    fields = [f.strip().rsplit(" ", 1) for f in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*(F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, fields, strict=True))) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -68,3 +68,22 @@ def test_exact_curve_against_brute_force(spark, sf_small):
     for t, (tp, fp) in got.items():
         sel = pdf["fine"] >= t
         assert tp == int((sel & (pdf["label"] == 1)).sum()) and fp == int((sel & (pdf["label"] == 0)).sum())
+
+
+def test_confusion_has_four_rows_and_one_rule_for_missing_values(spark):
+    rows = [(1, 0.9), (1, None), (None, 0.9), (0, float("nan")), (0, 0.1)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    conf = {(r["label"], r["predicted"]): r["n"] for r in evaluate.confusion_at_threshold(df).collect()}
+    assert conf == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1}
+    hist = evaluate.score_histogram(df).agg(F.sum("pos"), F.sum("neg")).first()
+    assert tuple(hist) == (1, 1)
+    auc = evaluate.exact_auc(df).first()
+    assert (auc["n_pos"], auc["n_neg"], auc["auc"]) == (1, 1, 1.0)
+    assert tuple(evaluate.evaluated_rows(df).first()) == (2, 3)
+    nothing = evaluate.confusion_at_threshold(df.where("false")).collect()
+    assert [r["n"] for r in nothing] == [0, 0, 0, 0]
+
+
+def test_curves_are_exact_unless_digits_are_asked_for(spark):
+    df = spark.createDataFrame([(1, 0.1234), (0, 0.1233), (1, 0.1232)], "label int, score double")
+    assert evaluate.curve_table(df).count() == 3 and evaluate.curve_table(df, digits=3).count() == 1

@@ -52,11 +52,12 @@ def test_inline_and_join_index_paths_agree(spark, sf_small):
 
 def test_frequency_ties_are_alphabetical_and_unseen_kept(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "x string")
-    table = features.category_index_table(df, ["x"])
-    got = {r["value"]: r["idx"] for r in table.collect()}
+    got = {r["value"]: r["idx"] for r in features.category_index_table(df, ["x"]).collect()}
     assert got == {"c": 0, "": 1, "a": 2, "b": 3}
     other = spark.createDataFrame([("zz",)], "x string")
-    assert features.apply_index_table(other, table, ["x"]).first()["x_index"] == 4.0
+    for max_inline in (1000, 0):
+        table = features.fit_index_table(df, ["x"], max_inline=max_inline)
+        assert features.apply_index_table(other, table, ["x"]).first()["x_index"] == 4.0
     enc = {r["x"]: r["x_code"] for r in features.label_encode(df, ["x"]).collect()}
     assert enc == {None: 0, "a": 1, "b": 2, "c": 3}
 
@@ -75,9 +76,25 @@ def test_fit_index_table_paths_agree_with_window_form(spark, sf_small):
     cols = CATEGORICAL_FEATURES + ["property_state", "loan_id"]  # loan_id: one value per row
     for order in (features.FREQUENCY_DESC, features.ALPHABET_ASC):
         ref = sorted(tuple(r) for r in features.category_index_table(lab, cols, order).select("column", "value", "n", "idx").collect())
-        small = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=100_000).collect())
-        large = sorted(tuple(r) for r in features.fit_index_table(lab, cols, order, max_rows=0).collect())
-        assert ref == small == large
+        every = {}
+        for max_inline in (100_000, 200, 0):  # 200: only loan_id is a table
+            table = features.fit_index_table(lab, cols, order, max_inline=max_inline)
+            every[max_inline] = sorted(tuple(r) for r in table.frame(spark).collect())
+            assert set(table.large) == {100_000: set(), 200: {"loan_id"}, 0: set(cols)}[max_inline]
+        assert ref == every[100_000] == every[200] == every[0]
+
+
+def test_categories_are_not_trimmed(spark):
+    df = spark.createDataFrame([("R",), ("R ",), ("R",)], "x string")
+    assert {r["x"]: r["x_index"] for r in features.string_index(df, ["x"]).collect()} == {"R": 0.0, "R ": 1.0}
+
+
+def test_a_hot_category_spreads_over_salts(spark):
+    rows = [("hot", i) for i in range(400)] + [(f"v{i}", i) for i in range(100)]
+    df = spark.createDataFrame(rows, "x string, i int")
+    out = features.string_index(df, ["x"], max_inline=10).collect()
+    assert len(out) == 500 and {r["x_index"] for r in out if r["x"] == "hot"} == {0.0}
+    assert len({r["x_index"] for r in out}) == 101
 
 
 def test_standardize_operator(spark):

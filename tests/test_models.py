@@ -1,3 +1,8 @@
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
 from loanlens.operators.models import hash_split, hash_split_column
 from loanlens.plans import jobs
 from loanlens.sources import acquisition_records, performance_records
@@ -24,8 +29,31 @@ def test_models_score_the_test_side(spark, sf_small):
     for name in ("logistic_regression", "gradient_boosted_trees", "random_forest"):
         _, pred = jobs.fit_model(name, md.data)
         m = {r["metric"]: r["value"] for r in jobs.model_metrics(spark, name, pred).collect()}
-        assert 0.0 <= m["exactAUC"] <= 1.0 and 0.0 <= m["areaUnderPR"] <= 1.0
-        assert m["testRows"] == n_test
+        exact = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
+        assert m["exactAUC"] == pytest.approx(exact.evaluate(pred.withColumn("label", F.col("label").cast("double"))), abs=1e-12)
+        assert m["testRows"] == n_test == pred.count()
+    counts = {r["split"]: r["n_rows"] for r in jobs.split_counts(lab).collect()}
+    assert counts["test"] == n_test and sum(counts.values()) == lab.count()
+
+
+def test_logistic_against_numpy(spark, sf_small):
+    """Scores are the sigmoid of the fitted coefficients, and the fit is close to the likelihood's maximum."""
+    md = jobs.model_data(jobs.labelled(acquisition_records(spark, sf_small), performance_records(spark, sf_small)))
+    model, pred = jobs.fit_model("logistic_regression", md.data)
+    train, test = hash_split(md.data)
+    x = np.array([r["features"].toArray() for r in test.orderBy("loan_id").collect()])
+    score = np.array([r["score"] for r in pred.orderBy("loan_id").collect()])
+    assert np.allclose(score, 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept))), atol=1e-12)
+    rows = train.collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows], dtype=float)
+    x1 = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(x1.shape[1])
+    for _ in range(50):  # Newton steps with a small ridge: some inputs are constant
+        p = 1 / (1 + np.exp(-x1 @ w))
+        w -= np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + 1e-6 * np.eye(len(w)), x1.T @ (p - y) + 1e-6 * w)
+    loss = lambda w: np.mean(np.logaddexp(0, x1 @ w) - y * (x1 @ w))
+    fitted = np.append(model.coefficients.toArray(), model.intercept)
+    assert loss(w) <= loss(fitted) + 1e-9 and loss(fitted) < 1.03 * loss(w)
 
 
 def test_logistic_is_deterministic(spark, sf_small):
@@ -46,7 +74,7 @@ def test_forest_does_not_depend_on_input_partitioning(spark, sf_small):
     a = fit_forest(train.repartition(3), partitions=8)
     b = fit_forest(train.repartition(7).orderBy("label"), partitions=8)
     assert body(a) == body(b)
-    # default layout depends on the data only, not on spark.sql.shuffle.partitions
+    # the layout is fixed, it depends neither on the number of rows nor, not on spark.sql.shuffle.partitions
     saved = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")

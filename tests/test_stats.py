@@ -1,3 +1,5 @@
+import pytest
+from pyspark.sql import functions as F
 import math
 
 import numpy as np
@@ -83,3 +85,32 @@ def test_bonferroni(spark):
     df = spark.createDataFrame([(0.01,), (0.2,)], "p double")
     got = [(r["p_bonferroni"], r["p_bonferroni_capped"]) for r in stats.bonferroni(df, 10).collect()]
     assert got == [(0.1, 0.1), (2.0, 1.0)]
+
+
+def test_missing_cells_are_an_error_in_both_correlation_forms(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, None), (3.0, 1.0)], "a double, b double")
+    for method in ("ml", "sql"):
+        with pytest.raises(Exception, match="(?i)null|missing"):
+            stats.correlation_long(df, ["a", "b"], readable=False, method=method).collect()
+
+
+def test_glm_moments_give_the_fit(spark, sf_small):
+    """The ridge solution from the moments alone equals the distributed fit."""
+    md = model_data(labelled(acquisition_records(spark, sf_small), performance_records(spark, sf_small)))
+    feats = md.frame.features
+    m = {(r["moment"], r["a"], r["b"]): r["value"] for r in stats.glm_moments(md.frame.df, feats).collect()}
+    n, p = m[("n", "", "")], len(feats)
+    xx = np.zeros((p, p))
+    for i, a in enumerate(feats):
+        for j in range(i + 1):
+            xx[i, j] = xx[j, i] = m[("xx", a, feats[j])]
+    mean = np.array([m[("mean", f, "")] for f in feats])
+    y = m[("mean", "is_foreclosed", "")]
+    xy = np.array([m[("xy", f, "is_foreclosed")] for f in feats])
+    cov, cxy = xx / n - np.outer(mean, mean), xy / n - mean * y
+    used = np.flatnonzero(np.diag(cov) > 1e-12)
+    coef = np.zeros(p)
+    coef[used] = np.linalg.solve(cov[np.ix_(used, used)] + 0.3 / (y * (1 - y)) ** 0.5 * np.diag(np.diag(cov)[used]), cxy[used])
+    hyp = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
+    table = stats.hypothesis_table(spark, hyp, feats).orderBy("position").collect()
+    assert np.allclose([r["coefficient"] for r in table[:p]], coef, atol=1e-6)
