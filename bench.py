@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loanlens.plans.queries import QUERIES  # noqa: E402
-from loanlens.session import build_session  # noqa: E402
+from loanlens.session import build_session, release_checkpoints  # noqa: E402
 
 HEADLINE = [
     "default_by_year",
@@ -54,6 +54,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
+        release_checkpoints(spark)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(

@@ -4,9 +4,9 @@
     latest        performance files -> latest record per loan
     report        acquisition + performance (or a foreclosure list) -> statistics,
                   model metrics, curves, confusion tables; ``--by-year`` for the
-                  per-origination-year loop
+                  per-file-year loop
     scatter       acquisition files -> credit score x balance bins by loan purpose
-    land          raw text files -> Parquet partitioned by file year / reporting year
+    land          raw text files -> Parquet partitioned by source file and year
 
 Outputs are Parquet folders under ``--out``; ``--text`` writes ``|``-separated
 bzip2 text instead where a record table is produced.
@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.cleaning import foreclosure_extract, prepare_loans
-from loanlens.operators.labels import label_join, latest_entry, update_latest_entry
+from loanlens.operators.labels import foreclosure_ids, label_join, latest_entry, update_latest_entry
+from loanlens.operators.models import MODEL_FITTERS
 from loanlens.operators.reports import scatter_bins
-from loanlens.plans.jobs import labelled, model_report, yearly_report
-from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS
+from loanlens.plans.jobs import model_report, yearly_report
+from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS, perf_fields
 from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir, release_checkpoints
-from loanlens.sources.landing import land_acquisition, land_performance
+from loanlens.sources.landing import SOURCE_FILE, land_acquisition, land_performance
 from loanlens.sources.sinks import write_metrics, write_parquet
 from loanlens.sources.text import (
     format_legacy_foreclosures,
@@ -38,8 +39,8 @@ from loanlens.sources.text import (
 )
 
 
-def _session(app: str, ui: bool = False) -> SparkSession:
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "true" if ui else "false")
+def _session(app: str) -> SparkSession:
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if not SparkConf().contains("spark.master"):
         b = b.master("local[*]")
     for k, v in RECOMMENDED_CONF.items():
@@ -49,12 +50,17 @@ def _session(app: str, ui: bool = False) -> SparkSession:
     return spark
 
 
-def _read(spark: SparkSession, path: str, kind: str, fmt: str) -> DataFrame:
-    if fmt == "parquet":
+def _read(spark: SparkSession, path: str, kind: str, a) -> DataFrame:
+    if a.input_format == "parquet":
         return spark.read.parquet(path)
     if kind == "acq":
         return read_acquisition(spark, path)
-    return read_performance(spark, path)
+    return read_performance(spark, path, perf_fields(a.perf_fields))
+
+
+def _record(perf: DataFrame) -> DataFrame:
+    """Performance records without the columns that landing adds, in field order."""
+    return perf.drop(SOURCE_FILE, "reporting_year")
 
 
 def _write(df: DataFrame, path: str, text: bool, fields: list[str] | None = None) -> None:
@@ -65,7 +71,7 @@ def _write(df: DataFrame, path: str, text: bool, fields: list[str] | None = None
 
 
 def cmd_foreclosures(spark, a):
-    extract = foreclosure_extract(_read(spark, a.perf, "perf", a.input_format))
+    extract = foreclosure_extract(_read(spark, a.perf, "perf", a))
     if getattr(a, "legacy_text", False):
         format_legacy_foreclosures(extract).write.mode("overwrite").option("compression", "bzip2").text(a.out)
     else:
@@ -73,24 +79,24 @@ def cmd_foreclosures(spark, a):
 
 
 def cmd_latest(spark, a):
-    perf = _read(spark, a.perf, "perf", a.input_format)
+    perf = _record(_read(spark, a.perf, "perf", a))
     if getattr(a, "prior", None):
         prior = spark.read.parquet(a.prior)
         result = update_latest_entry(prior, perf.select(*prior.columns))
     else:
         result = latest_entry(perf)
-    _write(result, a.out, a.text, PERF_FIELDS)
+    _write(result, a.out, a.text)
 
 
 def cmd_scatter(spark, a):
-    write_parquet(scatter_bins(_read(spark, a.acq, "acq", a.input_format).select(*ACQ_FIELDS)), a.out)
+    write_parquet(scatter_bins(_read(spark, a.acq, "acq", a).select(*ACQ_FIELDS)), a.out)
 
 
 def cmd_land(spark, a):
     if a.acq:
-        land_acquisition(spark, a.acq, os.path.join(a.out, "acquisition"))
+        land_acquisition(spark, a.acq, os.path.join(a.out, "acquisition"), replace=a.replace)
     if a.perf:
-        land_performance(spark, a.perf, os.path.join(a.out, "performance"))
+        land_performance(spark, a.perf, os.path.join(a.out, "performance"), perf_fields(a.perf_fields), replace=a.replace)
 
 
 # --- fixed values: text output folders of the per-year model job, per result ---
@@ -102,46 +108,48 @@ LEGACY_FOLDERS = {
 }
 
 
-def _write_legacy_outputs(spark, rep, out: str) -> None:
+def _write_legacy_outputs(hypotheses: DataFrame, metrics: DataFrame, models: list[str], out: str) -> None:
     """Also write the text layout older consumers read: p-values one per line (features in order,
     intercept last) and each model's evaluator area under ROC."""
-    pvals = rep.hypotheses.orderBy("position").select(F.col("p").cast("string").alias("value"))
+    pvals = hypotheses.orderBy("position").select(F.coalesce(F.col("p").cast("string"), F.lit("")).alias("value"))
     pvals.coalesce(1).write.mode("overwrite").text(os.path.join(out, LEGACY_FOLDERS["pval"]))
-    auc = rep.metrics.where(F.col("metric") == "areaUnderROC")
-    run = {r["model"] for r in auc.select("model").distinct().collect()}  # at most three
-    for model, folder in LEGACY_FOLDERS.items():
-        if model == "pval" or model not in run:
-            continue
-        one = auc.where(F.col("model") == model).select(F.col("value").cast("string").alias("value"))
-        one.coalesce(1).write.mode("overwrite").text(os.path.join(out, folder))
+    auc = metrics.where(F.col("metric") == "areaUnderROC")
+    for model in models:
+        one = auc.where(F.col("model") == model).select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
+        one.coalesce(1).write.mode("overwrite").text(os.path.join(out, LEGACY_FOLDERS[model]))
+
+
+def _ids(spark, a) -> DataFrame:
+    """Foreclosure ids from a list, or from performance records."""
+    if not a.foreclosures:
+        return foreclosure_ids(_read(spark, a.perf, "perf", a))
+    if a.foreclosures_format == "legacy":
+        return read_legacy_foreclosures(spark, a.foreclosures)
+    return spark.read.parquet(a.foreclosures).select(F.col("loan_id").try_cast("bigint").alias("f_loan_id"))
 
 
 def cmd_report(spark, a):
-    acq = _read(spark, a.acq, "acq", a.input_format)
-    models = a.models.split(",") if a.models else None
+    acq = _read(spark, a.acq, "acq", a)
+    models = a.models.split(",") if a.models else list(MODEL_FITTERS)
     if a.by_year:
-        if not a.perf:
-            raise SystemExit("--by-year needs --perf")
-        perf = _read(spark, a.perf, "perf", a.input_format)
         year_col = a.year_col or ("file_year" if "file_year" in acq.columns else "origination_year")
-        yearly = yearly_report(spark, acq, perf, models=models, year_col=year_col)
-        write_metrics(yearly.metrics, os.path.join(a.out, "metrics"), mode="overwrite")
-        write_parquet(yearly.hypotheses, os.path.join(a.out, "hypotheses"), partition_by=["year"])
+        years = [a.year] if a.year else None
+        rep = yearly_report(spark, acq, None, years, models, year_col, fit_on=a.fit_on, ids=_ids(spark, a))
+        write_metrics(rep.metrics, os.path.join(a.out, "metrics"), mode="overwrite")
+        for name in ("hypotheses", "correlation", "curves", "confusion"):
+            write_parquet(getattr(rep, name), os.path.join(a.out, name), partition_by=["year"])
+        if a.legacy_output:
+            for (year,) in rep.metrics.select("year").distinct().collect():  # one row a year
+                of = lambda df, y=year: df.where(F.col("year").eqNullSafe(F.lit(y)))
+                _write_legacy_outputs(of(rep.hypotheses), of(rep.metrics), models, os.path.join(a.out, str(year)))
         return
-    if a.foreclosures:
-        if a.foreclosures_format == "legacy":
-            ids = read_legacy_foreclosures(spark, a.foreclosures)
-        else:
-            ids = spark.read.parquet(a.foreclosures).select(F.col("loan_id").try_cast("bigint").alias("f_loan_id"))
-        lab = label_join(prepare_loans(acq), ids, a.salt_unparsable)
-    else:
-        lab = labelled(acq, _read(spark, a.perf, "perf", a.input_format), salt_unparsable=a.salt_unparsable)
+    lab = label_join(prepare_loans(acq), _ids(spark, a))
     rep = model_report(spark, lab, year=a.year, models=models, fit_on=a.fit_on)
     write_parquet(rep.correlation, os.path.join(a.out, "correlation"))
     write_parquet(rep.hypotheses, os.path.join(a.out, "hypotheses"))
     write_metrics(rep.metrics.fillna({"year": a.year or 0}), os.path.join(a.out, "metrics"), mode="overwrite")
     if a.legacy_output:
-        _write_legacy_outputs(spark, rep, a.out)
+        _write_legacy_outputs(rep.hypotheses, rep.metrics, models, a.out)
     for name, df in rep.curves.items():
         write_parquet(df, os.path.join(a.out, "curves", name))
     for name, df in rep.confusion.items():
@@ -151,7 +159,7 @@ def cmd_report(spark, a):
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="loanlens")
     p.add_argument("--input-format", choices=["text", "parquet"], default="text")
-    p.add_argument("--ui", action="store_true", help="start the Spark web UI (off by default)")
+    p.add_argument("--perf-fields", type=int, default=len(PERF_FIELDS), help="fields of a performance line (text input); wider lines are an error")
     sub = p.add_subparsers(dest="cmd", required=True)
     for name in ("foreclosures", "latest"):
         s = sub.add_parser(name)
@@ -166,6 +174,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--acq")
     s.add_argument("--perf")
     s.add_argument("--out", required=True)
+    s.add_argument("--replace", action="store_true", help="replace the rows of files that are already landed (default: leave such files out)")
     s = sub.add_parser("scatter")
     s.add_argument("--acq", required=True)
     s.add_argument("--out", required=True)
@@ -179,13 +188,12 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--by-year", action="store_true")
     s.add_argument("--year-col", help="year column for --by-year (default: file_year from the file name when present)")
     s.add_argument("--fit-on", choices=["all", "train"], default="all", help="rows the feature statistics are fitted on")
-    s.add_argument("--salt-unparsable", type=int, default=0, help="spread unparsable loan ids over N join partitions")
     s.add_argument("--legacy-output", action="store_true", help="also write pval/ and per-model AUC text folders")
     s.add_argument("--models", help="comma list of logistic_regression,random_forest,gradient_boosted_trees")
     a = p.parse_args(argv)
     if a.cmd == "report" and not (a.perf or a.foreclosures):
         p.error("report needs --perf or --foreclosures")
-    spark = _session(f"loanlens-{a.cmd}", a.ui)
+    spark = _session(f"loanlens-{a.cmd}")
     commands = {
         "foreclosures": cmd_foreclosures,
         "latest": cmd_latest,

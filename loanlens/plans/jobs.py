@@ -6,8 +6,8 @@
   read it instead of replaying the joins (and survive executor loss).
 * :func:`model_report` -- correlation, hypothesis tests, LR / RF / GBT with
   ROC / PR / confusion tables and a metrics table.
-* :func:`yearly_report` -- the same per origination year inside one
-  application; each fit is distributed, the loop only walks the years.
+* :func:`yearly_report` -- the same per file year inside one application;
+  each fit is distributed, the loop only walks the years.
 """
 
 from __future__ import annotations
@@ -28,16 +28,18 @@ from loanlens.operators.evaluate import (
 )
 from loanlens.operators.features import ModelFrame, prepare_model_frame
 from loanlens.operators.labels import foreclosure_ids, label_join
-from loanlens.operators.models import MODEL_FITTERS, hash_split
-from loanlens.operators.stats import correlation_long, hypothesis_table
-from loanlens.session import checkpointed
+from loanlens.functions import readable_label_py
+from loanlens.operators.models import MODEL_FITTERS, hash_split, hash_split_column
+from loanlens.operators.stats import CORRELATION_SCHEMA, INTERCEPT_LABEL, correlation_long, hypothesis_table
+from loanlens.schemas import MODEL_FEATURES, SPLIT_SEED, SPLIT_WEIGHTS
+from loanlens.session import checkpointed, local_rows
 from loanlens.sources.sinks import METRICS_SCHEMA
 
 MODEL_KEYS = ["loan_id", "origination_year"]
 
 
-def labelled(acq: DataFrame, perf: DataFrame, min_year: int = 2000, salt_unparsable: int = 0) -> DataFrame:
-    return label_join(prepare_loans(acq, min_year), foreclosure_ids(perf), salt_unparsable)
+def labelled(acq: DataFrame, perf: DataFrame, min_year: int = 2000) -> DataFrame:
+    return label_join(prepare_loans(acq, min_year), foreclosure_ids(perf))
 
 
 @dataclass
@@ -59,11 +61,14 @@ def model_data(labelled_loans: DataFrame, fit_on: str = "all") -> ModelData:
 
 
 def fit_model(name: str, data: DataFrame):
-    """Split, fit on train, predict test; returns ``(model, test predictions with score)``."""
+    """Split, fit on train, predict test; returns ``(model, test predictions with score)``.
+
+    The test side is scored once: predictions are written to the checkpoint folder.
+    """
     train, test = hash_split(data)
     model = MODEL_FITTERS[name](train, features_col="features", label_col="label")
-    pred = model.transform(test).withColumn("score", probability_score(test))
-    return model, pred
+    pred = model.transform(test).withColumn("score", probability_score())
+    return model, checkpointed(pred.select("loan_id", "label", "score", "rawPrediction"))
 
 
 def model_metrics(spark: SparkSession, name: str, predictions: DataFrame, year: int | None = None) -> DataFrame:
@@ -75,7 +80,7 @@ def model_metrics(spark: SparkSession, name: str, predictions: DataFrame, year:
     rows = [(year, name, k, float(v)) for k, v in ev.items()]
     rows.append((year, name, "exactAUC", float(auc["auc"]) if auc["auc"] is not None else None))
     rows.append((year, name, "testRows", float(auc["n_pos"] + auc["n_neg"])))
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
+    return local_rows(spark, rows, METRICS_SCHEMA)
 
 
 @dataclass
@@ -102,7 +107,6 @@ def model_report(
 
     def one_model(name):
         _, pred = fit_model(name, md.data)
-        pred = checkpointed(pred.select("loan_id", "label", "score", "rawPrediction", "probability"))
         return model_metrics(spark, name, pred, year), curve_table(pred, "label", "score"), confusion_at_threshold(
             pred, "label", "score"
         )
@@ -123,51 +127,121 @@ def model_report(
     return Report(corr, hyp, all_metrics, curves, confusion)
 
 
+def split_counts(labelled_loans: DataFrame) -> DataFrame:
+    """``(split, n_rows, n_positive)`` of the train / test split."""
+    side = hash_split_column("loan_id", SPLIT_WEIGHTS, seed=SPLIT_SEED)
+    return labelled_loans.groupBy(side.alias("split")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("is_foreclosed").cast("bigint").alias("n_positive")
+    )
+
+
+def yearly_counts(labelled_loans: DataFrame, year_col: str = "file_year") -> DataFrame:
+    """``(year, n_loans, n_foreclosed, n_classes)`` of every year, those with one label class too."""
+    return labelled_loans.groupBy(F.col(year_col).cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_loans"),
+        F.sum("is_foreclosed").cast("bigint").alias("n_foreclosed"),
+        F.countDistinct("is_foreclosed").alias("n_classes"),
+    )
+
+
 @dataclass
 class YearlyReport:
+    """The full result of each year, every table keyed by ``year``."""
+
     metrics: DataFrame  # year, model, metric, value
     hypotheses: DataFrame  # year + the hypothesis-table columns
+    correlation: DataFrame  # year, feature_a, feature_b, r
+    curves: DataFrame  # year, model + the curve-table columns
+    confusion: DataFrame  # year, model, label, predicted, n
+
+    def rows(self) -> DataFrame:
+        """All of it as ``(year, result, model, item, value)``."""
+        empty = F.lit(None).cast("string").alias("model")
+        item = lambda *cols: F.concat_ws("|", *cols).alias("item")
+        long = lambda name, model, what, value: ["year", F.lit(name).alias("result"), model, what, F.col(value).cast("double").alias("value")]
+        parts = [
+            self.metrics.select(*long("metric", "model", F.col("metric").alias("item"), "value")),
+            self.correlation.select(*long("correlation", empty, item("feature_a", "feature_b"), "r")),
+            self.confusion.select(*long("confusion", "model", item(F.col("label").cast("string"), F.col("predicted").cast("string")), "n")),
+        ]
+        for c in ("coefficient", "std_error", "t", "p", "p_bonferroni"):
+            parts.append(self.hypotheses.select(*long(c, empty, F.col("feature").alias("item"), c)))
+        for c in ("tpr", "fpr", "precision"):
+            parts.append(self.curves.select(*long(c, "model", F.col("threshold").cast("string").alias("item"), c)))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+
+HYPOTHESIS_SCHEMA = "position int, feature string, coefficient double, std_error double, t double, p double, p_bonferroni double, p_bonferroni_capped double"
+CURVE_SCHEMA = "threshold double, tp bigint, fp bigint, tpr double, fpr double, precision double, recall double"
+CONFUSION_SCHEMA = "label int, predicted int, n bigint"
+
+
+def _one_class_year(spark: SparkSession, year, label: int, models: list[str]) -> Report:
+    """What a year with a single label class gives: nothing to score, so every metric is null; the GLM's
+    coefficients are 0, its intercept is the label, and its tests are undefined (null)."""
+    names = [readable_label_py(f) for f in MODEL_FEATURES] + [INTERCEPT_LABEL]
+    hypotheses = [(i, n, float(label) if n == INTERCEPT_LABEL else 0.0, *[None] * 5) for i, n in enumerate(names)]
+    metrics = [(year, m, k, None) for m in models for k in ("areaUnderROC", "areaUnderPR", "exactAUC", "testRows")]
+    none = lambda schema: spark.createDataFrame([], schema)
+    return Report(
+        none(CORRELATION_SCHEMA),
+        local_rows(spark, hypotheses, HYPOTHESIS_SCHEMA),
+        local_rows(spark, metrics, METRICS_SCHEMA),
+        {m: none(CURVE_SCHEMA) for m in models},
+        {m: none(CONFUSION_SCHEMA) for m in models},
+    )
 
 
 def yearly_report(
     spark: SparkSession,
     acq: DataFrame,
-    perf: DataFrame,
+    perf: DataFrame | None,
     years: list[int] | None = None,
     models: list[str] | None = None,
-    year_col: str = "origination_year",
+    year_col: str = "file_year",
     concurrent_years: int = 4,
+    fit_on: str = "all",
+    ids: DataFrame | None = None,
 ) -> YearlyReport:
-    """Per-year model metrics and GLM tests, as two tables keyed by ``year``.
-
-    The labelled frame is checkpointed once; each year is a filter on it
-    and its own feature fit, GLM and classifiers, as a separate per-year run
-    would do. Up to ``concurrent_years`` years are fitted at the same time
-    (concurrent jobs in one application), so small years do not leave the
-    cluster idle; results are returned in year order. Years with a single
-    label class are skipped (no classifier can be scored).
+    """The report of every year, as tables keyed by ``year``; by default the year in the acquisition file's name.
+
+    The labelled frame is checkpointed once, partitioned by year, so each
+    year reads its own folders. Each year has its own feature fit, GLM and
+    classifiers, as a separate per-year run would do. Up to
+    ``concurrent_years`` years are fitted at the same time (concurrent jobs
+    in one application); results are returned in year order. A year with a
+    single label class is listed with null metrics (:func:`_one_class_year`).
+    ``ids`` gives the foreclosure ids in place of ``perf``.
     """
-    lab = checkpointed(labelled(acq, perf))
-    present = (
-        lab.groupBy(year_col)
-        .agg(F.countDistinct("is_foreclosed").alias("classes"))
-        .where(F.col("classes") == 2)
-        .orderBy(year_col)
-        .collect()
+    ids = foreclosure_ids(perf) if ids is None else ids
+    lab = checkpointed(label_join(prepare_loans(acq), ids).hint("rebalance", year_col), partition_by=(year_col,))
+    found = lab.groupBy(F.col(year_col).alias("y")).agg(F.min("is_foreclosed").alias("lo"), F.max("is_foreclosed").alias("hi"))
+    present = [r for r in found.orderBy("y").collect() if years is None or r["y"] in years]  # one row a year
+    names = models or list(MODEL_FITTERS)
+
+    def one_year(r):
+        if r["lo"] == r["hi"]:
+            return _one_class_year(spark, r["y"], r["lo"], names)
+        return model_report(spark, lab.where(F.col(year_col).eqNullSafe(F.lit(r["y"]))), year=r["y"], models=names, fit_on=fit_on)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_years, len(present) or 1))) as pool:
+        reports = list(pool.map(one_year, present))
+
+    def stacked(schema: str, frames: list[DataFrame]) -> DataFrame:
+        out = spark.createDataFrame([], schema)
+        for f in frames:
+            out = out.unionByName(f)
+        return out
+
+    keyed = lambda y, df, *extra: df.select(F.lit(y).cast("int").alias("year"), *extra, "*")
+    each = list(zip([r["y"] for r in present], reports, strict=True))
+    return YearlyReport(
+        stacked(METRICS_SCHEMA, [r.metrics for _, r in each]),
+        stacked("year int, " + HYPOTHESIS_SCHEMA, [keyed(y, r.hypotheses) for y, r in each]),
+        stacked("year int, " + CORRELATION_SCHEMA, [keyed(y, r.correlation) for y, r in each]),
+        stacked("year int, model string, " + CURVE_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.curves.items()]),
+        stacked("year int, model string, " + CONFUSION_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.confusion.items()]),
     )
-    wanted = [r[year_col] for r in present if years is None or r[year_col] in years]
-    def one_year(y):
-        rep = model_report(spark, lab.where(F.col(year_col) == y), year=y, models=models)
-        return rep.metrics, rep.hypotheses.select(F.lit(y).cast("int").alias("year"), "*")
-
-    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_years, len(wanted) or 1))) as pool:
-        results = list(pool.map(one_year, wanted))
-    metrics = [m for m, _ in results]
-    hyps = [h for _, h in results]
-    if not metrics:
-        empty_h = "year int, position int, feature string, coefficient double, std_error double, t double, p double, p_bonferroni double, p_bonferroni_capped double"
-        return YearlyReport(spark.createDataFrame([], METRICS_SCHEMA), spark.createDataFrame([], empty_h))
-    out_m, out_h = metrics[0], hyps[0]
-    for m, h in zip(metrics[1:], hyps[1:]):
-        out_m, out_h = out_m.unionByName(m), out_h.unionByName(h)
-    return YearlyReport(out_m, out_h)

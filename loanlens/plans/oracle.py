@@ -8,7 +8,6 @@ job itself in plain SQL.
 
 from __future__ import annotations
 
-from loanlens.functions import readable_label_py
 from loanlens.schemas import (
     ACQ_FIELDS,
     CATEGORICAL_FEATURES,
@@ -166,14 +165,14 @@ def _index_ctes(source: str, order: str, suffix: str, dtype: str) -> list[str]:
         order_by = "n DESC, v" if order == "freq" else "v"
         ctes.append(
             f"idx_{c} AS (SELECT v, cast(row_number() OVER (ORDER BY {order_by}) - 1 AS {dtype}) AS {c}{suffix} "
-            f"FROM (SELECT coalesce(trim({c}), '') AS v, count(*) AS n FROM {source} GROUP BY 1))"
+            f"FROM (SELECT coalesce({c}, '') AS v, count(*) AS n FROM {source} GROUP BY 1))"
         )
     return ctes
 
 
 def _index_join(source: str, suffix: str) -> str:
     cols = ", ".join(f"idx_{c}.{c}{suffix}" for c in CATEGORICAL_FEATURES)
-    joins = " ".join(f"JOIN idx_{c} ON coalesce(trim(s.{c}), '') = idx_{c}.v" for c in CATEGORICAL_FEATURES)
+    joins = " ".join(f"JOIN idx_{c} ON coalesce(s.{c}, '') = idx_{c}.v" for c in CATEGORICAL_FEATURES)
     return f"SELECT s.*, {cols} FROM {source} s {joins}"
 
 
@@ -224,6 +223,32 @@ def _plot_imputed() -> str:
 
 _CORR_COLS = [f"out_{c}" for c in MODEL_FEATURES]
 
+# --- fixed values: display labels of the 22 model inputs, in their order ---
+_LABELS = [
+    "Original Interest Rate",
+    "Original Unpaid Principal Balance",
+    "Original Loan Term",
+    "Origination Month",
+    "Origination Year",
+    "First Payment Month",
+    "First Payment Year",
+    "Ltv",
+    "Cltv",
+    "Borrower Count",
+    "Dti",
+    "Min Credit Score",
+    "Unit Count",
+    "Mi",
+    "Channel",
+    "Seller Name",
+    "First Time Homebuyer",
+    "Loan Purpose",
+    "Product Type",
+    "Property Type",
+    "Occupancy Status",
+    "Relocation Mortgage Indicator",
+]
+
 
 def _correlation_sql() -> str:
     n = len(_CORR_COLS)
@@ -233,19 +258,49 @@ def _correlation_sql() -> str:
     parts = []
     for i in range(n):
         for j in range(i):
-            a, b = readable_label_py(_CORR_COLS[i]), readable_label_py(_CORR_COLS[j])
+            a, b = _LABELS[i], _LABELS[j]
             r = f"CASE WHEN s{i} * s{j} = 0 THEN NULL ELSE c{i}_{j} / (s{i} * s{j}) END"
             parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {_r(r)} AS r FROM agg")
     return _with(*MODEL, agg_cte) + " UNION ALL ".join(parts)
 
 
+def _z(c: str) -> str:
+    x = f"out_{c}"
+    return f"CASE WHEN stddev_samp({x}) OVER () = 0 THEN 0.0 ELSE ({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () END"
+
+
 def _standardize_sql() -> str:
-    cols = []
-    for c in MODEL_FEATURES:
-        x = f"out_{c}"
-        z = f"CASE WHEN stddev_samp({x}) OVER () = 0 THEN 0.0 ELSE ({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () END"
-        cols.append(f"{_r(z)} AS z_{c}")
-    return _with(*MODEL) + "SELECT loan_id, " + ", ".join(cols) + " FROM imputed"
+    return _with(*MODEL) + "SELECT loan_id, " + ", ".join(f"{_r(_z(c))} AS z_{c}" for c in MODEL_FEATURES) + " FROM imputed"
+
+
+SCALED_CTE = "scaled AS (SELECT is_foreclosed, " + ", ".join(f"{_z(c)} AS z_{c}" for c in MODEL_FEATURES) + " FROM imputed)"
+
+
+def _glm_moments_sql() -> str:
+    n = len(MODEL_FEATURES)
+    cells = [("n", "", "", "cast(count(*) AS DOUBLE)")]
+    cells += [("mean", c, "", f"avg(z_{c})") for c in MODEL_FEATURES] + [("mean", "is_foreclosed", "", "avg(cast(is_foreclosed AS DOUBLE))")]
+    cells += [("xx", MODEL_FEATURES[i], MODEL_FEATURES[j], f"sum(z_{MODEL_FEATURES[i]} * z_{MODEL_FEATURES[j]})") for i in range(n) for j in range(i + 1)]
+    cells += [("xy", c, "is_foreclosed", f"sum(z_{c} * cast(is_foreclosed AS DOUBLE))") for c in MODEL_FEATURES]
+    one = "one AS (SELECT " + ", ".join(f"{e} AS v{i}" for i, (_, _, _, e) in enumerate(cells)) + " FROM scaled)"
+    parts = [f"SELECT '{m}' AS moment, '{a}' AS a, '{b}' AS b, {_r(f'v{i}', 4)} AS value FROM one" for i, (m, a, b, _) in enumerate(cells)]
+    return _with(*MODEL, SCALED_CTE, one) + " UNION ALL ".join(parts)
+
+
+# logistic score with the coefficients 1, -1/2, 1/3, ... over the standardized inputs
+LINEAR_CTE = (
+    "scored AS (SELECT label, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-logit)), 6) AS score FROM (SELECT is_foreclosed AS label, 0.0::DOUBLE + "
+    + " + ".join(f"({(-1) ** i}.0::DOUBLE / {i + 1}.0::DOUBLE) * round(z_{c}, 6)" for i, c in enumerate(MODEL_FEATURES))
+    + " AS logit FROM scaled))"
+)
+LINEAR = [*MODEL, SCALED_CTE, LINEAR_CTE]
+_EXACT_HIST = "hist AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY 1)"
+_BELOW = "c AS (SELECT pos, neg, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM hist)"
+_CONFUSION = (
+    "SELECT cast(g.label AS INTEGER) AS label, cast(g.predicted AS INTEGER) AS predicted, count(s.score) AS n "
+    "FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS g(label, predicted) "
+    f"LEFT JOIN scored s ON s.label = g.label AND (CASE WHEN s.score > {CONFUSION_THRESHOLD}::DOUBLE THEN 1 ELSE 0 END) = g.predicted GROUP BY 1, 2"
+)
 
 
 def _split_expr(key: str = "loan_id") -> str:
@@ -332,9 +387,36 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg, "
     "sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + cast(neg AS DOUBLE) / 2)) / "
     "(cast(sum(pos) AS DOUBLE) * cast(sum(neg) AS DOUBLE)) AS auc FROM c",
-    "confusion_at_threshold": _with(*LABELLED, _SCORED)
-    + f"SELECT cast(label AS INTEGER) AS label, CASE WHEN score > {CONFUSION_THRESHOLD}::DOUBLE THEN 1 ELSE 0 END AS predicted, "
-    "count(*) AS n FROM scored GROUP BY 1, 2",
+    "confusion_at_threshold": _with(*LABELLED, _SCORED) + _CONFUSION,
+    "linear_score_curve": _with(*LINEAR, _EXACT_HIST, _CURVE)
+    + "SELECT threshold, tp, fp, tp / p_all AS tpr, fp / n_all AS fpr, tp / (tp + fp) AS precision, tp / p_all AS recall FROM curve",
+    "linear_score_auc": _with(*LINEAR, _EXACT_HIST, _BELOW)
+    + "SELECT cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg, "
+    + _r("sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + cast(neg AS DOUBLE) / 2)) / (cast(sum(pos) AS DOUBLE) * cast(sum(neg) AS DOUBLE))", 9)
+    + " AS auc FROM c",
+    "linear_score_confusion": _with(*LINEAR) + _CONFUSION,
+    "glm_moments": _glm_moments_sql(),
+    "bonferroni": _with(*LABELLED)
+    + "SELECT \"column\", value, p, p * 8.0::DOUBLE AS p_bonferroni, least(p * 8.0::DOUBLE, 1.0::DOUBLE) AS p_bonferroni_capped FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", coalesce({c}, '') AS value, cast(count(*) AS DOUBLE) / (SELECT cast(count(*) AS DOUBLE) FROM labelled) AS p FROM labelled GROUP BY 2"
+        for c in CATEGORICAL_FEATURES
+    )
+    + ")",
+    "model_test_counts": _with(*LABELLED)
+    + f"SELECT {_split_expr()} AS split, count(*) AS n_rows, cast(sum(is_foreclosed) AS BIGINT) AS n_positive FROM labelled GROUP BY 1",
+    "yearly_counts": _with(*LABELLED)
+    + "SELECT cast(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_loans, cast(sum(is_foreclosed) AS BIGINT) AS n_foreclosed, "
+    "count(DISTINCT is_foreclosed) AS n_classes FROM labelled JOIN orders ON try_cast(loan_id AS BIGINT) = o_orderkey GROUP BY 1",
+    "pipe_text_roundtrip": _with(ACQ_CTE)
+    + "SELECT "
+    + ", ".join(f"nullif({c}, '')" + f" AS {c}" if c != "unknownCol" else "NULL::VARCHAR AS unknownCol" for c in ACQ_FIELDS)
+    + ", cast(year(o_orderdate) AS INTEGER) AS file_year FROM acq JOIN orders ON try_cast(loan_id AS BIGINT) = o_orderkey",
+    "landed_performance": _with(PERF_CTE)
+    + "SELECT "
+    + ", ".join(f"nullif({c}, '') AS {c}" for c in PERF_FIELDS)
+    + ", try_cast(split_part(reporting_date, '/', 3) AS INTEGER) AS reporting_year FROM perf",
+    "latest_entry_struct": _LATEST,
     "scatter_bins": _with(
         ACQ_CTE,
         _plot_imputed(),

@@ -21,13 +21,17 @@ from loanlens.plans import jobs
 from loanlens.schemas import (
     ACQ_FIELDS,
     CATEGORICAL_FEATURES,
+    PERF_FIELDS,
     PLOT_CATEGORICAL,
     SPLIT_SEED,
     SPLIT_WEIGHTS,
 )
-from loanlens.sources import tables, text
+from loanlens.session import scratch_folder
+from loanlens.sources import landing, tables, text
 
 DIGITS = 6
+MOMENT_DIGITS = 4
+SCORE_DIGITS = 6
 FIRST_ROWS = 5
 
 
@@ -74,6 +78,29 @@ def q_parse_pipe_records(spark, sf_dir):
     return text.parse_pipe_lines(lines, ACQ_FIELDS)
 
 
+def q_pipe_text_roundtrip(spark, sf_dir):
+    """Acquisition records written as bzip2 pipe text (one folder a file year) and read by the file reader."""
+    folder = scratch_folder(spark, "text")
+    records = tables.acquisition_records(spark, sf_dir, with_file_year=True)
+    named = records.withColumn("Acquisition", F.col("file_year"))
+    text.write_pipe_text(named.select(*ACQ_FIELDS, "Acquisition"), folder, partition_by=["Acquisition"])
+    # the year stands in each folder's name: Acquisition=2000
+    return text.read_acquisition(spark, f"{folder}/Acquisition=*").select(*ACQ_FIELDS, "file_year")
+
+
+def q_landed_performance(spark, sf_dir):
+    """Performance records written as bzip2 text in two deliveries, landed one after the other (the first one
+    offered twice), and read back from Parquet with all fields and the reporting year."""
+    folder = scratch_folder(spark, "text")
+    records = perf(spark, sf_dir)
+    second = F.col("loan_id").cast("bigint") % 2 == 0
+    text.write_pipe_text(records.where(~second), f"{folder}/first")
+    text.write_pipe_text(records.where(second), f"{folder}/second")
+    landing.land_performance(spark, f"{folder}/first", f"{folder}/landed")
+    landed = landing.land_performance(spark, [f"{folder}/first", f"{folder}/second"], f"{folder}/landed")
+    return landed.select(*PERF_FIELDS, "reporting_year")
+
+
 def q_foreclosure_extract(spark, sf_dir):
     """Performance records that carry a foreclosure date, as (loan_id, foreclosure_date)."""
     return cleaning.foreclosure_extract(perf(spark, sf_dir))
@@ -86,21 +113,26 @@ def q_legacy_foreclosure_ids(spark, sf_dir):
 
 
 def q_latest_entry(spark, sf_dir):
-    """Latest performance record per loan (aggregate form, total order on ties)."""
+    """Latest performance record per loan (ranked window, total order on ties)."""
     return labels.latest_entry(perf(spark, sf_dir))
 
 
 def q_latest_entry_window(spark, sf_dir):
-    """Latest performance record per loan (ranked-window form); same rows as latest_entry."""
+    """The same by the explicit name of the window form."""
     return labels.latest_entry_window(perf(spark, sf_dir))
 
 
+def q_latest_entry_struct(spark, sf_dir):
+    """Latest performance record per loan (aggregate form, as the incremental and streaming jobs use); same rows."""
+    return labels.latest_entry_struct(perf(spark, sf_dir))
+
+
 def q_latest_entry_incremental(spark, sf_dir):
     """Latest record per loan kept incrementally: records reported before 1998 are reduced first,
     then that state is updated with every later record (same answer as a full pass)."""
     p = perf(spark, sf_dir)
     year = F.get(F.split("reporting_date", "/"), 2).try_cast("int")
-    prior = labels.latest_entry(p.where(year < 1998))
+    prior = labels.latest_entry_struct(p.where(year < 1998))
     return labels.update_latest_entry(prior, p.where((year >= 1998) | year.isNull()))
 
 
@@ -270,38 +302,86 @@ def q_hypothesis_table(spark, sf_dir):
 
 
 def q_bonferroni(spark, sf_dir):
-    """GLM p-value per feature with the Bonferroni correction (raw p x 22 and capped at 1)."""
-    return q_hypothesis_table(spark, sf_dir).select("feature", "p", "p_bonferroni", "p_bonferroni_capped")
+    """Bonferroni correction (raw and capped) of a p column: each category's share of its column, one hypothesis a category."""
+    counts = features.category_counts(labelled(spark, sf_dir), CATEGORICAL_FEATURES)
+    total = labelled(spark, sf_dir).count()
+    p = counts.select("column", "value", (F.col("n").cast("double") / F.lit(float(total))).alias("p"))
+    return stats.bonferroni(p, len(CATEGORICAL_FEATURES))
+
+
+def q_glm_moments(spark, sf_dir):
+    """Row count, means, x'x and x'y of the 22 standardized inputs and the label."""
+    mf = model_frame(spark, sf_dir)
+    out = stats.glm_moments(mf.df, mf.features)
+    return out.select("moment", "a", "b", rounded("value", MOMENT_DIGITS).alias("value"))
+
+
+def _linear_scored(spark, sf_dir) -> DataFrame:
+    """A logistic score with fixed coefficients over the 22 standardized inputs."""
+    mf = model_frame(spark, sf_dir)
+    logit = sum((F.lit(w) * F.round(f"z_{c}", DIGITS) for c, w in zip(mf.features, linear_weights(len(mf.features)), strict=True)), F.lit(0.0))
+    score = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), SCORE_DIGITS)
+    return mf.df.select("loan_id", F.col("is_foreclosed").alias("label"), score.alias("score"))
+
+
+def linear_weights(n: int) -> list[float]:
+    """1, -1/2, 1/3, ...: any fixed coefficients do."""
+    return [(-1) ** i / (i + 1) for i in range(n)]
+
+
+def q_linear_score_curve(spark, sf_dir):
+    """ROC / PR points of the fixed linear score."""
+    out = evaluate.curve_table(_linear_scored(spark, sf_dir), "label", "score")
+    return out.select("threshold", "tp", "fp", "tpr", "fpr", "precision", "recall")
+
+
+def q_linear_score_auc(spark, sf_dir):
+    """Exact rank-sum AUC of the fixed linear score."""
+    return evaluate.exact_auc(_linear_scored(spark, sf_dir), "label", "score").select("n_pos", "n_neg", rounded("auc", 9).alias("auc"))
+
+
+def q_linear_score_confusion(spark, sf_dir):
+    """Confusion counts of the fixed linear score at the fixed threshold."""
+    return evaluate.confusion_at_threshold(_linear_scored(spark, sf_dir), "label", "score")
+
+
+def q_model_test_counts(spark, sf_dir):
+    """Rows and positives of both sides of the split that the classifiers use."""
+    return jobs.split_counts(labelled(spark, sf_dir))
+
+
+def q_yearly_counts(spark, sf_dir):
+    """Loans, foreclosures and label classes per file year."""
+    lab = jobs.labelled(tables.acquisition_records(spark, sf_dir, with_file_year=True), perf(spark, sf_dir))
+    return jobs.yearly_counts(lab)
 
 
 def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
-        md = jobs.model_data(labelled(spark, sf_dir))
-        _, pred = jobs.fit_model(name, md.data)
-        return jobs.model_metrics(spark, name, pred)
+        return jobs.model_metrics(spark, name, _model_predictions(spark, sf_dir, name))
 
     run.__doc__ = f"Fit {name} on the hash split and report ROC / PR / exact AUC of the test side."
     return run
 
 
-def q_logistic_confusion(spark, sf_dir):
-    """Confusion counts of the logistic-regression test scores at the fixed threshold."""
-    return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
-
-
 def _model_predictions(spark, sf_dir, name: str) -> DataFrame:
     md = jobs.model_data(labelled(spark, sf_dir))
     _, pred = jobs.fit_model(name, md.data)
     return pred
 
 
+def q_logistic_confusion(spark, sf_dir):
+    """Confusion counts of the logistic-regression test scores at the fixed threshold."""
+    return evaluate.confusion_at_threshold(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
+
+
 def q_logistic_curve(spark, sf_dir):
-    """ROC / PR points of the logistic-regression test scores (rounded to 3 digits)."""
+    """ROC / PR points of the logistic-regression test scores, one a distinct score."""
     return evaluate.curve_table(_model_predictions(spark, sf_dir, "logistic_regression"), "label", "score")
 
 
 def q_gbt_curve(spark, sf_dir):
-    """ROC / PR points of the gradient-boosted-trees test scores (rounded to 3 digits)."""
+    """ROC / PR points of the gradient-boosted-trees test scores, one a distinct score."""
     return evaluate.curve_table(_model_predictions(spark, sf_dir, "gradient_boosted_trees"), "label", "score")
 
 
@@ -311,16 +391,21 @@ def q_gbt_confusion(spark, sf_dir):
 
 
 def q_yearly_report(spark, sf_dir):
-    """Per-origination-year logistic-regression metrics (the yearly launcher as one application)."""
-    return jobs.yearly_report(spark, acq(spark, sf_dir), perf(spark, sf_dir), models=["logistic_regression"]).metrics
+    """Everything the per-year runs report, per file year: correlation, GLM tests, the three classifiers'
+    metrics, curves and confusion counts, as long rows."""
+    records = tables.acquisition_records(spark, sf_dir, with_file_year=True)
+    return jobs.yearly_report(spark, records, perf(spark, sf_dir)).rows()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_pipe_records": q_parse_pipe_records,
+    "pipe_text_roundtrip": q_pipe_text_roundtrip,
+    "landed_performance": q_landed_performance,
     "foreclosure_extract": q_foreclosure_extract,
     "legacy_foreclosure_ids": q_legacy_foreclosure_ids,
     "latest_entry": q_latest_entry,
     "latest_entry_window": q_latest_entry_window,
+    "latest_entry_struct": q_latest_entry_struct,
     "latest_entry_incremental": q_latest_entry_incremental,
     "month_year_parts": q_month_year_parts,
     "year_credit_filter": q_year_credit_filter,
@@ -350,6 +435,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scatter_bins": q_scatter_bins,
     "hypothesis_table": q_hypothesis_table,
     "bonferroni": q_bonferroni,
+    "glm_moments": q_glm_moments,
+    "linear_score_curve": q_linear_score_curve,
+    "linear_score_auc": q_linear_score_auc,
+    "linear_score_confusion": q_linear_score_confusion,
+    "model_test_counts": q_model_test_counts,
+    "yearly_counts": q_yearly_counts,
     "logistic_auc": _model_query("logistic_regression"),
     "forest_auc": _model_query("random_forest"),
     "gbt_auc": _model_query("gradient_boosted_trees"),

@@ -91,6 +91,61 @@ def test_cli_by_file_year(spark, sf_small, tmp_path):
     assert hyp.count() == 2 * 23
 
 
+def test_cli_by_file_year_with_a_list_and_legacy_output(spark, sf_small, tmp_path):
+    acq = acquisition_records(spark, sf_small, with_file_year=True)
+    write_pipe_text(acq.where(F.col("file_year") == 2000).select(*ACQ_FIELDS), str(tmp_path / "Acquisition_2000"))
+    perf_dir = str(tmp_path / "perf")
+    write_pipe_text(performance_records(spark, sf_small).select(*PERF_FIELDS), perf_dir)
+    cli.main(["foreclosures", "--perf", perf_dir, "--out", str(tmp_path / "fc")])
+    out = tmp_path / "yearly"
+    cli.main(["report", "--acq", str(tmp_path / "Acquisition_*"), "--foreclosures", str(tmp_path / "fc"), "--out", str(out),
+              "--by-year", "--models", "logistic_regression", "--fit-on", "train", "--legacy-output"])
+    assert len(spark.read.text(str(out / "2000" / "pval")).collect()) == 23
+    assert len(spark.read.text(str(out / "2000" / "logisticRegression")).collect()) == 1
+    conf = spark.read.parquet(str(out / "confusion"))
+    assert conf.count() == 4 and {r["year"] for r in conf.collect()} == {2000}
+    assert spark.read.parquet(str(out / "correlation")).count() == 231
+    assert spark.read.parquet(str(out / "curves")).count() > 5
+
+
+def test_cli_keeps_all_performance_fields(spark, tmp_path):
+    lines = ["|".join([str(i % 5), f"0{1 + i // 5}/01/2000"] + [f"v{i}_{k}" for k in range(2, 31)]) for i in range(15)]
+    (tmp_path / "perf.txt").write_text("\n".join(lines) + "\n")
+    out = tmp_path / "landed"
+    cli.main(["--perf-fields", "31", "land", "--perf", str(tmp_path / "perf.txt"), "--out", str(out)])
+    cli.main(["--perf-fields", "31", "latest", "--perf", str(tmp_path / "perf.txt"), "--out", str(tmp_path / "a")])
+    cli.main(["--input-format", "parquet", "latest", "--perf", str(out / "performance"), "--out", str(tmp_path / "b")])
+    a, b = (spark.read.parquet(str(tmp_path / x)) for x in "ab")
+    assert len(a.columns) == 31 and a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.where("loan_id = 3").first()["field_30"] == "v13_30"
+
+
+def test_yearly_report_reads_one_years_folders(spark, sf_small):
+    from loanlens.session import checkpointed
+
+    acq = acquisition_records(spark, sf_small, with_file_year=True)
+    lab = checkpointed(labelled(acq, performance_records(spark, sf_small)), partition_by=("file_year",))
+    plan = lab.where(F.col("file_year").eqNullSafe(F.lit(2000)))._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "2000" in filters.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_yearly_report_lists_years_with_one_class(spark, sf_small):
+    from loanlens.plans.jobs import yearly_report
+
+    acq = acquisition_records(spark, sf_small, with_file_year=True)
+    acq = acq.where("file_year = 2000").unionByName(acq.where("file_year = 2001").limit(0))
+    none = performance_records(spark, sf_small).where("false")
+    rep = yearly_report(spark, acq, none, models=["logistic_regression"])
+    metrics = rep.metrics.collect()
+    assert {r["year"] for r in metrics} == {2000} and all(r["value"] is None for r in metrics) and len(metrics) == 4
+    hyp = rep.hypotheses.collect()
+    assert len(hyp) == 23 and all(r["coefficient"] == 0 and r["p"] is None for r in hyp)
+    assert rep.correlation.count() == rep.curves.count() == rep.confusion.count() == 0
+    assert rep.rows().count() == 4 + 5 * 23
+
+
 def test_release_checkpoints(spark):
     from loanlens.session import checkpointed, release_checkpoints
 
