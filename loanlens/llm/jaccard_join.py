@@ -17,10 +17,11 @@ Shingles that very many sets hold prove little: a segment counts units only by i
 segments goes on in a second index of run-out sets, in which all shingles count, and a set with too few segments even
 there in a third one by single shingles.
 
-Equal sets are one from the start. Within an index key each set is compared to the key's least one, one such pair for each
+Equal sets are one from the start. Within an index key each set is compared to a few leaders of the key, one such pair for each
 set first; whoever is then in one component needs no further comparison. Pairs of different components that share a
-key are compared last, all of them. Candidates are verified on the whole sets of 64-bit shingle hashes. Sets themselves are told
-apart by a 64-bit hash. No step gathers a group.
+key are compared last, all of them that parity sketches allow (two sketches never differ in more bits than the sets do in
+shingles). Candidates are verified on the whole sets of 64-bit shingle hashes. Sets themselves are told apart by a 64-bit
+hash. No step gathers a group.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing; with fewer than five words the
 whole sequence is the one shingle; rows that repeat a ``doc_id`` share its component; the least non-null id names a component.
@@ -49,8 +50,11 @@ HEAVY_IN_SAMPLE = 4
 MAX_HEAVY = 1 << 17
 DELETION_UP_TO = 64  # largest set of a band for which deletion mode is weighed
 CANDIDATE_COST = 20.0
+ALLOCATE_SETS = 300
 SALTS = 32
-MAX_BROADCAST_SETS = 1_000_000
+LEADER_CHOICES = 4
+SKETCH_BITS = 1024
+MAX_BROADCAST_ROWS = 1_000_000
 SEEN = 500_000
 FLUSH_KEYS = 1_000_000
 
@@ -111,15 +115,19 @@ class Index:
         self.known[n] = out
         return out
 
-    def keys(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index keys of a sorted set, and the index (1, 2 or 3) of each."""
+    def keys(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index keys of a sorted set, the index (1, 2 or 3) of each, and whether it is in the band below the set's own.
+
+        Two sets of one band meet in that band; below it each only looks for smaller ones.
+        """
         mixed = mix64(s)
         if len(self.heavy):
             at = np.minimum(np.searchsorted(self.heavy, s), len(self.heavy) - 1)
             light = (self.heavy[at] != s).astype(np.int64)
         else:
             light = np.ones(len(s), dtype=np.int64)
-        keys, spaces = [], []
+        keys, spaces, low = [], [], []
+        own = self.schemes(len(s))[0][0]
         for band, largest, allowed in self.schemes(len(s)):
             mode = "deletion" if band in self.deletion else "exact"
             m = max(1, int(np.ceil(largest / PER_SEGMENT[mode])))
@@ -147,7 +155,8 @@ class Index:
             if ran_out:
                 keys.append(mix64(mixed + np.uint64((band << 40) + 3)))
                 spaces += [3] * len(s)
-        return np.concatenate(keys), np.array(spaces, dtype=np.int8)
+            low += [band < own] * (len(spaces) - len(low))
+        return np.concatenate(keys), np.array(spaces, dtype=np.int8), np.array(low, dtype=bool)
 
 
 def set_table(docs: DataFrame) -> DataFrame:
@@ -165,8 +174,19 @@ def set_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, set bigint")
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of ``SKETCH_BITS`` cells. Two sketches differ in at most as many
+    bits as the sets differ in shingles."""
+    return np.packbits((np.bincount((s % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
+def sketch_distance(a: str, b: str) -> Column:
+    """Bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
+
+
 def _with_shingles(docs: DataFrame) -> DataFrame:
-    """``set, shingles`` of every row of ``docs(text)`` with shingles, once for each set and task."""
+    """``set, shingles, sketch`` of every row of ``docs(text)`` with shingles, once for each set and task."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -181,10 +201,15 @@ def _with_shingles(docs: DataFrame) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in out.values()])]).astype(np.int32)
             flat = np.concatenate([*out.values(), np.zeros(0, dtype=np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(out), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["set", "shingles"]
+                [
+                    pa.array(list(out), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array([sketch(s).tolist() for s in out.values()], pa.list_(pa.int64())),
+                ],
+                names=["set", "shingles", "sketch"],
             )
 
-    return docs.select("text").mapInArrow(run, "set bigint, shingles array<bigint>")
+    return docs.select("text").mapInArrow(run, "set bigint, shingles array<bigint>, sketch array<bigint>")
 
 
 def fit(docs: DataFrame, n_docs: int, bound: int = SAMPLE_SETS) -> Index:
@@ -199,40 +224,53 @@ def fit(docs: DataFrame, n_docs: int, bound: int = SAMPLE_SETS) -> Index:
 
 
 def allocate(sample: list[np.ndarray], heavy: np.ndarray, scale: float) -> frozenset:
-    """Bands in which deletion mode costs less: entries, plus pairs of sets that share a key, times ``scale``
-    (how many sets there are for one of the sample)."""
+    """Bands in which deletion mode costs less: entries of a set, plus the other sets that share a key with it.
+
+    ``scale`` is how many sets there are for one of the sample. Candidates are counted as different pairs
+    among ``ALLOCATE_SETS`` sets of the band and carried on to all of them.
+    """
     top = bands(DELETION_UP_TO)
     chosen = set()
     for k in range(len(top) - 1):
-        own = [s for s in sample if top[k] <= len(s) < top[k + 1]]
+        band = [s for s in sample if top[k] <= len(s) < top[k + 1]]
+        own = band[:ALLOCATE_SETS]
         if not own:
             continue
         cost = {}
         for mode in ("exact", "deletion"):
             index = Index(heavy, frozenset({k} if mode == "deletion" else ()))
-            every = np.concatenate([index.keys(s)[0] for s in own])
-            _, f = np.unique(every, return_counts=True)
-            cost[mode] = len(every) + CANDIDATE_COST * scale * float((f * (f - 1) / 2).sum())
+            every = [index.keys(s)[0] for s in own]
+            flat = np.concatenate(every)
+            owner = np.repeat(np.arange(len(own)), [len(e) for e in every])[np.argsort(flat, kind="stable")]
+            flat = np.sort(flat)
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(flat)) + 1, [len(flat)]])
+            pairs = np.zeros((len(own), len(own)), dtype=bool)
+            for a, b in zip(cut, cut[1:], strict=False):
+                if b - a > 1:
+                    pairs[np.ix_(owner[a:b], owner[a:b])] = True
+            np.fill_diagonal(pairs, False)
+            cost[mode] = len(flat) / len(own) + CANDIDATE_COST * pairs.sum() / len(own) * scale * len(band) / len(own)
         if cost["deletion"] < cost["exact"]:
             chosen.add(k)
     return frozenset(chosen)
 
 
 def index_entries(docs: DataFrame, index: Index) -> DataFrame:
-    """``key, salt, set, n``: the index of all sets. ``salt`` is -1 in the first index and splits the keys of the others."""
+    """``key, salt, low, set, n``: the index of all sets. ``salt`` is -1 in the first index and splits the keys of the others."""
     shared = docs.sparkSession.sparkContext.broadcast((index.heavy, index.deletion))  # at most MAX_HEAVY hashes
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
         seen: set[int] = set()
         for batch in blocks(batches):
-            keys, salts, sets, sizes = [], [], [], []
+            keys, salts, lows, sets, sizes = [], [], [], [], []
             for s in shingle_sets(utf8(batch)):
                 if not len(s) or (i := set_id(s)) in seen:
                     continue
                 seen.add(i)
-                k, space = index.keys(s)
+                k, space, low = index.keys(s)
                 keys.append(k)
+                lows.append(low)
                 salts.append(np.where(space == 1, -1, i % SALTS).astype(np.int32))
                 sets.append(np.full(len(k), i, dtype=np.int64))
                 sizes.append(np.full(len(k), len(s), dtype=np.int32))
@@ -240,11 +278,11 @@ def index_entries(docs: DataFrame, index: Index) -> DataFrame:
                 seen.clear()
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (salts, sets, sizes))],
-                    names=["key", "salt", "set", "n"],
+                    [pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (salts, lows, sets, sizes))],
+                    names=["key", "salt", "low", "set", "n"],
                 )
 
-    return docs.select("text").mapInArrow(run, "key bigint, salt int, set bigint, n int")
+    return docs.select("text").mapInArrow(run, "key bigint, salt int, low boolean, set bigint, n int")
 
 
 def _stars(entries: DataFrame, by: list[str]) -> DataFrame:
@@ -272,48 +310,138 @@ def similar(intersection, a, b):
     return 100 * intersection >= 80 * (a + b - intersection)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its rows, which must be a few numbers each, are counted to be few."""
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of ``pairs`` whose ``sets(set, shingles)`` are similar."""
-    a = sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb"))
+    """The pairs ``a, b`` whose ``sets(set, shingles)`` are similar. Only the shingles of sets in a pair move."""
+    pairs = materialize(pairs.select("a", "b"))
+    if pairs.isEmpty():
+        return pairs
+    a = sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa")).join(small(pairs), "a")
+    wanted = materialize(pairs.select("b").distinct())
+    b = sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb")).join(small(wanted), "b", "left_semi")
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").where(similar(both, F.size("sa"), F.size("sb"))).select("a", "b")
+    return materialize(a.join(b, "b").where(similar(both, F.size("sa"), F.size("sb"))).select("a", "b").distinct())
 
 
 def links(docs: DataFrame, members: DataFrame, index: Index) -> DataFrame:
     """``node, component`` of all sets that are similar to another set."""
     # the parts of a salted key meet through their least sets
     first = materialize(_stars(index_entries(docs, index), ["key", "salt"]))
-    second = _stars(first.where("salt >= 0 and set = pivot").select("key", "salt", "set", "n"), ["key"])
-    star = materialize(
-        first.unionByName(second).where("set <> pivot").select(F.col("pivot").alias("a"), F.col("set").alias("b"), "n", "pivot_n").distinct()
-    )
-    ids = star.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    star = star.where(could_be_similar("n", "pivot_n")).select("a", "b")
+    second = _stars(first.where("salt >= 0 and set = pivot").select("key", "salt", "low", "set", "n"), ["key"])
+    paired = first.unionByName(second).where("set <> pivot")
+    ids = materialize(paired.select(F.explode(F.array("set", "pivot")).alias("set")).distinct())
     reps = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
     chosen = materialize(reps.join(ids, "set", "left_semi").select("doc_id"))
-    few = chosen.limit(MAX_BROADCAST_SETS + 1).count() <= MAX_BROADCAST_SETS
-    texts = docs.join(F.broadcast(chosen) if few else chosen, "doc_id", "left_semi").select("text")
-    texts = texts.unionAll(docs.where("doc_id is null").select("text"))
-    sets = materialize(_with_shingles(texts).dropDuplicates(["set"]))
-    # one pair of each set first
-    one = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = materialize(verify(one, sets))
-    named = materialize(connected_components(found))
-    tagged = lambda pairs, named: (
-        pairs.join(named.toDF("a", "ca"), "a", "left").join(named.toDF("b", "cb"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+    texts = docs.join(small(chosen), "doc_id", "left_semi").select("text").unionAll(docs.where("doc_id is null").select("text"))
+    sets = materialize(_with_shingles(texts))
+    sketches = sets.groupBy("set").agg(F.first("sketch").alias("sketch"))
+    stars = leaders(first)
+    # the pair of each set with the hub that has the most keys
+    order = W.partitionBy("b").orderBy(F.desc("degree"), "a")
+    one = stars[0].withColumn("r", F.row_number().over(order)).where("r = 1").select("a", "b")
+    named = materialize(connected_components(verify(one, sets)))
+    # leaders in other components, one choice of leaders after the other
+    drawn = lambda side: sketches.toDF(side, f"s{side}")
+    for star in stars:
+        rest = _apart(star, named).join(drawn("a"), "a").join(drawn("b"), "b")
+        rest = rest.where(sketch_distance("sa", "sb") * 9 <= F.col("na") + F.col("nb"))
+        named = _merged(named, verify(rest, sets))
+    # any two sets of different components under one key
+    placed = first.select("key", "low", "set", "n").join(named.toDF("set", "component"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+    open_ = materialize(_of_several_components(placed))
+    open_ = open_.join(_common(sets, open_), "set").where(_enough(F.col("common"), F.col("n"), F.ceil(F.col("n") * 4 / 5)))
+    lanes = lambda side: [F.col("sketch")[k].alias(f"{side}{k}") for k in range(SKETCH_BITS // 64)]
+    left = _of_several_components(open_).join(sketches, "set").select("key", "low", "set", "n", "component", "common", *lanes("x"))
+    left = materialize(left)
+    right = left.toDF("key", "lowb", "b", "nb", "cb", "mb", *(f"y{k}" for k in range(SKETCH_BITS // 64)))
+    bits = [F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in range(SKETCH_BITS // 64)]
+    half, every = sum(bits[: len(bits) // 2], F.lit(0)), sum(bits, F.lit(0))
+    # one side is in its own band; two such sets meet once
+    across = (
+        left.where("not low").toDF("key", "lowa", "a", "na", "ca", "ma", *(f"x{k}" for k in range(SKETCH_BITS // 64)))
+        .join(right, "key")
+        .where("ca <> cb and (lowb or a < b)")
+        .where(could_be_similar("na", "nb"))
+        .where(_enough(F.least("ma", "mb"), F.col("na"), F.col("nb")))
+        .where((half * 9 <= F.col("na") + F.col("nb")) & (every * 9 <= F.col("na") + F.col("nb")))
+        .select("a", "b", "ca", "cb", every.alias("distance"))
+        .distinct()
     )
-    rest = tagged(star.join(one, ["a", "b"], "left_anti"), named)
-    found = materialize(found.unionAll(verify(rest, sets)))
-    named = materialize(connected_components(found))
-    # sets of different components under one key
-    placed = first.select("key", "set", "n").join(named.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_ = placed.join(mixed, "key", "left_semi").select("key", "set", "n", "component")
-    left, right = open_.toDF("key", "a", "na", "ca"), open_.toDF("key", "b", "nb", "cb")
-    across = left.join(right, "key").where("a < b and ca <> cb").where(could_be_similar("na", "nb")).select("a", "b").distinct()
-    across = across.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    return connected_components(found.unionAll(verify(across, sets)))
+    across = materialize(across)
+    # the closest pair of each two components first; what is in one component then needs no more
+    nearest = across.groupBy("ca", "cb").agg(F.min_by(F.struct("a", "b"), F.struct("distance", "a", "b")).alias("p")).select("p.a", "p.b")
+    named = _merged(named, verify(nearest, sets))
+    return _merged(named, verify(_apart(across.join(nearest, ["a", "b"], "left_anti").drop("ca", "cb"), named), sets))
+
+
+def _of_several_components(rows: DataFrame) -> DataFrame:
+    """The rows whose key holds sets of more than one component."""
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    return rows.join(mixed, "key", "left_semi")
+
+
+def _common(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """``set, common``: how many shingles of each set in ``open_(set, n)`` stand in another one of them, too."""
+    wanted = materialize(open_.select("set", "n").distinct())
+    rows = sets.join(small(wanted.select("set")), "set", "left_semi").select("set", F.explode("shingles").alias("s"))
+    alone = rows.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("set").alias("set")).where("k = 1")
+    alone = alone.groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
+    return wanted.join(alone, "set", "left").select("set", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def _enough(common: Column, na: Column, nb: Column) -> Column:
+    """Whether sets of these sizes can be similar with no more than ``common`` shingles in common."""
+    return common * 9 >= (na + nb) * 4
+
+
+def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of ``pairs(a, b, ...)`` whose sets are in different components, with these as ``ca, cb``."""
+    tagged = pairs.join(named.toDF("a", "ca"), "a", "left").join(named.toDF("b", "cb"), "b", "left")
+    return tagged.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
+
+
+def _merged(named: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``named`` after the links ``pairs``: components of the components, so many links between two of them are one edge."""
+    edges = materialize(_apart(pairs, named).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    if edges.isEmpty():
+        return named
+    top = materialize(connected_components(edges))
+    old = named.join(top.toDF("component", "new"), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return materialize(old.unionByName(top.join(named, "node", "left_anti")))
+
+
+def leaders(first: DataFrame) -> list[DataFrame]:
+    """For each choice of leaders: ``a, b, na, nb, degree``, each set ``b`` with the leader ``a`` of each of its keys,
+    if their sizes allow a link.
+
+    The first choice is a key's set with the most shared keys: in a group of edited copies one of the least edited.
+    The others are random (least hash of the set with a seed), so that a large group soon is one component. Leaders of
+    the parts of a salted key meet in a second step.
+    """
+    degree = first.groupBy("set").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = first.select("key", "salt", "set", "n").join(degree, "set")
+    choices = [F.desc("degree"), *(F.xxhash64("set", F.lit(r)) for r in range(1, LEADER_CHOICES))]
+
+    def led(rows: DataFrame, by: list[str], orders: dict) -> DataFrame:
+        window = lambda o: W.partitionBy(*by).orderBy(o, "set").rowsBetween(W.unboundedPreceding, W.currentRow)
+        return rows.withColumns({name: F.first(F.struct("set", "n", "degree")).over(window(o)) for name, o in orders.items()})
+
+    names = [f"lead{r}" for r in range(len(choices))]
+    parts = materialize(led(ranked, ["key", "salt"], dict(zip(names, choices, strict=True))))
+    out = []
+    for name, choice in zip(names, choices, strict=True):
+        whole = parts.where(f"salt >= 0 and set = {name}.set").select("key", "salt", "set", "n", "degree")
+        both = parts.select("set", "n", name).unionByName(led(whole, ["key"], {name: choice}).select("set", "n", name))
+        pairs = both.select(
+            F.col(f"{name}.set").alias("a"), F.col("set").alias("b"), F.col(f"{name}.n").alias("na"), F.col("n").alias("nb"),
+            F.col(f"{name}.degree").alias("degree"),
+        )
+        out.append(materialize(pairs.where("a <> b").where(could_be_similar("na", "nb")).distinct()))
+    return out
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -330,6 +458,15 @@ def components(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) without those of a component whose ``doc_id`` isn't its least one.
+
+    Rows without shingles or id stay; rows that repeat a ``doc_id`` are one document.
+    """
+    extra = materialize(components(docs).where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(extra, docs["doc_id"] == extra["doc_id"], "left_anti")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Components of all documents under a five-word shingle similarity of at least 0.8."""
     return components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
