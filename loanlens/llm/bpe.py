@@ -31,7 +31,7 @@ from loanlens.llm.common import blocks, texts
 
 WINDOW = 32  # bytes under the rolling hash
 MIN_CHUNK, MEAN_CHUNK_BITS, MAX_CHUNK = 128, 10, 8192
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 24 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15  # any odd number
 # Fixed value: the pre-tokenizer pattern of byte-level BPE with use_regex.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -132,6 +132,7 @@ class ChunkCodec:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.engine = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=self.vocabulary.ranks, special_tokens={})
+        self.vocabulary.ranks = {}  # the engine has its own
         self.cache = Cache()
         self.encoded = 0  # bytes that the engine saw
 

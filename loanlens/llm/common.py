@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loanlens.session import checkpointed
 
 # Bytes of text that a Python task works on at a time, whatever the size of the Arrow batch.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
