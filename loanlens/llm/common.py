@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 
@@ -31,6 +32,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system, so that a Python worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into slices of about ``limit`` bytes of text (a longer row is a slice of its own)."""
     for batch in batches:
@@ -41,6 +50,8 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = B
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+        del batch, size, part
+        release_memory()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
