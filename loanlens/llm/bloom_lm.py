@@ -2,12 +2,13 @@
 
 Counts of all unigrams and bigrams of the training texts are taken exactly, by 64-bit hash, in Spark. The filter
 holds, for an n-gram of count c, the items (n-gram, 1) .. (n-gram, q) with q = 1 + floor(log2 c); a lookup probes levels
-upward until one is missing and returns the middle of that level's range. Its size is a fixed parameter
-(``FILTER_BITS``), which bounds the broadcast. From the exact histogram of levels the lowest level is chosen with which the items fit
-(``BITS_PER_ITEM``): a larger corpus stores only its more frequent n-grams, at the same rate of false positives.
+upward until one is missing and returns the middle of that level's range. It holds every counted n-gram from level 1 on:
+its size follows from the exact histogram of levels (``BITS_PER_ITEM`` for each item), at the same rate of false positives.
 
 The filter is built in segments. An n-gram's hash names its segment, all its bits lie there, and each segment is
-made by the task that counted its n-grams; the driver only lays finished segments end to end.
+made by the task that counted its n-grams. Up to ``FILTER_BITS`` the driver lays finished segments end to end and broadcasts them.
+A larger filter stays a table: the distinct n-grams of each chunk of texts are shuffled to their segments, probed there, and
+their levels go back to the chunk. The bits are the same, so the scores are the same in both forms.
 
     P(w | v) = MIX * c(v w) / max(c(v), c(v w)) + (1 - MIX) * (c(w) + 1) / (N + V + 1)
 
@@ -28,15 +29,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import blocks, id_remainder, materialize, mix64, utf8, word_hashes
+from loanlens.llm.common import blocks, id_remainder, materialize, mix64, release_shuffles, utf8, word_hashes
 
 END = np.uint64(0x5851F42D4C957F2D)  # the end token, in the place of a word's hash
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 28  # of a broadcast filter; a larger one is probed by a shuffle
 BITS_PER_ITEM = 9  # with 3 probes: about 2.5 % false positives
 PROBES = 3
 HEAD_WORDS = 1 << 16
 MIX = 0.6
 BLOCK = 1 << 20  # bytes of text at a time
+CHUNK = 1 << 23  # bytes of text whose n-grams are probed together by a shuffle
 FLUSH_NGRAMS = 1_000_000
 FLUSH_WORDS = 500_000
 TOKENS_PER_SEGMENT = 500_000
@@ -115,7 +117,7 @@ def segment_count(tokens: int) -> int:
 
 def _packed(keys: np.ndarray, n: np.ndarray, segments: int) -> pa.RecordBatch:
     """One row for each segment met in ``keys``, which are sorted and distinct."""
-    segment = (keys >> np.uint64(64 - segments.bit_length() + 1)).astype(np.int64)
+    segment = _segment_of(keys, segments).astype(np.int64)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(keys)]]).tolist()
     n = n.astype(np.int64)
     return pa.RecordBatch.from_arrays(
@@ -176,7 +178,7 @@ def ngram_levels(docs: DataFrame, counts: DataFrame, segments: int) -> DataFrame
 
 
 def lowest_level(histogram: np.ndarray, capacity: int) -> int:
-    """The lowest level from which on all items fit: an n-gram of level q has q - lowest + 1 of them."""
+    """The lowest level from which on all items fit (1: all of them): an n-gram of level q has q - lowest + 1 of them."""
     for low in range(1, len(histogram)):
         q = np.arange(low, len(histogram))
         if int((histogram[low:] * (q - low + 1)).sum()) <= capacity:
@@ -189,20 +191,25 @@ def _level_key(hashes: np.ndarray, level: int) -> np.ndarray:
 
 
 def _bit_place(key: np.ndarray, probe: int, segment_bits: int) -> np.ndarray:
-    return ((key >> np.uint64(20 * probe)) + (key >> np.uint64(61)) * np.uint64(probe)) & np.uint64(segment_bits - 1)
+    return ((key >> np.uint64(16 * probe)) & np.uint64(0xFFFFFFFF)) * np.uint64(segment_bits) >> np.uint64(32)
+
+
+def _segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - segments.bit_length() + 1)
 
 
 class LogFrequencyFilter:
-    """The finished filter: probes of many n-grams at once."""
+    """Finished segments end to end: probes of many n-grams at once. ``first`` is the number of the first segment."""
+
+    lowest = 1  # no counted n-gram is left out
 
-    def __init__(self, bits: np.ndarray, segments: int, lowest: int):
-        self.bits, self.segments, self.lowest = bits, segments, lowest
-        self.segment_bits = len(bits) * 8 // segments
+    def __init__(self, bits: np.ndarray, segments: int, segment_bits: int, first: int = 0):
+        self.bits, self.segments, self.segment_bits, self.first = bits, segments, segment_bits, first
 
     def level(self, hashes: np.ndarray) -> np.ndarray:
         """Highest level found for each hash, 0 where the lowest is missing."""
         out = np.zeros(len(hashes), dtype=np.int64)
-        base = (hashes >> np.uint64(64 - self.segments.bit_length() + 1)) * np.uint64(self.segment_bits)
+        base = (_segment_of(hashes, self.segments) - np.uint64(self.first)) * np.uint64(self.segment_bits)
         left = np.arange(len(hashes))
         for level in range(self.lowest, MAX_LEVEL + 1):
             key = _level_key(hashes[left], level)
@@ -216,21 +223,26 @@ class LogFrequencyFilter:
         return out
 
 
-def build_filter(ngrams: DataFrame, segments: int, bits: int = FILTER_BITS) -> LogFrequencyFilter:
-    """The filter of ``ngram_levels``; ``bits`` bounds what reaches the driver and the workers."""
+def filter_size(ngrams: DataFrame) -> tuple[np.ndarray, int]:
+    """The histogram of levels, and the bits of a segment: ``BITS_PER_ITEM`` for each item of the fullest one."""
     total = ngrams.select(F.posexplode("histogram").alias("q", "n")).groupBy("q").agg(F.sum("n").alias("n")).collect()
     histogram = np.zeros(MAX_LEVEL + 1, dtype=np.int64)
     for r in total:
         histogram[r["q"]] = r["n"]
-    lowest = lowest_level(histogram, bits // BITS_PER_ITEM)
-    segment_bits = bits // segments
+    items = F.aggregate(F.transform("histogram", lambda n, q: n * q), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    most = ngrams.agg(F.max(items)).first()[0] or 1
+    return histogram, -(-most * BITS_PER_ITEM // 64) * 64
+
+
+def filter_segments(ngrams: DataFrame, segment_bits: int) -> DataFrame:
+    """``segment, bits``: the finished segments of ``ngram_levels``."""
 
     def make(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for segment, h, q in zip(*(batch.column(c).to_pylist() for c in ("segment", "hashes", "levels")), strict=True):
                 h, q = np.frombuffer(h, dtype=np.uint64), np.frombuffer(q, dtype=np.uint8)
                 out = np.zeros(segment_bits, dtype=np.uint8)
-                for level in range(lowest, int(q.max(initial=0)) + 1):
+                for level in range(1, int(q.max(initial=0)) + 1):
                     key = _level_key(h[q >= level], level)
                     for probe in range(PROBES):
                         out[_bit_place(key, probe, segment_bits)] = 1
@@ -239,12 +251,105 @@ def build_filter(ngrams: DataFrame, segments: int, bits: int = FILTER_BITS) -> L
                     names=["segment", "bits"],
                 )
 
-    whole = np.zeros(bits // 8, dtype=np.uint8)
-    made = ngrams.select("segment", "hashes", "levels").mapInArrow(make, "segment int, bits binary")
-    for row in made.toLocalIterator():  # one partition of finished segments at a time
+    return ngrams.select("segment", "hashes", "levels").mapInArrow(make, "segment int, bits binary")
+
+
+def build_filter(ngrams: DataFrame, segments: int, bits: int = FILTER_BITS) -> LogFrequencyFilter | None:
+    """The whole filter of ``ngram_levels``; None where it takes more than ``bits``, which bounds what reaches the driver and the workers."""
+    histogram, segment_bits = filter_size(ngrams)
+    if lowest_level(histogram, bits // BITS_PER_ITEM) > 1 or segments * segment_bits > bits:
+        return None
+    whole = np.zeros(segments * segment_bits // 8, dtype=np.uint8)
+    for row in filter_segments(ngrams, segment_bits).toLocalIterator():  # one partition of finished segments at a time
         at = row["segment"] * (segment_bits // 8)
         whole[at : at + segment_bits // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return LogFrequencyFilter(whole, segments, lowest)
+    return LogFrequencyFilter(whole, segments, segment_bits)
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """``row, chunk, doc_id, text``: rows numbered, and in chunks of about ``CHUNK`` bytes of text named by their first row."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        row = chunk = TaskContext.get().partitionId() << 33
+        size = 0
+        for batch in blocks(batches, limit=BLOCK):
+            if size >= CHUNK:
+                chunk, size = row, 0
+            n = batch.num_rows
+            size += batch.nbytes
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + np.arange(n), pa.int64()), pa.array(np.full(n, chunk), pa.int64()), batch.column("doc_id"), batch.column("text")],
+                names=["row", "chunk", "doc_id", "text"],
+            )
+            row += n
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"row bigint, chunk bigint, doc_id {id_type}, text string")
+
+
+def _ngrams(h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the distinct n-grams of texts as ``tokens`` gives them, sorted."""
+    inner = np.ones(len(h), dtype=bool)
+    inner[np.cumsum(size) - size] = False
+    second = np.flatnonzero(inner)
+    return np.unique(np.concatenate([unigram_hash(np.unique(h)), bigram_hash(h[second - 1], h[second])]))
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted hashes as steps from each to the next, byte place by byte place: the high places are zeros, which compress."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    places = np.frombuffer(data, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(places.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def chunk_levels(chunks: DataFrame, ngrams: DataFrame, segments: int) -> DataFrame:
+    """``chunk, piece, segment, levels``: for each chunk the levels of its distinct n-grams in the order of their hashes, by
+    probing the segments where they lie. A frequent n-gram is asked for once a chunk. A chunk that two tasks read is
+    asked for in pieces, which are named by their first row."""
+    segment_bits = filter_size(ngrams)[1]
+
+    def ask(batches) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        chunk = piece = after = -1
+
+        def out():
+            asked = np.unique(np.concatenate(held))
+            segment = _segment_of(asked, segments).astype(np.int32)
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(asked)]]).tolist()
+            same = lambda x: pa.array(np.full(len(cut) - 1, x), pa.int64())
+            steps = pa.array([_steps(asked[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(segment[cut[:-1]]), same(chunk), same(piece), steps], names=["segment", "chunk", "piece", "asked"])
+
+        for batch in blocks(batches, limit=BLOCK):
+            row, of = batch.column("row").to_numpy(), batch.column("chunk").to_numpy()
+            cut = [0, *(np.flatnonzero((np.diff(of) != 0) | (np.diff(row) != 1)) + 1).tolist(), len(row)]
+            for a, b in zip(cut, cut[1:], strict=False):
+                if of[a] != chunk or row[a] != after:
+                    if held:
+                        yield out()
+                    held, chunk, piece = [], of[a], row[a]
+                held.append(_ngrams(*tokens(utf8(batch.slice(a, b - a)))))
+                after = row[b - 1] + 1
+        if held:
+            yield out()
+
+    def probe(asked: pa.Table, made: pa.Table) -> pa.Table:
+        levels_of = []
+        if made.num_rows:
+            bits, first = np.frombuffer(made.column("bits")[0].as_py(), dtype=np.uint8), made.column("segment")[0].as_py()
+            part = LogFrequencyFilter(bits, segments, segment_bits, first)
+        for hashes in asked.column("asked").to_pylist():
+            h = _from_steps(hashes)
+            found = part.level(h) if made.num_rows else np.zeros(len(h))
+            levels_of.append(found.astype(np.uint8).tobytes())
+        return pa.table({"chunk": asked.column("chunk"), "piece": asked.column("piece"), "segment": asked.column("segment"), "levels": pa.array(levels_of, pa.binary())})
+
+    probes = chunks.select("row", "chunk", "text").mapInArrow(ask, "segment int, chunk bigint, piece bigint, asked binary")
+    made = filter_segments(ngrams, segment_bits)
+    return probes.groupBy("segment").cogroup(made.groupBy("segment")).applyInArrow(probe, "chunk bigint, piece bigint, segment int, levels binary")
 
 
 def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -255,49 +360,77 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head = counts.orderBy(F.desc("n"), "word").limit(head_words).toPandas().sort_values("word")
     segments = segment_count(n)
-    model = build_filter(materialize(ngram_levels(train, counts, segments)), segments, bits)
-    shared = spark.sparkContext.broadcast((head["word"].to_numpy(), head["n"].to_numpy(), model.bits, model.segments, model.lowest))
+    ngrams = materialize(ngram_levels(train, counts, segments))
+    model = build_filter(ngrams, segments, bits)
+    parts = (model.bits, model.segments, model.segment_bits) if model else None
+    shared = spark.sparkContext.broadcast((head["word"].to_numpy(), head["n"].to_numpy(), parts))
+
+    def columns(row: pa.Array, doc_id, h: np.ndarray, size: np.ndarray, level) -> list:
+        head_word, head_n, _ = shared.value
+        word, at = np.unique(h, return_inverse=True)
+        key = word.view(np.int64)
+        place = np.minimum(np.searchsorted(head_word, key), max(len(head_word) - 1, 0))
+        in_head = head_word[place] == key if len(head_word) else np.zeros(len(key), dtype=bool)
+        log_count = np.where(in_head, np.log10((head_n[place] if len(head_n) else 0) + 1.0), 0.0)
+        c1 = level_count(level(unigram_hash(word)))
+        doc = np.repeat(np.arange(len(size)), size)
+        inner = np.ones(len(h), dtype=bool)
+        inner[np.cumsum(size) - size] = False
+        second = np.flatnonzero(inner)
+        p = (c1[at] + 1) / (n + v + 1)
+        c2 = level_count(level(bigram_hash(h[second - 1], h[second])))
+        p[second] = MIX * c2 / np.maximum(np.maximum(c1[at[second - 1]], c2), 1) + (1 - MIX) * p[second]
+        rare = ~in_head[at]
+        pair, times = np.unique(doc[rare] * len(word) + at[rare], return_counts=True)
+        tail = pa.StructArray.from_arrays([pa.array(key[pair % len(word)]), pa.array(times)], names=["word", "times"])
+        per_doc = np.bincount(pair // len(word), minlength=len(size))
+        sums = lambda x: np.bincount(doc, weights=x, minlength=len(size))
+        return [
+            row,
+            doc_id,
+            pa.array(size),
+            pa.array(sums(~rare).astype(np.int64)),
+            pa.array(sums(log_count[at])),
+            pa.array(sums(np.log10(np.minimum(p, 1)))),
+            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32)), tail),
+        ]
+
+    names = ["row", "doc_id", "n_tokens", "n_head", "head_sum", "score", "tail"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        head_word, head_n, *parts = shared.value
-        filter_, row = LogFrequencyFilter(*parts), TaskContext.get().partitionId() << 33
+        filter_, row = LogFrequencyFilter(*shared.value[2]), TaskContext.get().partitionId() << 33
         for batch in blocks(batches, limit=BLOCK):
             h, size = tokens(utf8(batch))
-            word, at = np.unique(h, return_inverse=True)
-            key = word.view(np.int64)
-            place = np.minimum(np.searchsorted(head_word, key), max(len(head_word) - 1, 0))
-            in_head = head_word[place] == key if len(head_word) else np.zeros(len(key), dtype=bool)
-            log_count = np.where(in_head, np.log10((head_n[place] if len(head_n) else 0) + 1.0), 0.0)
-            c1 = level_count(filter_.level(unigram_hash(word)))
-            doc = np.repeat(np.arange(len(size)), size)
-            inner = np.ones(len(h), dtype=bool)
-            inner[np.cumsum(size) - size] = False
-            second = np.flatnonzero(inner)
-            p = (c1[at] + 1) / (n + v + 1)
-            c2 = level_count(filter_.level(bigram_hash(h[second - 1], h[second])))
-            p[second] = MIX * c2 / np.maximum(np.maximum(c1[at[second - 1]], c2), 1) + (1 - MIX) * p[second]
-            rare = ~in_head[at]
-            pair, times = np.unique(doc[rare] * len(word) + at[rare], return_counts=True)
-            tail = pa.StructArray.from_arrays([pa.array(key[pair % len(word)]), pa.array(times)], names=["word", "times"])
-            per_doc = np.bincount(pair // len(word), minlength=len(size))
-            sums = lambda x: np.bincount(doc, weights=x, minlength=len(size))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row + np.arange(len(size)), pa.int64()),
-                    batch.column("doc_id"),
-                    pa.array(size),
-                    pa.array(sums(~rare).astype(np.int64)),
-                    pa.array(sums(log_count[at])),
-                    pa.array(sums(np.log10(np.minimum(p, 1)))),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32)), tail),
-                ],
-                names=["row", "doc_id", "n_tokens", "n_head", "head_sum", "score", "tail"],
-            )
+            at = pa.array(row + np.arange(len(size)), pa.int64())
+            yield pa.RecordBatch.from_arrays(columns(at, batch.column("doc_id"), h, size, filter_.level), names=names)
             row += len(size)
 
+    def run_chunk(group: pa.Table, answers: pa.Table) -> pa.Table:
+        group, answers = group.sort_by("row"), answers.sort_by([("piece", "ascending"), ("segment", "ascending")])
+        of, levels_of = answers.column("piece").to_numpy(), answers.column("levels").to_pylist()
+        pieces, first = np.unique(of, return_index=True)
+        at = [*np.searchsorted(group.column("row").to_numpy(), pieces).tolist(), group.num_rows]
+        first = [*first.tolist(), len(of)]
+        out = []
+        for k in range(len(pieces)):
+            rows = group.slice(at[k], at[k + 1] - at[k]).combine_chunks()
+            h, size = tokens(utf8(rows))
+            asked, found = _ngrams(h, size), np.frombuffer(b"".join(levels_of[first[k] : first[k + 1]]), dtype=np.uint8).astype(np.int64)
+            level = lambda x, asked=asked, found=found: found[np.searchsorted(asked, x)]
+            out.append(pa.Table.from_arrays(columns(rows.column("row"), rows.column("doc_id"), h, size, level), names=names))
+        return pa.concat_tables(out)
+
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"row bigint, doc_id {id_type}, n_tokens bigint, n_head bigint, head_sum double, score double, tail array<struct<word:bigint,times:bigint>>"
-    scored = materialize(docs.select("doc_id", "text").mapInArrow(run, schema))
+    if model:
+        scored = docs.select("doc_id", "text").mapInArrow(run, schema)
+    else:
+        release_shuffles(spark)  # those of the counts, which are tables by now
+        chunks = materialize(_chunks(docs))
+        answers = materialize(chunk_levels(chunks, ngrams, segments))
+        release_shuffles(spark)  # those of the probes
+        scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run_chunk, schema)
+    scored = materialize(scored)
     rare = (
         scored.select("row", F.explode("tail").alias("t"))
         .select("row", "t.word", "t.times")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 from collections.abc import Iterable, Iterator
 
@@ -40,6 +41,12 @@ def release_memory() -> None:
         trim(0)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer used: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into slices of about ``limit`` bytes of text (a longer row is a slice of its own)."""
     for batch in batches:

@@ -272,6 +272,23 @@ def test_filter_keeps_the_frequent_when_it_is_small():
     assert [bloom_lm.lowest_level(histogram, c) for c in (1230, 1229, 120, 119, 9)] == [1, 2, 2, 3, 4]
 
 
+def test_filter_holds_every_ngram_at_any_size(spark):
+    rng = random.Random(11)
+    vocab = vocabulary(3000)
+    texts = [sentence(rng, vocab, rng.randint(0, 200)) for _ in range(80)] + [None, "", "unseenword", "again", "again"]
+    docs = docs_frame(spark, [*texts, (0, "twice"), (None, "no id")]).repartition(3)
+    train = docs.where("doc_id % 3 <> 0")
+    segments = bloom_lm.segment_count(10_000)
+    ngrams = bloom_lm.ngram_levels(train, bloom_lm.word_counts(train), segments)
+    assert bloom_lm.build_filter(ngrams, segments, 1 << 12) is None  # too small for the broadcast: no lower levels are cut off
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, r.score)
+    large, small = (sorted(bloom_lm.score(docs, train, bits=b).collect(), key=key) for b in (1 << 28, 1 << 12))
+    assert len(small) == len(texts) + 2
+    for a, b in zip(large, small, strict=True):
+        assert (a.doc_id, a.n_tokens, a.n_known) == (b.doc_id, b.n_tokens, b.n_known)
+        assert b.score == pytest.approx(a.score, abs=1e-9) and b.base_score == pytest.approx(a.base_score, abs=1e-9)
+
+
 def test_model_beats_the_unigram_on_seen_order(spark):
     docs = docs_frame(spark, ["one two three four five six seven"] * 5 + ["seven two five four one six three"])
     out = bloom_lm.score(docs, docs.where("doc_id < 5"), bits=1 << 16).orderBy("doc_id").collect()
