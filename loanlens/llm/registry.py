@@ -18,6 +18,5 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op4_simhash": simhash.query,
     "op5_decontaminate": decontaminate.oracle_sql(),
 }

@@ -242,6 +242,36 @@ def test_fingerprints_odd_inputs(spark):
     assert only_null.count() == 2
 
 
+def test_simhash_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(12)
+    vocab = vocabulary(2000)
+    texts = {}
+    for g in range(8):
+        base = rng.choices(vocab, k=600)
+        for k in range(10):  # near copies, and an exact one
+            w = list(base)
+            for _ in range(k // 2):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            texts[10 * g + k] = " ".join(w)
+    docs_frame(spark, list(texts.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in simhash.query(spark, str(tmp_path)).collect()}
+    h = simhash.WordHashes()
+    own = {i: simhash.fingerprint(t, h) for i, t in texts.items()}
+    different = {p.tobytes() for p in own.values()}
+    order = sorted(texts, reverse=True)
+    assert set(out) == set(texts)
+    for i, following in zip(order, [*order[1:], order[0]], strict=True):
+        other = simhash.edited(texts[i], texts[following])
+        changed = simhash.fingerprint(other, h)
+        near = sum(0 < np.unpackbits(own[i] ^ np.frombuffer(p, dtype=np.uint8)).sum() <= simhash.RADIUS for p in different)
+        r = out[i]
+        assert (r.n_chars, r.fingerprint, r.edited_fingerprint) == (len(texts[i]), own[i].tobytes().hex(), changed.tobytes().hex())
+        assert r.edited_sha256 == hashlib.sha256(other.encode()).hexdigest()
+        assert (r.near_edited, r.near_next) == (simhash.likeness(own[i], changed), simhash.likeness(own[i], own[following]))
+        assert r.n_within == (near if i % 20 == 0 else None)
+    assert max(r.n_within or 0 for r in out.values()) > 0
+
+
 @pytest.mark.parametrize("blocks,radius", [(12, 11), (8, 6), (4, 3)])
 def test_search_equals_brute_force(spark, blocks, radius):
     rng = np.random.default_rng(3)

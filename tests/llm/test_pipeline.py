@@ -26,6 +26,10 @@ def test_registered_queries():
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and "op5_decontaminate" in entry.oracle_sql()
 
 
+def test_every_oracle_is_sql():
+    assert {k for k, v in entry.oracle_sql().items() if not isinstance(v, str)} == set()
+
+
 def test_entry_serves_the_rest_without_the_subpackage():
     code = "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); print(len(q), any(k.startswith('op') or k == 'pipeline' for k in q), set(e.oracle_sql()) <= set(q))"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
