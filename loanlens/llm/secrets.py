@@ -2,12 +2,12 @@
 
 Base spans come from three fixed patterns and are always kept. Further candidates are long runs of key
 characters; two first-order Markov models, of random strings and of ordinary identifiers, are compared
-by the log-likelihood ratio of the run's character transitions. The models are trained from labelled samples: the
-values inside base matches against the other words, in a bounded sample of documents (``TRAIN_DOCS``, a
+by the log-likelihood ratio of the run's character transitions. The models are trained from labels: the different
+values inside base matches of all documents against the other words in a bounded sample of documents (``TRAIN_DOCS``, a
 documented bound; candidates, scores and spans cover all rows and whole texts). Only transition counts, at
 most (number of key characters + 1) squared a class, reach the driver.
 
-Defined results: null and empty texts have no spans; with no sample of a class its model is uniform; candidates
+Defined results: null and empty texts have no spans; with no value of a class its model is uniform; candidates
 that overlap a base span are left out; repeated rows give repeated rows.
 """
 
@@ -80,9 +80,10 @@ def log_ratio(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> np.ndarray:
-    """Log ratios of all transitions, learned from about ``bound`` documents at most."""
-    sample = bounded_sample(docs.select("text").where("text is not null"), bound, key=["text"])
-    random = sample.select(F.explode(base_spans(F.col("text"))).alias("s")).select("s.value").distinct()
+    """Log ratios of all transitions: secrets, which may be rare, from all documents, other words from about ``bound`` at most."""
+    known = docs.select("text").where("text is not null")
+    sample = bounded_sample(known, bound, key=["text"])
+    random = known.select(F.explode(base_spans(F.col("text"))).alias("s")).select("s.value").distinct()
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     ordinary = sample.select(F.explode(F.split(rest, r"[^A-Za-z0-9+/_=-]+")).alias("value"))
     return log_ratio(_transitions(random), _transitions(ordinary))

@@ -171,6 +171,17 @@ def test_markov_models_add_random_strings(spark):
     assert out[1].spans == []
 
 
+def test_rare_secrets_train_the_model_whatever_the_bound(spark, monkeypatch):
+    rng = random.Random(5)
+    vocab = vocabulary(300)
+    key = lambda: "".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZ23456789", k=32))
+    keys = [key() for _ in range(6)]
+    docs = docs_frame(spark, [sentence(rng, vocab, 30) + (f" token = {keys[i // 50]}" if i % 50 == 0 else "") for i in range(300)])
+    monkeypatch.setattr(secrets, "log_ratio", lambda random, ordinary: random)
+    counts = secrets.fit(docs, bound=5)
+    assert counts.sum() == sum(len(k) - 1 for k in keys) and (counts == secrets.fit(docs, bound=10_000)).all()
+
+
 def test_redaction(spark):
     texts = ["x token = abcdefabcdef0123456789 y deadbeefdeadbeef", "nothing here", None, "", "0123456789abcdef0123456789abcdef"]
     docs = clashing(docs_frame(spark, texts), "row", "base", "spans", "found", "runs", "hit", "new")
