@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, jaccard_join, langid, mil_quality, pii, secrets, simhash
+from loanlens.llm import bloom_lm, bpe, chat_windows, decontaminate, fim, jaccard_join, langid, mil_quality, pii, rendezvous, secrets, simhash, token_align
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -15,8 +15,13 @@ QUERIES = {
     "op8_mil_quality": mil_quality.query,
     "op9_chat_windows": chat_windows.query,
     "op10_secret_scan": secrets.query,
+    "op11_rendezvous": rendezvous.query,
+    "op12_token_align": token_align.query,
+    "op13_fill_in_middle": fim.query,
 }
 
 ORACLE_SQL = {
     "op5_decontaminate": decontaminate.oracle_sql(),
+    "op11_rendezvous": rendezvous.oracle_sql(),
+    "op13_fill_in_middle": fim.oracle_sql(),
 }

@@ -21,7 +21,7 @@ ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 
 def test_registered_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*registry.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and "op5_decontaminate" in entry.oracle_sql()
 
