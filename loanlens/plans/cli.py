@@ -8,6 +8,9 @@
     scatter       acquisition files -> credit score x balance bins by loan purpose
     land          raw text files -> Parquet partitioned by source file and year
 
+A report's tables are keyed by year (0: all years in one) and published together: a run replaces its own
+years in all of them and leaves the others (:mod:`loanlens.sources.results`).
+
 Outputs are Parquet folders under ``--out``; ``--text`` writes ``|``-separated
 bzip2 text instead where a record table is produced.
 """
@@ -28,8 +31,10 @@ from loanlens.operators.reports import scatter_bins
 from loanlens.plans.jobs import model_report, yearly_report
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS, perf_fields
 from loanlens.session import RECOMMENDED_CONF, ensure_checkpoint_dir, release_checkpoints
-from loanlens.sources.landing import SOURCE_FILE, land_acquisition, land_performance
-from loanlens.sources.sinks import write_metrics, write_parquet
+from loanlens.sources.commit import Folder
+from loanlens.sources.landing import MANIFEST, SOURCE_FILE, land_acquisition, land_performance, read_landed
+from loanlens.sources.results import publish
+from loanlens.sources.sinks import write_parquet
 from loanlens.sources.text import (
     format_legacy_foreclosures,
     read_acquisition,
@@ -52,7 +57,7 @@ def _session(app: str) -> SparkSession:
 
 def _read(spark: SparkSession, path: str, kind: str, a) -> DataFrame:
     if a.input_format == "parquet":
-        return spark.read.parquet(path)
+        return read_landed(spark, path) if Folder(spark, path).exists(MANIFEST) else spark.read.parquet(path)
     if kind == "acq":
         return read_acquisition(spark, path)
     return read_performance(spark, path, perf_fields(a.perf_fields))
@@ -108,15 +113,14 @@ LEGACY_FOLDERS = {
 }
 
 
-def _write_legacy_outputs(hypotheses: DataFrame, metrics: DataFrame, models: list[str], out: str) -> None:
-    """Also write the text layout older consumers read: p-values one per line (features in order,
+def _legacy_outputs(hypotheses: DataFrame, metrics: DataFrame, models: list[str], under: str = "") -> dict[str, DataFrame]:
+    """The text layout older consumers read, folder by folder: p-values one per line (features in order,
     intercept last) and each model's evaluator area under ROC."""
-    pvals = hypotheses.orderBy("position").select(F.coalesce(F.col("p").cast("string"), F.lit("")).alias("value"))
-    pvals.coalesce(1).write.mode("overwrite").text(os.path.join(out, LEGACY_FOLDERS["pval"]))
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")
     auc = metrics.where(F.col("metric") == "areaUnderROC")
-    for model in models:
-        one = auc.where(F.col("model") == model).select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
-        one.coalesce(1).write.mode("overwrite").text(os.path.join(out, LEGACY_FOLDERS[model]))
+    out = {LEGACY_FOLDERS["pval"]: hypotheses.orderBy("position").select(value("p"))}
+    out |= {LEGACY_FOLDERS[m]: auc.where(F.col("model") == m).select(value("value")) for m in models}
+    return {os.path.join(under, name): df for name, df in out.items()}
 
 
 def _ids(spark, a) -> DataFrame:
@@ -133,27 +137,21 @@ def cmd_report(spark, a):
     models = a.models.split(",") if a.models else list(MODEL_FITTERS)
     if a.by_year:
         year_col = a.year_col or ("file_year" if "file_year" in acq.columns else "origination_year")
-        years = [a.year] if a.year else None
-        rep = yearly_report(spark, acq, None, years, models, year_col, fit_on=a.fit_on, ids=_ids(spark, a))
-        write_metrics(rep.metrics, os.path.join(a.out, "metrics"), mode="overwrite")
-        for name in ("hypotheses", "correlation", "curves", "confusion"):
-            write_parquet(getattr(rep, name), os.path.join(a.out, name), partition_by=["year"])
+        rep = yearly_report(spark, acq, None, [a.year] if a.year else None, models, year_col, fit_on=a.fit_on, ids=_ids(spark, a))
+        texts = {}
         if a.legacy_output:
-            for (year,) in rep.metrics.select("year").distinct().collect():  # one row a year
+            for year in rep.years:
                 of = lambda df, y=year: df.where(F.col("year").eqNullSafe(F.lit(y)))
-                _write_legacy_outputs(of(rep.hypotheses), of(rep.metrics), models, os.path.join(a.out, str(year)))
+                texts |= _legacy_outputs(of(rep.hypotheses), of(rep.metrics), models, str(year))
+        publish(spark, rep.tables(), a.out, [a.year] if a.year else rep.years, texts)
         return
     lab = label_join(prepare_loans(acq), _ids(spark, a))
     rep = model_report(spark, lab, year=a.year, models=models, fit_on=a.fit_on)
-    write_parquet(rep.correlation, os.path.join(a.out, "correlation"))
-    write_parquet(rep.hypotheses, os.path.join(a.out, "hypotheses"))
-    write_metrics(rep.metrics.fillna({"year": a.year or 0}), os.path.join(a.out, "metrics"), mode="overwrite")
-    if a.legacy_output:
-        _write_legacy_outputs(rep.hypotheses, rep.metrics, models, a.out)
-    for name, df in rep.curves.items():
-        write_parquet(df, os.path.join(a.out, "curves", name))
-    for name, df in rep.confusion.items():
-        write_parquet(df, os.path.join(a.out, "confusion", name))
+    year = a.year or 0  # 0: all years
+    tables = {"correlation": rep.correlation, "hypotheses": rep.hypotheses, "metrics": rep.metrics}
+    tables |= {f"curves/{name}": df for name, df in rep.curves.items()} | {f"confusion/{name}": df for name, df in rep.confusion.items()}
+    keyed = {name: df.withColumn("year", F.lit(year)) for name, df in tables.items()}
+    publish(spark, keyed, a.out, [year], _legacy_outputs(rep.hypotheses, rep.metrics, models) if a.legacy_output else None)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -153,6 +153,11 @@ class YearlyReport:
     correlation: DataFrame  # year, feature_a, feature_b, r
     curves: DataFrame  # year, model + the curve-table columns
     confusion: DataFrame  # year, model, label, predicted, n
+    years: list[int | None]  # in order
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The five tables by name."""
+        return {name: getattr(self, name) for name in ("metrics", "hypotheses", "correlation", "curves", "confusion")}
 
     def rows(self) -> DataFrame:
         """All of it as ``(year, result, model, item, value)``."""
@@ -244,4 +249,5 @@ def yearly_report(
         stacked("year int, " + CORRELATION_SCHEMA, [keyed(y, r.correlation) for y, r in each]),
         stacked("year int, model string, " + CURVE_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.curves.items()]),
         stacked("year int, model string, " + CONFUSION_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.confusion.items()]),
+        [r["y"] for r in present],
     )

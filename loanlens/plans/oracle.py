@@ -308,7 +308,40 @@ def _split_expr(key: str = "loan_id") -> str:
     return f"CASE WHEN {u} < 0.7::DOUBLE THEN 'train' ELSE 'test' END"
 
 
+def _yearly_rerun_sql() -> str:
+    year = "try_cast(split_part(reporting_date, '/', 3) AS INTEGER)"
+    early = IDS_CTE.replace("ids AS", "early AS", 1)[:-1] + f" AND {year} < 1998)"
+    keyed = (
+        "keyed AS (SELECT l.*, cast(year(o.o_orderdate) AS INTEGER) AS year, cast(l.loan_id AS BIGINT) AS id FROM loans l JOIN orders o ON cast(l.loan_id AS BIGINT) = o.o_orderkey), "
+        "lab AS (SELECT k.*, CASE WHEN (CASE WHEN k.year = 2000 THEN i.f_loan_id ELSE e.f_loan_id END) IS NOT NULL THEN 1 ELSE 0 END AS y, "
+        f"CASE WHEN 1.0::DOUBLE - cast(min_credit_score AS DOUBLE) / 1000.0::DOUBLE > {CONFUSION_THRESHOLD}::DOUBLE THEN 1 ELSE 0 END AS predicted, {_split_expr()} AS split "
+        "FROM keyed k LEFT JOIN ids i ON k.id = i.f_loan_id LEFT JOIN early e ON k.id = e.f_loan_id)"
+    )
+
+    def part(name: str, item: str, positive: bool) -> str:
+        n_foreclosed = "cast(sum(y) AS BIGINT)" if positive else "cast(0 AS BIGINT)"
+        return f"SELECT '{name}' AS result, year, {item} AS item, count(*) AS n, {n_foreclosed} AS n_foreclosed FROM lab GROUP BY year, {item}"
+
+    parts = [
+        part("counts", "''", True),
+        part("classes", "cast(y AS VARCHAR)", False),
+        part("purposes", "loan_purpose", True),
+        part("split", "split", True),
+        part("confusion", "y || '|' || predicted", False),
+    ]
+    return _with(*LOANS, PERF_CTE, IDS_CTE, early, keyed) + " UNION ALL ".join(parts)
+
+
 ORACLE_SQL: dict[str, str] = {
+    "yearly_tables_rerun": _yearly_rerun_sql(),
+    "landing_manifest": _with(PERF_CTE)
+    + "SELECT try_cast(split_part(reporting_date, '/', 3) AS INTEGER) AS reporting_year, count(*) AS n_rows, "
+    "(SELECT count(*) FROM perf) AS manifest_rows, true AS files_ok FROM perf GROUP BY 1",
+    "reconciled_lines": _with(ACQ_CTE)
+    + "SELECT CASE right(loan_id, 1) WHEN '3' THEN 'wide' WHEN '7' THEN 'short' ELSE 'good' END AS verdict, loan_id, "
+    "cast(CASE right(loan_id, 1) WHEN '3' THEN 28 WHEN '7' THEN 20 ELSE 26 END AS INTEGER) AS n_fields, "
+    "(SELECT count(*) FROM acq) AS n_lines, (SELECT count(*) FROM acq WHERE right(loan_id, 1) NOT IN ('3', '7')) AS n_rows, "
+    "(SELECT count(*) FROM acq WHERE right(loan_id, 1) IN ('3', '7')) AS n_rejected FROM acq",
     "parse_pipe_records": _with(ACQ_CTE)
     + "SELECT "
     + ", ".join(f"nullif({c}, '')" + f" AS {c}" if c != "unknownCol" else "NULL::VARCHAR AS unknownCol" for c in ACQ_FIELDS)

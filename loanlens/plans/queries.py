@@ -9,6 +9,7 @@ DuckDB oracle can compare them; ratios of integers are left exact.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,13 +22,14 @@ from loanlens.plans import jobs
 from loanlens.schemas import (
     ACQ_FIELDS,
     CATEGORICAL_FEATURES,
+    CONFUSION_THRESHOLD,
     PERF_FIELDS,
     PLOT_CATEGORICAL,
     SPLIT_SEED,
     SPLIT_WEIGHTS,
 )
-from loanlens.session import scratch_folder
-from loanlens.sources import landing, tables, text
+from loanlens.session import checkpointed, scratch_folder
+from loanlens.sources import landing, results, tables, text
 
 DIGITS = 6
 MOMENT_DIGITS = 4
@@ -101,6 +103,45 @@ def q_landed_performance(spark, sf_dir):
     return landed.select(*PERF_FIELDS, "reporting_year")
 
 
+def q_landing_manifest(spark, sf_dir):
+    """Performance records landed in two deliveries, with half of the second one's rows already there as a job that died
+    before its commit leaves them: rows a reporting year, and what the manifest and a recount say of all files."""
+    folder = scratch_folder(spark, "text")
+    dst = f"{folder}/landed"
+    records = perf(spark, sf_dir)
+    loan = F.col("loan_id").cast("bigint")
+    text.write_pipe_text(records.where(loan % 2 == 1), f"{folder}/first")
+    text.write_pipe_text(records.where(loan % 2 == 0), f"{folder}/second")
+    landing.land_performance(spark, f"{folder}/first", dst)
+    died = text.read_performance(spark, f"{folder}/second").withColumns(
+        {"reporting_year": landing.reporting_year(), landing.SOURCE_FILE: landing.source_key()}
+    )
+    died.where(loan % 4 == 0).write.mode("append").partitionBy(landing.SOURCE_FILE, "reporting_year").parquet(dst)
+    landed = landing.land_performance(spark, [f"{folder}/first", f"{folder}/second"], dst)
+    files = landing.check_landing(spark, dst).agg(F.sum("rows").alias("manifest_rows"), F.bool_and("ok").alias("files_ok")).first()
+    return landed.groupBy("reporting_year").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(files["manifest_rows"]).cast("long").alias("manifest_rows"),
+        F.lit(files["files_ok"]).alias("files_ok"),
+    )
+
+
+def q_reconciled_lines(spark, sf_dir):
+    """Acquisition lines, of which every tenth has two fields too many and another tenth is cut short, read with every
+    line accounted for: loans by verdict, and the counts of the read."""
+    folder = scratch_folder(spark, "text")
+    lines = text.to_pipe_lines(acq(spark, sf_dir), ACQ_FIELDS[:-1], trailing_field=True)
+    digit = F.regexp_extract("value", r"^\d*(\d)\|", 1)
+    cut = F.regexp_extract("value", r"^((?:[^|]*\|){19}[^|]*)", 1)
+    odd = F.when(digit == "3", F.concat("value", F.lit("|x|y"))).when(digit == "7", cut).otherwise(F.col("value"))
+    lines.select(odd.alias("value")).write.option("compression", "bzip2").text(folder)
+    read = text.read_reconciled(spark, folder, ACQ_FIELDS)
+    good = read.rows.select(F.lit("good").alias("verdict"), "loan_id", F.lit(len(ACQ_FIELDS)).alias("n_fields"))
+    bad = read.rejected.select("verdict", F.substring_index("line", "|", 1).alias("loan_id"), F.size(F.split("line", r"\|", -1)).alias("n_fields"))
+    counts = [F.lit(read.counts[k]).cast("long").alias(f"n_{k}") for k in ("lines", "rows", "rejected")]
+    return good.unionByName(bad).select("*", *counts)
+
+
 def q_foreclosure_extract(spark, sf_dir):
     """Performance records that carry a foreclosure date, as (loan_id, foreclosure_date)."""
     return cleaning.foreclosure_extract(perf(spark, sf_dir))
@@ -356,6 +397,47 @@ def q_yearly_counts(spark, sf_dir):
     return jobs.yearly_counts(lab)
 
 
+RERUN_YEAR = 2000
+
+
+def _year_tables(labelled_loans: DataFrame) -> dict[str, DataFrame]:
+    """Five small tables of each file year: counts, label classes, loan purposes, split, confusion of the scorecard."""
+    lab = labelled_loans.withColumn("year", F.col("file_year"))
+    n, positive = F.count(F.lit(1)).alias("n"), F.sum("is_foreclosed").cast("bigint").alias("n_foreclosed")
+    predicted = (credit_risk_score() > F.lit(CONFUSION_THRESHOLD)).cast("int").alias("predicted")
+    side = hash_split_column("loan_id", SPLIT_WEIGHTS, seed=SPLIT_SEED).alias("split")
+    return {
+        "counts": lab.groupBy("year").agg(n, positive),
+        "classes": lab.groupBy("year", "is_foreclosed").agg(n),
+        "purposes": lab.groupBy("year", "loan_purpose").agg(n, positive),
+        "split": lab.groupBy("year", side).agg(n, positive),
+        "confusion": lab.groupBy("year", "is_foreclosed", predicted).agg(n),
+    }
+
+
+def q_yearly_tables_rerun(spark, sf_dir):
+    """Five tables of every file year, published from the foreclosures reported before 1998, then one year run again
+    with all of them: that year is new in all tables, the others are as they were."""
+    out = scratch_folder(spark, "results")
+    records, reports = tables.acquisition_records(spark, sf_dir, with_file_year=True), perf(spark, sf_dir)
+    year = F.get(F.split("reporting_date", "/"), 2).try_cast("int")
+    first = checkpointed(jobs.labelled(records, reports.where(year < 1998)))
+    years = [r[0] for r in first.select("file_year").distinct().collect()]  # one row a year
+    results.publish(spark, _year_tables(first), out, years)
+    again = checkpointed(jobs.labelled(records.where(F.col("file_year") == RERUN_YEAR), reports))
+    results.publish(spark, _year_tables(again), out, [RERUN_YEAR])
+
+    def rows(name: str) -> DataFrame:
+        df = results.read_table(spark, out, name)
+        keys = [c for c in df.columns if c not in ("year", "n", "n_foreclosed")]
+        value = F.col("n_foreclosed") if "n_foreclosed" in df.columns else F.lit(0)
+        item = F.concat_ws("|", *(F.col(c).cast("string") for c in keys)) if keys else F.lit("")
+        return df.select(F.lit(name).alias("result"), F.col("year").cast("int").alias("year"), item.alias("item"), "n", value.cast("long").alias("n_foreclosed"))
+
+    out_rows = [rows(name) for name in ("counts", "classes", "purposes", "split", "confusion")]
+    return functools.reduce(DataFrame.unionByName, out_rows)
+
+
 def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         return jobs.model_metrics(spark, name, _model_predictions(spark, sf_dir, name))
@@ -401,6 +483,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_pipe_records": q_parse_pipe_records,
     "pipe_text_roundtrip": q_pipe_text_roundtrip,
     "landed_performance": q_landed_performance,
+    "landing_manifest": q_landing_manifest,
+    "reconciled_lines": q_reconciled_lines,
     "foreclosure_extract": q_foreclosure_extract,
     "legacy_foreclosure_ids": q_legacy_foreclosure_ids,
     "latest_entry": q_latest_entry,
@@ -441,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linear_score_confusion": q_linear_score_confusion,
     "model_test_counts": q_model_test_counts,
     "yearly_counts": q_yearly_counts,
+    "yearly_tables_rerun": q_yearly_tables_rerun,
     "logistic_auc": _model_query("logistic_regression"),
     "forest_auc": _model_query("random_forest"),
     "gbt_auc": _model_query("gradient_boosted_trees"),

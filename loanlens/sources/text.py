@@ -3,16 +3,20 @@
 Mortgage files are ``|``-separated text, often bzip2 compressed (Hadoop
 decodes ``.bz2`` by extension and bzip2 is splittable, so a large file is
 still read by many tasks). Reading goes through Spark's CSV source with an
-explicit all-string schema: no inference pass, column pruning applies, and
-short / long lines are reported rather than crashing the job.
+explicit all-string schema: no inference pass. No field is lost without a
+word: the record readers stop at a line with more fields than the layout,
+:func:`read_reconciled` sets such lines aside and accounts for every one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.schemas import ACQ_FIELDS, PERF_FIELDS, text_schema
+from loanlens.session import checkpointed
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -46,9 +50,24 @@ def read_pipe_text(
     return reader.csv(path)
 
 
+def _surplus(line: str, names: list[str]):
+    """True where a raw line has more fields than ``names``."""
+    return F.regexp_count(F.col(line), F.lit(r"\|")) >= len(names)
+
+
+def _refuse_wide(df: DataFrame, names: list[str], kind: str) -> DataFrame:
+    """``df`` without its raw lines; one with more fields than ``names`` stops the job."""
+    # Spark doesn't read the corrupt column alone, so the message names the loan, too
+    message = F.concat_ws(" ", F.lit("loan"), F.col(names[0]), F.lit(f"has {kind} line of more than {len(names)} fields:"), F.col(CORRUPT_COLUMN))
+    return df.where(F.when(_surplus(CORRUPT_COLUMN, names), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(CORRUPT_COLUMN)
+
+
 def read_acquisition(spark: SparkSession, path: str | list[str], with_file_year: bool = True) -> DataFrame:
-    """Acquisition files; ``file_year`` is taken from the file name (not the origination date)."""
-    df = read_pipe_text(spark, path, ACQ_FIELDS)
+    """Acquisition files; ``file_year`` is taken from the file name (not the origination date).
+
+    A line with more than the 26 fields stops the job: none is cut off silently. Missing trailing fields are null.
+    """
+    df = _refuse_wide(read_pipe_text(spark, path, ACQ_FIELDS, keep_corrupt=True), ACQ_FIELDS, "an acquisition")
     if with_file_year:
         year = F.regexp_extract(F.col("_metadata.file_path"), FILE_YEAR_PATTERN, 1)
         df = df.withColumn("file_year", F.nullif(year, F.lit("")).try_cast("int"))
@@ -62,11 +81,44 @@ def read_performance(spark: SparkSession, path: str | list[str], fields: list[st
     fields stops the job: none is cut off silently. Missing trailing fields are null.
     """
     names = fields or PERF_FIELDS
-    df = read_pipe_text(spark, path, names, keep_corrupt=True)
-    wide = F.regexp_count(F.col(CORRUPT_COLUMN), F.lit(r"\|")) >= len(names)
-    # Spark doesn't read the corrupt column alone, so the message names the loan, too
-    message = F.concat_ws(" ", F.lit("loan"), F.col(names[0]), F.lit(f"has a performance line of more than {len(names)} fields:"), F.col(CORRUPT_COLUMN))
-    return df.where(F.when(wide, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(CORRUPT_COLUMN)
+    return _refuse_wide(read_pipe_text(spark, path, names, keep_corrupt=True), names, "a performance")
+
+
+GOOD, SHORT, WIDE = "good", "short", "wide"
+
+
+@dataclass
+class Reconciled:
+    """A read in which every line is accounted for: ``lines = rows + rejected``."""
+
+    rows: DataFrame  # the fields of the accepted lines
+    rejected: DataFrame  # verdict, line
+    counts: dict[str, int]  # lines, good, short, wide, rows, rejected
+
+
+def read_reconciled(spark: SparkSession, path: str | list[str], fields: list[str], keep_short: bool = False) -> Reconciled:
+    """Read ``|`` records and set those aside whose number of fields is not that of ``fields``.
+
+    One pass reads and writes all lines, by verdict, to the checkpoint folder, and counts them on the way (an
+    ``Observation``). The written rows are then counted again by what was kept; any difference is an error.
+    ``keep_short`` accepts lines with missing trailing fields, as null. Empty lines are no records.
+    """
+    raw = read_pipe_text(spark, path, fields, keep_corrupt=True)
+    verdict = F.when(F.col(CORRUPT_COLUMN).isNull(), GOOD).when(_surplus(CORRUPT_COLUMN, fields), WIDE).otherwise(SHORT)
+    seen = Observation()
+    counted = raw.withColumn("_verdict", verdict).observe(
+        seen, F.count(F.lit(1)).alias("lines"), *(F.count_if(F.col("_verdict") == v).alias(v) for v in (GOOD, SHORT, WIDE))
+    )
+    written = checkpointed(counted, partition_by=("_verdict",))
+    accepted = F.col("_verdict").isin([GOOD, SHORT] if keep_short else [GOOD])
+    rows, rejected = written.where(accepted).select(*fields), written.where(~accepted).select(F.col("_verdict").alias("verdict"), F.col(CORRUPT_COLUMN).alias("line"))
+    found = {r["_verdict"]: r["count"] for r in written.groupBy("_verdict").count().collect()}  # at most three rows
+    counts = {k: int(v) for k, v in seen.get.items()}
+    if {v: found.get(v, 0) for v in (GOOD, SHORT, WIDE)} != {v: counts[v] for v in (GOOD, SHORT, WIDE)} or sum(found.values()) != counts["lines"]:
+        raise RuntimeError(f"lines read {counts} and written {found} differ")
+    counts["rows"] = counts[GOOD] + (counts[SHORT] if keep_short else 0)
+    counts["rejected"] = counts["lines"] - counts["rows"]
+    return Reconciled(rows, rejected, counts)
 
 
 def parse_pipe_lines(lines: DataFrame, fields: list[str], value_col: str = "value") -> DataFrame:
