@@ -24,15 +24,15 @@ from loanlens.session import checkpointed, local_rows
 DEFAULT_BUCKETS = None  # None: the session's spark.sql.shuffle.partitions
 
 
-def usable(df: DataFrame, label_col: str = "label", score: Column | str = "score") -> DataFrame:
+def usable(df: DataFrame, label_col: str = "label", score: Column | str = "score", keep: list[str] | None = None) -> DataFrame:
     """``(label, score)`` of the rows that can be evaluated: a label, and a score that is neither null nor NaN.
 
-    The one rule of all evaluations here. ``label`` is 1 above 0.5, else 0.
+    The one rule of all evaluations here. ``label`` is 1 above 0.5, else 0. Columns ``keep`` come first.
     """
     s = (F.col(score) if isinstance(score, str) else score).cast("double")
     y = F.col(label_col).cast("double")
     return (
-        df.select(F.when(y > 0.5, 1).when(y.isNotNull(), 0).alias("label"), s.alias("score"))
+        df.select(*(keep or []), F.when(y > 0.5, 1).when(y.isNotNull(), 0).alias("label"), s.alias("score"))
         .where("label is not null and score is not null and not isnan(score)")
     )
 

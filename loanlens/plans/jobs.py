@@ -6,8 +6,8 @@
   read it instead of replaying the joins (and survive executor loss).
 * :func:`model_report` -- correlation, hypothesis tests, LR / RF / GBT with
   ROC / PR / confusion tables and a metrics table.
-* :func:`yearly_report` -- the same per file year inside one application;
-  each fit is distributed, the loop only walks the years.
+* :func:`yearly_report` -- the same per file year inside one application:
+  the year is a grouping key, only the classifier fits are a loop.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.operators.cleaning import prepare_loans
+from loanlens.operators.cleaning import cast_numeric, prepare_loans
 from loanlens.operators.evaluate import (
     confusion_at_threshold,
     curve_table,
@@ -27,12 +27,25 @@ from loanlens.operators.evaluate import (
     probability_score,
 )
 from loanlens.operators.features import ModelFrame, prepare_model_frame
+from loanlens.operators.grouped import (
+    GroupStats,
+    fit_groups,
+    group_confusion,
+    group_correlations,
+    group_curves,
+    group_frame,
+    group_histogram,
+    group_hypotheses,
+    group_metrics,
+    group_moments,
+    group_totals,
+)
 from loanlens.operators.labels import foreclosure_ids, label_join
-from loanlens.functions import readable_label_py
 from loanlens.operators.models import MODEL_FITTERS, hash_split, hash_split_column
-from loanlens.operators.stats import CORRELATION_SCHEMA, INTERCEPT_LABEL, correlation_long, hypothesis_table
-from loanlens.schemas import MODEL_FEATURES, SPLIT_SEED, SPLIT_WEIGHTS
-from loanlens.session import checkpointed, local_rows
+from loanlens.operators.stats import correlation_long, hypothesis_table
+from loanlens.schemas import SPLIT_SEED, SPLIT_WEIGHTS
+from loanlens.session import checkpointed, local_rows, scratch_folder
+from loanlens.sources.results import year_folder
 from loanlens.sources.sinks import METRICS_SCHEMA
 
 MODEL_KEYS = ["loan_id", "origination_year"]
@@ -179,25 +192,37 @@ class YearlyReport:
         return out
 
 
-HYPOTHESIS_SCHEMA = "position int, feature string, coefficient double, std_error double, t double, p double, p_bonferroni double, p_bonferroni_capped double"
-CURVE_SCHEMA = "threshold double, tp bigint, fp bigint, tpr double, fpr double, precision double, recall double"
-CONFUSION_SCHEMA = "label int, predicted int, n bigint"
-
-
-def _one_class_year(spark: SparkSession, year, label: int, models: list[str]) -> Report:
-    """What a year with a single label class gives: nothing to score, so every metric is null; the GLM's
-    coefficients are 0, its intercept is the label, and its tests are undefined (null)."""
-    names = [readable_label_py(f) for f in MODEL_FEATURES] + [INTERCEPT_LABEL]
-    hypotheses = [(i, n, float(label) if n == INTERCEPT_LABEL else 0.0, *[None] * 5) for i, n in enumerate(names)]
-    metrics = [(year, m, k, None) for m in models for k in ("areaUnderROC", "areaUnderPR", "exactAUC", "testRows")]
-    none = lambda schema: spark.createDataFrame([], schema)
-    return Report(
-        none(CORRELATION_SCHEMA),
-        local_rows(spark, hypotheses, HYPOTHESIS_SCHEMA),
-        local_rows(spark, metrics, METRICS_SCHEMA),
-        {m: none(CURVE_SCHEMA) for m in models},
-        {m: none(CONFUSION_SCHEMA) for m in models},
-    )
+PREDICTION_SCHEMA = "loan_id string, label int, score double, year int, model string"
+METRICS = ("areaUnderROC", "areaUnderPR", "exactAUC", "testRows")
+
+
+@dataclass
+class YearFrame:
+    """The model-ready rows of all years, and what the tests need of them."""
+
+    data: DataFrame  # year, loan_id, origination_year, label, out, z, features
+    stats: GroupStats
+    moments: DataFrame
+
+
+def year_frame(labelled_loans: DataFrame, year_col: str = "file_year", fit_on: str = "all") -> YearFrame:
+    """Features of every year, fitted on that year's rows (or their training side), in the same few jobs for any number of years."""
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
+    rows = cast_numeric(labelled_loans.withColumn("year", F.col(year_col).cast("int")))
+    rows = checkpointed(rows.hint("rebalance"))
+    stats = fit_groups(rows if fit_on == "all" else rows.where(hash_split_column("loan_id") == "train"), "year")
+    # by year, so that a year's fit reads its own folders
+    data = checkpointed(group_frame(rows, stats, MODEL_KEYS).hint("rebalance", "year"), partition_by=("year",))
+    return YearFrame(data, stats, checkpointed(group_moments(data, stats)))
+
+
+def _predict(data: DataFrame, year: int | None, model: str, folder: str) -> None:
+    """Fit one classifier on one year's training side and write its scores of the test side."""
+    train, test = hash_split(data.where(F.col("year").eqNullSafe(F.lit(year))))
+    fitted = MODEL_FITTERS[model](train, features_col="features", label_col="label")
+    scored = fitted.transform(test).withColumn("score", probability_score())
+    scored.select("loan_id", "label", "score").write.parquet(f"{folder}/{year_folder('', year).strip('/')}/model={model}")
 
 
 def yearly_report(
@@ -207,47 +232,46 @@ def yearly_report(
     years: list[int] | None = None,
     models: list[str] | None = None,
     year_col: str = "file_year",
-    concurrent_years: int = 4,
+    concurrent_fits: int = 6,
     fit_on: str = "all",
     ids: DataFrame | None = None,
 ) -> YearlyReport:
     """The report of every year, as tables keyed by ``year``; by default the year in the acquisition file's name.
 
-    The labelled frame is checkpointed once, partitioned by year, so each
-    year reads its own folders. Each year has its own feature fit, GLM and
-    classifiers, as a separate per-year run would do. Up to
-    ``concurrent_years`` years are fitted at the same time (concurrent jobs
-    in one application); results are returned in year order. A year with a
-    single label class is listed with null metrics (:func:`_one_class_year`).
+    Each year has its own feature fit, GLM and classifiers, as a separate per-year run would do, but the year is a
+    grouping key: features, correlations, tests, curves, metrics and confusion tables of all years come
+    from the same jobs (:mod:`loanlens.operators.grouped`). Only the classifier fits are a job chain for each year and
+    model, up to ``concurrent_fits`` at the same time; their test scores go to one table keyed by both.
+    A year with a single label class is listed with null metrics and tests, and has no curves or correlations.
     ``ids`` gives the foreclosure ids in place of ``perf``.
     """
     ids = foreclosure_ids(perf) if ids is None else ids
-    lab = checkpointed(label_join(prepare_loans(acq), ids).hint("rebalance", year_col), partition_by=(year_col,))
-    found = lab.groupBy(F.col(year_col).alias("y")).agg(F.min("is_foreclosed").alias("lo"), F.max("is_foreclosed").alias("hi"))
-    present = [r for r in found.orderBy("y").collect() if years is None or r["y"] in years]  # one row a year
+    lab = label_join(prepare_loans(acq), ids)
+    if years is not None:
+        lab = lab.where(F.col(year_col).isin(years))
+    frame = year_frame(lab, year_col, fit_on)
+    classes = frame.moments.select("year", (F.col("vy") > 0).alias("two")).orderBy("year").collect()  # one row a year
     names = models or list(MODEL_FITTERS)
-
-    def one_year(r):
-        if r["lo"] == r["hi"]:
-            return _one_class_year(spark, r["y"], r["lo"], names)
-        return model_report(spark, lab.where(F.col(year_col).eqNullSafe(F.lit(r["y"]))), year=r["y"], models=names, fit_on=fit_on)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_years, len(present) or 1))) as pool:
-        reports = list(pool.map(one_year, present))
-
-    def stacked(schema: str, frames: list[DataFrame]) -> DataFrame:
-        out = spark.createDataFrame([], schema)
-        for f in frames:
-            out = out.unionByName(f)
-        return out
-
-    keyed = lambda y, df, *extra: df.select(F.lit(y).cast("int").alias("year"), *extra, "*")
-    each = list(zip([r["y"] for r in present], reports, strict=True))
+    folder = scratch_folder(spark, "predictions")
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_fits)) as pool:
+        list(pool.map(lambda fit: _predict(frame.data, *fit, folder), [(r["year"], m) for r in classes if r["two"] for m in names]))
+    if any(r["two"] for r in classes):
+        predictions = spark.read.schema(PREDICTION_SCHEMA).parquet(folder)
+    else:
+        predictions = spark.createDataFrame([], PREDICTION_SCHEMA)
+    keys = ["year", "model"]
+    totals = checkpointed(group_totals(checkpointed(group_histogram(predictions, keys)), keys))
+    # every year and model has its metrics, null where there is nothing to score
+    wanted = local_rows(spark, [(r["year"], m, k) for r in classes for m in names for k in METRICS], "_year int, _model string, _metric string")
+    found = group_metrics(totals, keys)
+    same = wanted["_year"].eqNullSafe(found["year"]) & (wanted["_model"] == found["model"]) & (wanted["_metric"] == found["metric"])
+    metrics = wanted.join(found, same, "left").select(F.col("_year").alias("year"), F.col("_model").alias("model"), F.col("_metric").alias("metric"), "value")
+    tested = frame.moments.where("vy > 0")
     return YearlyReport(
-        stacked(METRICS_SCHEMA, [r.metrics for _, r in each]),
-        stacked("year int, " + HYPOTHESIS_SCHEMA, [keyed(y, r.hypotheses) for y, r in each]),
-        stacked("year int, " + CORRELATION_SCHEMA, [keyed(y, r.correlation) for y, r in each]),
-        stacked("year int, model string, " + CURVE_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.curves.items()]),
-        stacked("year int, model string, " + CONFUSION_SCHEMA, [keyed(y, c, F.lit(m).alias("model")) for y, r in each for m, c in r.confusion.items()]),
-        [r["y"] for r in present],
+        metrics,
+        group_hypotheses(frame.moments, frame.stats),
+        group_correlations(tested, frame.stats),
+        group_curves(totals, keys),
+        group_confusion(predictions, keys),
+        [r["year"] for r in classes],
     )

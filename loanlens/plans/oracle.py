@@ -13,6 +13,7 @@ from loanlens.schemas import (
     CATEGORICAL_FEATURES,
     CONFUSION_THRESHOLD,
     DROP_NA_SUBSET,
+    GLM_REG_PARAM,
     LOAN_FIELDS,
     MODEL_FEATURES,
     NUMERIC_FEATURES,
@@ -308,6 +309,114 @@ def _split_expr(key: str = "loan_id") -> str:
     return f"CASE WHEN {u} < 0.7::DOUBLE THEN 'train' ELSE 'test' END"
 
 
+def _grouped_ctes(group: str) -> list[str]:
+    """``keyed`` (``yr``, the 22 inputs of each loan, the label) to ``gram``: population moments of the standardized inputs, one row a ``yr``.
+
+    ``group`` is the SQL of ``yr`` over the loans joined to their orders.
+    """
+    n = len(MODEL_FEATURES)
+    ctes = [
+        f"keyed AS (SELECT {group} AS yr, c.* FROM casted c JOIN orders o ON try_cast(c.loan_id AS BIGINT) = o.o_orderkey)",
+    ]
+    for c in CATEGORICAL_FEATURES:
+        ctes.append(
+            f"idx_{c} AS (SELECT yr, v, cast(row_number() OVER (PARTITION BY yr ORDER BY n DESC, v) - 1 AS DOUBLE) AS {c}_index "
+            f"FROM (SELECT yr, coalesce({c}, '') AS v, count(*) AS n FROM keyed GROUP BY 1, 2))"
+        )
+    joins = " ".join(f"JOIN idx_{c} ON k.yr = idx_{c}.yr AND coalesce(k.{c}, '') = idx_{c}.v" for c in CATEGORICAL_FEATURES)
+    ctes.append("indexed AS (SELECT k.*, " + ", ".join(f"idx_{c}.{c}_index" for c in CATEGORICAL_FEATURES) + f" FROM keyed k {joins})")
+    ctes.append(
+        "filled AS (SELECT yr, loan_id, cast(is_foreclosed AS DOUBLE) AS y, "
+        + ", ".join(f"coalesce({c}, avg({c}) OVER (PARTITION BY yr)) AS x{i}" for i, c in enumerate(MODEL_FEATURES))
+        + " FROM indexed)"
+    )
+    std = lambda i: f"coalesce(stddev_samp(x{i}) OVER (PARTITION BY yr), 0)"
+    ctes.append(
+        "scaled AS MATERIALIZED (SELECT yr, loan_id, y, "
+        + ", ".join(f"CASE WHEN {std(i)} = 0 THEN 0.0::DOUBLE ELSE (x{i} - avg(x{i}) OVER (PARTITION BY yr)) / {std(i)} END AS z{i}" for i in range(n))
+        + " FROM filled)"
+    )
+    cov = ", ".join("[" + ", ".join(f"covar_pop(z{max(i, j)}, z{min(i, j)})" for j in range(n)) + "]" for i in range(n))
+    ctes.append(
+        f"gram AS MATERIALIZED (SELECT yr, cast(count(*) AS DOUBLE) AS n, [{cov}] AS cov, [" + ", ".join(f"avg(z{i})" for i in range(n)) + "] AS mean, "
+        "[" + ", ".join(f"covar_pop(z{i}, y)" for i in range(n)) + "] AS cxy, avg(y) AS y, var_pop(y) AS vy FROM scaled GROUP BY yr)"
+    )
+    return ctes
+
+
+_FLAT = "1e-12"
+
+
+def _grouped_correlation_sql(group: str) -> str:
+    pairs = [(i, j) for i in range(len(_LABELS)) for j in range(i)]
+    rows = ", ".join(f"{{'a': '{_LABELS[i]}', 'b': '{_LABELS[j]}', 'i': {i + 1}, 'j': {j + 1}}}" for i, j in pairs)
+    r = f"CASE WHEN cov[p.i][p.i] > {_FLAT} AND cov[p.j][p.j] > {_FLAT} THEN cov[p.i][p.j] / sqrt(cov[p.i][p.i] * cov[p.j][p.j]) END"
+    return (
+        _with(*LABELLED, CASTED_CTE, *_grouped_ctes(group))
+        + f"SELECT yr AS year, p.a AS feature_a, p.b AS feature_b, {_r(r)} AS r FROM (SELECT *, unnest([{rows}]) AS p FROM gram)"
+    )
+
+
+def _grouped_hypotheses_sql(group: str, year: bool) -> str:
+    """Ridge normal equations by Gauss-Jordan elimination with the identity alongside (a recursive step a pivot), the t tail by Simpson's rule."""
+    n = len(MODEL_FEATURES)
+    live = lambda i: f"cov[{i}][{i}] > {_FLAT}"
+    penalty = f"{GLM_REG_PARAM}::DOUBLE / sqrt(vy)"
+    cell = (
+        f"CASE WHEN i = j THEN CASE WHEN {live('i')} THEN 1 + {penalty} ELSE 1.0 END "
+        f"WHEN {live('i')} AND {live('j')} THEN cov[i][j] / sqrt(cov[i][i] * cov[j][j]) ELSE 0.0 END"
+    )
+    right = f"CASE WHEN {live('i')} THEN cxy[i] / sqrt(cov[i][i]) ELSE 0.0 END"
+    at = f"range(1, {n + 1})"
+    start = (
+        f"list_transform({at}, lambda i : list_concat(list_transform({at}, lambda j : {cell}), "
+        f"list_transform({at}, lambda j : CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), [{right}]))"
+    )
+    step = (
+        "list_transform(m, lambda r, i : CASE WHEN i = k THEN list_transform(r, lambda x : x / r[k]) "
+        "ELSE list_transform(r, lambda x, j : x - r[k] * m[k][j] / m[k][k]) END)"
+    )
+    names = ", ".join(f"'{x}'" for x in [*_LABELS, "Intercept"])
+    density = "exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi()) - (df + 1) / 2 * ln(1 + u * u / df))"
+    weight = "CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    simpson = f"list_sum(list_transform(range(0, 4001), lambda i : {weight} * {density.replace('u * u', '(i * abs(t) / 4000) * (i * abs(t) / 4000)')})) * abs(t) / 4000 / 3"
+    ctes = [
+        *LABELLED,
+        CASTED_CTE,
+        *_grouped_ctes(group),
+        f"gj(yr, k, m) AS (SELECT yr, 1, {start} FROM gram WHERE vy > 0 UNION ALL SELECT yr, k + 1, {step} FROM gj WHERE k <= {n})",
+        f"solved AS (SELECT g.*, list_transform({at}, lambda i : m[i][{2 * n + 1}] / sqrt(greatest(cov[i][i], {_FLAT}))) AS beta, "
+        f"list_transform({at}, lambda i : m[i][{n} + i]) AS inv FROM gj JOIN gram g USING (yr) WHERE k = {n + 1})",
+        "fitted AS (SELECT *, n * (vy - list_sum(list_transform(" + at + ", lambda i : beta[i] * (2 * cxy[i] - list_sum(list_transform(" + at
+        + f", lambda j : cov[i][j] * beta[j])))))) / (n - {n} - 1) AS disp, n - {n} - 1 AS df FROM solved)",
+        f"tested AS (SELECT yr, df, unnest(range(0, {n + 1})) AS position, [{names}] AS names, "
+        f"list_append(beta, y - list_sum(list_transform({at}, lambda i : beta[i] * mean[i]))) AS coef, "
+        f"list_append(list_transform({at}, lambda i : CASE WHEN {live('i')} THEN sqrt(disp * inv[i] / n) / sqrt(cov[i][i]) ELSE 'infinity'::DOUBLE END), sqrt(disp / n)) AS se FROM fitted)",
+        "one AS (SELECT yr, df, cast(position AS INTEGER) AS position, names[position + 1] AS feature, coef[position + 1] AS coefficient, se[position + 1] AS std_error, "
+        "CASE WHEN isinf(se[position + 1]) THEN 0.0::DOUBLE ELSE coef[position + 1] / se[position + 1] END AS t FROM tested)",
+        f"tail AS (SELECT *, CASE WHEN t = 0 THEN 1.0::DOUBLE ELSE greatest(0, 1 - 2 * ({simpson})) END AS p FROM one)",
+    ]
+    with_ = "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+    key = "yr AS year, " if year else ""
+    return with_ + (
+        f"SELECT {key}position, feature, {_r('coefficient')} AS coefficient, CASE WHEN isinf(std_error) THEN std_error ELSE {_r('std_error')} END AS std_error, "
+        f"{_r('t', 4)} AS t, {_r('p')} AS p, {_r(f'p * {n}', 4)} AS p_bonferroni, {_r(f'least(p * {n}, 1)', 4)} AS p_bonferroni_capped FROM tail"
+    )
+
+
+_YEAR_SCORED = (
+    "scored AS (SELECT cast(year(o.o_orderdate) AS INTEGER) AS year, is_foreclosed AS label, 1.0::DOUBLE - cast(min_credit_score AS DOUBLE) / 1000.0::DOUBLE AS score "
+    "FROM labelled JOIN orders o ON try_cast(loan_id AS BIGINT) = o.o_orderkey)"
+)
+_DOWN = "OVER (PARTITION BY year ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_YEAR_CURVE = (
+    f"curve AS (SELECT *, cast(sum(pos) {_DOWN} AS BIGINT) AS tp, cast(sum(neg) {_DOWN} AS BIGINT) AS fp, "
+    "sum(pos) OVER (PARTITION BY year) AS p_all, sum(neg) OVER (PARTITION BY year) AS n_all "
+    "FROM (SELECT year, score, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY 1, 2))"
+)
+_ORDER_YEAR = "cast(year(o.o_orderdate) AS INTEGER)"
+
+
 def _yearly_rerun_sql() -> str:
     year = "try_cast(split_part(reporting_date, '/', 3) AS INTEGER)"
     early = IDS_CTE.replace("ids AS", "early AS", 1)[:-1] + f" AND {year} < 1998)"
@@ -334,6 +443,16 @@ def _yearly_rerun_sql() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "yearly_tables_rerun": _yearly_rerun_sql(),
+    "yearly_correlation": _grouped_correlation_sql(_ORDER_YEAR),
+    "yearly_hypotheses": _grouped_hypotheses_sql(_ORDER_YEAR, year=True),
+    "hypothesis_table": _grouped_hypotheses_sql("0", year=False),
+    "yearly_curves": _with(*LABELLED, _YEAR_SCORED, _YEAR_CURVE)
+    + "SELECT year, score AS threshold, tp, fp, tp / p_all AS tpr, fp / n_all AS fpr, tp / (tp + fp) AS precision, tp / p_all AS recall FROM curve",
+    "yearly_metrics": _with(*LABELLED, _YEAR_SCORED, _YEAR_CURVE)
+    + "SELECT year, unnest(['areaUnderROC', 'areaUnderPR', 'exactAUC', 'testRows']) AS metric, unnest([a, b, a, c]) AS value FROM ("
+    + f"SELECT year, {_r('sum(neg * (tp + tp - pos) / 2) / (max(p_all) * max(n_all))', 9)} AS a, "
+    + f"{_r('sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos) / (tp - pos + fp - neg) ELSE tp / (tp + fp) END) / 2) / max(p_all)', 9)} AS b, "
+    + "cast(max(p_all) + max(n_all) AS DOUBLE) AS c FROM curve GROUP BY year)",
     "landing_manifest": _with(PERF_CTE)
     + "SELECT try_cast(split_part(reporting_date, '/', 3) AS INTEGER) AS reporting_year, count(*) AS n_rows, "
     "(SELECT count(*) FROM perf) AS manifest_rows, true AS files_ok FROM perf GROUP BY 1",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions import try_bigint
-from loanlens.operators import cleaning, evaluate, features, labels, reports, stats
+from loanlens.operators import cleaning, evaluate, features, grouped, labels, reports, stats
 from loanlens.operators.models import hash_split_column
 from loanlens.plans import jobs
 from loanlens.schemas import (
@@ -339,7 +339,45 @@ def q_hypothesis_table(spark, sf_dir):
     """GLM (Gaussian, identity, L2 0.3) coefficients, std errors, t, p and Bonferroni per input."""
     md = jobs.model_data(labelled(spark, sf_dir))
     data = md.data.select(F.col("features").alias("scaledFeatures"), F.col("label").alias("is_foreclosed"))
-    return stats.hypothesis_table(spark, data, md.frame.features)
+    return _rounded_tests(stats.hypothesis_table(spark, data, md.frame.features))
+
+
+def _rounded_tests(table: DataFrame) -> DataFrame:
+    digits = {"t": 4, "p_bonferroni": 4, "p_bonferroni_capped": 4, "coefficient": DIGITS, "std_error": DIGITS, "p": DIGITS}
+    return table.select(*(rounded(c, digits[c]).alias(c) if c in digits else F.col(c) for c in table.columns))
+
+
+def _year_frame(spark, sf_dir) -> jobs.YearFrame:
+    return jobs.year_frame(jobs.labelled(tables.acquisition_records(spark, sf_dir, with_file_year=True), perf(spark, sf_dir)))
+
+
+def q_yearly_correlation(spark, sf_dir):
+    """Pearson correlation of the 22 inputs in every file year, from one grouped aggregate."""
+    frame = _year_frame(spark, sf_dir)
+    corr = grouped.group_correlations(frame.moments, frame.stats)
+    return corr.select("year", "feature_a", "feature_b", rounded("r").alias("r"))
+
+
+def q_yearly_hypotheses(spark, sf_dir):
+    """GLM tests of every file year, solved from that year's moments in column expressions."""
+    frame = _year_frame(spark, sf_dir)
+    return _rounded_tests(grouped.group_hypotheses(frame.moments, frame.stats))
+
+
+def _year_totals(spark, sf_dir) -> DataFrame:
+    lab = jobs.labelled(tables.acquisition_records(spark, sf_dir, with_file_year=True), perf(spark, sf_dir))
+    scored = lab.select(F.col("file_year").alias("year"), F.col("is_foreclosed").alias("label"), credit_risk_score().alias("score"))
+    return grouped.group_totals(checkpointed(grouped.group_histogram(scored, ["year"])), ["year"])
+
+
+def q_yearly_curves(spark, sf_dir):
+    """ROC / PR points of the scorecard score in every file year, one a distinct score."""
+    return grouped.group_curves(_year_totals(spark, sf_dir), ["year"])
+
+
+def q_yearly_metrics(spark, sf_dir):
+    """Areas under the ROC and PR curves, rank-sum AUC and rows of the scorecard score in every file year."""
+    return grouped.group_metrics(_year_totals(spark, sf_dir), ["year"]).select("year", "metric", rounded("value", 9).alias("value"))
 
 
 def q_bonferroni(spark, sf_dir):
@@ -526,6 +564,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_test_counts": q_model_test_counts,
     "yearly_counts": q_yearly_counts,
     "yearly_tables_rerun": q_yearly_tables_rerun,
+    "yearly_correlation": q_yearly_correlation,
+    "yearly_hypotheses": q_yearly_hypotheses,
+    "yearly_curves": q_yearly_curves,
+    "yearly_metrics": q_yearly_metrics,
     "logistic_auc": _model_query("logistic_regression"),
     "forest_auc": _model_query("random_forest"),
     "gbt_auc": _model_query("gradient_boosted_trees"),

@@ -11,7 +11,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracle import TABLES, canon  # noqa: E402
 
 ROWS_ONLY = {
-    "hypothesis_table",
     "logistic_auc",
     "forest_auc",
     "gbt_auc",
