@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loanlens.functions.linalg import let
+
 SHIFT = 16  # the series is used from this argument on
 TERMS = 120  # of the continued fraction
 _TINY = 1e-300
@@ -29,33 +31,36 @@ def log_half_step(a: Column) -> Column:
 
 def _continued_fraction(x: Column, a: Column, b: Column) -> Column:
     """The continued fraction of ``I_x(a, b)`` by the modified Lentz method."""
-    guard = lambda v: F.when(F.abs(v) < _TINY, F.lit(_TINY)).otherwise(v)
-    first = 1.0 / guard(1.0 - (a + b) * x / (a + 1.0))
-    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
+    guard = lambda v: let(v, lambda v: F.when(F.abs(v) < _TINY, F.lit(_TINY)).otherwise(v))
+    start = let(1.0 / guard(1.0 - (a + b) * x / (a + 1.0)), lambda d: F.struct(F.lit(1.0).alias("c"), d.alias("d"), d.alias("h")))
+
+    def advance(s: Column, numerator: Column) -> Column:
+        def both(num: Column) -> Column:
+            pair = F.struct(guard(1.0 + num / s["c"]).alias("c"), (1.0 / guard(1.0 + num * s["d"])).alias("d"))
+            return let(pair, lambda o: F.struct(o["c"].alias("c"), o["d"].alias("d"), (s["h"] * o["c"] * o["d"]).alias("h")))
+
+        return let(numerator, both)
 
     def step(s: Column, k: Column) -> Column:
-        def half(s: Column, num: Column) -> Column:
-            return F.struct(guard(1.0 + num / s["c"]).alias("c"), (1.0 / guard(1.0 + num * s["d"])).alias("d"), s["h"].alias("h"))
+        def terms(m: Column) -> Column:
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            return let(advance(s, even), lambda s: advance(s, odd))
 
-        m = k.cast("double")
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for num in (even, odd):
-            one = half(s, num)
-            s = F.struct(one["c"].alias("c"), one["d"].alias("d"), (one["h"] * one["c"] * one["d"]).alias("h"))
-        return s
+        return let(k.cast("double"), terms)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda s: s["h"])
 
 
 def student_t_two_sided(t: Column, df: Column) -> Column:
     """``P(|T| >= |t|)`` for Student's t with ``df`` degrees of freedom; null where either is null or ``df`` is not positive."""
-    t, df = t.cast("double"), df.cast("double")
-    a, b = df / 2, F.lit(0.5)
-    x = df / (df + t * t)
-    rest = t * t / (df + t * t)  # 1 - x without its rounding
-    front = F.exp(log_half_step(a) - F.lit(0.5 * math.log(math.pi)) - a * F.log1p(t * t / df) + b * F.log(rest))
-    direct = front * _continued_fraction(x, a, b) / a
-    mirrored = 1.0 - front * _continued_fraction(rest, b, a) / b
-    p = F.when(t == 0, F.lit(1.0)).when(F.abs(t) == float("inf"), F.lit(0.0)).when(x < (a + 1) / (a + b + 2), direct).otherwise(mirrored)
-    return F.when((df > 0) & t.isNotNull() & ~F.isnan(t), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
+    def tail(t: Column, df: Column) -> Column:
+        a, b = df / 2, F.lit(0.5)
+        x, rest = df / (df + t * t), t * t / (df + t * t)  # rest is 1 - x without its rounding
+        front = F.exp(log_half_step(a) - F.lit(0.5 * math.log(math.pi)) - a * F.log1p(t * t / df) + b * F.log(rest))
+        fraction = lambda x, a, b: let(x, lambda x: let(a, lambda a: let(b, lambda b: _continued_fraction(x, a, b) / a)))
+        p = F.when(x < (a + 1) / (a + b + 2), front * fraction(x, a, b)).otherwise(1.0 - front * fraction(rest, b, a))
+        p = F.when(t == 0, F.lit(1.0)).when(F.abs(t) == float("inf"), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)))
+        return F.when((df > 0) & t.isNotNull() & ~F.isnan(t), p)
+
+    return let(t.cast("double"), lambda t: let(df.cast("double"), lambda df: tail(t, df)))
