@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlens.functions import parse_mdy, try_bigint
+from loanlens.functions import not_blank, parse_mdy, try_bigint
 from loanlens.operators.cleaning import foreclosure_extract
 from loanlens.schemas import PERF_DATE, PERF_LOAN_ID
 
@@ -40,10 +40,26 @@ def latest_entry(perf: DataFrame, key: str = PERF_LOAN_ID, date_col: str = PERF_
     (larger wins; null is smallest), so the result does not depend on the
     order in which records arrive.
     """
+    if all(c in perf.columns for c in LOAN_KEYS):
+        return _latest_colocated(perf, key, date_col)
     others = _others(perf, key)
+    return _latest_within(perf, [key], others, date_col).select(key, *others)
+
+
+def _latest_within(perf: DataFrame, keys: list[str], others: list[str], date_col: str) -> DataFrame:
     order = [parse_mdy(date_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in others]
-    w = Window.partitionBy(key).orderBy(*order)
-    return perf.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(key, *others)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return perf.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def _latest_colocated(perf: DataFrame, key: str, date_col: str) -> DataFrame:
+    """Over a table bucketed by loan: integer ids are reduced where they lie. Records without one are spread over the
+    buckets; they are reduced there, too, and only what is left of them meets by the id's text."""
+    others = [c for c in _others(perf, key) if c not in LOAN_KEYS]
+    located = _latest_within(perf, [*LOAN_KEYS, key], others, date_col)
+    whole = located.where("loan_spread = 0").select(key, *others)
+    rest = located.where("loan_key = 0 AND loan_spread > 0").select(key, *others)
+    return whole.unionByName(latest_entry(rest, key, date_col))
 
 
 latest_entry_window = latest_entry
@@ -82,12 +98,19 @@ def distinct_ids(ids: DataFrame, col: str = "f_loan_id") -> DataFrame:
     return ids.select(col).where(F.col(col).isNotNull()).distinct()
 
 
-def _keyed_loans(loans: DataFrame) -> DataFrame:
-    """Loans with the join keys ``_k`` and ``_s``: the id and 0, or 0 and a row hash above 0 where the id is no integer."""
+LOAN_KEYS = ("loan_key", "loan_spread")
+
+
+def with_loan_keys(df: DataFrame, names: tuple[str, str] = LOAN_KEYS) -> DataFrame:
+    """Rows with the two columns that loans are dealt by: the id and 0, or 0 and a row hash above 0 where the id is no integer."""
     key = try_bigint("loan_id")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in loans.columns]), F.lit(1 << 20)) + 1
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1 << 20)) + 1
     # pmod(id, 1) is 0 for every id; unlike a literal it stays a join key, so both sides are dealt by the same two columns
-    return loans.withColumns({"_k": F.coalesce(key, F.lit(0)), "_s": F.when(key.isNull(), spread).otherwise(F.pmod(key, F.lit(1)))})
+    return df.withColumns({names[0]: F.coalesce(key, F.lit(0)), names[1]: F.when(key.isNull(), spread).otherwise(F.pmod(key, F.lit(1)))})
+
+
+def _keyed_loans(loans: DataFrame) -> DataFrame:
+    return with_loan_keys(loans, ("_k", "_s"))
 
 
 def _keyed_ids(ids: DataFrame) -> DataFrame:
@@ -114,6 +137,19 @@ def label_join(loans: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def label_join_colocated(loans: DataFrame, perf: DataFrame) -> DataFrame:
+    """:func:`label_join` of loans and performance records that are bucketed alike (``sources.colocated``): no shuffle.
+
+    Both carry the key columns from their tables; they are not part of the result.
+    """
+    found = perf.where(not_blank("foreclosure_date") & try_bigint("loan_id").isNotNull()).select(*LOAN_KEYS).distinct()
+    ids = found.select(*(F.col(k).alias(f"_{k}") for k in LOAN_KEYS))
+    on = (loans["loan_key"] == ids["_loan_key"]) & (loans["loan_spread"] == ids["_loan_spread"])
+    columns = [c for c in loans.columns if c not in LOAN_KEYS]
+    joined = loans.join(ids, on, "left").select(*columns, F.col("_loan_key").alias("f_loan_id"))
+    return joined.withColumn("is_foreclosed", F.col("f_loan_id").isNotNull().cast("int"))
+
+
 def default_members(loans: DataFrame, ids: DataFrame) -> DataFrame:
     """Loans whose id is in the foreclosure list (semi join)."""
     keyed = _keyed_loans(loans)

@@ -498,6 +498,8 @@ ORACLE_SQL: dict[str, str] = {
     + ", ".join(f"{src} AS {dst}" for src, dst in PLOT_COLUMNS)
     + " FROM acq ORDER BY try_cast(loan_id AS BIGINT) LIMIT 5",
     "label_join": _with(*LABELLED) + "SELECT * FROM labelled",
+    "colocated_latest_entry": _LATEST,
+    "colocated_label_join": _with(*LABELLED) + "SELECT * FROM labelled",
     "default_members": _with(*LABELLED) + "SELECT " + ", ".join(LOAN_FIELDS) + " FROM labelled WHERE f_loan_id IS NOT NULL",
     "non_default_members": _with(*LABELLED) + "SELECT " + ", ".join(LOAN_FIELDS) + " FROM labelled WHERE f_loan_id IS NULL",
     "default_count": _with(*LABELLED) + "SELECT count(*) AS n_loans, count(f_loan_id) AS n_foreclosed FROM labelled",

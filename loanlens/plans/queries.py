@@ -29,7 +29,7 @@ from loanlens.schemas import (
     SPLIT_WEIGHTS,
 )
 from loanlens.session import checkpointed, scratch_folder
-from loanlens.sources import landing, results, tables, text
+from loanlens.sources import colocated, landing, results, tables, text
 
 DIGITS = 6
 MOMENT_DIGITS = 4
@@ -221,6 +221,22 @@ def q_label_join(spark, sf_dir):
     return labelled(spark, sf_dir)
 
 
+def _colocated(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    folder = scratch_folder(spark, "colocated")
+    return colocated.write_colocated(acq(spark, sf_dir), f"{folder}/acquisition"), colocated.write_colocated(perf(spark, sf_dir), f"{folder}/performance")
+
+
+def q_colocated_latest_entry(spark, sf_dir):
+    """Latest performance record per loan over a table bucketed by loan: no shuffle."""
+    return labels.latest_entry(_colocated(spark, sf_dir)[1])
+
+
+def q_colocated_label_join(spark, sf_dir):
+    """Engineered loans joined to their foreclosures, both from tables bucketed by loan: no shuffle."""
+    loans_at, perf_at = _colocated(spark, sf_dir)
+    return labels.label_join_colocated(cleaning.prepare_loans(loans_at), perf_at)
+
+
 def q_default_members(spark, sf_dir):
     """Engineered loans whose id is in the foreclosure list (semi join)."""
     return labels.default_members(loans(spark, sf_dir), labels.foreclosure_ids(perf(spark, sf_dir)))
@@ -537,6 +553,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_na_subset": q_drop_na_subset,
     "first_rows": q_first_rows,
     "label_join": q_label_join,
+    "colocated_latest_entry": q_colocated_latest_entry,
+    "colocated_label_join": q_colocated_label_join,
     "default_members": q_default_members,
     "non_default_members": q_non_default_members,
     "default_count": q_default_count,
