@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import materialize
-from loanlens.llm.spans import joined, match_spans, overlaps_any
+from loanlens.llm.spans import joined, match_spans, no_spans, outside, text_between, text_blocks
 
 KINDS = ["email", "ip", "card", "phone"]
 # Base patterns. They match what the plain forms match, but start only where a match can begin and don't
@@ -80,7 +80,7 @@ def _ip_ok(value: Column) -> Column:
 
 def base_spans(text: Column) -> dict[str, Column]:
     """The strict spans of each kind: ``array<struct<start, end, value>>``."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = no_spans()
     digits_in = F.regexp_like(text, F.lit("[0-9]"))
     found = {
         "email": F.when(F.contains(text, F.lit("@")), match_spans(text, EMAIL)).otherwise(none),
@@ -101,7 +101,7 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
-def _votes(kind: str, span: Column, text: Column, strict: bool) -> list[Column]:
+def _votes(kind: str, span: Column, blocks: Column, strict: bool) -> list[Column]:
     value, digits = span["value"], _digits(span["value"])
     if strict:
         pattern = F.lit(1)
@@ -123,7 +123,7 @@ def _votes(kind: str, span: Column, text: Column, strict: bool) -> list[Column]:
         shape = _vote(
             F.regexp_like(value, F.lit(r"[\x20().-]")) & F.char_length(digits).between(10, 13), F.regexp_like(digits, F.lit(r"(.)\1{6}"))
         )
-    before = F.substring(text, F.greatest(F.lit(1), span["start"] + 1 - CONTEXT_CHARS), F.least(span["start"], F.lit(CONTEXT_CHARS)))
+    before = text_between(blocks, F.greatest(F.lit(0), span["start"] - CONTEXT_CHARS), span["start"])
     context = _vote(F.regexp_like(before, F.lit(CUES[kind])), F.regexp_like(before, F.lit(AGAINST)))
     return [c.cast("int").alias(v) for c, v in zip((pattern, gazetteer, context, shape), VOTES, strict=True)]
 
@@ -138,10 +138,10 @@ def _features(span: Column) -> list[Column]:
     ]
 
 
-def _struct(kind: str, span: Column, text: Column, strict: bool) -> Column:
+def _struct(kind: str, span: Column, blocks: Column, strict: bool) -> Column:
     return F.struct(
         F.lit(KINDS.index(kind)).alias("k"), F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
-        F.lit(strict).alias("base"), *_votes(kind, span, text, strict), *_features(span),
+        F.lit(strict).alias("base"), *_votes(kind, span, blocks, strict), *_features(span),
     )
 
 
@@ -151,7 +151,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     base = base_spans(F.col("text"))
     rows = rows.withColumns({f"b_{k}": base[k] for k in KINDS})
     every = F.concat(*(F.col(f"b_{k}") for k in KINDS))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = no_spans()
     wide = {}
     for k in KINDS:
         if k == "email":
@@ -162,11 +162,12 @@ def candidates(docs: DataFrame) -> DataFrame:
             there = F.regexp_like("text", F.lit(r"[0-9]{4}[\x20-][0-9]{4}|[0-9]{15}|[0-9]{3}[-.)]"))
         wide[f"w_{k}"] = F.when(there, match_spans(F.col("text"), WIDE[k])).otherwise(none)
     rows = rows.withColumns(wide)
-    text = F.col("text")
-    voted = lambda k, strict: lambda s: _struct(k, s, text, strict)
+    spans = [F.size(F.col(f"{x}_{k}")) for x in "bw" for k in KINDS]
+    rows = rows.withColumn("blocks", F.when(F.greatest(*spans) > 0, text_blocks(F.col("text"))))
+    voted = lambda k, strict: lambda s: _struct(k, s, F.col("blocks"), strict)
     strict = [F.transform(f"b_{k}", voted(k, True)) for k in KINDS]
-    may_be = lambda k: lambda s: ~overlaps_any(s, every) & (luhn_ok(_digits(s["value"])) if k == "card" else F.lit(True))
-    loose = [F.transform(F.filter(f"w_{k}", may_be(k)), voted(k, False)) for k in KINDS]
+    may_be = lambda k: lambda s: luhn_ok(_digits(s["value"])) if k == "card" else F.lit(True)
+    loose = [F.transform(F.filter(outside(F.col(f"w_{k}"), every), may_be(k)), voted(k, False)) for k in KINDS]
     return rows.select("doc_id", F.concat(*strict).alias("base"), F.concat(*loose).alias("wide"))
 
 
@@ -254,8 +255,10 @@ def find(docs: DataFrame) -> DataFrame:
         odds = float(np.log(MIN_PROBABILITY / (1 - MIN_PROBABILITY)))
         kept = F.filter("wide", lambda s: _score(s, weights) >= odds)
     # of two wide spans that overlap, the one of the earlier kind stays
-    kept = F.filter(kept, lambda s: ~F.exists(kept, lambda o: (o["k"] < s["k"]) & (o["start"] < s["end"]) & (s["start"] < o["end"])))
-    return found.select("doc_id", plain(F.col("base")).alias("base"), plain(F.concat("base", kept)).alias("spans"))
+    of = lambda a, test: F.filter(a, lambda s: test(s["k"]))
+    first = F.concat(*(outside(of(F.col("_kept"), lambda k, i=i: k == i), of(F.col("_kept"), lambda k, i=i: k < i)) for i in range(len(KINDS))))
+    rows = found.select("doc_id", "base", kept.alias("_kept"))
+    return rows.select("doc_id", plain(F.col("base")).alias("base"), plain(F.concat("base", first)).alias("spans"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

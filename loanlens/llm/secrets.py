@@ -17,8 +17,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.functions.linalg import let
 from loanlens.llm.common import bounded_sample
-from loanlens.llm.spans import joined, match_spans, overlaps_any
+from loanlens.llm.spans import characters, joined, match_spans, no_spans, outside, running, text_between, text_blocks
 
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]++"""
@@ -37,7 +38,7 @@ MASK = "[SECRET]"
 
 def base_spans(text: Column) -> Column:
     """``array<struct<start, k, end, kind, value>>`` of the fixed patterns, sorted by start, then kind."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = no_spans()
     value = lambda s: F.regexp_extract(s["value"], ASSIGN_VALUE, 1)
     assign = F.when(F.regexp_like(text, F.lit("[:=]")), match_spans(text, ASSIGN)).otherwise(none)
     access = F.when(F.contains(text, F.lit("AKIA")), match_spans(text, ACCESS)).otherwise(none)
@@ -51,7 +52,7 @@ def base_spans(text: Column) -> Column:
 
 def _transitions(values: DataFrame) -> np.ndarray:
     """Transition counts of the strings in ``values(value)``, over ALPHABET."""
-    two = F.transform(F.sequence(F.lit(1), F.char_length("value") - 1), lambda i: F.substring("value", i, F.lit(2)))
+    two = let(characters(F.col("value")), lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c)), lambda a, b: F.concat(a, b)))
     pairs = (
         values.where("char_length(value) > 1")
         .groupBy("value")
@@ -92,19 +93,20 @@ def fit(docs: DataFrame, bound: int = TRAIN_DOCS) -> np.ndarray:
 def ratio_of(value: Column, ratios: np.ndarray) -> Column:
     """Log-likelihood ratio of a string of key characters: the sum over its transitions."""
     table = F.array(*(F.lit(float(x)) for x in ratios.ravel()))
-    place = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
-    return F.aggregate(
-        F.when(F.char_length(value) > 1, F.sequence(F.lit(1), F.char_length(value) - 1)).otherwise(F.array().cast("array<int>")),
-        F.lit(0.0),
-        lambda acc, i: acc + F.get(table, (place(i) - 1) * len(ALPHABET) + place(i + 1) - 1),
-    )
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+
+    def step(acc: Column, c: Column) -> Column:
+        here = F.instr(F.lit(ALPHABET), c) - 1
+        return F.struct(here.alias("last"), (acc["sum"] + F.when(acc["last"] >= 0, F.get(table, acc["last"] * len(ALPHABET) + here)).otherwise(0.0)).alias("sum"))
+
+    return F.aggregate(characters(value), start, step, lambda acc: acc["sum"])
 
 
 def find(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """``row, base, spans`` of every row of ``docs``: all its columns in ``row``, and ``array<struct<start, k, end, kind>>``; no shuffle."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("found", base_spans(F.col("text"))).withColumn("runs", match_spans(F.col("text"), CANDIDATE))
-    added = F.filter("runs", lambda s: ~overlaps_any(s, F.col("found")) & (ratio_of(s["value"], ratios) >= float(np.log(PRIOR))))
+    added = F.filter(outside(F.col("runs"), F.col("found")), lambda s: ratio_of(s["value"], ratios) >= float(np.log(PRIOR)))
     plain = lambda a, k=None: F.transform(
         a,
         lambda s: F.struct(
@@ -123,17 +125,19 @@ def redact(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     Spans that overlap or touch are one run. Null texts and texts without secrets stay as they are.
     """
     text = F.col("row.text")
-    rest = lambda at: F.substring(text, at + 1, F.greatest(F.lit(0), F.char_length(text) - at))
-    masked = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when((s["start"] <= acc["at"]) & (acc["out"] != ""), acc["out"])
-            .otherwise(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(MASK)))
-            .alias("out"),
+
+    # a span begins a run where it starts beyond the ends of all before it
+    ends = running(F.transform("spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b), -1)
+    before = F.concat(F.array(F.lit(-1)), F.slice(ends, 1, F.size("spans") - 1))
+    gap = lambda s, end: F.struct(F.greatest(end, F.lit(0)).alias("from"), s["start"].alias("to"), (s["start"] > end).alias("new"))
+    gaps = F.filter(F.zip_with("spans", before, gap), lambda g: g["new"])
+    after = F.array_max(F.transform("spans", lambda s: s["end"]))
+    masked = let(
+        text_blocks(text),
+        lambda blocks: F.concat(
+            F.array_join(F.transform(gaps, lambda g: F.concat(text_between(blocks, g["from"], g["to"]), F.lit(MASK))), ""),
+            text_between(blocks, after, F.char_length(text)),
         ),
-        lambda acc: F.concat(acc["out"], rest(acc["at"])),
     )
     hit = F.size("spans") > 0
     new = find(docs, ratios).select("row", hit.alias("hit"), F.when(hit, masked).otherwise(text).alias("new"))
