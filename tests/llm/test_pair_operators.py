@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -315,7 +316,7 @@ def brute_matches(docs, items):
                     for m in decontaminate.MASKS
                     for k in range(len(b) - len(m) + 1)
                 )
-                if hit:
+                if hit or (0 < len(b) < min(map(len, decontaminate.MASKS)) and all(eq)):
                     best = max(best, sum(eq))
             if best and best >= min(decontaminate.MIN_EQUAL, -(-len(b) * 8 // 10)):
                 out[(i, j)] = best
@@ -372,3 +373,35 @@ def test_decontamination_stays_in_generated_code(spark, sf_small):
     assert "BroadcastHashJoin" in text and "Python" not in text and "Arrow" not in text
     join = next(line for line in text.splitlines() if "BroadcastHashJoin" in line)
     assert "aggregate(" not in join
+
+
+def test_short_items_are_found_whole(spark):
+    items = [(1, "one two three four five six seven"), (2, "Solo"), (3, "two three"), (4, ""), (5, "nine words are in this item and no more")]
+    texts = ["One two, three four five six seven!", "x solo y", "two words three", "zero two three one", "one two three four five six eight", None, "",
+             "so nine words are in this item and no more of it"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (decontaminate.MAX_BROADCAST_BYTES, -1):
+        got = {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.matches(docs_frame(spark, texts), bench, limit).collect()}
+        assert got == brute_matches(enumerate(texts), items) == {(0, 1): 7, (0, 3): 2, (1, 2): 1, (3, 3): 2, (4, 3): 2, (7, 5): 9}
+
+
+def test_shuffled_seeds_give_the_same_rows(spark):
+    rng = random.Random(12)
+    vocab = vocabulary(40)
+    items = [(i // 2, sentence(rng, vocab, rng.randint(1, 30))) for i in range(20)]  # an id has two texts
+    docs = []
+    for i in range(60):
+        part = items[rng.randrange(len(items))][1].split()
+        for _ in range(rng.randint(0, 3)):
+            part[rng.randrange(len(part))] = rng.choice(vocab)
+        docs.append((i // 2 if i < 10 else i, " ".join([sentence(rng, vocab, rng.randint(0, 20)), *part, sentence(rng, vocab, 10)])))
+    docs += [docs[20], docs[20], (None, docs[21][1])]
+    frame = clashing(docs_frame(spark, docs), "tokens", "seed", "pos", "number", "shift", "item", "item_id", "text_key")
+    bench = clashing(spark.createDataFrame(items, "item_id long, text string"), "item", "seed", "tokens", "doc_id")
+    assert not re.search("Python|Arrow", decontaminate.matches(frame, bench, -1)._jdf.queryExecution().executedPlan().toString())
+    one, other = (sorted(map(str, decontaminate.matches(frame, bench, limit).collect())) for limit in (decontaminate.MAX_BROADCAST_BYTES, -1))
+    assert one == other
+    expected = {}
+    for key, value in [(k, v) for pair in items for k, v in brute_matches(docs, [pair]).items()]:
+        expected[key] = max(expected.get(key, 0), value)
+    assert {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.matches(frame, bench).collect()} == expected
