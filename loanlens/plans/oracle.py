@@ -404,6 +404,62 @@ def _grouped_hypotheses_sql(group: str, year: bool) -> str:
     )
 
 
+def _logistic_ctes() -> list[str]:
+    """Newton steps from zero: each round sums the Hessian and the gradient, then eliminates (a recursive step a pivot)."""
+    n = len(MODEL_FEATURES) + 1
+    x = [f"z{i}" for i in range(n - 1)] + ["1.0::DOUBLE"]
+    ctes = [
+        f"split AS MATERIALIZED (SELECT *, {_split_expr()} AS side FROM scaled)",
+        f"b0 AS (SELECT DISTINCT yr, [{', '.join(['0.0::DOUBLE'] * n)}] AS b FROM split)",
+    ]
+    for r in range(NEWTON_ROUNDS):
+        eta = " + ".join(f"{v} * b[{i + 1}]" for i, v in enumerate(x))
+        ctes.append(f"p{r} AS MATERIALIZED (SELECT s.*, b, 1 / (1 + exp(-({eta}))) AS p FROM split s JOIN b{r} USING (yr) WHERE side = 'train')")
+        reg = lambda i: f"{NEWTON_REG}::DOUBLE" if i < n - 1 else "0.0::DOUBLE"
+        curve = lambda i: f"avg(p * (1 - p) * {x[i]} * {x[i]})"
+        row = lambda i: ", ".join(
+            [
+                f"CASE WHEN {curve(i)} > {_FLAT} THEN {curve(i)} + {reg(i)} ELSE 1.0 END" if i == j else f"avg(p * (1 - p) * {x[max(i, j)]} * {x[min(i, j)]})"
+                for j in range(n)
+            ]
+            + [f"avg((y - p) * {x[i]}) - {reg(i)} * any_value(b)[{i + 1}]"]
+        )
+        ctes.append(f"h{r} AS MATERIALIZED (SELECT yr, any_value(b) AS b, [" + ", ".join(f"[{row(i)}]" for i in range(n)) + f"] AS m FROM p{r} GROUP BY yr)")
+        step = (
+            "list_transform(m, lambda r, i : CASE WHEN i = k THEN list_transform(r, lambda x : x / r[k]) "
+            "ELSE list_transform(r, lambda x, j : x - r[k] * m[k][j] / m[k][k]) END)"
+        )
+        ctes.append(f"e{r}(yr, b, k, m) AS (SELECT yr, b, 1, m FROM h{r} UNION ALL SELECT yr, b, k + 1, {step} FROM e{r} WHERE k <= {n})")
+        ctes.append(f"b{r + 1} AS (SELECT yr, list_transform(range(1, {n + 1}), lambda i : b[i] + m[i][{n + 1}]) AS b FROM e{r} WHERE k = {n + 1})")
+    return ctes
+
+
+def _yearly_logistic_sql(metrics: bool) -> str:
+    ctes = [*LABELLED, CASTED_CTE, *_grouped_ctes(_ORDER_YEAR), *_logistic_ctes()]
+    with_ = "WITH RECURSIVE " + ",\n".join(ctes)
+    if not metrics:
+        names = ", ".join(f"'{v}'" for v in [*_LABELS, "Intercept"])
+        n = len(_LABELS)
+        return with_ + (
+            f"\nSELECT yr AS year, cast(i AS INTEGER) AS position, [{names}][i + 1] AS feature, {_r('b[i + 1]')} AS coefficient "
+            f"FROM (SELECT *, unnest(range(0, {n + 1})) AS i FROM b{NEWTON_ROUNDS})"
+        )
+    eta = " + ".join([f"z{i} * b[{i + 1}]" for i in range(len(MODEL_FEATURES))] + [f"b[{len(MODEL_FEATURES) + 1}]"])
+    scored = f"scored AS (SELECT s.yr AS year, cast(y AS INTEGER) AS label, round(1 / (1 + exp(-({eta}))), 9) AS score FROM split s JOIN b{NEWTON_ROUNDS} USING (yr) WHERE side = 'test')"
+    return with_ + f",\n{scored},\n{_YEAR_CURVE}\n" + _metrics_select(6)
+
+
+def _metrics_select(digits: int) -> str:
+    roc = "sum(neg * (tp + tp - pos) / 2) / (max(p_all) * max(n_all))"
+    before = "CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos) / (tp - pos + fp - neg) ELSE tp / (tp + fp) END"
+    pr = f"sum(pos * (tp / (tp + fp) + {before}) / 2) / max(p_all)"
+    return (
+        "SELECT year, unnest(['areaUnderROC', 'areaUnderPR', 'exactAUC', 'testRows']) AS metric, unnest([a, b, a, c]) AS value FROM ("
+        f"SELECT year, {_r(roc, digits)} AS a, {_r(pr, digits)} AS b, cast(max(p_all) + max(n_all) AS DOUBLE) AS c FROM curve GROUP BY year)"
+    )
+
+
+NEWTON_ROUNDS, NEWTON_REG = 8, 0.001
 _YEAR_SCORED = (
     "scored AS (SELECT cast(year(o.o_orderdate) AS INTEGER) AS year, is_foreclosed AS label, 1.0::DOUBLE - cast(min_credit_score AS DOUBLE) / 1000.0::DOUBLE AS score "
     "FROM labelled JOIN orders o ON try_cast(loan_id AS BIGINT) = o.o_orderkey)"
@@ -449,10 +505,9 @@ ORACLE_SQL: dict[str, str] = {
     "yearly_curves": _with(*LABELLED, _YEAR_SCORED, _YEAR_CURVE)
     + "SELECT year, score AS threshold, tp, fp, tp / p_all AS tpr, fp / n_all AS fpr, tp / (tp + fp) AS precision, tp / p_all AS recall FROM curve",
     "yearly_metrics": _with(*LABELLED, _YEAR_SCORED, _YEAR_CURVE)
-    + "SELECT year, unnest(['areaUnderROC', 'areaUnderPR', 'exactAUC', 'testRows']) AS metric, unnest([a, b, a, c]) AS value FROM ("
-    + f"SELECT year, {_r('sum(neg * (tp + tp - pos) / 2) / (max(p_all) * max(n_all))', 9)} AS a, "
-    + f"{_r('sum(pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos) / (tp - pos + fp - neg) ELSE tp / (tp + fp) END) / 2) / max(p_all)', 9)} AS b, "
-    + "cast(max(p_all) + max(n_all) AS DOUBLE) AS c FROM curve GROUP BY year)",
+    + _metrics_select(9),
+    "yearly_logistic": _yearly_logistic_sql(metrics=False),
+    "yearly_logistic_auc": _yearly_logistic_sql(metrics=True),
     "landing_manifest": _with(PERF_CTE)
     + "SELECT try_cast(split_part(reporting_date, '/', 3) AS INTEGER) AS reporting_year, count(*) AS n_rows, "
     "(SELECT count(*) FROM perf) AS manifest_rows, true AS files_ok FROM perf GROUP BY 1",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions import try_bigint
-from loanlens.operators import cleaning, evaluate, features, grouped, labels, reports, stats
+from loanlens.operators import cleaning, evaluate, features, grouped, labels, newton, reports, stats
 from loanlens.operators.models import hash_split_column
 from loanlens.plans import jobs
 from loanlens.schemas import (
@@ -380,6 +380,29 @@ def q_yearly_hypotheses(spark, sf_dir):
     return _rounded_tests(grouped.group_hypotheses(frame.moments, frame.stats))
 
 
+def _yearly_logistic(spark, sf_dir) -> tuple[jobs.YearFrame, DataFrame, DataFrame]:
+    """The frame of all years, its test side, and the coefficients fitted on its training side."""
+    frame = _year_frame(spark, sf_dir)
+    side = hash_split_column("loan_id", SPLIT_WEIGHTS, seed=SPLIT_SEED)
+    train, test = frame.data.where(side == "train"), frame.data.where(side == "test")
+    return frame, test, newton.fit_logistic_groups(train, "year", len(frame.stats.features))
+
+
+def q_yearly_logistic(spark, sf_dir):
+    """Coefficients of the ridge logistic regression of every file year, fitted on the training side by Newton steps."""
+    frame, _, fitted = _yearly_logistic(spark, sf_dir)
+    out = newton.coefficient_table(fitted, "year", frame.stats.features)
+    return out.select("year", "position", "feature", rounded("coefficient").alias("coefficient"))
+
+
+def q_yearly_logistic_auc(spark, sf_dir):
+    """Areas under ROC and PR, rank-sum AUC and rows of that regression on the test side of every file year."""
+    _, test, fitted = _yearly_logistic(spark, sf_dir)
+    scored = newton.score_groups(test, fitted, "year", []).withColumn("score", F.round("score", 9))
+    totals = grouped.group_totals(checkpointed(grouped.group_histogram(scored, ["year"])), ["year"])
+    return grouped.group_metrics(totals, ["year"]).select("year", "metric", rounded("value").alias("value"))
+
+
 def _year_totals(spark, sf_dir) -> DataFrame:
     lab = jobs.labelled(tables.acquisition_records(spark, sf_dir, with_file_year=True), perf(spark, sf_dir))
     scored = lab.select(F.col("file_year").alias("year"), F.col("is_foreclosed").alias("label"), credit_risk_score().alias("score"))
@@ -584,6 +607,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_tables_rerun": q_yearly_tables_rerun,
     "yearly_correlation": q_yearly_correlation,
     "yearly_hypotheses": q_yearly_hypotheses,
+    "yearly_logistic": q_yearly_logistic,
+    "yearly_logistic_auc": q_yearly_logistic_auc,
     "yearly_curves": q_yearly_curves,
     "yearly_metrics": q_yearly_metrics,
     "logistic_auc": _model_query("logistic_regression"),
