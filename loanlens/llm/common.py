@@ -71,8 +71,8 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def bounded_sample(df: DataFrame, bound: int, by: str | None = None, *, key: list[str]) -> DataFrame:
-    """About ``bound`` rows (of each value of ``by``), chosen by a hash of ``key``; everything when there are fewer.
+def bounded_sample(df: DataFrame, bound: float | dict, by: str | None = None, *, key: list[str]) -> DataFrame:
+    """About ``bound`` rows (of each value of ``by``; a dictionary gives each its own), chosen by a hash of ``key``; everything when there are fewer.
 
     The same rows come back under any partitioning or retry. ``by`` must have few values (labels).
     """
@@ -80,7 +80,8 @@ def bounded_sample(df: DataFrame, bound: int, by: str | None = None, *, key: lis
     scale = 1 << 30
     keep = F.lit(False)
     for value, n in df.groupBy(group.alias("g")).count().collect():
-        share = min(scale, int(scale * bound / max(n, 1)))
+        own = bound.get(value, 0) if isinstance(bound, dict) else bound
+        share = min(scale, int(scale * own / max(n, 1)))
         keep = keep | (group.eqNullSafe(F.lit(value)) & (F.pmod(F.xxhash64(*key, F.lit(17)), F.lit(scale)) < F.lit(share)))
     return df.where(keep)
 

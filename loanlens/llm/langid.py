@@ -67,7 +67,7 @@ SCRIPT_RANGES = [
 ]
 SCRIPTS = sorted({name for _, name in SCRIPT_RANGES})
 _STARTS = [start for start, _ in SCRIPT_RANGES]
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")  # letters, and signs such as superscripts that ``letter_runs`` takes out again
 MAX_CACHED_WORDS = 300_000
 
 
@@ -93,7 +93,7 @@ def _script_column(word: Column) -> Column:
 def fit(labelled: DataFrame, per_language: int = TRAIN_DOCS_PER_LANGUAGE) -> LanguageModel:
     """Fit on ``labelled(text, lang)``, at most about ``per_language`` texts of each language."""
     rows = bounded_sample(
-        labelled.select("text", "lang").where("text is not null and lang is not null"), per_language, "lang", key=["text"]
+        labelled.where("text is not null and lang is not null"), per_language, "lang", key=[c for c in ("doc_id", "text") if c in labelled.columns]
     )
     counted = (
         rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
@@ -196,10 +196,17 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, penalty: float = SWITCH_PENA
     return label
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters, as ``fit`` splits them (``[^\\p{L}]+``)."""
+    found = _WORD.findall(text)
+    if "".join(found).isalpha():
+        return found
+    return [w for x in found for w in ([x] if x.isalpha() else "".join(c if c.isalpha() else " " for c in x).split())]
+
+
 def label_batch(batch: pa.RecordBatch, cache: WordScores) -> list[tuple[str, float, list]]:
     """(language, score, [(first word, last word, language)]) of each text."""
-    found = [_WORD.findall(t.lower()) for t in texts(batch)]
-    found = [[w for w in ws if w.isalpha()] if not "".join(ws).isalpha() else ws for ws in found]
+    found = [letter_runs(t.lower()) for t in texts(batch)]
     if not cache.model.languages:
         return [(UNKNOWN, 0.0, []) for _ in found]
     cache.trim()

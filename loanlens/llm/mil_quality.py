@@ -5,9 +5,10 @@ in its bytes and in its word ends, word shape figures and repetition, and hashed
 attention ``softmax(w . (tanh(V h) * sigmoid(U h)))``, learned from document labels alone, weighs the
 passages; the weighted passage representation is scored by a logistic unit.
 
-Fitting uses a bounded sample of labelled documents (``TRAIN_DOCS``, a documented bound; scoring covers all rows and
-whole texts). Only the passage vectors of that sample reach the driver, at most ``TRAIN_PASSAGES`` of each
-document: a longer one gives evenly spaced passages, in fitting alone. No scoring step has a cap.
+Fitting uses a bounded sample of labelled documents (``TRAIN_DOCS`` of each class, and fewer where their passages would
+exceed ``TRAIN_PASSAGES``; documented bounds on rows). A sampled document gives all its passages, as in scoring; one of more than
+``LONGEST`` of the bound is not sampled. Only the passage vectors of the sample reach the driver. Rows are drawn by a hash
+of id and text and repeated rows count once, so copies of a text are drawn one by one. No scoring step has a cap.
 
 Defined results: null and empty texts are one empty passage and get the score the model gives it; with
 labels of one class only, the score is that class's share (0 or 1); with no labels it is 0.5; repeated
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from loanlens.llm.common import blocks, bounded_sample, id_remainder, texts
 
 PASSAGE_BYTES = 512
-TRAIN_DOCS, TRAIN_PASSAGES = 4_000, 24
+TRAIN_DOCS, TRAIN_PASSAGES = 4_000, 30_000  # of each class
+LONGEST = 1 / 8
 HASHED = 64
 HIDDEN, ATTENTION = 24, 12
 THRESHOLD = 0.3
@@ -164,9 +166,11 @@ def train(bags: list[np.ndarray], y: np.ndarray) -> MilModel:
     if len(set(y.tolist())) == 1:
         return MilModel(constant=float(y[0]))
     rng = np.random.default_rng(SEED)
-    every = np.vstack(bags)
+    every, cut = np.vstack(bags), np.cumsum([len(b) for b in bags])[:-1]
     mean, scale = every.mean(axis=0), every.std(axis=0) + 0.02
-    bags = [(b - mean) / scale for b in bags]
+    every -= mean
+    every /= scale
+    bags = np.split(every, cut)
     init = lambda *s: rng.normal(0, s[0] ** -0.5, s)
     w = {"E": init(DIM, HIDDEN), "e": np.zeros(HIDDEN), "V": init(HIDDEN, ATTENTION), "U": init(HIDDEN, ATTENTION),
          "a": init(ATTENTION), "o": init(HIDDEN), "b": np.zeros(1)}
@@ -188,18 +192,26 @@ def train(bags: list[np.ndarray], y: np.ndarray) -> MilModel:
     return MilModel(mean, scale, w)
 
 
-def fit(labelled: DataFrame, bound: int = TRAIN_DOCS) -> MilModel:
-    """Fit on ``labelled(text, quality)``, about ``bound`` documents of each quality at most."""
-    rows = bounded_sample(labelled.select("text", "quality").where("quality in (0, 1)"), bound, "quality", key=["text"])
+def training_sample(labelled: DataFrame, bound: int = TRAIN_DOCS, passage_bound: int = TRAIN_PASSAGES) -> DataFrame:
+    """About ``bound`` rows of ``labelled([doc_id,] text, quality)`` of each quality at most, with about ``passage_bound`` passages at most."""
+    key = [c for c in ("doc_id", "text") if c in labelled.columns]
+    size = F.greatest(F.lit(1), F.ceil(F.octet_length(F.coalesce("text", F.lit(""))) / PASSAGE_BYTES))
+    rows = labelled.select(*key, "quality").where(F.col("quality").isin(0, 1) & (size <= passage_bound * LONGEST))
+    total = {r["quality"]: r for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("passages")).collect()}
+    share = {q: min(1.0, bound / r["n"], passage_bound / r["passages"]) for q, r in total.items()}
+    drawn = bounded_sample(rows, {q: share[q] * r["n"] for q, r in total.items()}, "quality", key=key)
+    return drawn.dropDuplicates([*key, "quality"]) if "doc_id" in key else drawn
+
+
+def fit(labelled: DataFrame, bound: int = TRAIN_DOCS, passage_bound: int = TRAIN_PASSAGES) -> MilModel:
+    """Fit on ``training_sample`` of ``labelled([doc_id,] text, quality)``."""
+    rows = training_sample(labelled, bound, passage_bound).select("text", "quality")
 
     def run(batches):
         for batch in blocks(batches):
             x, count = passages([t.encode("utf-8", "surrogatepass") for t in texts(batch)])
             at = np.concatenate([[0], np.cumsum(count)])
-            out = []
-            for d, n in enumerate(count.tolist()):
-                pick = np.unique(np.linspace(0, n - 1, min(n, TRAIN_PASSAGES)).astype(int))
-                out.append(x[at[d] + pick].tobytes())
+            out = [x[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(out, pa.binary())], names=["quality", "x"])
 
     got = rows.mapInArrow(run, "quality int, x binary").toPandas()

@@ -1,9 +1,11 @@
 """Language identification, BPE codec, quality classifier and language model."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -80,6 +82,78 @@ def test_language_id_odd_inputs(spark, language_model):
     assert {r.lang_pred for r in langid.identify(docs_frame(spark, ["abc", None]), nothing).collect()} == {"und"}
 
 
+def plain_words(text):
+    """Runs of letters, by the Unicode categories."""
+    return "".join(c if unicodedata.category(c).startswith("L") else " " for c in (text or "").lower()).split()
+
+
+def test_letters_beside_other_signs_are_words(spark, language_model):
+    model, en, _, _ = language_model
+    rng = random.Random(9)
+    marked = " ".join(w + "²₃½"[i % 3] for i, w in enumerate(sentence(rng, en, 30).split()))
+    out = langid.identify(docs_frame(spark, [marked, "² ₃ ½ Ⅷ"]), model).orderBy("doc_id").collect()
+    assert out[0].lang_pred == "en" and out[0].score > 0.9 and out[1].lang_pred == "und"
+    for t in (marked, "m² x₂ ½kg a_b c1d e\u0301f Ⅷa", "plain words", "漢字かな カナ"):
+        assert langid.letter_runs(t.lower()) == plain_words(t)
+
+
+def test_language_query_equals_brute_force(spark, sf_small):
+    """The query against a plain statement: counts by words, scripts by name, one dynamic programme a text."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    words = collections.defaultdict(collections.Counter)
+    for d in docs:
+        if d.lang is not None and d.text is not None and not held(d.doc_id):
+            words[d.lang].update(plain_words(d.text))
+    langs = sorted(words)
+    grams = lambda w: [("^" + w + "$")[i : i + 3] for i in range(len(w))] + ["=" + w]
+    place = lambda g: zlib.crc32(g.encode()) % langid.BUCKETS
+    script = lambda w: langid.SCRIPTS[langid.script_of(ord(w[0]))]
+    gram_n = {k: collections.Counter() for k in langs}
+    script_n = {k: collections.Counter() for k in langs}
+    for k in langs:
+        for w, n in words[k].items():
+            script_n[k][script(w)] += n * len(w)
+            for g in grams(w):
+                gram_n[k][place(g)] += n
+    total = {k: sum(gram_n[k].values()) for k in langs}
+    letters = {k: sum(script_n[k].values()) for k in langs}
+
+    @functools.cache
+    def scores(w):
+        raw = [sum(math.log((gram_n[k][place(g)] + 0.5) / (total[k] + 0.5 * langid.BUCKETS)) for g in grams(w)) for k in langs]
+        norm = max(raw) + math.log(sum(math.exp(x - max(raw)) for x in raw))
+        able = [script_n[k][script(w)] / letters[k] >= langid.SCRIPT_SHARE for k in langs]
+        if not any(able):
+            return [0.0] * len(langs)
+        return [max(x - norm, langid.FLOOR) if ok else langid.NOT_A_CANDIDATE for x, ok in zip(raw, able, strict=True)]
+
+    out = {r.doc_id: r for r in langid.query(spark, sf_small).collect()}
+    assert len(out) == len(docs)
+    for d in docs:
+        ws = plain_words(d.text)
+        r = out[d.doc_id]
+        assert r.held_out == held(d.doc_id)
+        if not ws:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        best, back = scores(ws[0]), []
+        for w in ws[1:]:
+            top = max(range(len(langs)), key=best.__getitem__)
+            step = [k if best[k] >= best[top] - langid.SWITCH_PENALTY else top for k in range(len(langs))]
+            best = [max(best[k], best[top] - langid.SWITCH_PENALTY) + s for k, s in enumerate(scores(w))]
+            back.append(step)
+        k = max(range(len(langs)), key=best.__getitem__)
+        path = [k]
+        for step in reversed(back):
+            path.append(k := step[k])
+        weight = collections.Counter()
+        for w, k in zip(ws, reversed(path), strict=True):
+            weight[langs[k]] += len(w)
+        share = weight[r.lang_pred] / sum(weight.values())
+        assert weight[r.lang_pred] == max(weight.values()) and r.score == pytest.approx(share), d.doc_id
+
+
 def test_held_out_languages(spark, sf_small):
     out = langid.query(spark, sf_small).alias("o").join(spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     right, every = out.where("lang_pred = lang").count(), out.where("lang is not null").count()
@@ -210,6 +284,40 @@ def test_quality_odd_inputs(spark):
     assert mil_quality.keep_good(spark.createDataFrame([], DOC), model).count() == 0
 
 
+def test_fit_sees_every_passage_of_a_long_document(spark):
+    """Long documents that differ from good ones by one passage, at any place: seen in fitting, found in scoring."""
+    rng = random.Random(31)
+    vocab = vocabulary(300)
+
+    def text(bad):
+        parts = [sentence(rng, vocab, 400) for _ in range(12)]  # some 60 passages
+        if bad:
+            at = rng.randrange(12)
+            parts[at] = parts[at][: len(parts[at]) // 2] + " " + "### $$$ !!! ||| " * 48 + parts[at][len(parts[at]) // 2 :]
+        return "\n".join(parts)
+
+    rows = [(i, text(i % 2), 1 - i % 2) for i in range(160)]
+    train = spark.createDataFrame(rows[:120], "doc_id long, text string, quality int")
+    sample = mil_quality.training_sample(train)
+    assert sample.count() == 120
+    model = mil_quality.fit(train)
+    assert len(mil_quality.passages([rows[1][1].encode()])[0]) > 40
+    out = mil_quality.score(spark.createDataFrame([r[:2] for r in rows[120:]], "doc_id long, text string"), model).collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in out) >= 36
+
+
+def test_training_sample_keeps_its_bounds(spark):
+    rows = [(i, "one hot text" if i % 3 == 0 else f"text {i} " + "x " * 300, i % 2) for i in range(6000)]
+    frame = spark.createDataFrame([*rows, *rows[:2000]], "doc_id long, text string, quality int")
+    got = mil_quality.training_sample(frame, 300).collect()
+    hot = sum(r.text == "one hot text" for r in got)
+    assert 400 < len(got) < 660 and 0.2 * len(got) < hot < 0.5 * len(got) and len(set(got)) == len(got)
+    few = mil_quality.training_sample(frame, 3000, 500).collect()  # by passages: 2 each, 1 for the hot text
+    assert sum(1 if r.text == "one hot text" else 2 for r in few) < 1150
+    long = spark.createDataFrame([(1, "y" * 600_000, 0), (2, "z", 0)], "doc_id long, text string, quality int")
+    assert [r.doc_id for r in mil_quality.training_sample(long, 10, 5000).collect()] == [2]
+
+
 def test_passages_cover_whole_texts():
     x, count = mil_quality.passages([b"", b"a" * 5, b"b" * 5000])
     assert count.tolist() == [1, 1, 10] and x.shape == (12, mil_quality.DIM) and np.isfinite(x).all()
