@@ -12,7 +12,8 @@ common ones of ``CONTROL``), so no text can end its turn; ``unescape`` takes the
 
 A turn goes to the span in which it ends: span ``k`` holds the turns whose tokens end in ``(k * stride, (k + 1) * stride]``, with
 ``stride = (budget - system - history) / 2``. A window then fits the budget unless one of its turns is longer
-than the stride; such a turn stays whole. Work is by window functions over ``conv_id``; a conversation's turns stream
+than the stride; such a turn stays whole. The system turn is always repeated whole: one that leaves no room in the budget puts every
+turn into a window of its own. Work is by window functions over ``conv_id``; a conversation's turns stream
 through its partition and are never gathered in one row. A window, which the budget bounds, is one row.
 
 Defined results: null roles and texts count as ''; turns of equal number follow by role, then text; a null conv_id is
@@ -27,6 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUDGET, HISTORY = 512, 96
+BYTES_PER_TOKEN = 4
 TURN_OVERHEAD = 4
 START, AGAIN, SEP, END = "<|start|>", "<|again|>", "<|sep|>", "<|end|>"
 # Control strings that are broken up, this template's (<|) first.
@@ -43,8 +45,10 @@ def unescape(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Words by white space, and the turn's own marks: a cheap bound on the order of a tokenizer's count."""
-    return F.size(F.split(text, r"\s+")) + TURN_OVERHEAD
+    """Words by white space or a token for ``BYTES_PER_TOKEN`` bytes, whichever are more, and the turn's own marks: a cheap
+    bound on the order of a tokenizer's count, also for text without spaces."""
+    by_bytes = F.ceil(F.octet_length(text) / BYTES_PER_TOKEN).cast("int")
+    return F.greatest(F.size(F.split(text, r"\s+")), by_bytes) + TURN_OVERHEAD
 
 
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:

@@ -303,7 +303,7 @@ def test_windows_keep_the_budget_and_the_system_turn(spark):
     rows = conversations(4)
     out = check_windows(spark, rows).collect()
     system = {r[0]: r[3] for r in rows if r[2] == "system"}
-    words_of = lambda t: len(re.split(r"\s+", t)) + chat_windows.TURN_OVERHEAD
+    words_of = lambda t: max(len(re.split(r"\s+", t)), -(-len(t.encode()) // chat_windows.BYTES_PER_TOKEN)) + chat_windows.TURN_OVERHEAD
     repeated = 0
     for w in out:
         pieces = [p for p in w.formatted.split("<|end|>") if p]
@@ -318,6 +318,14 @@ def test_windows_keep_the_budget_and_the_system_turn(spark):
     assert repeated > 5
 
 
+def test_windows_of_text_without_spaces(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], "漢字" * 60) for t in range(20)] + [(2, 0, "system", "漢字" * 400), (2, 1, "user", "a"), (2, 2, "assistant", "b")]
+    out = check_windows(spark, rows, 512, 96).collect()
+    of = lambda c: sorted((w for w in out if w.conv_id == c), key=lambda w: w.window)
+    assert len(of(1)) > 5 and max(len(w.formatted.encode()) for w in of(1)) < 512 * chat_windows.BYTES_PER_TOKEN * 1.5
+    assert [w.formatted.count("漢字") for w in of(2)] == [400, 400]  # no room beside the system turn: it stays, a turn a window
+
+
 def test_windows_odd_inputs(spark):
     rows = [(None, 1, "user", "no conversation id"), (1, None, None, None), (1, 2, "assistant", None), (1, 2, "assistant", "b"), (1, 2, "assistant", "b"), (2, 0, "system", "alone"),
             (3, 0, "assistant", "word " * 3000), (3, 1, "system", "late"), (4, 0, "assistant", "")]
