@@ -3,9 +3,15 @@
 Terms are pairs of neighbouring words (the first word also pairs with the start), weighted by ``1 + ln(count)``. Each bit of
 a term's hash votes for or against the same bit of the fingerprint. Likeness is the share of equal bits.
 
-Search: a fingerprint is cut into ``blocks`` blocks. Two fingerprints within ``radius`` differ in at most ``radius`` blocks, so
-some choice of ``blocks - radius`` blocks is equal in both. There is one table for each choice, with those blocks as its key;
-an equi-join on (table, key) finds all pairs, and the exact distance decides. Equal fingerprints are one entry.
+Search: a fingerprint is cut into ``b`` blocks, one table each. Of two fingerprints within ``radius`` some block differs in at most
+``radius // b`` bits, so a query probes each table by every key that near its own block; an equi-join on (table, key) finds all
+pairs, the exact distance decides, and a pair counts in the first of its tables alone. Fewer blocks have longer keys and more probes;
+``tables_for`` takes the number of blocks with the least work for the two sizes, and any number gives the same pairs. Equal
+fingerprints are one entry with their number of copies.
+
+``RADIUS`` is what texts of 0.8 similarity of five-word shingles need: one changed word in 45 (0.8 = k / (2 - k), k = 0.89 of the shingles
+kept, five lost a word) changes 2 word pairs in 45, which turns the vector of weights by an angle of about sqrt(2 * 2 / 45) = 0.3 and so
+0.3 / pi * 256 = 24 bits on average, with a standard deviation of some 4.5.
 
 The document after each one is found with one shuffle of the texts: explicit id ranges, sorted inside, and the head of
 the following range sent along as an extra row, so no task sees more than its range.
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +36,9 @@ from loanlens.llm.common import blocks as text_blocks
 from loanlens.llm.common import materialize, texts, words
 
 BITS = 256
-RADIUS, BLOCKS = 11, 12
+RADIUS = 31
+LANES = BITS // 64
+PROBE_COST = 8  # of a probe or an index row, in compared candidates
 _LANE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 MAX_CACHED_WORDS = 300_000
 
@@ -74,6 +83,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 1 - int(np.unpackbits(a ^ b).sum()) / BITS
 
 
+def lanes_of(fingerprint: np.ndarray) -> list[int]:
+    """The fingerprint as 64-bit integers, first bytes first."""
+    return fingerprint.view(">i8").tolist()
+
+
 def edited(text: str, following: str) -> str:
     """``text`` with its last third (rounded down) replaced by as much of the beginning of ``following``."""
     n = len(text) // 3
@@ -139,7 +153,7 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
         return {
             "doc_id": doc_id, "n_chars": len(own_text), "edited_sha256": hashlib.sha256(other.encode("utf-8", "surrogatepass")).hexdigest(),
             "fingerprint": own.tobytes().hex(), "edited_fingerprint": changed.tobytes().hex(),
-            "near_edited": likeness(own, changed), "near_next": likeness(own, next_print), "lanes": own.view(np.int64).tolist(),
+            "near_edited": likeness(own, changed), "near_next": likeness(own, next_print), "lanes": lanes_of(own),
         }
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -153,38 +167,90 @@ def fingerprints_with_next(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def block_keys(fingerprint_hex: Column, blocks: int = BLOCKS, radius: int = RADIUS) -> Column:
-    """Keys of all tables: the blocks of each choice, side by side, after the number of the table."""
-    width = BITS // 4 // blocks
-    part = lambda b: F.substring(fingerprint_hex, b * width + 1, width if b < blocks - 1 else BITS)
-    return F.array(
-        *(F.concat(F.lit(f"{t}:"), *(part(b) for b in choice)) for t, choice in enumerate(combinations(range(blocks), blocks - radius)))
-    )
+def _widths(per_lane: int) -> list[int]:
+    """Bits of the blocks of a lane."""
+    return [64 // per_lane + (k < 64 % per_lane) for k in range(per_lane)]
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """``fingerprint, near, distance``: for each different fingerprint of ``queries(fingerprint, lanes)`` the other
-    ones of ``index`` within ``radius``. ``blocks`` must exceed ``radius``; more blocks give longer keys and more tables."""
-    one = lambda df: df.groupBy("fingerprint").agg(F.first("lanes").alias("lanes"))
-    keyed = lambda df, name: one(df).select(
-        F.col("fingerprint").alias(name), F.col("lanes").alias(f"{name}_lanes"), F.explode(block_keys(F.col("fingerprint"), blocks, radius)).alias("key")
-    )
-    q, i = keyed(queries, "q"), keyed(index, "i")
-    distance = sum((F.bit_count(F.col("q_lanes")[k].bitwiseXOR(F.col("i_lanes")[k])) for k in range(BITS // 64)), F.lit(0))
-    return (
-        q.join(i, (q["key"] == i["key"]) & (q["q"] != i["i"]) & (distance <= radius))
-        .select(F.col("q").alias("fingerprint"), F.col("i").alias("near"), distance.alias("distance"))
-        .distinct()
+def tables_for(queries: int, entries: int, radius: int = RADIUS) -> int:
+    """Blocks a lane (2 to 8) with the least work: rows of both sides, and expected candidates of evenly spread fingerprints."""
+
+    def work(per_lane: int) -> float:
+        near = radius // (LANES * per_lane)
+        ball = [sum(comb(w, k) for k in range(near + 1)) for w in _widths(per_lane)]
+        rows = LANES * per_lane * entries + queries * LANES * sum(ball)
+        return PROBE_COST * rows + queries * entries * LANES * sum(n / 2**w for n, w in zip(ball, _widths(per_lane), strict=True))
+
+    return min(range(2, 9), key=work)
+
+
+def _block(lane: Column, at: int, width: int) -> Column:
+    return F.shiftrightunsigned(lane, at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+
+def _blocks(lanes: list[Column], per_lane: int) -> list[tuple[Column, int]]:
+    """Value and bits of every block."""
+    out = []
+    for lane in lanes:
+        at = 0
+        for width in _widths(per_lane):
+            out.append((_block(lane, at, width), width))
+            at += width
+    return out
+
+
+def _masks(width: int, near: int) -> list[int]:
+    """Every choice of at most ``near`` of ``width`` bits."""
+    return [sum(1 << b for b in chosen) for k in range(near + 1) for chosen in combinations(range(width), k)]
+
+
+def _text_of(lanes: list[Column]) -> Column:
+    return F.concat(*(F.lower(F.lpad(F.hex(x), 16, "0")) for x in lanes))
+
+
+def near_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS, per_lane: int | None = None) -> DataFrame:
+    """``q0 .. q3, i0 .. i3, copies, distance``: each different fingerprint of ``queries(lanes)`` with every other one of ``index(lanes)`` within
+    ``radius``, once, and how many rows of the index have it. ``per_lane`` sets the blocks of a lane (``tables_for`` when None)."""
+    names = lambda x: [f"{x}{k}" for k in range(LANES)]
+    split = lambda df, x: df.select(*(F.col("lanes")[k].alias(c) for k, c in enumerate(names(x))))
+    q = materialize(split(queries, "q").distinct())
+    i = materialize(split(index, "i").groupBy(*names("i")).agg(F.count(F.lit(1)).alias("copies")))
+    per_lane = per_lane or tables_for(q.count(), i.count(), radius)
+    near = radius // (LANES * per_lane)
+    longest = max(_widths(per_lane))
+    key = lambda t, block: block.bitwiseOR(F.lit(t << longest).cast("long"))
+    probes = lambda t, block, width: F.transform(F.lit(_masks(width, near)).cast("array<long>"), lambda m: key(t, block.bitwiseXOR(m)))
+
+    asked, held = (_blocks([F.col(c) for c in names(x)], per_lane) for x in ("q", "i"))
+    q = q.select(*names("q"), F.explode(F.concat(*(probes(t, b, w) for t, (b, w) in enumerate(asked)))).alias("key"))
+    i = i.select(*names("i"), "copies", F.explode(F.array(*(key(t, b) for t, (b, _) in enumerate(held)))).alias("key"))
+
+    apart = [F.col(a).bitwiseXOR(F.col(b)) for a, b in zip(names("q"), names("i"), strict=True)]
+    distance = sum((F.bit_count(x) for x in apart), F.lit(0))
+    first = F.coalesce(*(F.when(F.bit_count(b) <= near, F.lit(t)) for t, (b, _) in enumerate(_blocks(apart, per_lane))))
+    return q.join(i, (q["key"] == i["key"]) & (distance > 0) & (distance <= radius) & (F.shiftrightunsigned(q["key"], longest) == first)).select(
+        *names("q"), *names("i"), "copies", distance.alias("distance")
     )
 
 
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, per_lane: int | None = None) -> DataFrame:
+    """``fingerprint, near, distance``: ``near_pairs`` by the fingerprints as text."""
+    own, near = ([F.col(f"{x}{k}") for k in range(LANES)] for x in ("q", "i"))
+    return near_pairs(queries, index, radius, per_lane).select(_text_of(own).alias("fingerprint"), _text_of(near).alias("near"), "distance")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents; ``n_within`` counts the other fingerprints within the radius, for every
+    """Fingerprints of all documents; ``n_within`` counts the other documents within the radius, copies among them, for every
     document whose id is divisible by 20 (null for the rest)."""
     found = materialize(fingerprints_with_next(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     asked = found.where("doc_id % 20 = 0")
-    near = within_radius(asked, found).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_within"))
-    return found.drop("lanes").join(near, "fingerprint", "left").select(
+    own = [F.col(f"q{k}") for k in range(LANES)]
+    near = near_pairs(asked, found).groupBy(*own).agg(F.sum("copies").alias("n")).select(_text_of(own).alias("fingerprint"), "n")
+    copies = found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies"))
+    counted = asked.select("fingerprint").distinct().join(copies, "fingerprint").join(near, "fingerprint", "left").select(
+        "fingerprint", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_within")
+    )
+    return found.drop("lanes").join(counted, "fingerprint", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-        F.when(F.col("doc_id") % 20 == 0, F.coalesce("n_within", F.lit(0))).alias("n_within"),
+        F.when(F.col("doc_id") % 20 == 0, F.col("n_within")).alias("n_within"),
     )

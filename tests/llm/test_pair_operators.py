@@ -258,13 +258,12 @@ def test_simhash_query_equals_brute_force(spark, tmp_path):
     out = {r.doc_id: r for r in simhash.query(spark, str(tmp_path)).collect()}
     h = simhash.WordHashes()
     own = {i: simhash.fingerprint(t, h) for i, t in texts.items()}
-    different = {p.tobytes() for p in own.values()}
     order = sorted(texts, reverse=True)
     assert set(out) == set(texts)
     for i, following in zip(order, [*order[1:], order[0]], strict=True):
         other = simhash.edited(texts[i], texts[following])
         changed = simhash.fingerprint(other, h)
-        near = sum(0 < np.unpackbits(own[i] ^ np.frombuffer(p, dtype=np.uint8)).sum() <= simhash.RADIUS for p in different)
+        near = sum(np.unpackbits(own[i] ^ p).sum() <= simhash.RADIUS for p in own.values()) - 1
         r = out[i]
         assert (r.n_chars, r.fingerprint, r.edited_fingerprint) == (len(texts[i]), own[i].tobytes().hex(), changed.tobytes().hex())
         assert r.edited_sha256 == hashlib.sha256(other.encode()).hexdigest()
@@ -273,26 +272,65 @@ def test_simhash_query_equals_brute_force(spark, tmp_path):
     assert max(r.n_within or 0 for r in out.values()) > 0
 
 
-@pytest.mark.parametrize("blocks,radius", [(12, 11), (8, 6), (4, 3)])
-def test_search_equals_brute_force(spark, blocks, radius):
+def test_search_finds_near_copies(spark, sf_small):
+    """Recall against brute-force similarity of five-word shingles, which knows nothing of fingerprints."""
+    rows = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    _, sets = brute_join([(r.doc_id, r.text) for r in rows])
+    rng = random.Random(21)
+    vocab = vocabulary(1500)
+    texts = {}
+    for g in range(40):  # near copies by scattered changes of words, as far as the similarity allows and beyond
+        base = rng.choices(vocab, k=rng.choice([60, 120, 300, 800]))
+        texts[1000 * g] = " ".join(base)
+        for k in range(1, 6):
+            w = list(base)
+            for at in rng.sample(range(len(w)), max(1, len(w) * k // 225)):
+                w[at] = rng.choice(vocab)
+            texts[1000 * g + k] = " ".join(w)
+    _, made = brute_join(list(texts.items()))
+    alike = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    for pairs_of, text_of in ((sets, {r.doc_id: r.text for r in rows}), (made, texts)):
+        h = simhash.WordHashes()
+        prints = {i: simhash.fingerprint(t or "", h) for i, t in text_of.items()}
+        df = spark.createDataFrame([(simhash.lanes_of(p),) for p in prints.values()], "lanes array<long>")
+        found = {(r.fingerprint, r.near) for r in simhash.within_radius(df, df).collect()}
+        similar = [(a, b) for a in pairs_of for b in pairs_of if a != b and alike(pairs_of[a], pairs_of[b])]
+        text = {i: p.tobytes().hex() for i, p in prints.items()}
+        caught = sum(text[a] == text[b] or (text[a], text[b]) in found for a, b in similar)
+        assert caught >= 0.9 * len(similar)
+    assert len(similar) > 300
+
+
+def test_tables_follow_the_sizes():
+    assert simhash.tables_for(10_000, 200_000) == 4  # 16 blocks of 16 bits, one bit apart
+    few, many = simhash.tables_for(10**3, 10**4), simhash.tables_for(5 * 10**8, 10**10)
+    assert few >= 4 > many == 2
+
+
+@pytest.mark.parametrize("per_lane,radius", [(None, 31), (3, 31), (4, 11), (2, 9), (8, 31), (2, 3)])
+def test_search_equals_brute_force(spark, per_lane, radius):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2, (20, simhash.BITS))
     prints = []
     for b in base:
-        for flips in range(0, 16, 2):
+        for flips in range(0, 36, 3):
             x = b.copy()
             x[rng.choice(simhash.BITS, flips, replace=False)] ^= 1
             prints.append(np.packbits(x))
-    rows = [(p.tobytes().hex(), p.view(np.int64).tolist()) for p in prints] * 2
+    prints.append(np.zeros(simhash.BITS // 8, dtype=np.uint8))
+    prints.append(np.full(simhash.BITS // 8, 255, dtype=np.uint8))
+    rows = [(p.tobytes().hex(), simhash.lanes_of(p)) for p in prints] * 2
     df = spark.createDataFrame(rows, "fingerprint string, lanes array<long>")
-    got = {(r.fingerprint, r.near, r.distance) for r in simhash.within_radius(df, df, radius, blocks).collect()}
+    out = [(r.fingerprint, r.near, r.distance) for r in simhash.within_radius(df, df, radius, per_lane).collect()]
+    got = set(out)
+    assert len(out) == len(got)  # each pair once
     expected = set()
     for a in prints:
         for b in prints:
             d = int(np.unpackbits(a ^ b).sum())
             if 0 < d <= radius:
                 expected.add((a.tobytes().hex(), b.tobytes().hex(), d))
-    assert got == expected and len(expected) >= 40
+    assert got == expected and len(expected) >= 20
 
 
 # ---- decontamination --------------------------------------------------------
