@@ -228,7 +228,8 @@ def near_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS, per_l
     apart = [F.col(a).bitwiseXOR(F.col(b)) for a, b in zip(names("q"), names("i"), strict=True)]
     distance = sum((F.bit_count(x) for x in apart), F.lit(0))
     first = F.coalesce(*(F.when(F.bit_count(b) <= near, F.lit(t)) for t, (b, _) in enumerate(_blocks(apart, per_lane))))
-    return q.join(i, (q["key"] == i["key"]) & (distance > 0) & (distance <= radius) & (F.shiftrightunsigned(q["key"], longest) == first)).select(
+    # always a shuffle: the keys of a small table are many times its size, so its size is no ground to broadcast them
+    return q.hint("merge").join(i, (q["key"] == i["key"]) & (distance > 0) & (distance <= radius) & (F.shiftrightunsigned(q["key"], longest) == first)).select(
         *names("q"), *names("i"), "copies", distance.alias("distance")
     )
 
