@@ -128,6 +128,102 @@ def curve_table(
     )
 
 
+POINTS = 1000
+MAX_CUT_GROUPS = 4096  # groups whose cuts are broadcast: 33 MB at 1,001 scores each
+
+
+def score_cuts(rows: DataFrame, by: list[str], points: int, accuracy: int) -> DataFrame:
+    """``by, cuts``: ascending scores, at most ``points`` + 1 a group: the least one and approximate quantiles.
+
+    The quantiles come from a mergeable summary of ``accuracy`` (rank error: rows / accuracy), merged on the map side.
+    """
+    quantiles = F.percentile_approx("score", [i / points for i in range(1, points + 1)], accuracy)
+    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.min("score")), quantiles)))
+    return rows.groupBy(*by).agg(cuts.alias("cuts")).where("cuts is not null")
+
+
+def _cut_below(cuts: Column, score: Column, most: int) -> Column:
+    """The last of ``cuts``, of which there are at most ``most``, that is not above ``score`` (binary search)."""
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(most.bit_length()))))
+    place = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(cuts, at + s - 1) <= score, at + s).otherwise(at))
+    return F.get(cuts, place - 1)
+
+
+def bounded_curve(
+    df: DataFrame,
+    label_col: str = "label",
+    score: Column | str = "score",
+    by: tuple[str, ...] = (),
+    points: int = POINTS,
+    accuracy: int | None = None,
+) -> DataFrame:
+    """ROC and PR points of every group of ``by``, at most ``points`` + 1 a group whatever the number of distinct scores.
+
+    ``(*by, threshold, n, between, tp, fp, tpr, fpr, precision, recall)``. Thresholds are scores of the data, at approximate quantiles;
+    the counts at a threshold are exact (a second pass, one aggregate). ``n`` rows score from the threshold up to the next
+    one, ``between`` of them above the threshold itself: at most rows * (1 / points + 2 / accuracy) + 1. Nulls in ``by`` are one group, and
+    a group without a usable row has no points. Nothing is as large as the distinct scores.
+    """
+    by = list(by)
+    accuracy = accuracy or 10 * points
+    rows = usable(df, label_col, score, keep=by)
+    cuts = checkpointed(score_cuts(rows, by, points, accuracy))
+    if by:
+        names = [f"_cut_{k}" for k in range(len(by))]
+        found = cuts.toDF(*names, "cuts")
+        if cuts.count() <= MAX_CUT_GROUPS:
+            found = F.broadcast(found)
+        same = F.lit(True)
+        for name, column in zip(names, by, strict=True):
+            same = same & F.col(name).eqNullSafe(F.col(column))
+        rows = rows.join(found, same).drop(*names)
+    else:
+        one = cuts.first()  # one row of at most points + 1 scores
+        rows = rows.withColumn("cuts", F.lit(one["cuts"] if one else []).cast("array<double>"))
+    cells = (
+        rows.withColumn("threshold", _cut_below(F.col("cuts"), F.col("score"), points + 1))
+        .groupBy(*by, "threshold")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") > F.col("threshold")).alias("between"), F.sum("label").cast("bigint").alias("pos"))
+    )
+    group = Window.partitionBy(*by)  # at most points + 1 rows a group
+    down = group.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tp, fp = F.sum("pos").over(down), F.sum(F.col("n") - F.col("pos")).over(down)
+    tpr = F.try_divide(tp, F.sum("pos").over(group)).cast("double")
+    return cells.select(
+        *by,
+        "threshold",
+        "n",
+        "between",
+        tp.alias("tp"),
+        fp.alias("fp"),
+        tpr.alias("tpr"),
+        F.try_divide(fp, F.sum(F.col("n") - F.col("pos")).over(group)).cast("double").alias("fpr"),
+        F.try_divide(tp, tp + fp).cast("double").alias("precision"),
+        tpr.alias("recall"),
+    )
+
+
+def curve_bounds(curve: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(*by, n_pos, n_neg, points, widest, auc_low, auc, auc_high)`` of ``bounded_curve``'s points.
+
+    ``widest`` is the most rows that score between two neighbouring thresholds. The exact area lies between
+    ``auc_low`` and ``auc_high``, since the curve only rises between two points; ``auc`` is the trapezoid's. Null areas: one class only.
+    """
+    down = Window.partitionBy(*by).orderBy(F.desc("threshold"))
+    before = lambda c: F.lag(c, 1, 0).over(down)
+    steps = curve.select(*by, "threshold", "between", "tp", "fp", before("tp").alias("_tp"), (F.col("fp") - before("fp")).alias("_d"))
+    area = lambda height: F.try_divide(F.sum(F.col("_d") * height.cast("double")), F.max("tp").cast("double") * F.max("fp"))
+    return steps.groupBy(*by).agg(
+        F.max("tp").alias("n_pos"),
+        F.max("fp").alias("n_neg"),
+        F.count(F.lit(1)).alias("points"),
+        F.max("between").alias("widest"),
+        area(F.col("_tp")).alias("auc_low"),
+        area((F.col("_tp") + F.col("tp")) / 2).alias("auc"),
+        area(F.col("tp")).alias("auc_high"),
+    )
+
+
 def roc_curve(df: DataFrame, label_col: str = "label", score: Column | str = "score", digits: int | None = None, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return curve_table(df, label_col, score, digits, buckets).select("threshold", "tp", "fp", "tpr", "fpr")
 

@@ -603,6 +603,10 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg, "
     + _r("sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + cast(neg AS DOUBLE) / 2)) / (cast(sum(pos) AS DOUBLE) * cast(sum(neg) AS DOUBLE))", 9)
     + " AS auc FROM c",
+    "linear_score_bounded_curve": _with(*LINEAR, _EXACT_HIST, _BELOW)
+    + "SELECT cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg, "
+    + _r("sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + cast(neg AS DOUBLE) / 2)) / (cast(sum(pos) AS DOUBLE) * cast(sum(neg) AS DOUBLE))", 9)
+    + " AS auc, TRUE AS points_within, TRUE AS steps_within, TRUE AS area_within FROM c",
     "linear_score_confusion": _with(*LINEAR) + _CONFUSION,
     "glm_moments": _glm_moments_sql(),
     "bonferroni": _with(*LABELLED)

@@ -458,6 +458,23 @@ def q_linear_score_auc(spark, sf_dir):
     return evaluate.exact_auc(_linear_scored(spark, sf_dir), "label", "score").select("n_pos", "n_neg", rounded("auc", 9).alias("auc"))
 
 
+def q_linear_score_bounded_curve(spark, sf_dir):
+    """Curve of the fixed linear score in at most 101 points: exact counts and area, and whether the points keep their stated bounds."""
+    scored = checkpointed(_linear_scored(spark, sf_dir))
+    points, accuracy = 100, 1000
+    bounds = evaluate.curve_bounds(evaluate.bounded_curve(scored, points=points, accuracy=accuracy))
+    exact = evaluate.exact_auc(scored).withColumnRenamed("auc", "exact")
+    rows = F.col("n_pos") + F.col("n_neg")
+    return exact.join(bounds, ["n_pos", "n_neg"]).select(
+        "n_pos",
+        "n_neg",
+        rounded("exact", 9).alias("auc"),
+        (F.col("points") <= points + 1).alias("points_within"),
+        (F.col("widest") <= rows * (1 / points + 2 / accuracy) + 1).alias("steps_within"),
+        F.col("exact").between(F.col("auc_low") - 1e-12, F.col("auc_high") + 1e-12).alias("area_within"),
+    )
+
+
 def q_linear_score_confusion(spark, sf_dir):
     """Confusion counts of the fixed linear score at the fixed threshold."""
     return evaluate.confusion_at_threshold(_linear_scored(spark, sf_dir), "label", "score")
@@ -601,6 +618,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "glm_moments": q_glm_moments,
     "linear_score_curve": q_linear_score_curve,
     "linear_score_auc": q_linear_score_auc,
+    "linear_score_bounded_curve": q_linear_score_bounded_curve,
     "linear_score_confusion": q_linear_score_confusion,
     "model_test_counts": q_model_test_counts,
     "yearly_counts": q_yearly_counts,
