@@ -9,11 +9,12 @@ partition.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.schemas import GBT_MAX_ITER, LR_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
+from loanlens.session import scratch_folder
 
 HASH_SPACE = 2**32
 DEFAULT_SEED = 11
@@ -61,7 +62,12 @@ def hash_split(
 
 
 def fit_logistic(train: DataFrame, features_col: str = "features", label_col: str = "label"):
-    return LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=LR_MAX_ITER).fit(train)
+    """Logistic regression, saved and read back: a fitted one holds its training summary, and that the session, which
+    is sent to every task that scores and can't be once anything in the session has used an ``Observation``."""
+    spark = train.sparkSession
+    folder = scratch_folder(spark, "model")
+    LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=LR_MAX_ITER).fit(train).write().save(folder)
+    return LogisticRegressionModel.read().session(spark).load(folder)
 
 
 FOREST_PARTITIONS = 32  # of the forest's layout; raise it (for all runs alike) where a partition gets too large

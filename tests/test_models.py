@@ -84,3 +84,24 @@ def test_forest_does_not_depend_on_input_partitioning(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
     assert body(c) == body(d)
+
+
+def test_logistic_scores_after_a_reconciled_read_and_an_observation(spark, sf_small, tmp_path):
+    """Neither keeps the scoring tasks from being sent."""
+    from pyspark.sql import Observation
+
+    from loanlens.session import build_session
+    from loanlens.sources import text
+
+    assert "Observation(" not in open(text.__file__).read()
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([("1|a|b",), ("2|a",), ("3|a|b|c",)], "value string").write.text(path)
+    read = text.read_reconciled(spark, path, ["loan_id", "x", "y"])
+    assert read.counts == {"lines": 3, "good": 1, "short": 1, "wide": 1, "rows": 1, "rejected": 2}
+    md = jobs.model_data(jobs.labelled(acquisition_records(spark, sf_small), performance_records(spark, sf_small)))
+    other = build_session().newSession()  # an observation leaves its mark on this session alone
+    data = other.read.parquet(*md.data.inputFiles())
+    seen = Observation()
+    data.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "seen"))
+    model, pred = jobs.fit_model("logistic_regression", data)
+    assert not model.hasSummary and seen.get["n"] == data.count() and pred.count() > 0
