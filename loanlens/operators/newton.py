@@ -10,6 +10,8 @@ free. Newton converges to the minimum (tests hold both equal to six digits), so
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,8 @@ REG = 1e-3
 FLAT = 1e-12  # mean curvature up to which an input is constant
 
 
-def _probability(x: Column, coefficients: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-dot(x, coefficients)))
-
-
-def _inputs() -> Column:
-    return F.concat("z", F.array(F.lit(1.0)))
+def _probability(logit: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-logit))
 
 
 def fit_logistic_groups(frame: DataFrame, key: str, p: int, reg: float = REG, rounds: int = ROUNDS) -> DataFrame:
@@ -39,12 +37,14 @@ def fit_logistic_groups(frame: DataFrame, key: str, p: int, reg: float = REG, ro
     """
     size = p + 1
     coefficients = checkpointed(frame.select(key).distinct().select(key, F.array(*([F.lit(0.0)] * size)).alias("coefficients")))
-    # the expressions of a round are the same in all rounds
-    weight, rest = F.col("_p") * (1 - F.col("_p")), F.col("label") - F.col("_p")
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(p)), lambda i: F.transform(F.sequence(F.lit(0), i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    product = lambda at, w: w * F.get("_x", at["i"]) * F.get("_x", at["j"])
-    triangle = let(weight, lambda w: F.transform(F.col("_pairs"), lambda at: product(at, w)))
-    gradient = let(rest, lambda r: F.transform("_x", lambda v: r * v))
+    # the expressions of a round are the same in all rounds; numbers stand in columns of their own, a missing one adds nothing
+    x = [F.col(f"_x{i}") for i in range(p)] + [F.lit(1.0)]
+    number = lambda array, i: F.coalesce(F.get(array, F.lit(i)), F.lit(0.0))
+    logit = functools.reduce(lambda s, i: s + x[i] * F.col(f"_b{i}"), range(size), F.lit(0.0))
+    lines = [F.sum(F.col("_wv") * v).alias(f"_h{i}") for i, v in enumerate(x)] + [F.sum(F.col("_rest") * F.col("_v")).alias("_g"), F.count(F.lit(1)).alias("_n")]
+    line = F.struct("_i", F.array(*(f"_h{i}" for i in range(size))).alias("_h"), "_g", "_n")
+    triangle = F.flatten(F.transform("_lines", lambda r: F.slice(r["_h"], F.lit(1), r["_i"] + 1)))
+    sums = F.concat(triangle, F.transform("_lines", lambda r: r["_g"]), F.array(F.get("_lines", F.lit(0))["_n"].cast("double")))
     cells = size * (size + 1) // 2
     places = F.sequence(F.lit(0), F.lit(size - 1))
     penalty = lambda i: F.when(i < p, F.lit(reg)).otherwise(0.0)
@@ -72,12 +72,15 @@ def fit_logistic_groups(frame: DataFrame, key: str, p: int, reg: float = REG, ro
     for _ in range(rounds):
         last = coefficients.select(F.col(key).alias("_key"), F.col("coefficients").alias("_b"))
         # one row a group
-        rows = frame.select(key, "label", _inputs().alias("_x")).join(F.broadcast(last), F.col(key).eqNullSafe(F.col("_key")))
-        rows = rows.withColumn("_p", _probability(F.col("_x"), F.col("_b"))).withColumn("_pairs", pairs)
-        # one row a number, summed in each task before it is sent: an aggregate of hundreds of sums is too much for generated code
-        terms = rows.select(key, F.posexplode(F.concat(triangle, gradient, F.array(F.lit(1.0)))).alias("_at", "_v"))
-        summed = terms.groupBy(key, "_at").agg(F.sum("_v").alias("_v")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_at", "_v"))).alias("_s"))
-        summed = summed.select(F.col(key), F.transform("_s", lambda s: s["_v"]).alias("_s"))
+        apart = last.select("_key", *(number("_b", i).alias(f"_b{i}") for i in range(size)))
+        rows = frame.select(key, "label", "z", *(number("z", i).alias(f"_x{i}") for i in range(p))).join(F.broadcast(apart), F.col(key).eqNullSafe(F.col("_key")))
+        rows = rows.select(key, "label", "z", *x[:p], _probability(logit).alias("_p"))
+        rows = rows.select(key, "z", *x[:p], (F.col("_p") * (1 - F.col("_p"))).alias("_w"), (F.col("label") - F.col("_p")).alias("_rest"))
+        # a line of the Hessian for each input: few sums at a time, which generated code adds up in each task before they are sent
+        rows = rows.select(key, *x[:p], "_w", "_rest", F.posexplode(F.concat("z", F.array(F.lit(1.0)))).alias("_i", "_u"))
+        rows = rows.select(key, "_i", *x[:p], "_w", "_rest", F.coalesce("_u", F.lit(0.0)).alias("_v"))
+        rows = rows.select(key, "_i", *x[:p], "_rest", "_v", (F.col("_w") * F.col("_v")).alias("_wv"))
+        summed = rows.groupBy(key, "_i").agg(*lines).groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("_lines")).select(key, sums.alias("_s"))
         one = summed.join(F.broadcast(last), F.col(key).eqNullSafe(F.col("_key")))
         coefficients = checkpointed(one.select(key, F.element_at("_s", -1).cast("bigint").alias("n"), update.alias("coefficients")))
     return coefficients
@@ -94,4 +97,4 @@ def score_groups(frame: DataFrame, fitted: DataFrame, key: str, keep: list[str])
     """``key, *keep, label, score``: the probability of label 1 of every row, by its group's coefficients."""
     by = fitted.select(F.col(key).alias("_key"), F.col("coefficients").alias("_b"))
     rows = frame.join(F.broadcast(by), F.col(key).eqNullSafe(F.col("_key")))
-    return rows.select(key, *keep, "label", _probability(_inputs(), F.col("_b")).alias("score"))
+    return rows.select(key, *keep, "label", _probability(dot(F.concat("z", F.array(F.lit(1.0))), F.col("_b"))).alias("score"))
