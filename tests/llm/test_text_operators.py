@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import DOC, ODD_TEXTS, clashing, docs_frame, sentence, vocabulary
+from pyspark.sql import functions as F
 
 from loanlens.llm import bloom_lm, bpe, common, langid, mil_quality
 
@@ -306,6 +307,21 @@ def test_fit_sees_every_passage_of_a_long_document(spark):
     assert sum((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in out) >= 36
 
 
+def test_labelled_sample_is_drawn_before_texts_move(spark):
+    """The same rows as from the joined texts, and no shuffle carries the text of a row that is not drawn."""
+    rows = [(i % 300, f"text {i % 290} " * 60) for i in range(400)] + [(None, "x"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(280)] + [(3, 0), (5, None), (None, 1)], "doc_id long, quality int")
+    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    for bound in (20, 4000):
+        got = mil_quality.labelled_sample(docs, labels, bound)
+        expected = mil_quality.training_sample(docs.join(one, "doc_id"), bound)
+        rows_of = lambda df: sorted(map(tuple, df.select("doc_id", "text", "quality").collect()), key=repr)
+        assert rows_of(got) == rows_of(expected) and got.count() > 10
+    joins = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) >= 1 and all("BroadcastHashJoin" in x for x in joins)
+
+
 def test_training_sample_keeps_its_bounds(spark):
     rows = [(i, "one hot text" if i % 3 == 0 else f"text {i} " + "x " * 300, i % 2) for i in range(6000)]
     frame = spark.createDataFrame([*rows, *rows[:2000]], "doc_id long, text string, quality int")
