@@ -465,7 +465,10 @@ def q_linear_score_bounded_curve(spark, sf_dir):
     bounds = evaluate.curve_bounds(evaluate.bounded_curve(scored, points=points, accuracy=accuracy))
     exact = evaluate.exact_auc(scored).withColumnRenamed("auc", "exact")
     rows = F.col("n_pos") + F.col("n_neg")
-    return exact.join(bounds, ["n_pos", "n_neg"]).select(
+    # one row each; a join on counts that are literals would be planned as a product
+    rest = ["exact", *(c for c in bounds.columns if c not in ("n_pos", "n_neg"))]
+    both = exact.unionByName(bounds, allowMissingColumns=True).groupBy("n_pos", "n_neg").agg(F.count(F.lit(1)).alias("_both"), *(F.max(c).alias(c) for c in rest))
+    return both.where("_both = 2").select(
         "n_pos",
         "n_neg",
         rounded("exact", 9).alias("auc"),
