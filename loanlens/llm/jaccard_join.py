@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from loanlens.llm.common import blocks, bounded_sample, materialize, mix64, utf8, word_hashes
+from loanlens.llm.common import blocks, bounded_sample, materialize, mix64, release_memory, release_shuffles, utf8, word_hashes
 from loanlens.llm.components import connected_components
 
 SHINGLE = 5
@@ -220,7 +220,10 @@ def fit(docs: DataFrame, n_docs: int, bound: int = SAMPLE_SETS) -> Index:
     )
     heavy = np.sort(common.select("s").toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
     small = sample.where(F.size("shingles") <= DELETION_UP_TO).select("shingles").toPandas()["shingles"]
-    return Index(heavy, allocate([np.asarray(s, dtype=np.int64).view(np.uint64) for s in small], heavy, max(1.0, n_docs / bound)))
+    index = Index(heavy, allocate([np.asarray(s, dtype=np.int64).view(np.uint64) for s in small], heavy, max(1.0, n_docs / bound)))
+    del common, small
+    release_memory()
+    return index
 
 
 def allocate(sample: list[np.ndarray], heavy: np.ndarray, scale: float) -> frozenset:
@@ -310,21 +313,25 @@ def similar(intersection, a, b):
     return 100 * intersection >= 80 * (a + b - intersection)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if its rows, which must be a few numbers each, are counted to be few."""
-    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, marked for broadcast if its rows (at most ``rows`` if given), which must be a few numbers each, are counted to be few."""
+    rows = df.limit(MAX_BROADCAST_ROWS + 1).count() if rows is None else rows
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose ``sets(set, shingles)`` are similar. Only the shingles of sets in a pair move."""
     pairs = materialize(pairs.select("a", "b"))
-    if pairs.isEmpty():
+    n = pairs.count()
+    if not n:
         return pairs
-    a = sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa")).join(small(pairs), "a")
-    wanted = materialize(pairs.select("b").distinct())
-    b = sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb")).join(small(wanted), "b", "left_semi")
+    a = sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa")).join(small(pairs, n), "a")
+    wanted = pairs.select("b").distinct()
+    b = sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb")).join(small(wanted, n), "b", "left_semi")
     both = F.size(F.array_intersect("sa", "sb"))
-    return materialize(a.join(b, "b").where(similar(both, F.size("sa"), F.size("sb"))).select("a", "b").distinct())
+    found = materialize(a.join(b, "b").where(similar(both, F.size("sa"), F.size("sb"))).select("a", "b").distinct())
+    release_shuffles(sets.sparkSession)  # and the plans and classes that the driver is done with
+    return found
 
 
 def links(docs: DataFrame, members: DataFrame, index: Index) -> DataFrame:
@@ -342,14 +349,12 @@ def links(docs: DataFrame, members: DataFrame, index: Index) -> DataFrame:
     stars = leaders(first)
     # the pair of each set with the hub that has the most keys
     order = W.partitionBy("b").orderBy(F.desc("degree"), "a")
-    one = stars[0].withColumn("r", F.row_number().over(order)).where("r = 1").select("a", "b")
+    one = stars.where("degree is not null").withColumn("r", F.row_number().over(order)).where("r = 1").select("a", "b")
     named = materialize(connected_components(verify(one, sets)))
-    # leaders in other components, one choice of leaders after the other
+    # the other leaders, of all choices at once: a pair that several choices or keys name is compared once
     drawn = lambda side: sketches.toDF(side, f"s{side}")
-    for star in stars:
-        rest = _apart(star, named).join(drawn("a"), "a").join(drawn("b"), "b")
-        rest = rest.where(sketch_distance("sa", "sb") * 9 <= F.col("na") + F.col("nb"))
-        named = _merged(named, verify(rest, sets))
+    rest = _apart(stars, named).join(drawn("a"), "a").join(drawn("b"), "b")
+    named = _merged(named, verify(rest.where(sketch_distance("sa", "sb") * 9 <= F.col("na") + F.col("nb")), sets))
     # any two sets of different components under one key
     placed = first.select("key", "low", "set", "n").join(named.toDF("set", "component"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     open_ = materialize(_of_several_components(placed))
@@ -406,17 +411,16 @@ def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
 
 def _merged(named: DataFrame, pairs: DataFrame) -> DataFrame:
     """``named`` after the links ``pairs``: components of the components, so many links between two of them are one edge."""
-    edges = materialize(_apart(pairs, named).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-    if edges.isEmpty():
+    top = materialize(connected_components(_apart(pairs, named).select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+    if top.isEmpty():
         return named
-    top = materialize(connected_components(edges))
     old = named.join(top.toDF("component", "new"), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
     return materialize(old.unionByName(top.join(named, "node", "left_anti")))
 
 
-def leaders(first: DataFrame) -> list[DataFrame]:
-    """For each choice of leaders: ``a, b, na, nb, degree``, each set ``b`` with the leader ``a`` of each of its keys,
-    if their sizes allow a link.
+def leaders(first: DataFrame) -> DataFrame:
+    """``a, b, na, nb, degree``: each set ``b`` with the leaders ``a`` of each of its keys, if their sizes allow a link.
+    ``degree``, the leader's number of shared keys, is null where only a random choice names the pair.
 
     The first choice is a key's set with the most shared keys: in a group of edited copies one of the least edited.
     The others are random (least hash of the set with a seed), so that a large group soon is one component. Leaders of
@@ -432,16 +436,16 @@ def leaders(first: DataFrame) -> list[DataFrame]:
 
     names = [f"lead{r}" for r in range(len(choices))]
     parts = materialize(led(ranked, ["key", "salt"], dict(zip(names, choices, strict=True))))
-    out = []
+    both = parts.select("set", "n", F.array(*names).alias("leads"))
     for name, choice in zip(names, choices, strict=True):
         whole = parts.where(f"salt >= 0 and set = {name}.set").select("key", "salt", "set", "n", "degree")
-        both = parts.select("set", "n", name).unionByName(led(whole, ["key"], {name: choice}).select("set", "n", name))
-        pairs = both.select(
-            F.col(f"{name}.set").alias("a"), F.col("set").alias("b"), F.col(f"{name}.n").alias("na"), F.col("n").alias("nb"),
-            F.col(f"{name}.degree").alias("degree"),
-        )
-        out.append(materialize(pairs.where("a <> b").where(could_be_similar("na", "nb")).distinct()))
-    return out
+        both = both.unionByName(led(whole, ["key"], {name: choice}).select("set", "n", F.array(*(F.col(name) if x == name else F.lit(None) for x in names)).alias("leads")))
+    pairs = both.select("set", "n", F.posexplode("leads").alias("choice", "lead")).where("lead is not null").select(
+        F.col("lead.set").alias("a"), F.col("set").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"),
+        F.when(F.col("choice") == 0, F.col("lead.degree")).alias("degree"),
+    )
+    pairs = pairs.where("a <> b").where(could_be_similar("na", "nb"))
+    return materialize(pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.max("degree").alias("degree")))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -449,6 +453,7 @@ def components(docs: DataFrame) -> DataFrame:
     members = materialize(set_table(docs))
     index = fit(docs, members.count())
     named = links(docs, members, index)
+    release_shuffles(docs.sparkSession)
     reps = members.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
     placed = reps.join(named.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))

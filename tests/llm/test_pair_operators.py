@@ -41,6 +41,14 @@ def test_connected_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_star_needs_no_step(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialize", lambda df, plain=components.materialize: written.append(df) or plain(df))
+    out = components.connected_components(spark.createDataFrame([(0, j) for j in range(1, 9)] + [(20, 21), (21, 20)], "a long, b long")).collect()
+    assert {r.node: r.component for r in out} == {**dict.fromkeys(range(9), 0), 20: 20, 21: 20}
+    assert len(written) == 1
+
+
 # ---- Jaccard join -----------------------------------------------------------
 
 
