@@ -68,7 +68,9 @@ SCRIPT_RANGES = [
 SCRIPTS = sorted({name for _, name in SCRIPT_RANGES})
 _STARTS = [start for start, _ in SCRIPT_RANGES]
 _WORD = re.compile(r"[^\W\d_]+")  # letters, and signs such as superscripts that ``letter_runs`` takes out again
+_SCRIPT_OF_RANGE = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
 MAX_CACHED_WORDS = 300_000
+WORDS_AT_A_TIME = 20_000
 
 
 @dataclass
@@ -129,32 +131,57 @@ def fit(labelled: DataFrame, per_language: int = TRAIN_DOCS_PER_LANGUAGE) -> Lan
     return LanguageModel(languages, np.log((counts + smooth) / (counts.sum(axis=0) + smooth * BUCKETS)), share >= SCRIPT_SHARE)
 
 
+def place(gram: str) -> int:
+    """The gram's row of the tables."""
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+class Places(dict):
+    """gram -> its row of the tables, kept."""
+
+    def __missing__(self, gram: str) -> int:
+        self[gram] = at = place(gram)
+        return at
+
+
 class WordScores(dict):
-    """word -> row of ``rows``, scored when first met; cleared when it grows past its bound."""
+    """word -> row of ``rows``; cleared when it grows past its bound. New words are scored many at a time."""
 
     def __init__(self, model: LanguageModel):
         super().__init__()
-        self.model, self.rows = model, []
-
-    def __missing__(self, word: str) -> int:
-        padded = f"^{word}$"
-        grams = [padded[i : i + 3] for i in range(len(word))] + ["=" + word]
-        at = [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
-        score = self.model.log_prob[at].sum(axis=0)
-        score = np.maximum(score - np.logaddexp.reduce(score), FLOOR)
-        allowed = self.model.allowed[script_of(ord(word[0]))]
-        if not allowed.any():
-            score = np.zeros_like(score)
-        else:
-            score = np.where(allowed, score, NOT_A_CANDIDATE)
-        self.rows.append(score)
-        self[word] = n = len(self.rows) - 1
-        return n
+        self.model, self.rows, self.places = model, np.zeros((0, len(model.languages))), Places()
+
+    def learn(self, words: list[str]) -> None:
+        """Score the words of ``words`` that are not known yet."""
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        scores = [self.rows]
+        for i in range(0, len(new), WORDS_AT_A_TIME):
+            some = new[i : i + WORDS_AT_A_TIME]
+            at: list[int] = []
+            first = []
+            for w in some:
+                padded = f"^{w}$"
+                first.append(len(at))
+                at += [self.places[padded[j : j + 3]] for j in range(len(w))]
+                at.append(place("=" + w))
+            scores.append(self._scored(some, np.add.reduceat(self.model.log_prob[at], first, axis=0)))
+        if new:
+            self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+            self.rows = np.concatenate(scores)
+
+    def _scored(self, words: list[str], score: np.ndarray) -> np.ndarray:
+        """Log shares of the summed ``score`` of ``words``, within the languages that their scripts allow."""
+        score = np.maximum(score - np.logaddexp.reduce(score, axis=1, keepdims=True), FLOOR)
+        code = np.fromiter((ord(w[0]) for w in words), dtype=np.int64, count=len(words))
+        allowed = self.model.allowed[_SCRIPT_OF_RANGE[np.searchsorted(_STARTS, code, side="right") - 1]]
+        return np.where(allowed.any(axis=1, keepdims=True), np.where(allowed, score, NOT_A_CANDIDATE), 0.0)
 
     def trim(self) -> None:
         if len(self) > MAX_CACHED_WORDS:
             self.clear()
-            self.rows.clear()
+            self.rows = self.rows[:0]
+        if len(self.places) > MAX_CACHED_WORDS:
+            self.places.clear()
 
 
 def viterbi(scores: np.ndarray, starts: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
@@ -211,11 +238,12 @@ def label_batch(batch: pa.RecordBatch, cache: WordScores) -> list[tuple[str, flo
         return [(UNKNOWN, 0.0, []) for _ in found]
     cache.trim()
     flat = [w for ws in found for w in ws]
-    ids = np.fromiter((cache[w] for w in flat), dtype=np.int64, count=len(flat))
+    cache.learn(flat)
+    ids = np.fromiter(map(cache.__getitem__, flat), dtype=np.int64, count=len(flat))
     letters = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
     starts = np.concatenate([[0], np.cumsum([len(ws) for ws in found])]).astype(np.int64)
     k = len(cache.model.languages)
-    labels = viterbi(np.asarray(cache.rows).reshape(-1, k)[ids], starts)
+    labels = viterbi(cache.rows[ids], starts)
     doc = np.repeat(np.arange(len(found)), np.diff(starts))
     weight = np.bincount(doc * k + labels, weights=letters, minlength=len(found) * k).reshape(len(found), k)
     total = weight.sum(axis=1)
