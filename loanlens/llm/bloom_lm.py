@@ -6,8 +6,8 @@ upward until one is missing and returns the middle of that level's range. It hol
 its size follows from the exact histogram of levels (``BITS_PER_ITEM`` for each item), at the same rate of false positives.
 
 The filter is built in segments. An n-gram's hash names its segment, all its bits lie there, and each segment is
-made by the task that counted its n-grams. Up to ``FILTER_BITS`` the driver lays finished segments end to end and broadcasts them.
-A larger filter stays a table: the distinct n-grams of each chunk of texts are shuffled to their segments, probed there, and
+made by the task that counted its n-grams. Up to ``FILTER_BITS`` (corpora of a few MB) the driver lays finished segments end to end
+and broadcasts them. A larger filter stays a table, in one form at all sizes: the distinct n-grams of each chunk of texts are shuffled to their segments, probed there, and
 their levels go back to the chunk. The bits are the same, so the scores are the same in both forms.
 
     P(w | v) = MIX * c(v w) / max(c(v), c(v w)) + (1 - MIX) * (c(w) + 1) / (N + V + 1)
@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import blocks, id_remainder, materialize, mix64, release_shuffles, utf8, word_hashes
+from loanlens.session import release_table
 
 END = np.uint64(0x5851F42D4C957F2D)  # the end token, in the place of a word's hash
-FILTER_BITS = 1 << 28  # of a broadcast filter; a larger one is probed by a shuffle
+FILTER_BITS = 1 << 22  # of a broadcast filter; a larger one is probed by a shuffle
 BITS_PER_ITEM = 9  # with 3 probes: about 2.5 % false positives
 PROBES = 3
 HEAD_WORDS = 1 << 16
@@ -42,6 +43,7 @@ CHUNK = 1 << 23  # bytes of text whose n-grams are probed together by a shuffle
 FLUSH_NGRAMS = 1_000_000
 FLUSH_WORDS = 500_000
 TOKENS_PER_SEGMENT = 500_000
+PROBED_AT_A_TIME = 200_000
 MAX_LEVEL = 62
 
 
@@ -116,13 +118,13 @@ def segment_count(tokens: int) -> int:
 
 
 def _packed(keys: np.ndarray, n: np.ndarray, segments: int) -> pa.RecordBatch:
-    """One row for each segment met in ``keys``, which are sorted and distinct."""
+    """One row for each segment met in ``keys``, which are sorted and distinct; hashes as ``_steps``."""
     segment = _segment_of(keys, segments).astype(np.int64)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(keys)]]).tolist()
     n = n.astype(np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(segment[cut[:-1]].astype(np.int32)),
-         pa.array([keys[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
+         pa.array([_steps(keys[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
          pa.array([n[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())],
         names=["segment", "hashes", "counts"],
     )
@@ -159,7 +161,7 @@ def ngram_levels(docs: DataFrame, counts: DataFrame, segments: int) -> DataFrame
                 yield _packed(h[order], batch.column("n").to_numpy()[order], segments)
 
     def merge(group: pa.Table) -> pa.Table:
-        h = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in group.column("hashes").to_pylist()])
+        h = np.concatenate([_from_steps(x) for x in group.column("hashes").to_pylist()])
         n = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in group.column("counts").to_pylist()])
         every, n = _reduce([h], [n])
         q = levels(n)
@@ -287,12 +289,18 @@ def _chunks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"row bigint, chunk bigint, doc_id {id_type}, text string")
 
 
-def _ngrams(h: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Hashes of the distinct n-grams of texts as ``tokens`` gives them, sorted."""
+def _bigrams(h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of all bigrams of texts as ``tokens`` gives them, in their order."""
     inner = np.ones(len(h), dtype=bool)
     inner[np.cumsum(size) - size] = False
     second = np.flatnonzero(inner)
-    return np.unique(np.concatenate([unigram_hash(np.unique(h)), bigram_hash(h[second - 1], h[second])]))
+    return bigram_hash(h[second - 1], h[second])
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def _steps(keys: np.ndarray) -> bytes:
@@ -305,18 +313,17 @@ def _from_steps(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(places.T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def chunk_levels(chunks: DataFrame, ngrams: DataFrame, segments: int) -> DataFrame:
+def chunk_levels(chunks: DataFrame, made: DataFrame, segments: int, segment_bits: int) -> DataFrame:
     """``chunk, piece, segment, levels``: for each chunk the levels of its distinct n-grams in the order of their hashes, by
-    probing the segments where they lie. A frequent n-gram is asked for once a chunk. A chunk that two tasks read is
+    probing the segments ``made`` where they lie. A frequent n-gram is asked for once a chunk. A chunk that two tasks read is
     asked for in pieces, which are named by their first row."""
-    segment_bits = filter_size(ngrams)[1]
 
     def ask(batches) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         chunk = piece = after = -1
 
         def out():
-            asked = np.unique(np.concatenate(held))
+            asked = _distinct(np.concatenate(held))
             segment = _segment_of(asked, segments).astype(np.int32)
             cut = np.concatenate([[0], np.flatnonzero(np.diff(segment)) + 1, [len(asked)]]).tolist()
             same = lambda x: pa.array(np.full(len(cut) - 1, x), pa.int64())
@@ -331,27 +338,39 @@ def chunk_levels(chunks: DataFrame, ngrams: DataFrame, segments: int) -> DataFra
                     if held:
                         yield out()
                     held, chunk, piece = [], of[a], row[a]
-                held.append(_ngrams(*tokens(utf8(batch.slice(a, b - a)))))
+                h, size = tokens(utf8(batch.slice(a, b - a)))
+                held += [unigram_hash(_distinct(h)), _bigrams(h, size)]
                 after = row[b - 1] + 1
         if held:
             yield out()
 
     def probe(asked: pa.Table, made: pa.Table) -> pa.Table:
-        levels_of = []
-        if made.num_rows:
+        hashes = [_from_steps(x) for x in asked.column("asked").to_pylist()]
+        cut = np.cumsum([0, *map(len, hashes)]).tolist()
+        found = np.zeros(cut[-1], dtype=np.uint8)
+        if made.num_rows and hashes:
             bits, first = np.frombuffer(made.column("bits")[0].as_py(), dtype=np.uint8), made.column("segment")[0].as_py()
             part = LogFrequencyFilter(bits, segments, segment_bits, first)
-        for hashes in asked.column("asked").to_pylist():
-            h = _from_steps(hashes)
-            found = part.level(h) if made.num_rows else np.zeros(len(h))
-            levels_of.append(found.astype(np.uint8).tobytes())
+            every = np.concatenate(hashes)
+            for i in range(0, len(every), PROBED_AT_A_TIME):
+                found[i : i + PROBED_AT_A_TIME] = part.level(every[i : i + PROBED_AT_A_TIME])
+        levels_of = [found[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
         return pa.table({"chunk": asked.column("chunk"), "piece": asked.column("piece"), "segment": asked.column("segment"), "levels": pa.array(levels_of, pa.binary())})
 
     probes = chunks.select("row", "chunk", "text").mapInArrow(ask, "segment int, chunk bigint, piece bigint, asked binary")
-    made = filter_segments(ngrams, segment_bits)
     return probes.groupBy("segment").cogroup(made.groupBy("segment")).applyInArrow(probe, "chunk bigint, piece bigint, segment int, levels binary")
 
 
+def _answered(found: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of the unigrams ``one`` and bigrams ``two``; ``found`` has those of the distinct ones in the order of their hashes."""
+    keys = np.concatenate([one, two])
+    order = np.argsort(keys)
+    keys = keys[order]
+    out = np.empty(len(keys), dtype=np.int64)
+    out[order] = found[np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]))]
+    return out[: len(one)], out[len(one) :]
+
+
 def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words: int = HEAD_WORDS) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs(doc_id, text)``,
     by the counts of ``train(text)``."""
@@ -365,20 +384,20 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
     parts = (model.bits, model.segments, model.segment_bits) if model else None
     shared = spark.sparkContext.broadcast((head["word"].to_numpy(), head["n"].to_numpy(), parts))
 
-    def columns(row: pa.Array, doc_id, h: np.ndarray, size: np.ndarray, level) -> list:
+    def columns(row: pa.Array, doc_id, h: np.ndarray, size: np.ndarray, levels_of) -> list:
         head_word, head_n, _ = shared.value
         word, at = np.unique(h, return_inverse=True)
         key = word.view(np.int64)
         place = np.minimum(np.searchsorted(head_word, key), max(len(head_word) - 1, 0))
         in_head = head_word[place] == key if len(head_word) else np.zeros(len(key), dtype=bool)
         log_count = np.where(in_head, np.log10((head_n[place] if len(head_n) else 0) + 1.0), 0.0)
-        c1 = level_count(level(unigram_hash(word)))
+        q1, q2 = levels_of(unigram_hash(word), _bigrams(h, size))
+        c1, c2 = level_count(q1), level_count(q2)
         doc = np.repeat(np.arange(len(size)), size)
         inner = np.ones(len(h), dtype=bool)
         inner[np.cumsum(size) - size] = False
         second = np.flatnonzero(inner)
         p = (c1[at] + 1) / (n + v + 1)
-        c2 = level_count(level(bigram_hash(h[second - 1], h[second])))
         p[second] = MIX * c2 / np.maximum(np.maximum(c1[at[second - 1]], c2), 1) + (1 - MIX) * p[second]
         rare = ~in_head[at]
         pair, times = np.unique(doc[rare] * len(word) + at[rare], return_counts=True)
@@ -402,7 +421,7 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
         for batch in blocks(batches, limit=BLOCK):
             h, size = tokens(utf8(batch))
             at = pa.array(row + np.arange(len(size)), pa.int64())
-            yield pa.RecordBatch.from_arrays(columns(at, batch.column("doc_id"), h, size, filter_.level), names=names)
+            yield pa.RecordBatch.from_arrays(columns(at, batch.column("doc_id"), h, size, lambda *x: map(filter_.level, x)), names=names)
             row += len(size)
 
     def run_chunk(group: pa.Table, answers: pa.Table) -> pa.Table:
@@ -415,9 +434,9 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
         for k in range(len(pieces)):
             rows = group.slice(at[k], at[k + 1] - at[k]).combine_chunks()
             h, size = tokens(utf8(rows))
-            asked, found = _ngrams(h, size), np.frombuffer(b"".join(levels_of[first[k] : first[k + 1]]), dtype=np.uint8).astype(np.int64)
-            level = lambda x, asked=asked, found=found: found[np.searchsorted(asked, x)]
-            out.append(pa.Table.from_arrays(columns(rows.column("row"), rows.column("doc_id"), h, size, level), names=names))
+            found = np.frombuffer(b"".join(levels_of[first[k] : first[k + 1]]), dtype=np.uint8)
+            answered = lambda one, two, found=found: _answered(found, one, two)
+            out.append(pa.Table.from_arrays(columns(rows.column("row"), rows.column("doc_id"), h, size, answered), names=names))
         return pa.concat_tables(out)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -425,12 +444,19 @@ def score(docs: DataFrame, train: DataFrame, bits: int = FILTER_BITS, head_words
     if model:
         scored = docs.select("doc_id", "text").mapInArrow(run, schema)
     else:
+        segment_bits = filter_size(ngrams)[1]
+        made = materialize(filter_segments(ngrams, segment_bits))
+        release_table(ngrams)
         release_shuffles(spark)  # those of the counts, which are tables by now
         chunks = materialize(_chunks(docs))
-        answers = materialize(chunk_levels(chunks, ngrams, segments))
+        answers = materialize(chunk_levels(chunks, made, segments, segment_bits))
         release_shuffles(spark)  # those of the probes
         scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run_chunk, schema)
     scored = materialize(scored)
+    if not model:
+        for used in (made, chunks, answers):
+            release_table(used)
+        release_shuffles(spark)
     rare = (
         scored.select("row", F.explode("tail").alias("t"))
         .select("row", "t.word", "t.times")

@@ -13,6 +13,7 @@ import pytest
 from helpers import DOC, ODD_TEXTS, clashing, docs_frame, sentence, vocabulary
 from pyspark.sql import functions as F
 
+from loanlens import session
 from loanlens.llm import bloom_lm, bpe, common, langid, mil_quality
 
 
@@ -44,6 +45,21 @@ def language_model(spark):
     return langid.fit(spark.createDataFrame(rows, "text string, lang string")), en, de, ru
 
 
+def test_words_scored_many_at_a_time_equal_single_ones(language_model, monkeypatch):
+    model, en, de, ru = language_model
+    monkeypatch.setattr(langid, "WORDS_AT_A_TIME", 7)
+    cache = langid.WordScores(model)
+    for words in (en[:40] + ru[:40], en[20:60] + de[:3] + ["λόγος", "日本"]):
+        cache.learn(words + words[:5])
+        for w in words:
+            grams = [f"^{w}$"[i : i + 3] for i in range(len(w))] + ["=" + w]
+            score = model.log_prob[[zlib.crc32(g.encode()) % langid.BUCKETS for g in grams]].sum(axis=0)
+            score = np.maximum(score - np.logaddexp.reduce(score), langid.FLOOR)
+            allowed = model.allowed[langid.script_of(ord(w[0]))]
+            expected = np.where(allowed, score, langid.NOT_A_CANDIDATE) if allowed.any() else np.zeros(3)
+            assert cache.rows[cache[w]] == pytest.approx(expected, abs=1e-12)
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(0)
     for _ in range(40):
@@ -413,6 +429,14 @@ def test_filter_holds_every_ngram_at_any_size(spark):
         assert b.score == pytest.approx(a.score, abs=1e-9) and b.base_score == pytest.approx(a.base_score, abs=1e-9)
 
 
+def test_tables_that_are_used_up_are_deleted(spark):
+    docs = docs_frame(spark, ["one two three", "two three four", None])
+    before = set(session._CREATED)
+    out = bloom_lm.score(docs, docs, bits=1)
+    assert len(set(session._CREATED) - before) == 2  # the counts and the scored rows
+    assert out.count() == 3
+
+
 def test_model_beats_the_unigram_on_seen_order(spark):
     docs = docs_frame(spark, ["one two three four five six seven"] * 5 + ["seven two five four one six three"])
     out = bloom_lm.score(docs, docs.where("doc_id < 5"), bits=1 << 16).orderBy("doc_id").collect()
