@@ -7,8 +7,8 @@ its size follows from the exact histogram of levels (``BITS_PER_ITEM`` for each
 
 The filter is built in segments. An n-gram's hash names its segment, all its bits lie there, and each segment is
 made by the task that counted its n-grams. Up to ``FILTER_BITS`` (corpora of a few MB) the driver lays finished segments end to end
-and broadcasts them. A larger filter stays a table, in one form at all sizes: the distinct n-grams of each chunk of texts are shuffled to their segments, probed there, and
-their levels go back to the chunk. The bits are the same, so the scores are the same in both forms.
+and broadcasts them. A larger filter stays a table: the distinct n-grams of each chunk of texts are shuffled to their segments, probed
+there, and their levels go back to the chunk. The bits are the same, so the scores are the same in both forms.
 
     P(w | v) = MIX * c(v w) / max(c(v), c(v w)) + (1 - MIX) * (c(w) + 1) / (N + V + 1)
 
